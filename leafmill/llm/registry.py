@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from . import secrets, url_rules
+from . import mixing, secrets, url_rules
 
 QUERIES = {
+    "op1_mix_sources": mixing.op1_mix_sources,
     "op4_url_filter": url_rules.op4_url_filter,
     "op5_secret_scan": secrets.op5_secret_scan,
 }
 ORACLES = {
+    "op1_mix_sources": mixing.OP1_SQL,
     "op4_url_filter": url_rules.OP4_SQL,
 }
