@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from . import mixing, secrets, url_rules
+from . import decontaminate, html_text, mixing, secrets, url_rules
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
+    "op3_decontaminate": decontaminate.op3_decontaminate,
     "op4_url_filter": url_rules.op4_url_filter,
     "op5_secret_scan": secrets.op5_secret_scan,
+    "op9_main_text": html_text.op9_main_text,
 }
 ORACLES = {
     "op1_mix_sources": mixing.OP1_SQL,
+    "op3_decontaminate": decontaminate.OP3_SQL,
     "op4_url_filter": url_rules.OP4_SQL,
 }
