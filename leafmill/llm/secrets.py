@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .scratch import table
+from .scratch import keep, table
 
 # Kind, version, pattern, group whose length counts, least length.  The first three are the base.
 RULES = [
@@ -117,7 +117,7 @@ def secret_scan(paths: DataFrame, ledger: DataFrame | None = None, rules: list[t
     """
     known = paths.withColumn("_blob", blob_of(F.col(text)))
     versions = known.select(F.col("_blob").alias("blob"), F.coalesce(text, F.lit("")).alias("text"))
-    found = new_findings(versions, ledger, rules).select("blob", "found")
+    found = keep(new_findings(versions, ledger, rules), "secret-ledger").select("blob", "found")
     if ledger is not None:
         found = found.unionByName(ledger.select("blob", "found"))
         # several ledger rows of a blob: one for each time that rules were added
