@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import decontaminate, html_text, lm_score, mixing, secrets, url_rules
+from . import decontaminate, html_text, lm_score, mixing, pii, secrets, url_rules
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
     "op3_decontaminate": decontaminate.op3_decontaminate,
     "op4_url_filter": url_rules.op4_url_filter,
     "op5_secret_scan": secrets.op5_secret_scan,
+    "op7_pii": pii.op7_pii,
     "op8_lm_score": lm_score.op8_lm_score,
     "op9_main_text": html_text.op9_main_text,
 }
