@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import decontaminate, html_text, lm_score, mixing, pii, secrets, url_rules
+from . import decontaminate, html_text, lm_score, mixing, pii, secrets, topk, url_rules
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
+    "op2_top_k": topk.op2_top_k,
     "op3_decontaminate": decontaminate.op3_decontaminate,
     "op4_url_filter": url_rules.op4_url_filter,
     "op5_secret_scan": secrets.op5_secret_scan,
@@ -15,6 +16,7 @@ QUERIES = {
 }
 ORACLES = {
     "op1_mix_sources": mixing.OP1_SQL,
+    "op2_top_k": topk.OP2_SQL,
     "op3_decontaminate": decontaminate.OP3_SQL,
     "op4_url_filter": url_rules.OP4_SQL,
 }
