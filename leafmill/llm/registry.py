@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, html_text, lm_score, mixing, pii, secrets, topk, url_rules
+from . import decontaminate, html_text, lm_score, mixing, pii, quality, secrets, topk, url_rules
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
@@ -13,6 +13,7 @@ QUERIES = {
     "op7_pii": pii.op7_pii,
     "op8_lm_score": lm_score.op8_lm_score,
     "op9_main_text": html_text.op9_main_text,
+    "op10_quality": quality.op10_quality,
 }
 ORACLES = {
     "op1_mix_sources": mixing.OP1_SQL,

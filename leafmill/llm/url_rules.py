@@ -112,7 +112,7 @@ class Sweep:
 def sweep_once(keys: DataFrame, rules: list[tuple[str, str, str]]) -> DataFrame:
     """``keys`` (with ``_key`` and ``_path``) with the rule and action of this set of rules."""
     ordered = keys.sparkSession.sparkContext.broadcast(levels(rules))
-    schema = keys.schema.add("_rule", "string").add("_action", "string")
+    schema = keys.select("*").schema.add("_rule", "string").add("_action", "string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sweep = Sweep(ordered.value)
