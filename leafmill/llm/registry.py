@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, html_text, lm_score, mixing, pii, quality, secrets, topk, url_rules
+from . import decontaminate, html_text, lm_score, mixing, near_dup, pii, quality, secrets, topk, url_rules
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_decontaminate": decontaminate.op3_decontaminate,
     "op4_url_filter": url_rules.op4_url_filter,
     "op5_secret_scan": secrets.op5_secret_scan,
+    "op6_near_duplicates": near_dup.op6_near_duplicates,
     "op7_pii": pii.op7_pii,
     "op8_lm_score": lm_score.op8_lm_score,
     "op9_main_text": html_text.op9_main_text,
