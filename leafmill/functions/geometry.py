@@ -78,13 +78,13 @@ def variant_size(width: Column, height: Column, most: Column) -> Column:
 
 def column_estimate(width: Column, height: Column) -> Column:
     """Boxes of the two columns of an unmeasured page, from fixed shares of its size."""
-    part = lambda share, of: F.bround(of * share / 100).cast("int")
-    middle, gap = floor_div(width, F.lit(2)), part(2.5, width)
-    top, bottom = part(7, height), part(92, height)
-    box = lambda left, right: F.struct(
-        left.cast("int").alias("l"), top.alias("t"), right.cast("int").alias("r"), bottom.alias("b")
+    share = lambda percent, of: F.bround(of * (percent / 100)).cast("int")
+    left, right, overlap = share(6, width), share(94, width), share(2.5, width)
+    middle = floor_div(left + right, F.lit(2)).cast("int")
+    box = lambda l, r: F.struct(  # noqa: E731, E741
+        l.alias("l"), share(7, height).alias("t"), r.alias("r"), share(92, height).alias("b")
     )
-    return F.struct(box(part(6, width), middle + gap).alias("first"), box(middle - gap, part(94, width)).alias("second"))
+    return F.struct(box(left, middle + overlap).alias("first"), box(middle - overlap, right).alias("second"))
 
 
 def column_bounds(width: Column, first: Column, second: Column, audited: dict[str, Column] | None = None) -> Column:
@@ -109,15 +109,32 @@ def percent_place(rect: Column, width: Column, height: Column) -> Column:
 
 
 def line_crop(index: Column, n: Column, box: Column, low: float = 5.8, high: float = 95.8) -> Column:
-    """A crop about the interpolated centre of line ``index`` of ``n``."""
-    height = box["b"] - box["t"]
-    step = height * (high - low) / 100 / F.greatest(n - 1, F.lit(1))
-    centre = box["t"] + height * F.when(n == 1, 50.0).otherwise(low + index / (n - 1) * (high - low)) / 100
-    top = clamp(F.bround(centre - step * 0.78), box["t"], box["b"])
-    bottom = clamp(F.bround(centre + step * 0.70), box["t"], box["b"])
-    return F.struct(
-        box["l"].alias("x"), top.cast("int").alias("y"), (box["r"] - box["l"]).alias("w"), (bottom - top).cast("int").alias("h")
-    )
+    """struct(crop, context) about the interpolated centre of 0-based line ``index`` of ``n``."""
+    height = (box["b"] - box["t"]).cast("double")
+    span = height * (high - low) / 100
+    centre = F.when(n == 1, box["t"] + height / 2).otherwise(box["t"] + height * (low + index / (n - 1) * (high - low)) / 100)
+    step = F.when(n == 1, height / 20).otherwise(span / (n - 1))
+
+    def rect(above: float, below: float) -> Column:
+        top = F.greatest(box["t"], F.bround(centre - step * above).cast("int"))
+        bottom = F.least(box["b"], F.bround(centre + step * below).cast("int"))
+        return F.struct(box["l"].alias("x"), top.alias("y"), (box["r"] - box["l"]).alias("w"), (bottom - top).alias("h"))
+
+    return F.struct(rect(0.78, 0.70).alias("crop"), rect(2.6, 2.6).alias("context"))
+
+
+def line_rectangles(centres: str, w, nominal: Column, box: Column, overlap: int = 18) -> Column:
+    """struct(crop, context) of each line from its neighbours' centres."""
+    c = F.col(centres)
+    before, after = F.coalesce(F.lag(c).over(w), c - nominal), F.coalesce(F.lead(c).over(w), c + nominal)
+
+    def rect(low: Column, high: Column) -> Column:
+        top = F.greatest(box["t"], F.bround(low).cast("int"))
+        bottom = F.least(box["b"], F.bround(high).cast("int"))
+        return F.struct(box["l"].alias("x"), top.alias("y"), (box["r"] - box["l"]).alias("w"), (bottom - top).alias("h"))
+
+    crop = rect((before + c) / 2 - overlap, (c + after) / 2 + overlap)
+    return F.struct(crop.alias("crop"), rect(c - nominal * 2.7, c + nominal * 2.7).alias("context"))
 
 
 def tiles(box: Column, n: Column, overlap: Column) -> Column:
