@@ -8,11 +8,13 @@ from collections import Counter
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as D
 
 from leafmill.functions import content as C
 from leafmill.functions import text as T
 
-RUNS_OUT = "array<struct<typeface:string,text:string,placement:string,layout:string,line_span:int,span_id:string>>"
+FIELDS = ("typeface", "text", "placement", "layout", "line_span", "span_id")
+RUNS_OUT = D.ArrayType(D.StructType([D.StructField(f, D.IntegerType() if f == "line_span" else D.StringType()) for f in FIELDS]))
 
 
 def rewritten(runs: list[dict], target: str, roman: list, italic: list) -> list[dict]:
@@ -56,8 +58,7 @@ def rewrite_runs(runs, target, roman, italic):
     ranges = [[(x["s"], x["e"]) for x in part or ()] for part in (roman, italic)]
     if any(not 0 <= s < e <= len(target) for part in ranges for s, e in part):
         return None
-    fields = ("typeface", "text", "placement", "layout", "line_span", "span_id")
-    return [tuple(r.get(k) for k in fields) for r in rewritten([r.asDict() for r in runs], target, *ranges)]
+    return [tuple(r.get(k) for k in FIELDS) for r in rewritten([r.asDict() for r in runs], target, *ranges)]
 
 
 def resolved(changes: DataFrame, after: str = "after") -> DataFrame:

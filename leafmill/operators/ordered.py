@@ -162,10 +162,16 @@ def systematic(rank: Column, n: Column, take: int) -> Column:
     return (rank == 1) | (step(rank - 1) > step(rank - 2))
 
 
+def seconds_between(a: Column, b: Column) -> Column:
+    """Whole seconds from one time to another."""
+    micros = lambda x: F.unix_micros(x.cast("timestamp"))
+    return F.floor((micros(b) - micros(a)) / 1_000_000)
+
+
 def until_gap(rows: DataFrame, key: str, ts: str, *order: str, gap: int = 1800, idle: int = 3600) -> DataFrame:
     """The 30-60 stopping rule (W13): rows up to and including the first after a gap, none after an idle time."""
     w = Window.partitionBy(key).orderBy(ts, *order)
-    seconds = F.timestampdiff("SECOND", F.lag(ts).over(w), F.col(ts))
+    seconds = seconds_between(F.lag(ts).over(w), F.col(ts))
     before = w.rowsBetween(Window.unboundedPreceding, -1)
     now = w.rowsBetween(Window.unboundedPreceding, 0)
     marked = rows.withColumn("_gap", F.coalesce(seconds, F.lit(0)))

@@ -1,6 +1,670 @@
-"""The registered queries of the library, with the SQL that checks them."""
+"""The registered queries on the driver's tables, each with the SQL that checks it.
+
+Every query is one operator of the library on whole tables; its name says which.
+"""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from leafmill.functions import content as C
+from leafmill.functions import geometry as G
+from leafmill.functions import text as T
+from leafmill.operators import aggregates as A
+from leafmill.operators import checks as V
+from leafmill.operators import corrections as R
+from leafmill.operators import joins as J
+from leafmill.operators import ordered as W
+from leafmill.plans import views
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLES: dict[str, str] = {}
+
+
+class Tables:
+    """The tables of a folder by name."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+
+    def __getattr__(self, name: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self.path}/{name}.parquet")
+
+
+def query(sql: str | None = None):
+    """Register a function of ``Tables``, with its SQL if SQL can express it."""
+
+    def add(f: Callable[[Tables], DataFrame]) -> Callable:
+        QUERIES[f.__name__] = lambda spark, sf_dir: f(Tables(spark, sf_dir))
+        if sql is not None:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return add
+
+
+def lines_of(documents: DataFrame) -> DataFrame:
+    """Numbered lines of the documents."""
+    split = documents.select("doc_id", "lang", "source", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
+    return split.select("doc_id", "lang", "source", (F.col("pos") + 1).alias("line_no"), "line")
+
+
+LINES_SQL = "SELECT d.doc_id, d.lang, d.source, CAST(u.i AS INTEGER) AS line_no, string_split(d.text, chr(10))[u.i] AS line FROM documents d, unnest(range(1, len(string_split(d.text, chr(10))) + 1)) AS u(i)"
+
+
+@query(f"SELECT doc_id, line_no, line FROM ({LINES_SQL})")
+def line_flatten(t: Tables) -> DataFrame:
+    return lines_of(t.documents).select("doc_id", "line_no", "line")
+
+
+@query(f"""
+SELECT lang, CAST(sum(n) AS BIGINT) AS occurrences, count(*) FILTER (n > 0) AS lines, count(DISTINCT doc_id) FILTER (n > 0) AS units
+FROM (SELECT *, len(regexp_extract_all(line, 'tion')) AS n FROM ({LINES_SQL})) GROUP BY lang""")
+def occurrence_by_group(t: Tables) -> DataFrame:
+    return A.occurrences(lines_of(t.documents), "line", "tion", ["lang"], "doc_id")
+
+
+@query(f"""
+SELECT CAST(sum(n) AS BIGINT) AS occurrences, count(*) FILTER (n > 0) AS lines, count(DISTINCT doc_id) FILTER (n > 0) AS units
+FROM (SELECT *, len(regexp_extract_all(line, '[ãõẽĩũñ]')) AS n FROM ({LINES_SQL}))""")
+def occurrence_lines_pages(t: Tables) -> DataFrame:
+    return A.occurrences(lines_of(t.documents), "line", "[ãõẽĩũñ]", [], "doc_id")
+
+
+@query(f"""
+SELECT quality, CAST(sum(n) AS BIGINT) AS occurrences, count(*) FILTER (n > 0) AS lines, count(DISTINCT doc_id) FILTER (n > 0) AS units
+FROM (SELECT l.*, quality, len(regexp_extract_all(line, 'the')) AS n FROM ({LINES_SQL}) l JOIN labels USING (doc_id)) GROUP BY quality""")
+def occurrence_in_subset(t: Tables) -> DataFrame:
+    marked = lines_of(t.documents).join(t.labels.select("doc_id", "quality"), "doc_id")
+    return A.occurrences(marked, "line", "the", ["quality"], "doc_id")
+
+
+@query("SELECT carrier, count(*) AS n FROM (SELECT unnest(regexp_extract_all(text, '[áéíóúàèêçñäöüß]')) AS carrier FROM documents) GROUP BY carrier")
+def carrier_counts(t: Tables) -> DataFrame:
+    return A.carriers(t.documents, "text", "[áéíóúàèêçñäöüß]")
+
+
+@query("SELECT category, count(*) AS n FROM (SELECT unnest(string_split(lang || ';' || source, ';')) AS category FROM documents) GROUP BY category")
+def category_explode(t: Tables) -> DataFrame:
+    return A.categories(t.documents.select(F.concat_ws(";", "lang", "source").alias("c")), "c", ";")
+
+
+@query("SELECT role, count(*) AS n FROM conversations GROUP BY role")
+def value_frequency(t: Tables) -> DataFrame:
+    return t.conversations.groupBy("role").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT lang, source, count(*) AS n FROM documents GROUP BY CUBE (lang, source)")
+def crosstab_totals(t: Tables) -> DataFrame:
+    return A.crosstab(t.documents, "lang", "source")
+
+
+@query("SELECT quality, toxic, count(*) AS n FROM labels GROUP BY ALL")
+def confusion_matrix(t: Tables) -> DataFrame:
+    return A.confusion(t.labels, "quality", "toxic")
+
+
+@query("""
+SELECT avg(r) AS balanced_accuracy
+FROM (SELECT avg(CASE WHEN quality = 1 - toxic THEN 1.0 ELSE 0.0 END::DOUBLE) AS r FROM labels GROUP BY quality)""")
+def balanced_accuracy(t: Tables) -> DataFrame:
+    return A.balanced_accuracy(t.labels.withColumn("predicted", 1 - F.col("toxic")), "quality", "predicted")
+
+
+@query("""
+WITH x AS (SELECT source, quality FROM documents JOIN labels USING (doc_id)),
+f AS (SELECT DISTINCT source FROM x), c AS (SELECT quality, count(*) AS n FROM x GROUP BY quality),
+o AS (SELECT source, quality, count(*) AS n FROM x GROUP BY ALL),
+r AS (SELECT f.source, c.quality, c.n - coalesce(o.n, 0) AS rest FROM f CROSS JOIN c LEFT JOIN o ON o.source = f.source AND o.quality = c.quality)
+SELECT source, quality AS predicted FROM r QUALIFY row_number() OVER (PARTITION BY source ORDER BY rest DESC, quality) = 1""")
+def leave_one_out(t: Tables) -> DataFrame:
+    rows = t.documents.select("doc_id", "source").join(t.labels.select("doc_id", "quality"), "doc_id")
+    return A.leave_one_out_mode(rows, "source", "quality")
+
+
+@query("SELECT user_id, event_id, event_type, value FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1")
+def latest_per_key(t: Tables) -> DataFrame:
+    return A.latest_per_key(t.events, "user_id", "ts", "event_id").select("user_id", "event_id", "event_type", "value")
+
+
+@query("SELECT conv_id, arg_min(text, turn) AS text FROM conversations WHERE role = 'assistant' GROUP BY conv_id")
+def first_match(t: Tables) -> DataFrame:
+    return A.first_per_key(t.conversations, "conv_id", "text", "turn", where=F.col("role") == "assistant")
+
+
+@query("""
+WITH c AS (SELECT user_id, event_type, count(*) AS n, min((ts, event_id)) AS f FROM events GROUP BY ALL)
+SELECT user_id, event_type, n FROM c QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY n DESC, f) = 1""")
+def mode_first_seen(t: Tables) -> DataFrame:
+    return A.mode_first_seen(t.events, "user_id", "event_type", "ts", "event_id")
+
+
+@query("SELECT doc_id, coalesce(quality, -1) AS quality, coalesce(toxic, -1) AS toxic FROM documents LEFT JOIN labels USING (doc_id)")
+def left_default(t: Tables) -> DataFrame:
+    return J.with_defaults(t.documents.select("doc_id"), t.labels, "doc_id", {"quality": -1, "toxic": -1})
+
+
+@query("SELECT count(*) AS unresolved FROM (SELECT DISTINCT l_partkey FROM lineitem WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size > 10))")
+def strict_anti(t: Tables) -> DataFrame:
+    parts = t.part.where("p_size > 10").select(F.col("p_partkey").alias("l_partkey"))
+    return J.strict(t.lineitem.select("l_partkey"), parts, "l_partkey")[1].agg(F.count(F.lit(1)).alias("unresolved"))
+
+
+@query("SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
+def set_difference(t: Tables) -> DataFrame:
+    return t.documents.select("doc_id").subtract(t.labels.select("doc_id"))
+
+
+@query("""
+SELECT doc_id, 'missing' AS side FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)
+UNION ALL SELECT DISTINCT doc_id, 'extra' FROM labels WHERE doc_id NOT IN (SELECT doc_id FROM documents)""")
+def set_symmetric(t: Tables) -> DataFrame:
+    return J.reconciled(t.documents, t.labels, "doc_id")
+
+
+@query("SELECT doc_id FROM (SELECT doc_id FROM documents INTERSECT SELECT doc_id FROM labels)")
+def set_intersection(t: Tables) -> DataFrame:
+    return t.documents.select("doc_id").intersect(t.labels.select("doc_id"))
+
+
+@query("SELECT doc_id FROM labels UNION SELECT page_id FROM pages")
+def set_union(t: Tables) -> DataFrame:
+    return t.labels.select("doc_id").union(t.pages.select("page_id")).distinct()
+
+
+@query("SELECT doc_id AS id, 'label' AS kind FROM labels UNION ALL SELECT page_id, 'page' FROM pages")
+def bag_union(t: Tables) -> DataFrame:
+    labels = t.labels.select(F.col("doc_id").alias("id"), F.lit("label").alias("kind"))
+    return labels.unionByName(t.pages.select(F.col("page_id").alias("id"), F.lit("page").alias("kind")))
+
+
+@query("""
+WITH r AS (SELECT conv_id, min(turn) AS a, min(turn) + 2 AS b FROM conversations GROUP BY conv_id)
+SELECT c.conv_id, c.turn, c.role FROM conversations c
+JOIN r ON r.conv_id = c.conv_id JOIN conversations x ON x.conv_id = c.conv_id AND x.turn = r.a JOIN conversations y ON y.conv_id = c.conv_id AND y.turn = r.b
+WHERE c.turn BETWEEN x.turn AND y.turn""")
+def range_slice(t: Tables) -> DataFrame:
+    rows = t.conversations.select("conv_id", "turn", "role", F.concat(F.lit("t"), "turn").alias("id"))
+    first = F.min("turn")
+    ranges = rows.groupBy("conv_id").agg(F.concat(F.lit("t"), first).alias("first_id"), F.concat(F.lit("t"), first + 2).alias("last_id"))
+    return J.range_slice(rows, ranges, ["conv_id"], "id", "turn").select("conv_id", "turn", "role")
+
+
+@query("SELECT a.doc_id, a.first_id FROM (SELECT doc_id, min(doc_id) OVER (PARTITION BY md5(text)) AS first_id FROM documents) a WHERE a.doc_id <> a.first_id")
+def residual_join(t: Tables) -> DataFrame:
+    known = t.documents.select("doc_id", F.md5("text").alias("h"), F.length("text").alias("n"))
+    first = known.groupBy("h").agg(F.min("doc_id").alias("first_id"), F.min_by("n", "doc_id").alias("first_n"))
+    return J.residual(known, first, "h", (F.col("doc_id") != F.col("first_id")) & (F.col("n") == F.col("first_n"))).select("doc_id", "first_id")
+
+
+@query("SELECT n_nationkey, s.size FROM nation, (VALUES (480), (960), (1920)) AS s(size)")
+def cross_sizes(t: Tables) -> DataFrame:
+    return J.with_literals(t.nation.select("n_nationkey"), "size", [480, 960, 1920])
+
+
+@query("""
+SELECT n_name, count(*) AS items, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS quantity
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name""")
+def multiway_strict(t: Tables) -> DataFrame:
+    joined = (
+        t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
+        .join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    )
+    return joined.groupBy("n_name").agg(F.count(F.lit(1)).alias("items"), F.sum(F.col("l_quantity").cast("long")).alias("quantity"))
+
+
+@query("SELECT n_name, r.rule FROM nation JOIN (VALUES (0, 'a'), (2, 'b'), (3, 'c')) AS r(n_regionkey, rule) USING (n_regionkey)")
+def static_rules(t: Tables) -> DataFrame:
+    return J.with_rules(t.nation, [(0, "a"), (2, "b"), (3, "c")], ["n_regionkey", "rule"], "n_regionkey").select("n_name", "rule")
+
+
+@query("SELECT doc_id, lang FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)")
+def semi_join(t: Tables) -> DataFrame:
+    return t.documents.select("doc_id", "lang").join(t.labels, "doc_id", "left_semi")
+
+
+@query("SELECT doc_id, 'new' AS state FROM labels UNION ALL SELECT doc_id, 'old' FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
+def upsert(t: Tables) -> DataFrame:
+    return J.upserted(t.documents.select("doc_id", F.lit("old").alias("state")), t.labels.select("doc_id", F.lit("new").alias("state")), "doc_id")
+
+
+@query("SELECT doc_id FROM documents JOIN (SELECT doc_id, CASE WHEN quality = 1 THEN 'en' ELSE 'fr' END AS lang FROM labels) p USING (doc_id) WHERE p.lang <> documents.lang")
+def version_stale(t: Tables) -> DataFrame:
+    pinned = t.labels.select("doc_id", F.when(F.col("quality") == 1, "en").otherwise("fr").alias("lang"))
+    return J.stale(pinned, t.documents, "doc_id", "lang").select("doc_id")
+
+
+@query("""
+SELECT o_custkey, count(DISTINCT o_orderkey) AS issues_applied, count(l_partkey) AS accepted_edits, count(DISTINCT l_partkey) AS distinct_lines,
+       CAST(arg_max(o_orderdate, o_orderkey) AS DATE) AS last_applied
+FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_custkey""")
+def history_stats(t: Tables) -> DataFrame:
+    log = t.orders.join(t.lineitem, F.col("o_orderkey") == F.col("l_orderkey")).withColumn("day", F.col("o_orderdate").cast("date"))
+    return A.correction_stats(log, "o_custkey", "o_orderkey", "l_partkey", "day", "o_orderkey")
+
+
+@query("""
+SELECT count(*) AS pages, count(*) FILTER (quality IS NOT NULL) AS processed, count(*) FILTER (quality IS NULL) AS unprocessed, count(*) FILTER (toxic = 1) AS corrected
+FROM documents LEFT JOIN labels USING (doc_id)""")
+def status_summary(t: Tables) -> DataFrame:
+    rows = t.documents.select("doc_id").join(t.labels, "doc_id", "left")
+    return views.summary(rows.select(F.col("quality").isNotNull().alias("processed"), F.col("toxic").alias("issues_applied")))
+
+
+@query("""
+SELECT source, CASE WHEN n > 0 THEN 'needs_correction' WHEN c = s THEN 'checked' WHEN c > 0 THEN 'partial' ELSE 'pending' END AS state
+FROM (SELECT source, count(*) AS s, count(quality) AS c, count(*) FILTER (quality = 0 AND toxic = 1) AS n FROM documents LEFT JOIN labels USING (doc_id) GROUP BY source)""")
+def review_summary(t: Tables) -> DataFrame:
+    rows = t.documents.select("doc_id", "source").join(t.labels, "doc_id", "left").groupBy("source")
+    n = rows.agg(F.count(F.lit(1)).alias("s"), F.count("quality").alias("c"), F.count_if((F.col("quality") == 0) & (F.col("toxic") == 1)).alias("n"))
+    return n.select("source", A.review_state(F.col("c"), F.col("s"), F.col("n")).alias("state"))
+
+
+@query("""
+SELECT count(*) AS records, count(DISTINCT c_custkey) AS unique_ids, count(*) FILTER (c_mktsegment <> '') AS links, count(*) FILTER (CAST(substr(lpad(CAST(c_custkey AS VARCHAR), 6, '0'), 4, 3) AS INTEGER) >= 332) AS supplement
+FROM customer""")
+def file_summary(t: Tables) -> DataFrame:
+    number = T.leading_number(F.substring(F.lpad(F.col("c_custkey").cast("string"), 6, "0"), 4, 3))
+    return A.file_summary(t.customer, "c_custkey", F.col("c_mktsegment"), number, 332)
+
+
+@query("""
+SELECT o_custkey, CAST(to_json(list({'k': o_orderkey, 's': o_orderstatus} ORDER BY o_orderkey)) AS VARCHAR) AS records FROM orders GROUP BY o_custkey""")
+def nested_report(t: Tables) -> DataFrame:
+    rows = t.orders.select("o_custkey", F.col("o_orderkey").alias("k"), F.col("o_orderstatus").alias("s"))
+    return A.nested_report(rows, "o_custkey", "k", "s").select("o_custkey", F.to_json("records").alias("records"))
+
+
+@query("""
+SELECT user_id, coalesce(median(g), 62.0)::DOUBLE AS median_gap
+FROM (SELECT user_id, floor((epoch_us(ts) - epoch_us(lag(ts) OVER w)) / 1000000) AS g FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)) GROUP BY user_id""")
+def median_gap(t: Tables) -> DataFrame:
+    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
+    gaps = t.events.withColumn("g", W.seconds_between(F.lag("ts").over(w), F.col("ts")))
+    return gaps.groupBy("user_id").agg(F.coalesce(F.median("g"), F.lit(62.0)).alias("median_gap"))
+
+
+@query("""
+SELECT l_orderkey, coalesce(median(g), 62.0)::DOUBLE AS median_gap
+FROM (SELECT l_orderkey, l_quantity - lag(l_quantity) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS g FROM lineitem) GROUP BY l_orderkey""")
+def median_difference(t: Tables) -> DataFrame:
+    return A.median_gap(t.lineitem, "l_orderkey", "l_quantity", "l_linenumber", "l_partkey", "l_suppkey")
+
+
+@query("SELECT md5(text) AS digest, count(*) AS n, min(doc_id) AS first_id FROM documents GROUP BY text HAVING count(*) > 1")
+def duplicate_text(t: Tables) -> DataFrame:
+    rows = t.documents.select("doc_id", F.md5("text").alias("digest"))
+    return rows.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first_id")).where("n > 1")
+
+
+@query("""
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
+       CASE WHEN count(*) OVER (PARTITION BY l_orderkey) = 1 THEN 50.0
+            ELSE 5.8 + (row_number() OVER w - 1)::DOUBLE / (count(*) OVER (PARTITION BY l_orderkey) - 1) * (95.8 - 5.8)::DOUBLE END::DOUBLE AS place
+FROM lineitem WINDOW w AS (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey)""")
+def position_interp(t: Tables) -> DataFrame:
+    w = Window.partitionBy("l_orderkey")
+    pos = F.row_number().over(w.orderBy("l_linenumber", "l_partkey", "l_suppkey"))
+    place = W.interpolated(pos, F.count(F.lit(1)).over(w)).alias("place")
+    return t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", place)
+
+
+@query("""
+SELECT event_id, (coalesce(lag(value) OVER w, value - 62.0) + value) / 2 - 18.0 AS low, (value + coalesce(lead(value) OVER w, value + 62.0)) / 2 + 18.0 AS high
+FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)""")
+def neighbour_mid(t: Tables) -> DataFrame:
+    low, high = W.midpoints("value", Window.partitionBy("user_id").orderBy("ts", "event_id"), 62.0, 18.0)
+    return t.events.select("event_id", low.alias("low"), high.alias("high"))
+
+
+@query("""
+WITH RECURSIVE s AS (
+  SELECT user_id, value, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS i FROM events
+), g AS (
+  SELECT user_id, i, value AS last, 1 AS n FROM s WHERE i = 1
+  UNION ALL
+  SELECT g.user_id, s.i, CASE WHEN s.value > g.last + 28 THEN s.value ELSE s.value / 2 END, g.n + CASE WHEN s.value > g.last + 28 THEN 1 ELSE 0 END
+  FROM g JOIN s ON s.user_id = g.user_id AND s.i = g.i + 1
+)
+SELECT user_id, last, CAST(n AS BIGINT) AS n_snapped FROM g QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY i DESC) = 1""")
+def monotone_guard(t: Tables) -> DataFrame:
+    grouped = t.events.groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct("ts", "event_id", "value"))).alias("x"))
+    snapped = F.transform("x", lambda v: v["value"])
+    done = W.guarded(snapped, F.transform("x", lambda v: v["value"] / 2))
+    kept = F.size(F.filter(F.arrays_zip(snapped.alias("a"), F.col("done").alias("b")), lambda p: p["a"] == p["b"]))
+    return grouped.withColumn("done", done).select(
+        "user_id", F.element_at("done", -1).alias("last"), kept.cast("long").alias("n_snapped")
+    )
+
+
+@query("""
+WITH n AS (
+  SELECT user_id, event_type, row_number() OVER w AS pos, row_number() OVER w - row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS g
+  FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)
+)
+SELECT user_id, event_type, CAST(min(pos) AS INTEGER) AS first_pos, CAST(max(pos) AS INTEGER) AS last_pos, count(*) AS size FROM n GROUP BY user_id, event_type, g""")
+def run_coalesce(t: Tables) -> DataFrame:
+    return W.islands(t.events, "user_id", "event_type", "ts", "event_id")
+
+
+@query("SELECT conv_id, turn FROM conversations QUALIFY turn <> row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) - 1")
+def sequence_check(t: Tables) -> DataFrame:
+    pos = F.row_number().over(Window.partitionBy("conv_id").orderBy("turn", "role", "text")) - 1
+    return W.out_of_sequence(t.conversations.withColumn("pos", pos), F.col("turn"), F.col("pos")).select("conv_id", "turn")
+
+
+KERNEL = W.reflected_weights()
+
+
+@query(f"""
+WITH x AS (SELECT user_id, list(value ORDER BY ts, event_id) AS v, count(*) AS n FROM events GROUP BY user_id),
+k AS (SELECT [{", ".join(f"CAST({w!r} AS DOUBLE)" for w in KERNEL)}] AS w),
+p AS (SELECT user_id, v, n, w, unnest(range(n)) AS i FROM x, k),
+s AS (
+  SELECT user_id, i, list_sum(list_transform(range(33), lambda j: w[j + 1] * v[CAST(
+    CASE WHEN ((i + j - 16) % (2 * n) + 2 * n) % (2 * n) < n THEN ((i + j - 16) % (2 * n) + 2 * n) % (2 * n)
+         ELSE 2 * n - 1 - ((i + j - 16) % (2 * n) + 2 * n) % (2 * n) END AS BIGINT) + 1])) AS y FROM p)
+SELECT user_id, CAST(i AS INTEGER) AS place FROM s QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY round(y, 9) DESC, i) = 1""")
+def smooth_argmax(t: Tables) -> DataFrame:
+    grouped = t.events.groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct("ts", "event_id", "value"))).alias("x"))
+    smooth = F.transform(W.smoothed(F.transform("x", lambda v: v["value"]), KERNEL), lambda y: F.round(y, 9))
+    found = grouped.select("user_id", smooth.alias("y"))
+    return found.select("user_id", W.first_maximum(F.col("y"), F.lit(0), F.size("y")).cast("int").alias("place"))
+
+
+@query("""
+SELECT conv_id, turn, lag(role) OVER w AS before, lead(role) OVER w AS after, CAST(row_number() OVER w AS INTEGER) AS k, count(*) OVER (PARTITION BY conv_id) AS n
+FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text)""")
+def prev_next(t: Tables) -> DataFrame:
+    w = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
+    before, after = W.neighbours("role", w)
+    n = F.count(F.lit(1)).over(Window.partitionBy("conv_id"))
+    return t.conversations.select("conv_id", "turn", before.alias("before"), after.alias("after"), F.row_number().over(w).alias("k"), n.alias("n"))
+
+
+@query("SELECT conv_id, md5(string_agg(ltrim(text), ' ' ORDER BY turn, role, text)) AS digest FROM conversations GROUP BY conv_id")
+def ordered_fold(t: Tables) -> DataFrame:
+    part = F.struct("turn", "role", F.ltrim("text").alias("text"), F.lit("space").alias("join"))
+    grouped = t.conversations.groupBy("conv_id").agg(F.array_sort(F.collect_list(part)).alias("parts"))
+    return grouped.select("conv_id", F.md5(W.assembled(F.col("parts"))["text"]).alias("digest"))
+
+
+@query("""
+WITH l AS (SELECT conv_id, turn, role, text, lag(text) OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS b FROM conversations)
+SELECT conv_id, count(*) FILTER (b IS NOT NULL AND NOT regexp_matches(b, '[-=]$')) AS n FROM l GROUP BY conv_id""")
+def word_joins(t: Tables) -> DataFrame:
+    rows = t.conversations.select(F.col("conv_id").alias("id"), F.struct("turn", "role", "text").alias("pos"), "text", F.lit("word").alias("join"))
+    found = V.joined_word_violations(rows).groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    every = t.conversations.select("conv_id").distinct()
+    joined = every.join(found, every["conv_id"].cast("string") == found["key"], "left")
+    return joined.select("conv_id", F.coalesce("n", F.lit(0)).alias("n"))
+
+
+@query("SELECT chunk, count(*) AS n, min(doc_id) AS first_id FROM (SELECT doc_id, CAST(floor((row_number() OVER (ORDER BY doc_id) - 1) / 8) AS BIGINT) AS chunk FROM documents) GROUP BY chunk")
+def chunk_groups(t: Tables) -> DataFrame:
+    ranked = W.global_rank(t.documents.select("doc_id"), "doc_id").withColumn("chunk", W.chunk(F.col("rank"), 8))
+    return ranked.groupBy("chunk").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first_id"))
+
+
+@query("""
+WITH r AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS rank, count(*) OVER () AS n FROM documents)
+SELECT doc_id FROM r WHERE rank = 1 OR floor((rank - 1) * 48 / n) > floor((rank - 2) * 48 / n)""")
+def systematic_sample(t: Tables) -> DataFrame:
+    docs = t.documents.select("doc_id")
+    n = docs.agg(F.count(F.lit(1)).alias("n"))
+    ranked = W.global_rank(docs, "doc_id").join(F.broadcast(n))  # one row
+    return ranked.where(W.systematic(F.col("rank"), F.col("n"), 48)).select("doc_id")
+
+
+@query("""
+WITH m AS (SELECT user_id, ts, CASE WHEN epoch_us(ts) - epoch_us(lag(ts) OVER w) < 1800000000 THEN 0 ELSE 1 END AS new FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+s AS (SELECT user_id, ts, sum(new) OVER (PARTITION BY user_id ORDER BY ts) AS k FROM m)
+SELECT user_id, min(ts) AS start, count(*) AS n FROM s GROUP BY user_id, k""")
+def session_rule(t: Tables) -> DataFrame:
+    return W.sessions(t.events, "user_id", "ts")
+
+
+@query("""
+WITH g AS (SELECT event_id, user_id, ts, coalesce(floor((epoch_us(ts) - epoch_us(lag(ts) OVER w)) / 1000000), 0) AS gap FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+m AS (SELECT *, coalesce(max(CASE WHEN gap > 1800 THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS stopped,
+      max(CASE WHEN gap > 3600 THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS idle FROM g)
+SELECT event_id, user_id FROM m WHERE stopped = 0 AND idle = 0""")
+def stopping_rule(t: Tables) -> DataFrame:
+    return W.until_gap(t.events, "user_id", "ts", "event_id").select("event_id", "user_id")
+
+
+@query("SELECT doc_id, row_number() OVER (PARTITION BY md5(text) ORDER BY doc_id) > 1 AS repeat FROM documents")
+def first_seen(t: Tables) -> DataFrame:
+    rows = t.documents.select("doc_id", F.md5("text").alias("h"))
+    return rows.select("doc_id", W.is_repeat(["h"], "doc_id").alias("repeat"))
+
+
+TILES_SQL = """
+WITH p AS (SELECT page_id, length(html) AS h FROM pages), t AS (SELECT page_id, h, unnest(range(4)) AS i FROM p)
+SELECT page_id, CAST(i AS INTEGER) AS i, CAST(floor(h * i / 4) - CASE WHEN i = 0 THEN 0 ELSE {up} END AS INTEGER) AS t,
+       CAST(floor(h * (i + 1) / 4) + CASE WHEN i = 3 THEN 0 ELSE {down} END AS INTEGER) AS b FROM t"""
+
+
+def tiled(t: Tables, overlap: int) -> DataFrame:
+    box = F.struct(F.lit(0).alias("l"), F.lit(0).alias("t"), F.lit(100).alias("r"), F.length("html").alias("b"))
+    cut = t.pages.select("page_id", F.posexplode(G.tiles(box, F.lit(4), F.lit(overlap))).alias("i", "box"))
+    return cut.select("page_id", "i", "box.t", "box.b")
+
+
+@query(TILES_SQL.format(up=0, down=0))
+def tile_slices(t: Tables) -> DataFrame:
+    return tiled(t, 0)
+
+
+@query(TILES_SQL.format(up=12, down=13))
+def tile_overlap(t: Tables) -> DataFrame:
+    return tiled(t, 25)
+
+
+@query("SELECT unnest(range((SELECT min(doc_id) FROM labels), (SELECT max(doc_id) FROM labels) + 1)) AS doc_id EXCEPT SELECT doc_id FROM labels")
+def range_gaps(t: Tables) -> DataFrame:
+    return W.missing_between(t.labels, "doc_id")
+
+
+@query("""
+SELECT o_orderkey, CAST(rank AS INTEGER) AS rank FROM (
+  SELECT o_orderkey, row_number() OVER (ORDER BY coalesce(d, '') DESC, o_orderkey) AS rank
+  FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 7 <> 0 THEN CAST(CAST(o_orderdate AS DATE) AS VARCHAR) END AS d FROM orders)) WHERE rank <= 10""")
+def recent_sort_topk(t: Tables) -> DataFrame:
+    dated = t.orders.select("o_orderkey", F.when(F.col("o_orderkey") % 7 != 0, F.col("o_orderdate").cast("date")).alias("d"))
+    top = W.most_recent(dated, "d", "o_orderkey", 10)
+    rank = F.row_number().over(Window.orderBy(F.coalesce(F.col("d").cast("string"), F.lit("")).desc(), "o_orderkey"))  # of ten rows
+    return top.select("o_orderkey", rank.alias("rank"))
+
+
+@query("""SELECT doc_id, 'sha256:' || sha256('{"id":' || to_json(CAST(doc_id AS VARCHAR)) || ',"lang":' || to_json(lang) || ',"n":' || n_chars || '}') AS version FROM documents""")
+def content_hash(t: Tables) -> DataFrame:
+    value = F.struct(F.col("doc_id").cast("string").alias("id"), "lang", F.col("n_chars").alias("n"))
+    return t.documents.select("doc_id", C.content_hash(value).alias("version"))
+
+
+@query("""
+SELECT conv_id, turn, 'sha256:' || sha256('{"id":' || to_json(CAST(turn AS VARCHAR)) || ',"text":' || to_json(text) || ',"runs":[{"typeface":"roman","text":' || to_json(text) || '}]}') AS version
+FROM conversations""")
+def line_version(t: Tables) -> DataFrame:
+    none = F.lit(None).cast("string")
+    run = F.struct(F.lit("roman").alias("typeface"), "text", none.alias("layout"), F.lit(None).cast("int").alias("line_span"))
+    return t.conversations.select("conv_id", "turn", C.line_version(F.col("turn").cast("string"), F.array(run)).alias("version"))
+
+
+@query("SELECT page_id, md5(replace(replace(replace(replace(replace(html, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;'), '''', '&#x27;')) AS digest FROM pages")
+def html_escape(t: Tables) -> DataFrame:
+    return t.pages.select("page_id", F.md5(T.html_escape(F.col("html"))).alias("digest"))
+
+
+@query("SELECT doc_id, nfc_normalize(text) = text AS nfc FROM documents")
+def nfc_check(t: Tables) -> DataFrame:
+    return t.documents.select("doc_id", T.is_nfc("text").alias("nfc"))
+
+
+@query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events")
+def json_field(t: Tables) -> DataFrame:
+    return t.events.select("event_id", F.from_json("props", "k int")["k"].alias("k"))
+
+
+@query("SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, round_even(l_quantity / 4, 0) AS even, CAST(floor((l_linenumber - 3) / 2) AS BIGINT) AS half FROM lineitem")
+def bankers_round(t: Tables) -> DataFrame:
+    half = G.floor_div(F.col("l_linenumber") - 3, F.lit(2))
+    return t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", G.half_even(F.col("l_quantity") / 4).alias("even"), half.alias("half"))
+
+
+def rect(x, y, w, h):
+    return F.struct(F.col(x).cast("int").alias("x"), F.col(y).cast("int").alias("y"), w.cast("int").alias("w"), h.cast("int").alias("h"))
+
+
+@query("""
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
+  10 <= CAST(l_quantity AS INTEGER) AND 2 <= l_linenumber AND CAST(l_quantity AS INTEGER) + 10 <= 50 AND l_linenumber + 2 <= 8 AS held,
+  CAST(l_quantity AS INTEGER) + 10 <= 45 AND l_linenumber + 2 <= 7 AS in_page
+FROM lineitem""")
+def rect_contains(t: Tables) -> DataFrame:
+    inner = rect("l_quantity", "l_linenumber", F.lit(10), F.lit(2))
+    outer = F.struct(F.lit(10).alias("x"), F.lit(2).alias("y"), F.lit(40).alias("w"), F.lit(6).alias("h"))
+    return t.lineitem.select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+        G.contains(outer, inner).alias("held"), G.in_page(inner, F.lit(45), F.lit(7)).alias("in_page"),
+    )
+
+
+@query("""
+WITH v AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity AS q, CAST(l_linenumber * 100 AS DOUBLE) AS y FROM lineitem),
+e AS (SELECT *, least(100 + q * (y / 1000), 100 + q * ((y + 60) / 1000)) AS a, greatest(900 + q * (y / 1000), 900 + q * ((y + 60) / 1000)) AS b FROM v)
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(floor(a) - 12 AS BIGINT) AS x, CAST(ceil(b) + 12 - (floor(a) - 12) AS BIGINT) AS w FROM e""")
+def interp_envelope(t: Tables) -> DataFrame:
+    q, y = F.col("l_quantity"), (F.col("l_linenumber") * 100).cast("double")
+    sides = ((F.lit(100.0), 100 + q), (F.lit(900.0), 900 + q))
+    found = G.envelope(*sides, y, F.lit(60), F.lit(0), F.lit(1000))
+    return t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", found.alias("e")).select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "e.x", "e.w"
+    )
+
+
+@query("""
+SELECT o_orderkey, CASE WHEN w <= 1000 THEN w ELSE 1000 END AS width, CAST(CASE WHEN w <= 1000 THEN h ELSE round_even(h * 1000 / w, 0) END AS INTEGER) AS height
+FROM (SELECT o_orderkey, CAST(floor(o_totalprice / 100) AS INTEGER) + 1 AS w, CAST(o_custkey AS INTEGER) AS h FROM orders)""")
+def variant_size(t: Tables) -> DataFrame:
+    w = F.floor(F.col("o_totalprice") / 100).cast("int") + 1
+    found = t.orders.select("o_orderkey", G.variant_size(w, F.col("o_custkey").cast("int"), F.lit(1000)).alias("v"))
+    return found.select("o_orderkey", "v.width", "v.height")
+
+
+@query("""
+SELECT p_partkey, greatest(0, a - 40) AS l1, CAST(floor((b + c) / 2) AS INTEGER) + 30 AS r1, CAST(floor((b + c) / 2) AS INTEGER) - 30 AS l2, w - CASE WHEN w < 2700 THEN 250 ELSE 70 END AS r2
+FROM (SELECT p_partkey, p_size AS a, 1400 + p_size AS b, 1431 AS c, 2600 + 5 * p_size AS w FROM part)""")
+def column_bounds(t: Tables) -> DataFrame:
+    s = F.col("p_size")
+    box = lambda l, r: F.struct(l.alias("l"), F.lit(0).alias("t"), r.alias("r"), F.lit(1).alias("b"))  # noqa: E731, E741
+    found = G.column_bounds(2600 + 5 * s, box(s, 1400 + s), box(F.lit(1431), 1431 + s))
+    return t.part.select("p_partkey", found.alias("v")).select(
+        "p_partkey", F.col("v.first.l").alias("l1"), F.col("v.first.r").alias("r1"), F.col("v.second.l").alias("l2"), F.col("v.second.r").alias("r2")
+    )
+
+
+RULES = ["doc_text", "doc_unique", "label_domain", "label_known", "order_customer", "order_price"]
+
+
+@query("""
+SELECT 'doc_text' AS rule, count(*) FILTER (text IS NULL OR text = '') AS n FROM documents
+UNION ALL SELECT 'doc_unique', count(*) FROM (SELECT md5(text) FROM documents GROUP BY 1 HAVING count(*) > 1)
+UNION ALL SELECT 'label_domain', count(*) FILTER (quality NOT IN (0, 1)) FROM labels
+UNION ALL SELECT 'label_known', count(*) FROM (SELECT DISTINCT doc_id FROM labels WHERE doc_id NOT IN (SELECT doc_id FROM documents))
+UNION ALL SELECT 'order_customer', count(*) FROM (SELECT DISTINCT o_custkey FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer))
+UNION ALL SELECT 'order_price', count(*) FILTER (NOT o_totalprice > 1000) FROM orders""")
+def violations(t: Tables) -> DataFrame:
+    docs = t.documents.select("doc_id", "text", F.md5("text").alias("digest"))
+    found = V.all_of(
+        V.violations(docs, "doc_text", F.coalesce("text", F.lit("")) == "", F.col("doc_id")),
+        V.duplicates(docs, "doc_unique", "digest"),
+        V.outside(t.labels, "label_domain", "quality", [0, 1], "doc_id"),
+        V.unresolved(t.labels, t.documents, "label_known", "doc_id"),
+        V.unresolved(t.orders.withColumnRenamed("o_custkey", "k"), t.customer.withColumnRenamed("c_custkey", "k"), "order_customer", "k"),
+        V.violations(t.orders, "order_price", ~(F.col("o_totalprice") > 1000), F.col("o_orderkey")),
+    )
+    return V.counts(found, RULES)
+
+
+@query(r"""
+SELECT doc_id, regexp_replace(lower(substr(text, 1, 40)), '\s+', ' ', 'g') AS head, length(text) AS n FROM documents""")
+def text_preview(t: Tables) -> DataFrame:
+    return t.documents.select("doc_id", F.regexp_replace(F.lower(T.preview(F.col("text"), 40)), r"\s+", " ").alias("head"), F.length("text").cast("long").alias("n"))
+
+
+@query("""
+SELECT p.page_id, format('bnf-f{:04d}', p.page_id + 1) AS id, 'f' || (p.page_id + 1) AS view, l.doc_id IS NOT NULL AS processed
+FROM pages p LEFT JOIN labels l ON l.doc_id = p.page_id""")
+def snapshot(t: Tables) -> DataFrame:
+    leaves = t.pages.select("page_id", (F.col("page_id") + 1).cast("int").alias("leaf"))
+    known = t.labels.select(C.page_id((F.col("doc_id") + 1).cast("int")).alias("id"))
+    return views.snapshot(leaves, known, {}).select("page_id", "id", "view", "processed")
+
+
+@query("SELECT id, side, count(*) AS n FROM (SELECT doc_id AS id, 'generated' AS side FROM (SELECT doc_id FROM documents EXCEPT ALL SELECT doc_id FROM labels) UNION ALL SELECT doc_id, 'existing' FROM (SELECT doc_id FROM labels EXCEPT ALL SELECT doc_id FROM documents)) GROUP BY ALL")
+def check_mode(t: Tables) -> DataFrame:
+    found = views.differs(t.documents.select(F.col("doc_id").alias("id")), t.labels.select(F.col("doc_id").alias("id")))
+    return found.groupBy("id", "side").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("""
+SELECT conv_id, turn, CASE WHEN q.after IS NULL THEN 'orphan' WHEN c.text = q.before THEN 'keep' WHEN c.text = q.after THEN 'drop' ELSE 'rebase' END AS action
+FROM conversations c JOIN (SELECT conv_id, turn, text AS before, CASE WHEN turn % 5 <> 4 THEN upper(text) END AS after FROM conversations) q USING (conv_id, turn)
+WHERE NOT regexp_matches(c.text, '[*{}\\[\\]]')""".replace("c.text = q.before", "turn % 5 <= 1").replace("c.text = q.after", "turn % 5 = 2"))
+def edit_reconcile(t: Tables) -> DataFrame:
+    """Edits of every turn: kept, already satisfied, rebased, or of a line that is gone."""
+    said = t.conversations.where(~F.col("text").rlike(r"[*{}\[\]]"))
+    ref, k = F.concat_ws(":", "conv_id", "turn").alias("line_ref"), F.col("turn") % 5
+    old = F.when(k <= 1, F.col("text")).otherwise(F.concat(F.lit("~"), "text"))
+    new = F.when(k == 2, F.col("text")).otherwise(F.concat(F.col("text"), F.lit("!")))
+    edits = said.select("conv_id", "turn", ref, old.alias("before"), T.nfc(new).alias("after"), F.lit(None).cast("string").alias("comment"), F.lit(None).cast("string").alias("base_line_version"))
+    none = F.lit(None).cast("string")
+    run = F.struct(
+        F.lit("roman").alias("typeface"), T.nfc("text").alias("text"), none.alias("placement"), none.alias("layout"),
+        F.lit(None).cast("int").alias("line_span"), none.alias("span_id"),
+    )
+    lines = said.where(k != 4).select(ref, F.array(run).alias("runs"), F.lit("now").alias("version"))
+    out = R.reconciled_edits(edits, lines)
+    at = F.split("line_ref", ":")
+    return out.select(at[0].cast("long").alias("conv_id"), at[1].cast("long").alias("turn"), "action")
+
+
+@query()
+def style_rewrite(t: Tables) -> DataFrame:
+    """Every turn rewritten with a word replaced, its styles kept (F16): checked by unit cases."""
+    words = F.split("text", " ")
+    runs = F.transform(
+        words,
+        lambda w, i: F.struct(
+            F.when(i % 2 == 0, "roman").otherwise("italic").alias("typeface"), F.concat(w, F.lit(" ")).alias("text"),
+            F.lit(None).cast("string").alias("placement"), F.lit(None).cast("string").alias("layout"),
+            F.lit(None).cast("int").alias("line_span"), F.lit(None).cast("string").alias("span_id"),
+        ),
+    )
+    none = F.array().cast("array<struct<s:int,e:int>>")
+    target = F.regexp_replace(C.line_text(runs), "^(\\S+) ", "$1, ")
+    new = R.rewrite_runs(runs, target, none, none)
+    return t.conversations.select("conv_id", "turn", F.size(new).alias("runs"), F.md5(C.line_text(new)).alias("digest"))
+
+
+@query()
+def tilde_move(t: Tables) -> DataFrame:
+    """Every word with a tilde, and what it is with the tilde on the other vowel (F2): checked by unit cases."""
+    words = t.documents.select(F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(r"\p{L}*[ãõñ]\p{L}*"), F.lit(0)))).alias("word"))
+    at = F.regexp_instr("word", F.lit("[ãõñ]")) - 1
+    return words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).withColumn("moved", T.move_tilde("word", at))
+
+
+@query("""
+SELECT conv_id, turn, regexp_replace(text, '[\\[\\]{}]', '', 'g') AS text FROM conversations
+WHERE len(regexp_extract_all(text, '[\\[\\]{}]')) = 0""")
+def notation_parse(t: Tables) -> DataFrame:
+    """The text of turns without typeface marks is itself (F4); marked ones are checked by unit cases."""
+    plain = t.conversations.where(~F.col("text").rlike(r"[\[\]{}]"))
+    return plain.select("conv_id", "turn", T.parse_notation(F.col("text"))["text"].alias("text"))

@@ -105,7 +105,7 @@ def jpeg_size(data: bytes) -> tuple[int | None, int | None, str | None]:
     return None, None, "no frame"
 
 
-@F.pandas_udf("width int, height int, error string")
+@F.pandas_udf(T.StructType().add("width", "integer").add("height", "integer").add("error", "string"))
 def image_size(content: pd.Series) -> pd.DataFrame:
     """``jpeg_size`` over ``binaryFile`` contents."""
     return pd.DataFrame([jpeg_size(bytes(c)) for c in content], columns=["width", "height", "error"]).astype(
@@ -119,7 +119,7 @@ def images(spark: SparkSession, path: str) -> DataFrame:
     return files.select("path", F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"), image_size("content").alias("size"))
 
 
-@F.pandas_udf("names array<string>, damaged string")
+@F.pandas_udf(T.StructType().add("names", T.ArrayType(T.StringType())).add("damaged", "string"))
 def archive_members(content: pd.Series) -> pd.DataFrame:
     """Names in ZIP files, and the first member that fails its CRC."""
     rows = []
