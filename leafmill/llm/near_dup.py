@@ -11,21 +11,23 @@ Documents of equal sets form one class (copies are never paired).  In the bucket
 1. each class is linked with the bucket's first class, if their exact sets confirm it, and
    the components of these links are found.  Large groups of near copies mostly fall
    together here, at one candidate a member;
-2. where a bucket still holds several components, the most similar pair between each two of
-   them is confirmed, and components are found again;
-3. what pairs between components are still left are all confirmed: no link is lost by 1 and 2.
-
-Steps 2 and 3 compare signatures in blocks of at most ``BLOCK`` members a side (a large
-bucket is as many tasks as it has pairs of blocks), take a pair only in the first band
-that it shares, and pass on those whose estimate is not far below the threshold.  Links are
+2. where a bucket still holds several components, every pair between two of them is compared
+   by signature, and all that are not far below the threshold are confirmed: no link is lost
+   by 1.
+
+Step 2 compares in blocks of at most ``BLOCK`` members a side (a large bucket is as many
+tasks as it has pairs of blocks) and takes a pair only in the first band that it shares.  The
+pairs stay packed in arrays, by blocks of classes again, and are confirmed by tasks that
+have the texts of two blocks (``TEXTS`` each) and skip what is connected by then: a group of
+near copies that are just too unlike costs comparisons, not rows.  Links are
 confirmed on full texts.  Components are found by contracting to the least neighbour; ids
 of classes are hashes, so paths shrink by a constant share in each round.
 
 Defined results: words are maximal runs of other than ASCII white space, A-Z lower-cased; a
 document of fewer words than ``width`` has one shingle of all its words; one without words
 or text has none, and is linked with nothing; documents of equal sets are linked; rows of
-one doc_id are one document if their sets are equal and else stand by themselves; ties go to
-the smaller doc_id; extra columns are ignored (components) or pass through (filter); an
+one doc_id are one document if their sets are equal and else stand by themselves; a null
+doc_id is linked with nothing; ties go to the smaller doc_id; extra columns are ignored (components) or pass through (filter); an
 empty table gives no rows.
 """
 
@@ -36,6 +38,7 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
@@ -47,6 +50,8 @@ from .scratch import keep, table
 MISS = 1e-7
 SIGMAS = 4.3
 BLOCK = 1024
+TEXTS = 512
+PACK = 1 << 16  # pairs in a row
 CACHE = 1 << 19
 HALF = 1 << 12  # shingles hashed at once
 
@@ -109,33 +114,39 @@ class Scheme:
         return bool(shared) and self.den * shared >= self.num * (len(a) + len(b) - shared)
 
 
+def hashed(docs: DataFrame) -> DataFrame:
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("th"))
+
+
 def signatures(docs: DataFrame, scheme: Scheme) -> DataFrame:
-    """(doc_id, n, c, sig): size of the set, id of its class and signature (null without shingles)."""
+    """(doc_id, th, n, c, sig): hash of the text, size of the set, id of its class and signature (null without shingles)."""
     doc_id = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Words()
         for batch in batches:
             n, c, sig = [], [], []
-            for text in batch["text"]:
+            for doc, text in zip(batch["doc_id"], batch["text"], strict=True):
                 words = words_of(text.as_py())
-                if not words:
-                    n.append(0), c.append(None), sig.append(None)
-                    continue
-                h = shingle_hashes(words, scheme.width, known)
+                h = shingle_hashes(words, scheme.width, known) if words else ()
                 n.append(len(h))
+                if not words or not doc.is_valid:
+                    c.append(None)
+                    sig.append(None)
+                    continue
                 c.append(int.from_bytes(hashlib.blake2b(h.tobytes(), digest_size=8).digest(), "little", signed=True))
                 sig.append(scheme.signature(h))
             yield pa.RecordBatch.from_pydict(
                 {
                     "doc_id": batch["doc_id"],
+                    "th": batch["th"],
                     "n": pa.array(n, pa.int64()),
                     "c": pa.array(c, pa.int64()),
                     "sig": pa.array(sig, pa.binary()),
                 }
             )
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {doc_id}, n long, c long, sig binary")
+    return hashed(docs).mapInArrow(run, f"doc_id {doc_id}, th long, n long, c long, sig binary")
 
 
 def buckets(classes: DataFrame, scheme: Scheme) -> DataFrame:
@@ -164,11 +175,10 @@ def confirmed(pairs: DataFrame, texts: DataFrame, scheme: Scheme) -> DataFrame:
     return pairs.select("a", "b").join(first, "a").join(second, "b").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
 
 
-def class_texts(docs: DataFrame, pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """(c, text): a text for each class in ``pairs``."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("c")).distinct()
-    ids = wanted.join(classes.select("c", "rep"), "c").select("c", F.col("rep").alias("doc_id"))
-    return ids.join(docs.select("doc_id", "text"), "doc_id")
+def class_texts(docs: DataFrame, wanted: DataFrame, classes: DataFrame) -> DataFrame:
+    """(c, text): the text of each class in ``wanted`` (c); once for each row that repeats its first document."""
+    ids = wanted.distinct().join(classes.select("c", "rep.doc_id", "rep.th"), "c")
+    return hashed(docs).join(ids, ["doc_id", "th"]).select("c", "text")
 
 
 def estimated(pairs: DataFrame, classes: DataFrame, scheme: Scheme) -> DataFrame:
@@ -208,11 +218,10 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def left_pairs(members: DataFrame, labels: DataFrame, classes: DataFrame, scheme: Scheme, best: bool) -> DataFrame:
-    """Pairs (a, b) of a bucket in different components, not with its first class, that signatures do not rule out.
+def open_rows(members: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFrame:
+    """Rows (band, key, c, root, sig, n, blocks) of the buckets whose members are in several components.
 
-    ``members`` is (band, key, c, p), p the bucket's first class, without the row of p.  With
-    ``best``, only the most similar pair of two components in a task.
+    ``members`` is (band, key, c, p), p the bucket's first class, without the row of p.
     """
     known = members.join(labels, "c", "left").withColumn("root", F.coalesce("root", "c"))
     open_ = (
@@ -221,23 +230,29 @@ def left_pairs(members: DataFrame, labels: DataFrame, classes: DataFrame, scheme
         .where("x <> y")
         .select("band", "key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
     )
-    rows = known.join(open_, ["band", "key"]).join(classes.select("c", "sig", "n"), "c")
+    return known.join(open_, ["band", "key"]).join(classes.select("c", "sig", "n"), "c").drop("p")
+
+
+def open_pairs(rows: DataFrame, scheme: Scheme, parts: int) -> DataFrame:
+    """Packed pairs (i, j, a, b, ra, rb) between components that signatures do not rule out.
+
+    i and j are the parts of the classes a and b, ra and rb their components.
+    """
     own = F.pmod(F.xxhash64("c"), F.col("blocks")).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    rows = rows.withColumn("own", own).withColumn("other", other)
+    rows = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.select(
         "band", "key", "c", "root", "sig", "n", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")
     )
     dealt = rows.repartition("key", "i", "j").sortWithinPartitions("key", "band", "i", "j")
 
-    def pairs(band: int, i: int, j: int, c, root, sig, n, block) -> Iterator[tuple[int, int]]:
-        left, right = (np.flatnonzero(block == i), np.flatnonzero(block == j))
-        found: list[tuple] = []
+    def pairs(band: int, i: int, j: int, c, root, sig, n, block) -> np.ndarray:
+        """(part of a, part of b, a, b, component of a, component of b) as rows."""
+        left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
+        found = [np.empty((0, 2), np.int64)]
         for at in range(0, len(left), 32):
             part = left[at : at + 32]
             equal = sig[part][:, None] == sig[right][None]
-            share = equal.mean(2)
-            ok = (share >= scheme.least) & (root[part][:, None] != root[right][None])
+            ok = (equal.mean(2) >= scheme.least) & (root[part][:, None] != root[right][None])
             ok &= scheme.den * np.minimum(n[part][:, None], n[right]) >= scheme.num * np.maximum(n[part][:, None], n[right])
             if i == j:
                 ok &= c[part][:, None] < c[right][None]
@@ -245,51 +260,80 @@ def left_pairs(members: DataFrame, labels: DataFrame, classes: DataFrame, scheme
             if band:
                 earlier = equal[x, y][:, : band * scheme.rows].reshape(len(x), band, scheme.rows).all(2).any(1)
                 x, y = x[~earlier], y[~earlier]
-            found += zip(share[x, y], part[x], right[y], strict=True)
-        if best:
-            found.sort(key=lambda f: -f[0])
-            seen: dict = {}
-            for _, x, y in found:
-                seen.setdefault((min(root[x], root[y]), max(root[x], root[y])), (x, y))
-            return [(c[x], c[y]) for x, y in seen.values()]
-        return [(c[x], c[y]) for _, x, y in found]
+            found.append(np.stack((part[x], right[y]), 1))
+        x, y = np.concatenate(found).T
+        swap = c[x] % parts > c[y] % parts
+        x, y = np.where(swap, y, x), np.where(swap, x, y)
+        out = np.stack((c[x] % parts, c[y] % parts, c[x], c[y], root[x], root[y]), 1)
+        return out[np.lexsort((out[:, 1], out[:, 0]))]
+
+    def packed(out: np.ndarray) -> Iterator[tuple]:
+        edges = np.flatnonzero(np.any(np.diff(out[:, :2], axis=0), axis=1)) + 1
+        for own in np.split(out, edges):
+            for at in range(0, len(own), PACK):
+                p = own[at : at + PACK]
+                yield (p[0, 0], p[0, 1], *p[:, 2:].T)
+
+    names = ["band", "key", "c", "root", "sig", "n", "own", "i", "j"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list = []
 
         def flush() -> pa.RecordBatch:
-            cols = [np.array([r[k] for r in held], np.int64) for k in (2, 3, 5, 6)]
+            c, root, n, block = (np.array([r[k] for r in held], np.int64) for k in (2, 3, 5, 6))
             sig = np.frombuffer(b"".join(r[4] for r in held), "<u2").reshape(len(held), -1)
-            band, _, *_, i, j = held[0]
-            out = pairs(band, i, j, cols[0], cols[1], sig, cols[2], cols[3])
-            return pa.RecordBatch.from_pydict(
-                {
-                    "a": pa.array([min(p) for p in out], pa.int64()),
-                    "b": pa.array([max(p) for p in out], pa.int64()),
-                }
-            )
+            out = list(packed(pairs(held[0][0], *held[0][7:], c, root, sig, n, block))) if len(held) > 1 else []
+            out = [r for r in out if len(r[2])]
+            columns = {k: pa.array([r[x] for r in out], pa.int32()) for x, k in enumerate("ij")}
+            lists = {k: pa.array([r[x] for r in out], pa.list_(pa.int64())) for x, k in enumerate(("a", "b", "ra", "rb"), 2)}
+            return pa.RecordBatch.from_pydict(columns | lists)
 
         for batch in batches:
-            for row in zip(*(batch[k].to_pylist() for k in ("band", "key", "c", "root", "sig", "n", "own", "i", "j")), strict=True):
+            for row in zip(*(batch[k].to_pylist() for k in names), strict=True):
                 if held and (held[0][:2] != row[:2] or held[0][7:] != row[7:]):
-                    if len(held) > 1:
-                        yield flush()
+                    yield flush()
                     held = []
                 held.append(row)
-        if len(held) > 1:
+        if held:
             yield flush()
 
-    return dealt.mapInArrow(run, "a long, b long").distinct()
+    return dealt.mapInArrow(run, "i int, j int, a array<long>, b array<long>, ra array<long>, rb array<long>")
+
+
+def confirmed_packed(pairs: DataFrame, texts: DataFrame, scheme: Scheme) -> DataFrame:
+    """Links (a, b) that connect the components of the packed pairs, confirmed on full sets."""
+    wanted = pairs.select("i", "j", F.explode(F.array_distinct(F.concat("a", "b"))).alias("c")).distinct()
+    held = texts.join(wanted, "c").select(F.col("i").alias("x"), F.col("j").alias("y"), "c", "text")
+
+    def run(packs: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
+        sets = {c: shingles_of(words_of(t), scheme.width) for c, t in zip(own["c"], own["text"], strict=True)}
+        to: dict[int, int] = {}
+
+        def root(x: int) -> int:
+            while (y := to.get(x, x)) != x:
+                to[x] = x = to.get(y, y)
+            return x
+
+        out = []
+        for pack in packs.itertuples():
+            for a, b, ra, rb in zip(pack.a, pack.b, pack.ra, pack.rb, strict=True):
+                x, y = root(ra), root(rb)
+                if x != y and scheme.linked(sets[a], sets[b]):
+                    to[x] = y
+                    out.append((a, b))
+        return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
+
+    return pairs.groupBy("i", "j").cogroup(held.groupBy("x", "y")).applyInPandas(run, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every document, linked at a similarity of num / den."""
+    """(doc_id, th, n_shingles, component_id) of every document, linked at a similarity of num / den."""
     scheme = Scheme(width, num, den)
     known = keep(signatures(docs, scheme), "dup-signatures")
     classes = keep(
         known.where("c IS NOT NULL")
         .groupBy("c")
-        .agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sig").alias("sig"), F.count(F.lit(1)).alias("copies")),
+        .agg(F.min(F.struct("doc_id", "th")).alias("rep"), F.first("n").alias("n"), F.first("sig").alias("sig"), F.count(F.lit(1)).alias("copies")),
         "dup-classes",
     )
     every = buckets(classes, scheme)
@@ -298,39 +342,40 @@ def near_duplicates(docs: DataFrame, width: int, num: int, den: int) -> DataFram
 
     star = members.select(F.col("p").alias("a"), F.col("c").alias("b")).distinct()
     star = keep(estimated(star, classes, scheme), "dup-star")
-    texts = keep(class_texts(docs, star, classes), "dup-texts")
+    ends = star.select(F.explode(F.array("a", "b")).alias("c"))
+    texts = keep(class_texts(docs, ends, classes), "dup-texts")
     links = keep(confirmed(star, texts, scheme), "dup-links")
     labels = components(links)
-    for best in (True, False):
-        pairs = keep(left_pairs(members, labels, classes, scheme, best), "dup-pairs")
-        if pairs.isEmpty():
-            continue
-        missing = pairs.select(F.explode(F.array("a", "b")).alias("c")).distinct().join(texts, "c", "left_anti")
-        more = class_texts(docs, missing.select(F.col("c").alias("a"), F.col("c").alias("b")), classes)
-        texts = texts.unionByName(keep(more.select("doc_id", "c", "text"), "dup-texts"))
-        new = keep(confirmed(pairs, texts, scheme), "dup-links")
+
+    rows = keep(open_rows(members, labels, classes), "dup-open")
+    parts = -(-rows.select("c").distinct().count() // TEXTS) or 1
+    pairs = keep(open_pairs(rows, scheme, parts), "dup-pairs")
+    if not pairs.isEmpty():
+        ends = pairs.select(F.explode(F.array_distinct(F.concat("a", "b"))).alias("c")).distinct()
+        more = class_texts(docs, ends.join(texts, "c", "left_anti"), classes)
+        new = keep(confirmed_packed(pairs, texts.unionByName(more), scheme), "dup-links")
         if not new.isEmpty():
-            links = links.unionByName(new)
-            labels = components(links)
+            labels = components(links.unionByName(new))
 
-    grouped = labels.join(classes.select("c", "rep"), "c")
-    first = grouped.groupBy("root").agg(F.min("rep").alias("component"))
+    grouped = labels.join(classes.select("c", "rep.doc_id"), "c")
+    first = grouped.groupBy("root").agg(F.min("doc_id").alias("component"))
     linked = grouped.join(first, "root").select("c", "component")
-    copied = classes.where("copies > 1").join(linked, "c", "left_anti").select("c", F.col("rep").alias("component"))
+    copied = classes.where("copies > 1").join(linked, "c", "left_anti").select("c", F.col("rep.doc_id").alias("component"))
     of_class = keep(linked.unionByName(copied), "dup-components")
     return known.join(of_class, "c", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id")
+        "doc_id", "th", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id")
     )
 
 
 def without_near_duplicates(docs: DataFrame, width: int = 5, num: int = 8, den: int = 10) -> DataFrame:
     """``docs`` with one document of each component, that of the smallest id."""
-    gone = near_duplicates(docs, width, num, den).where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(keep(gone, "dup-gone"), "doc_id", "left_anti").select(*docs.columns)
+    gone = near_duplicates(docs, width, num, den).where("doc_id <> component_id").select("doc_id", "th").distinct()
+    known = docs.withColumn("th", F.xxhash64("text"))
+    return known.join(keep(gone, "dup-gone"), ["doc_id", "th"], "left_anti").select(*docs.columns)
 
 
 def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shingles, component and whether it is kept of every document: three words, similarity 0.85."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = near_duplicates(docs, 3, 85, 100)
-    return found.withColumn("kept", F.col("doc_id") == F.col("component_id"))
+    found = near_duplicates(docs, 3, 85, 100).drop("th")
+    return found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
