@@ -212,8 +212,8 @@ class Rows:
         return sums[starts - DEPTH + lengths + 1] - sums[starts - DEPTH]
 
 
-def parts_of(codes: DataFrame) -> list[tuple[np.ndarray | None, Rows]]:
-    """The trie in parts: which last symbols are this part's (None: all), and their rows."""
+def parts_of(codes: DataFrame) -> Iterator[tuple[np.ndarray | None, Rows]]:
+    """The trie part by part: which last symbols are this part's (None: all), and their rows."""
     by_symbol = codes.groupBy(F.col("code").bitwiseAND(511).alias("s")).agg(F.sum("n")).collect()  # at most 257 rows
     zero = np.zeros(SYMBOLS, np.int64)
     for s, n in by_symbol:
@@ -228,7 +228,6 @@ def parts_of(codes: DataFrame) -> list[tuple[np.ndarray | None, Rows]]:
             room = PART_BYTES
         groups[-1].append(s)
         room -= n * width
-    out = []
     for group in groups:
         own = np.zeros(SYMBOLS, bool)
         own[group] = True
@@ -236,9 +235,7 @@ def parts_of(codes: DataFrame) -> list[tuple[np.ndarray | None, Rows]]:
             own[[s for s in range(SYMBOLS) if s not in {x for x, _ in sizes}]] = True  # never before anything
         part = codes if len(groups) == 1 else codes.where(last.isin(group))
         got = part.select("code", "n").toArrow()
-        rows = Rows(got["code"].to_numpy(), got["n"].to_numpy(), zero)
-        out.append((None if len(groups) == 1 else own, rows))
-    return out
+        yield None if len(groups) == 1 else own, Rows(got["code"].to_numpy(), got["n"].to_numpy(), zero)
 
 
 def hot_words(words: DataFrame) -> tuple[int, list[tuple[bytes, int]]]:
@@ -263,7 +260,10 @@ def scored(docs: DataFrame) -> DataFrame:
     cut, hot = hot_words(words)
     hot_ids = sc.broadcast({w: i for i, (w, _) in enumerate(hot)})
     hot_logs = sc.broadcast(np.log10((np.array([n for _, n in hot], float) + 0.5) / whole))
-    trie = [(own, sc.broadcast(rows)) for own, rows in parts_of(counts.where("code IS NOT NULL").select("code", "n"))]
+    trie = []
+    for own, rows in parts_of(counts.where("code IS NOT NULL").select("code", "n")):
+        trie.append((own, sc.broadcast(rows)))
+        del rows  # one part at a time in the driver
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, logs, (own, rows) = hot_ids.value, hot_logs.value, trie[0]
