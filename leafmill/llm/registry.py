@@ -21,4 +21,5 @@ ORACLES = {
     "op2_top_k": topk.OP2_SQL,
     "op3_decontaminate": decontaminate.OP3_SQL,
     "op4_url_filter": url_rules.OP4_SQL,
+    "op5_secret_scan": secrets.OP5_SQL,
 }

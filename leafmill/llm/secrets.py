@@ -147,3 +147,26 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(written(F.filter("_found", lambda s: s["rank"] < len(BASE))), 256).alias("base_sha256"),
         written(F.col("_found")).alias("spans"),
     )
+
+
+def _spans_sql(kind: str, rank: int, pattern: str, group: int, least: int) -> str:
+    """Spans of one rule in SQL: pieces and matches in turn, their lengths summed up."""
+    quoted = pattern.replace("'", "''")
+    return f"""SELECT doc_id, {rank} AS rank, '{kind}' AS kind,
+    list_sum(list_transform(p[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0) AS s, length(m[i]) AS n
+  FROM (SELECT doc_id, string_split_regex(t, '{quoted}') AS p, regexp_extract_all(t, '{quoted}') AS m, regexp_extract_all(t, '{quoted}', {group}) AS g FROM d),
+    unnest(range(1, len(m) + 1)) AS u(i)
+  WHERE length(g[i]) >= {least}"""
+
+
+def _oracle() -> str:
+    parts = " UNION ALL ".join(_spans_sql(r[0], i, r[2], r[3], r[4]) for i, r in enumerate(RULES))
+    said = "string_agg(kind || ':' || CAST(s AS BIGINT) || ':' || CAST(s + n AS BIGINT), ',' ORDER BY s, rank)"
+    counts = ", ".join(f"count(*) FILTER (kind = '{k}') AS n_{k}" for k in BASE)
+    columns = ", ".join(f"coalesce(n_{k}, 0) AS n_{k}" for k in BASE)
+    return f"""WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents), f AS ({parts}),
+a AS (SELECT doc_id, {counts}, {said} FILTER (rank < {len(BASE)}) AS base, {said} AS spans FROM f GROUP BY doc_id)
+SELECT doc_id, {columns}, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM d LEFT JOIN a USING (doc_id)"""
+
+
+OP5_SQL = _oracle()
