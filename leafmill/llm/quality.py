@@ -39,6 +39,7 @@ from .scratch import table
 LABELLED_ROWS, TRAIN_ROWS = 20_000, 20_000
 BITS = 18
 STEM = 6  # bytes
+CACHE = 1 << 19
 LEXICON_SHARE, LEXICON_PRECISION, LEXICON_LEAST, LEXICON_MOST = 0.05, 0.9, 4, 200
 EPOCHS, ALPHA, BETA, L1, L2 = 3, 0.3, 1.0, 1.0, 1.0
 
@@ -74,12 +75,13 @@ def statistics_of(raw: bytes, words: list[bytes]) -> list[float | None]:
     if not n:
         return [None] * len(STATISTICS)
     again = bytes(map(eq, words, words[1:]))
+    symbols = len(raw.translate(None, PLAIN))
     return [
-        len(raw.translate(None, PLAIN)) / len(raw),
+        symbols / len(raw),
         (len(raw) - len(raw.translate(None, UPPER))) / letters if letters >= 20 else None,
         again.count(1) / n if n >= 5 else None,
-        len(MARKED.findall(raw)) / n,
-        len(BARE.findall(raw)) / n,
+        len(MARKED.findall(raw)) / n if symbols else 0.0,  # both by unusual symbols
+        len(BARE.findall(raw)) / n if symbols else 0.0,
         1 - len(set(words)) / n if 20 <= n <= 200 else None,
         min(1.0, (1 + max(map(len, again.split(b"\0")))) / 50) if n >= 5 else None,
         1 - len(zlib.compress(raw, 1)) / len(raw) if n >= 50 else None,
@@ -125,14 +127,26 @@ def estimated(patterns: np.ndarray, counts: np.ndarray, rounds: int = 50) -> np.
     return bad
 
 
-def hashed(word: bytes) -> int:
-    return xxhash.xxh32_intdigest(word) & ((1 << BITS) - 1)
+class Hashes(dict):
+    """Feature numbers of words, remembered up to a bound."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= CACHE:
+            self.clear()
+        self[word] = value = xxhash.xxh32_intdigest(word) & ((1 << BITS) - 1)
+        return value
+
+
+HASHES = Hashes()
 
 
 def features(shares: list[float | None], distinct: set[bytes]) -> np.ndarray:
     """Hashed features: bias, each share in steps, each word."""
     steps = [b"\0%d:%d" % (i, -1 if s is None else min(20, int(s * 40))) for i, s in enumerate(shares)]
-    return np.unique(np.fromiter(map(hashed, [b"\0bias", *steps, *distinct]), np.int64))
+    names = [b"\0bias", *steps, *distinct]
+    out = np.fromiter(map(HASHES.__getitem__, names), np.int64, len(names))
+    out.sort()  # so that equal texts add up in the same order
+    return out
 
 
 class Scorer:
