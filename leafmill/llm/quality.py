@@ -40,7 +40,7 @@ LABELLED_ROWS, TRAIN_ROWS = 20_000, 20_000
 BITS = 18
 STEM = 6  # bytes
 CACHE = 1 << 19
-LEXICON_SHARE, LEXICON_PRECISION, LEXICON_LEAST, LEXICON_MOST = 0.05, 0.9, 4, 200
+LEXICON_SHARE, LEXICON_PRECISION, LEXICON_LEAST, LEXICON_MOST = 0.01, 0.9, 5, 2000
 EPOCHS, ALPHA, BETA, L1, L2 = 3, 0.3, 1.0, 1.0, 1.0
 
 # Insults.
@@ -178,7 +178,7 @@ class Scorer:
 
 
 def learned_lexicon(docs: DataFrame, labels: DataFrame) -> frozenset:
-    """Words of toxic labelled documents that are rare in the others."""
+    """Words of toxic labelled documents that are rare in the others; near copies count once."""
     sample = (
         labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL")
         .groupBy("doc_id")
@@ -186,14 +186,23 @@ def learned_lexicon(docs: DataFrame, labels: DataFrame) -> frozenset:
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(LABELLED_ROWS)
     )
-    words = F.array_distinct(F.split(F.lower("text"), r"[\s\p{Punct}]*(?:\s|\z)[\s\p{Punct}]*"))
-    words = F.transform(words, lambda w: w.cast("binary"))
+    listed = F.split(F.lower("text"), r"[\s\p{Punct}]*(?:\s|\z)[\s\p{Punct}]*")
+    words = F.transform(F.array_distinct("listed"), lambda w: w.cast("binary"))
     stems = F.transform(
         F.filter(words, lambda w: F.octet_length(w) >= STEM), lambda w: F.concat(F.lit(b"\1"), F.substring(w, 1, STEM))
     )
     words = F.array_distinct(F.concat(words, stems))
     read = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")  # at most LABELLED_ROWS ids
-    toxic = read.select((F.col("toxic") > 0).cast("int").alias("toxic"), "text")
+    # the least of a text's shingle hashes, which near copies share
+    at = F.sequence(F.lit(1), F.greatest(F.size("listed") - 4, F.lit(1)))
+    sketch = F.array_min(F.transform(at, lambda i: F.xxhash64(F.slice("listed", i, F.lit(5)))))
+    toxic = (
+        read.where("text <> ''")
+        .select((F.col("toxic") > 0).cast("int").alias("toxic"), listed.alias("listed"))
+        .withColumn("sketch", sketch)
+        .groupBy("toxic", "sketch")
+        .agg(F.first("listed").alias("listed"))
+    )
     total = toxic.where("toxic = 1").count()
     found = (
         toxic.select("toxic", F.explode(words).alias("word"))
