@@ -27,6 +27,10 @@ MANIFEST = (
     "width int, height int, bytes long, sha256 string, media_type string, resolution string, disposition string, recorded_at string"
 )
 
+# Format tags of the files.
+COMPACT_FORMAT, COMPACT_VERSION = "nippo-level1-markdown", "1"
+PAGE_FORMAT, PAGE_VERSION = "nippo-level1-page", 1
+
 # What a field may hold.
 STATUSES = ["visual_draft", "context_reviewed", "scan_confirmed", "human_checked", "trial_reviewed"]
 TYPEFACES = ["roman", "italic", "display"]

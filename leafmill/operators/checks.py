@@ -99,7 +99,7 @@ def page_violations(files: DataFrame) -> DataFrame:
         violations(fences, "V2", (F.col("first") != "---") | (F.col("n") < 2), path),
         violations(head, "V3", F.col("key").isNull(), at),
         duplicates(head.where("key IS NOT NULL"), "V3", "path", "key"),
-        violations(meta, "V4", ~(m("format").eqNullSafe("nippo-level1-markdown") & m("version").eqNullSafe("1")), path),
+        violations(meta, "V4", ~(m("format").eqNullSafe(model.COMPACT_FORMAT) & m("version").eqNullSafe(model.COMPACT_VERSION)), path),
         violations(meta, "V5", F.size(F.array_except(every_key, F.map_keys("meta"))) > 0, path, F.array_join(F.array_except(every_key, F.map_keys("meta")), ",")),
         violations(meta, "V6", ~C.is_digest(m("sha256")), path),
         violations(meta, "V7", m("lineation") != "checked", path),

@@ -111,8 +111,8 @@ def compiled(files: DataFrame) -> DataFrame:
     m = lambda k: F.try_element_at("meta", F.lit(k))
     return metadata(lines).join(nested, "path").select(
         "path",
-        F.lit("nippo-level1-page").alias("format"),
-        F.lit(1).alias("format_version"),
+        F.lit(model.PAGE_FORMAT).alias("format"),
+        F.lit(model.PAGE_VERSION).alias("format_version"),
         m("id").alias("id"),
         F.struct(m("source").alias("repository"), m("view").alias("view"), m("url").alias("url"), m("sha256").alias("master_sha256")).alias("source"),
         m("scope").alias("scope"),
@@ -153,7 +153,7 @@ def exported(pages: DataFrame) -> DataFrame:
 
     s, r = F.col("source"), F.col("review")
     pairs = [
-        ("format", F.lit("nippo-level1-markdown")), ("version", F.lit("1")), ("id", F.col("id")), ("source", s["repository"]),
+        ("format", F.lit(model.COMPACT_FORMAT)), ("version", F.lit(model.COMPACT_VERSION)), ("id", F.col("id")), ("source", s["repository"]),
         ("view", s["view"]), ("url", s["url"]), ("sha256", s["master_sha256"]), ("scope", F.col("scope")), ("origin", r["origin"]),
         ("wikisource", r["wikisource_used_for_this_trial"].cast("string")), ("lineation", F.lit("checked")), ("status", r["status"]),
     ]

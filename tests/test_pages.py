@@ -3,18 +3,19 @@
 import pytest
 from pyspark.sql import functions as F
 
+from leafmill import model
 from leafmill.operators import checks as V
 from leafmill.plans import views
 from leafmill.sources import files, pages
 
-HEAD = """---
-format: nippo-level1-markdown
+HEAD = f"""---
+format: {model.COMPACT_FORMAT}
 version: 1
 id: bnf-f0001
 source: Library
 view: f1
 url: https://example.org/f1
-sha256: {sha}
+sha256: {{sha}}
 scope: all
 origin: scan
 wikisource: false
