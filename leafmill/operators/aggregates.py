@@ -104,13 +104,9 @@ def balanced_accuracy(rows: DataFrame, label: str, predicted: str) -> DataFrame:
 def leave_one_out_mode(rows: DataFrame, fold: str, label: str) -> DataFrame:
     """Predicts for each fold the most common label of the others, the smaller of equals."""
     by_fold = rows.groupBy(fold, label).agg(F.count(F.lit(1)).alias("n"))
-    total = rows.groupBy(label).agg(F.count(F.lit(1)).alias("all"))
-    folds = rows.select(fold).distinct()
-    rest = (
-        folds.join(F.broadcast(total.limit(10_000)))  # labels are few
-        .join(by_fold, [fold, label], "left")
-        .withColumn("rest", F.col("all") - F.coalesce("n", F.lit(0)))
-    )
+    total = rows.groupBy(label).agg(F.count(F.lit(1)).alias("all")).agg(F.collect_list(F.struct(label, "all"))).scalar()  # labels are few
+    each = rows.select(fold).distinct().select(fold, F.inline(total))
+    rest = each.join(by_fold, [fold, label], "left").withColumn("rest", F.col("all") - F.coalesce("n", F.lit(0)))
     return rest.groupBy(fold).agg(F.min_by(label, F.struct((-F.col("rest")).alias("r"), F.col(label))).alias("predicted"))
 
 

@@ -415,9 +415,8 @@ WITH r AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS rank, count(*)
 SELECT doc_id FROM r WHERE rank = 1 OR floor((rank - 1) * 48 / n) > floor((rank - 2) * 48 / n)""")
 def systematic_sample(t: Tables) -> DataFrame:
     docs = t.documents.select("doc_id")
-    n = docs.agg(F.count(F.lit(1)).alias("n"))
-    ranked = W.global_rank(docs, "doc_id").join(F.broadcast(n))  # one row
-    return ranked.where(W.systematic(F.col("rank"), F.col("n"), 48)).select("doc_id")
+    n = docs.agg(F.count(F.lit(1))).scalar()
+    return W.global_rank(docs, "doc_id").withColumn("n", n).where(W.systematic(F.col("rank"), F.col("n"), 48)).select("doc_id")
 
 
 @query("""
