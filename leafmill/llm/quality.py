@@ -270,21 +270,28 @@ def trained(docs: DataFrame, labels: DataFrame) -> Classifier:
                 # a label, where there is one, outweighs the heuristics
                 toxic.append(float(v[-1] < 0) if v[-1] else learned.value[1].get(v[q:-1], 0.5))
             yield pa.RecordBatch.from_pydict(
-                {"x": pa.array(x, pa.list_(pa.int32())), "good": pa.array(good, pa.float64()), "toxic": pa.array(toxic, pa.float64())}
+                {
+                    "k": batch["k"],
+                    "x": pa.array(x, pa.list_(pa.int32())),
+                    "good": pa.array(good, pa.float64()),
+                    "toxic": pa.array(toxic, pa.float64()),
+                }
             )
 
     total = n.sum()
     sample = known.where(F.col("_h") < int(1_000_000 * min(1.0, TRAIN_ROWS / max(1.0, total))) + 1)
     # about TRAIN_ROWS documents; their labels are joined by id
-    got = sample.drop("_h").join(own, "doc_id", "left").mapInArrow(read, "x array<int>, good double, toxic double").toArrow()
-    rows_x = [np.array(v.as_py(), np.int64) for v in got["x"]]
-    keys = [x.tobytes() for x in rows_x]
-    order = sorted(range(len(keys)), key=keys.__getitem__)  # the same order however the rows arrive
+    schema = "k long, x array<int>, good double, toxic double"
+    got = sample.withColumn("k", F.xxhash64("doc_id", "text")).join(own, "doc_id", "left").mapInArrow(read, schema).toArrow()
+    order = np.argsort(got["k"].to_numpy(), kind="stable")  # the same order however the rows arrive
+    lists = pa.concat_arrays(got["x"].chunks) if got.num_rows else pa.array([], pa.list_(pa.int32()))
+    x, edges = lists.flatten().to_numpy(), lists.offsets.to_numpy()
+    targets = [got[name].to_numpy()[order] for name in ("good", "toxic")]
+    del got, lists
     out = []
-    for name in ("good", "toxic"):
+    for y in targets:
         scorer = Scorer()
-        y = got[name].to_numpy()
-        scorer.fit([rows_x[i] for i in order], y[order] if len(order) else y)
+        scorer.fit([x[edges[i] : edges[i + 1]] for i in order], y)
         out.append(scorer)
     return Classifier(*out)
 
