@@ -194,7 +194,6 @@ def mix(
 
     ``narrow`` keeps the counted rows in a table first; else ``docs`` is read twice.
     """
-    spark = docs.sparkSession
     rows = sized(docs, seed)
     if narrow:
         rows = keep(rows.drop("text"), "mix-sized")
@@ -231,7 +230,6 @@ def mix(
         )
     drawn = F.filter(F.array(*copies), lambda c: c["shard"].isNotNull())
     names = [c for c in rows.columns if not c.startswith("_")]
-    assert spark is not None
     return placed.select(*names, "_size", F.col("z").alias("_z"), F.col("target").alias("_target"), drawn.alias("_drawn"))
 
 
