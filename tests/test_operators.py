@@ -3,7 +3,6 @@
 import json
 
 import pytest
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from leafmill.functions import content as C
@@ -198,4 +197,3 @@ def test_streams(spark, tmp_path):
 def test_navigation_window(spark):
     rows = spark.createDataFrame([(1, 0, "a"), (1, 1, "b"), (2, 0, "c")], "leaf int, unit_pos int, unit string")
     assert {(r.unit, r.k, r.n) for r in views.navigation(rows).collect()} == {("a", 1, 2), ("b", 2, 2), ("c", 1, 1)}
-    assert Window is not None
