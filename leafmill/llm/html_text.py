@@ -6,9 +6,15 @@ of its presentation (the sequence of its children) and of its contents (the text
 right under it).  A node whose contents recur on most pages has high content entropy over
 pages and so low importance; branches of low importance are removed from each page.
 
-Shuffled are only hashes: one row for each page, path and distinct block, counted in two
-steps, so that a host with a third of all pages is pre-aggregated on the map side.  The
-paths to remove are then joined back by host and salt.
+Pages of a host with the same set of blocks are copies and count once, or else a much copied
+article would look like a notice.  The entropies are smoothed by ``PRIOR`` pages with contents
+of their own, so there is no least number of pages: what recurs on all of two pages of a host
+has importance 0.40, on three 0.25, and what was seen on one page has 1.  Blocks that are new
+on each page are never of low importance, however alike their presentation.
+
+Shuffled are only hashes: one row for each distinct page, with a hash for each path and distinct
+block, then counted in two steps, so that a host with a third of all pages is pre-aggregated on
+the map side.  The paths to remove are then joined back by host and salt.
 
 Tags and class names that state a role (``nav``, ``footer``, ``form``, ``class="ad"``, ...)
 are removed as such.  Where a page marks its article (``article``, ``main``), that branch is
@@ -17,8 +23,7 @@ taken and the style tree cannot remove it: a host may consist of copies of one a
 Defined results: null or empty HTML gives the empty text; character references are decoded
 as HTML does (also without a closing semicolon); ``br`` is white space; a block is a
 block-level element's run of text; unclosed elements end with what encloses them; rows are
-independent, so repeated pages give repeated results, though copies count as pages of their
-host; null URLs form one host; extra columns are ignored; an empty table gives no rows.
+independent, so repeated pages give repeated results; null URLs form one host; extra columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -35,7 +40,7 @@ from pyspark.sql import functions as F
 from .scratch import keep, table
 from .url_rules import host_of
 
-LEAST_PAGES, LEAST_IMPORTANCE, DECAY = 8, 0.3, 0.9
+PRIOR, LEAST_IMPORTANCE, DECAY = 0.5, 0.3, 0.9
 SALTS = 16
 
 # Element names of HTML by their role.
@@ -183,32 +188,36 @@ class Page:
         return "\n".join(marked or [text for path, _, text in self.blocks if path not in low])
 
 
-def node_rows(html: str | None) -> set[tuple[int, int, int]]:
-    """(path, kind, feature) of a page, each once: kind 0 the page itself, 1 a style, 2 a block."""
+def node_rows(html: str | None) -> tuple[int, list[tuple[int, int, int]]]:
+    """A hash of a page's blocks, and its (path, kind, feature), each once: kind 0 the page itself, 1 a style, 2 a block."""
     page = Page(html)
     rows = {(p, 2, text_hash(t)) for p, _, t in page.blocks}
     rows |= {(p, 1, text_hash(s)) for p, s in page.styles}
-    return rows | {(p, 0, 0) for p, _, _ in rows}
+    contents = text_hash(repr(sorted({t for _, _, t in page.blocks})))
+    return contents, sorted(rows | {(p, 0, 0) for p, _, _ in rows})
 
 
 def low_paths(pages: DataFrame) -> DataFrame:
     """(host, low): the paths to remove from the pages of each host, from (host, html)."""
+    node = pa.struct([("path", pa.int64()), ("kind", pa.int32()), ("feature", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hosts, rows = batch["host"].to_pylist(), []
-            for host, html in zip(hosts, batch["html"], strict=True):
-                rows += [(host, *r) for r in node_rows(html.as_py())]
+            found = [node_rows(html.as_py()) for html in batch["html"]]
+            nodes = [[dict(zip(("path", "kind", "feature"), r, strict=True)) for r in rows] for _, rows in found]
             yield pa.RecordBatch.from_pydict(
                 {
-                    "host": pa.array([r[0] for r in rows], pa.string()),
-                    "path": pa.array([r[1] for r in rows], pa.int64()),
-                    "kind": pa.array([r[2] for r in rows], pa.int32()),
-                    "feature": pa.array([r[3] for r in rows], pa.int64()),
+                    "host": batch["host"],
+                    "contents": pa.array([x for x, _ in found], pa.int64()),
+                    "nodes": pa.array(nodes, pa.list_(node)),
                 }
             )
 
-    rows = pages.select("host", "html").mapInArrow(run, "host string, path long, kind int, feature long")
+    each = pages.select("host", "html").mapInArrow(
+        run, "host string, contents long, nodes array<struct<path:long,kind:int,feature:long>>"
+    )
+    distinct = each.groupBy("host", "contents").agg(F.min("nodes").alias("nodes"))
+    rows = distinct.select("host", F.explode("nodes").alias("node")).select("host", "node.*")
     k = F.col("k")
     nodes = (
         rows.groupBy("host", "path", "kind", "feature")
@@ -222,13 +231,13 @@ def low_paths(pages: DataFrame) -> DataFrame:
             F.sum(F.when(F.col("kind") == 2, k * F.log(k))).alias("block_log"),
             F.sum(F.when(F.col("kind") == 2, k)).alias("block_n"),
         )
-        .where((F.col("m") >= LEAST_PAGES) & (F.col("block_n") > 0))
+        .where(F.col("block_n") > 0)
     )
-    log_m = F.log("m")
-    presentation = 1 - F.coalesce(F.col("style_log") / F.col("style_n"), log_m) / log_m
-    content = 1 - F.col("block_log") / F.col("block_n") / log_m
+    log_m = F.log(F.col("m") + PRIOR)
+    presentation = 1 - F.coalesce(F.col("style_log") / (F.col("style_n") + PRIOR), log_m) / log_m
+    content = 1 - F.col("block_log") / (F.col("block_n") + PRIOR) / log_m
     weight = F.pow(F.lit(DECAY), F.col("styles"))
-    importance = (1 - weight) * presentation + weight * content
+    importance = F.greatest(content, (1 - weight) * presentation + weight * content)
     return nodes.where(importance < LEAST_IMPORTANCE).groupBy("host").agg(F.collect_set("path").alias("low"))
 
 

@@ -386,6 +386,20 @@ def test_style_tree(spark):
     assert out[90].text == "alone" and out[91].text == "" and out[91].n_chars == 0
 
 
+def test_style_tree_of_copies_and_small_hosts(spark):
+    page = lambda text: f"<div class=top>Welcome to the site</div><div class=text><p>{text}</p></div><div class=end>All rights</div>"
+    rows = [(i, "http://copies.example/x", page("one and the same")) for i in range(200)]
+    rows += [(1000 + i, "http://copies.example/x", page(f"story {i} {words(8)}")) for i in range(20)]
+    rows += [(2000 + i, "http://few.example/x", page(f"story {i} {words(8)}")) for i in range(4)]
+    # marks of many kinds beside plain ones: the presentation recurs, the text does not
+    styled = lambda i: "<div class=text>" + "".join(f"<p>{'<b>x</b>' * j}{words(3)} {i} {j}</p>" for j in range(30)) + "</div>"
+    rows += [(3000 + i, "http://styled.example/x", styled(i)) for i in range(9)]
+    out = {r.page_id: r.text for r in html_text.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(out[i] == "one and the same" for i in range(200))
+    assert all(out[k].startswith("story ") and "\n" not in out[k] for k in [*range(1000, 1020), *range(2000, 2004)])
+    assert all(out[3000 + i].count("\n") == 29 for i in range(9))
+
+
 # 10 quality
 
 
