@@ -17,8 +17,11 @@ block, then counted in two steps, so that a host with a third of all pages is pr
 the map side.  The paths to remove are then joined back by host and salt.
 
 Tags and class names that state a role (``nav``, ``footer``, ``form``, ``class="ad"``, ...)
-are removed as such.  Where a page marks its article (``article``, ``main``), that branch is
-taken and the style tree cannot remove it: a host may consist of copies of one article.
+are removed as such.  All other branches are judged by the style tree, inside a marked article
+(``article``, ``main``) too.  Of what it leaves, the marked part is taken if it is at least as
+long as the part outside, and else both: a mark of less is a teaser card.  Only where the tree
+would take more than half of the marked text of a page is that text kept whole: then the
+article itself recurs on its host, in versions that are not quite copies.
 
 Defined results: null or empty HTML gives the empty text; character references are decoded
 as HTML does (also without a closing semicolon); ``br`` is white space; a block is a
@@ -184,8 +187,13 @@ class Page:
         self.stack.pop()
 
     def main_text(self, low: set[int]) -> str:
-        marked = [text for _, main, text in self.blocks if main]
-        return "\n".join(marked or [text for path, _, text in self.blocks if path not in low])
+        length = lambda blocks: sum(len(text) for _, _, text in blocks)
+        marked = [b for b in self.blocks if b[1]]
+        if 2 * length(b for b in marked if b[0] in low) > length(marked):
+            low = low - {path for path, _, _ in marked}
+        kept = [b for b in self.blocks if b[0] not in low]
+        inside = [b for b in kept if b[1]]
+        return "\n".join(text for _, _, text in (inside if 2 * length(inside) >= length(kept) else kept))
 
 
 def node_rows(html: str | None) -> tuple[int, list[tuple[int, int, int]]]:

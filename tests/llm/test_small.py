@@ -400,6 +400,22 @@ def test_style_tree_of_copies_and_small_hosts(spark):
     assert all(out[3000 + i].count("\n") == 29 for i in range(9))
 
 
+def test_style_tree_judges_marked_articles(spark):
+    box = "<div class='box-x'>Get our letter each week</div>"
+    page = lambda i: f"<main><article><h1>head {i}</h1><p>story {i} {words(20)}</p>{box}</article></main><div class=end>All rights</div>"
+    rows = [(i, "http://h.example/x", page(i)) for i in range(12)]
+    card = lambda i: f"<div class=text><p>body {i} {words(40)}</p></div><article><p>card {i}</p></article>"
+    rows += [(100 + i, "http://cards.example/x", card(i)) for i in range(6)]
+    # near copies of one article, and an article whose only page it is
+    rows += [(200 + i, "http://near.example/x", f"<article><p>version {i}</p><div>one and the same long article</div></article>") for i in range(9)]
+    rows += [(300, "http://one.example/x", "<article><p>alone</p></article><p>no</p>")]
+    out = {r.page_id: r.text for r in html_text.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(out[i].startswith(f"head {i}\nstory {i} ") and out[i].count("\n") == 1 for i in range(12))
+    assert all(out[100 + i].startswith(f"body {i} ") for i in range(6))
+    assert all(out[200 + i] == f"version {i}\none and the same long article" for i in range(9))
+    assert out[300] == "alone"
+
+
 # 10 quality
 
 
