@@ -7,14 +7,15 @@ The five-grams are the byte-context trie down to depth 4, with the counts of eve
 context as sums.  Escape probabilities follow method C (t distinct symbols after a context
 seen n times: escape t / (n + t)).  After an escape, the symbols of the longer context are
 excluded from the shorter one.  As those symbols are a subset of the shorter context's,
-each probability is a function of the context alone, so every context becomes one row of
-log probabilities, its escapes and exclusions already in it, and scoring a text is two
-look-ups a byte.  Below order 0 all of the 257 symbols (bytes and the end) are equally likely.
+each probability is a function of the context alone, so every five-gram that occurs has one
+log probability, its escapes and exclusions already in it, and scoring a text is one look-up
+a byte.  Below order 0 all of the 257 symbols (bytes and the end) are equally likely.
 
-The rows go to the tasks in parts of at most ``PART_BYTES`` (or the contexts that end in
-one symbol, if those alone are more).  Contexts are assigned to
-parts by their last symbol, which all contexts of one position share, and a document's
-score is the sum of the parts.
+No task and not the driver holds the trie.  Documents are dealt into blocks of about
+``BLOCK_BYTES`` of text (or one document).  The distinct five-grams of the blocks are grouped
+by the last two symbols of their context, of which no more than 257 ** 3 can be, for the
+orders 2 to 4; the counts of the orders 0 and 1 are a table of 257 x 257.  Each block is then
+joined with the log probabilities of its own five-grams.
 
 Words: the most frequent ones (at most ``MOST_HOT``, by a cut at a power of two) are
 looked up in the tasks; the others are joined by a shuffle on the word, which is free of
@@ -44,7 +45,8 @@ END, SYMBOLS = 256, 257
 FOLDS, HELD_OUT = 5, 1
 MOST_HOT = 1 << 17
 DEPTH = 4
-PART_BYTES = 96 << 20
+BLOCK_BYTES = 8 << 20
+PAIR = (1 << 18) - 1
 CHUNK = 2 << 20
 BLOCK = 4096
 FLUSH = 1 << 20
@@ -105,42 +107,166 @@ def as_bytes(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
 
 
-def counts_of(training: DataFrame) -> DataFrame:
-    """(word, code, n): counts of words (the end is the empty word) and of five-grams over ``training`` (text)."""
+def blocks_of(known: DataFrame) -> DataFrame:
+    """``known`` (doc_id, held_out, text) with a number of each row and of its block."""
 
-    def rows(words: Counter, codes: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-        w = list(words)
-        return pa.RecordBatch.from_pydict(
-            {
-                "word": pa.array([*w, *[None] * len(codes)], pa.binary()),
-                "code": pa.concat_arrays([pa.nulls(len(w), pa.int64()), pa.array(codes, pa.int64())]),
-                "n": pa.concat_arrays([pa.array(list(words.values()), pa.int64()), pa.array(n, pa.int64())]),
-            }
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        row = block = TaskContext.get().partitionId() << 33
+        size = 0
+        for batch in batches:
+            blocks = []
+            for n in batch["text"].cast(pa.binary()):
+                n = len(n.as_buffer() or b"")
+                if size and size + n > BLOCK_BYTES:
+                    block, size = block + 1, 0
+                size += n
+                blocks.append(block)
+            numbers = pa.array(np.arange(row, row + len(batch)), pa.int64())
+            row += len(batch)
+            yield pa.RecordBatch.from_arrays(
+                [numbers, pa.array(blocks, pa.int64()), *batch.columns], names=["row", "block", *batch.schema.names]
+            )
+
+    id_type = known.schema["doc_id"].dataType.simpleString()
+    return known.mapInArrow(run, f"row long, block long, doc_id {id_type}, held_out boolean, text string")
+
+
+def counts_of(blocks: DataFrame) -> DataFrame:
+    """(word, block, code, n): counts of words (the end is the empty word) of training texts, and of the five-grams of each block.
+
+    Held-out texts count as none, but their five-grams have rows.  Rows may repeat.
+    """
+
+    def grams_of(block: int, codes: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.nulls(len(codes), pa.binary()), pa.array(np.full(len(codes), block), pa.int64()), pa.array(codes), pa.array(n)],
+            names=["word", "block", "code", "n"],
+        )
+
+    def words_of(words: Counter) -> pa.RecordBatch:
+        none = pa.nulls(len(words), pa.int64())
+        return pa.RecordBatch.from_arrays(
+            [pa.array(list(words), pa.binary()), none, none, pa.array(list(words.values()), pa.int64())], names=["word", "block", "code", "n"]
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words: Counter = Counter()
-        codes, n = np.empty(0, np.int64), np.empty(0, np.int64)
+        block, codes, n = 0, np.empty(0, np.int64), np.empty(0, np.int64)
         for batch in batches:
-            texts = as_bytes(batch["text"])
-            words[b""] += len(texts)
-            for part in chunks(texts):
-                for text in part:
+            blocks = batch["block"].to_numpy()
+            held = batch["held_out"].to_numpy(zero_copy_only=False)
+            cuts = np.flatnonzero(np.diff(blocks)) + 1
+            for lo, hi in zip([0, *cuts], [*cuts, len(blocks)], strict=True):
+                if blocks[lo] != block:
+                    if len(codes):
+                        yield grams_of(block, codes, n)
+                    block, codes, n = int(blocks[lo]), codes[:0], n[:0]
+                texts = as_bytes(batch["text"].slice(lo, hi - lo))
+                training = [t for t, h in zip(texts, held[lo:hi], strict=True) if not h]
+                if training:
+                    words[b""] += len(training)
+                for text in training:
                     words.update(text.lower().split())
-                new, k = grams(part)
-                codes, at = np.unique(np.concatenate((codes, new)), return_inverse=True)
-                n = np.bincount(at, np.concatenate((n, k)), len(codes)).astype(np.int64)
-                if len(words) + len(codes) > FLUSH:
-                    yield rows(words, codes, n)
-                    words, codes, n = Counter(), codes[:0], n[:0]
-        yield rows(words, codes, n)
+                for own, times in ((training, 1), ([t for t, h in zip(texts, held[lo:hi], strict=True) if h], 0)):
+                    for part in chunks(own):
+                        new, k = grams(part)
+                        codes, at = np.unique(np.concatenate((codes, new)), return_inverse=True)
+                        n = np.bincount(at, np.concatenate((n, k * times)), len(codes)).astype(np.int64)
+                if len(words) > FLUSH:
+                    yield words_of(words)
+                    words = Counter()
+        if len(codes):
+            yield grams_of(block, codes, n)
+        yield words_of(words)
+
+    rows = blocks.select("block", "held_out", "text").where("block IS NOT NULL")
+    return rows.mapInArrow(run, "word binary, block long, code long, n long")
+
+
+def next_order(grams: np.ndarray, c: np.ndarray, below: tuple[np.ndarray, ...]) -> tuple[np.ndarray, ...]:
+    """(counts, total and distinct symbols of the context, probability as escaped to, probability) of each of the sorted ``grams``.
+
+    ``below`` is the same of the gram without its first symbol; all grams that were seen after a context are there.
+    """
+    c1, n1, t1, escaped1, p1 = below
+    at = np.unique(grams >> 9, return_inverse=True)[1]
+    n, t = np.bincount(at, c)[at], np.bincount(at, c > 0)[at]
+    t2 = t1 - t
+    rest = np.maximum(n1 - np.bincount(at, np.where(c > 0, c1, 0.0))[at] + t2, 1.0)  # without the excluded symbols
+    escaped = np.where(c1 > 0, c1 / rest, np.where(t2 > 0, t2 / rest, 1.0) * escaped1)
+    whole = np.maximum(n + t, 1.0)
+    return c, n, t, escaped, np.where(n > 0, np.where(c > 0, c / whole, t / whole * escaped), p1)
+
+
+def short_contexts(pairs: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, tuple[np.ndarray, ...]]:
+    """The distinct codes of two symbols, sorted, and what ``next_order`` gives for them, from their counts."""
+    zero = np.bincount(pairs & 511, counts, 512)
+    n0, t0 = zero.sum(), int((zero > 0).sum())
+    unseen = 1.0 / max(1, SYMBOLS - t0)
+    p0 = np.where(zero > 0, zero / max(1.0, n0 + t0), unseen * (t0 / (n0 + t0) if t0 else 1.0))
+    sort = np.argsort(pairs)
+    pairs, c = pairs[sort], counts[sort].astype(float)
+    s, one = pairs & 511, np.ones(len(pairs))
+    return pairs, next_order(pairs, c, (zero[s], n0 * one, t0 * one, unseen * one, p0[s]))
+
+
+def log_probabilities(codes: np.ndarray, counts: np.ndarray, short: tuple[np.ndarray, tuple[np.ndarray, ...]]) -> np.ndarray:
+    """Log10 probability of five-grams: of all, seen or not, of some pairs of last symbols of the context."""
+    below_grams, below = short
+    for order in range(2, DEPTH + 1):
+        grams, at = np.unique(codes & ((1 << (9 * (order + 1))) - 1), return_inverse=True)
+        parent = np.searchsorted(below_grams, grams & ((1 << (9 * order)) - 1))
+        below = next_order(grams, np.bincount(at, counts), tuple(x[parent] for x in below))
+        below_grams = grams
+    return np.log10(below[-1][at])
+
+
+def known_grams(counts: DataFrame) -> DataFrame:
+    """(code, log): log10 probabilities of all five-grams of (block, code, n)."""
+    each = keep(counts.groupBy("code").agg(F.sum("n").alias("n")), "lm-grams")
+    got = each.groupBy(F.col("code").bitwiseAND(PAIR).alias("pair")).agg(F.sum("n").alias("n")).toArrow()  # at most 257 x 257 rows
+    short = each.sparkSession.sparkContext.broadcast(short_contexts(got["pair"].to_numpy(), got["n"].to_numpy()))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def done(codes: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_pydict({"code": pa.array(codes), "log": pa.array(log_probabilities(codes, n, short.value))})
 
-    partial = training.select("text").mapInArrow(run, "word binary, code long, n long")
-    return partial.groupBy("word", "code").agg(F.sum("n").alias("n"))
+        held: list[tuple[np.ndarray, np.ndarray]] = []  # of the last pair so far
+        for batch in batches:
+            if not len(batch):
+                continue
+            codes, n = batch["code"].to_numpy(), batch["n"].to_numpy()
+            pair = codes >> 9 & PAIR
+            last = int(np.searchsorted(pair, pair[-1]))
+            if held and pair[0] != held[-1][0][-1] >> 9 & PAIR or last:
+                held.append((codes[:last], n[:last]))
+                yield done(*map(np.concatenate, zip(*held, strict=True)))
+                held = []
+                codes, n = codes[last:], n[last:]
+            held.append((codes, n))
+        if held:
+            yield done(*map(np.concatenate, zip(*held, strict=True)))
+
+    pair = F.shiftright("code", 9).bitwiseAND(PAIR)
+    dealt = each.withColumn("pair", pair).repartition("pair").sortWithinPartitions("pair").select("code", "n")
+    return dealt.mapInArrow(run, "code long, log double")
+
+
+def scores_of(texts: list[bytes], codes: np.ndarray, logs: np.ndarray) -> np.ndarray:
+    """Log10 probability of each text and its end, from its five-grams' in ``codes`` (sorted)."""
+    row, starts, lengths = symbols(texts)
+    s = row.astype(np.int64)
+    code = s[: len(s) - DEPTH].copy()
+    for i in range(1, DEPTH + 1):
+        code <<= 9
+        code |= s[i : len(s) - DEPTH + i]
+    at = np.searchsorted(codes, code)  # none between two texts: their places cancel out
+    sums = np.concatenate(([0.0], np.cumsum(logs[np.minimum(at, len(logs) - 1)])))
+    return sums[starts - DEPTH + lengths + 1] - sums[starts - DEPTH]
 
 
 class Rows:
-    """Log10 probabilities of all symbols after each context of a set of four-grams."""
+    """Log10 probabilities of all symbols after each context of a set of four-grams: the whole trie in one place, for small corpora."""
 
     def __init__(self, codes: np.ndarray, counts: np.ndarray, zero: np.ndarray):
         """``codes`` and ``counts``: the five-grams of this part; ``zero``: counts of all 257 symbols in the whole corpus."""
@@ -212,32 +338,6 @@ class Rows:
         return sums[starts - DEPTH + lengths + 1] - sums[starts - DEPTH]
 
 
-def parts_of(codes: DataFrame) -> Iterator[tuple[np.ndarray | None, Rows]]:
-    """The trie part by part: which last symbols are this part's (None: all), and their rows."""
-    by_symbol = codes.groupBy(F.col("code").bitwiseAND(511).alias("s")).agg(F.sum("n")).collect()  # at most 257 rows
-    zero = np.zeros(SYMBOLS, np.int64)
-    for s, n in by_symbol:
-        zero[s] = n
-    last = F.shiftright("code", 9).bitwiseAND(511)
-    sizes = codes.groupBy(last.alias("s")).agg(F.countDistinct(F.shiftright("code", 9))).collect()  # at most 257 rows
-    width = 8 * (int((zero > 0).sum()) + 1)  # bytes of a context: its row, and at most as much for the way to it
-    groups, room = [[]], PART_BYTES
-    for s, n in sorted(sizes):
-        if groups[-1] and n * width > room:
-            groups.append([])
-            room = PART_BYTES
-        groups[-1].append(s)
-        room -= n * width
-    for group in groups:
-        own = np.zeros(SYMBOLS, bool)
-        own[group] = True
-        if group is groups[0]:
-            own[[s for s in range(SYMBOLS) if s not in {x for x, _ in sizes}]] = True  # never before anything
-        part = codes if len(groups) == 1 else codes.where(last.isin(group))
-        got = part.select("code", "n").toArrow()
-        yield None if len(groups) == 1 else own, Rows(got["code"].to_numpy(), got["n"].to_numpy(), zero)
-
-
 def hot_words(words: DataFrame) -> tuple[int, list[tuple[bytes, int]]]:
     """A least count, and the at most ``MOST_HOT`` words that reach it."""
     level = F.floor(F.log2("n")).cast("int")
@@ -253,24 +353,25 @@ def scored(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of ``docs`` (doc_id, text)."""
     sc = docs.sparkSession.sparkContext
     known = docs.select("doc_id", (fold(F.col("doc_id")) == HELD_OUT).alias("held_out"), F.coalesce("text", F.lit("")).alias("text"))
-    counts = keep(counts_of(known.where(~F.col("held_out"))), "lm-counts")
-    words = counts.where("word IS NOT NULL").select("word", "n")
+    blocks = keep(blocks_of(known), "lm-blocks")
+    counts = keep(counts_of(blocks), "lm-counts")
+    words = keep(counts.where("word IS NOT NULL").groupBy("word").agg(F.sum("n").alias("n")), "lm-words")
     total, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     whole = total + 0.5 * (distinct + 1)
     cut, hot = hot_words(words)
     hot_ids = sc.broadcast({w: i for i, (w, _) in enumerate(hot)})
     hot_logs = sc.broadcast(np.log10((np.array([n for _, n in hot], float) + 0.5) / whole))
-    trie = []
-    for own, rows in parts_of(counts.where("code IS NOT NULL").select("code", "n")):
-        trie.append((own, sc.broadcast(rows)))
-        del rows  # one part at a time in the driver
-
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, logs, (own, rows) = hot_ids.value, hot_logs.value, trie[0]
-        at = TaskContext.get().partitionId() << 33
-        for batch in batches:
+    found_grams = counts.where("code IS NOT NULL").select("block", "code", "n")
+    logs_of = found_grams.select("block", "code").join(keep(known_grams(found_grams), "lm-logs"), "code")
+
+    def read(docs: pa.Table, grams: pa.Table) -> pa.Table:
+        ids, logs = hot_ids.value, hot_logs.value
+        codes, first = np.unique(grams["code"].to_numpy(), return_index=True)
+        gram_logs = grams["log"].to_numpy()[first]
+        done = []
+        for batch in docs.combine_chunks().to_batches(max_chunksize=BLOCK):
             texts = as_bytes(batch["text"])
-            score = np.concatenate([rows.value.scores(part, own) for part in chunks(texts)]) if texts else np.empty(0)
+            score = np.concatenate([scores_of(part, codes, gram_logs) for part in chunks(texts)])
             n, n_hot, base, rare, times = [], [], [], [], []
             for text in texts:
                 w = text.lower().split()
@@ -283,9 +384,9 @@ def scored(docs: DataFrame) -> DataFrame:
                 others = Counter(w[i] for i in np.flatnonzero(found < 0)) if len(inside) < len(w) else {}
                 rare.append(list(others))
                 times.append(list(others.values()))
-            yield pa.RecordBatch.from_pydict(
+            part = pa.RecordBatch.from_pydict(
                 {
-                    "row": pa.array(np.arange(at, at + len(texts)), pa.int64()),
+                    "row": batch["row"],
                     "doc_id": batch["doc_id"],
                     "held_out": batch["held_out"],
                     "n_tokens": pa.array(n, pa.int64()),
@@ -294,18 +395,19 @@ def scored(docs: DataFrame) -> DataFrame:
                     "score": pa.array(score, pa.float64()),
                     "rare": pa.array(rare, pa.list_(pa.binary())),
                     "times": pa.array(times, pa.list_(pa.int64())),
-                    "key": pa.array([None] * len(texts), pa.int64()) if len(trie) == 1 else batch["key"],
                 }
             )
-            at += len(texts)
+            done.append(part)
+        return pa.Table.from_batches(done)
 
-    keyed = known.withColumn("key", F.xxhash64("doc_id", "text"))
     id_type = docs.schema["doc_id"].dataType.simpleString()
     first = keep(
-        keyed.mapInArrow(
+        blocks.groupBy("block")
+        .cogroup(logs_of.groupBy("block"))
+        .applyInArrow(
             read,
             f"row long, doc_id {id_type}, held_out boolean, n_tokens long, n_hot long, base double, score double, "
-            "rare array<binary>, times array<long>, key long",
+            "rare array<binary>, times array<long>",
         ),
         "lm-first",
     )
@@ -322,16 +424,6 @@ def scored(docs: DataFrame) -> DataFrame:
         )
     )
     out = first.join(rest, "row", "left")
-    score = F.col("score")
-    for own, rows in trie[1:]:  # equal keys are equal rows, with equal sums
-
-        def add(batches: Iterator[pa.RecordBatch], own=own, rows=rows) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                part = [rows.value.scores(p, own) for p in chunks(as_bytes(batch["text"]))]
-                yield pa.RecordBatch.from_pydict({"key": batch["key"], "part": pa.array(np.concatenate([*part, []]), pa.float64())})
-
-        more = keyed.select("key", "text").mapInArrow(add, "key long, part double").groupBy("key").agg(F.max("part").alias("part"))
-        out = out.join(more, "key", "left").withColumn("score", score + F.col("part")).drop("part")
     return out.select(
         "doc_id",
         "held_out",

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -356,6 +357,20 @@ def test_ppm_rows_are_step_by_step_ppm():
     assert both == pytest.approx(rows.scores([b"banana", b"x"]))
 
 
+def test_trie_is_dealt_by_pairs(spark, monkeypatch):
+    monkeypatch.setattr(lm_score, "BLOCK_BYTES", 2000)
+    rows = [(i, words(random.randint(0, 40)) + chr(200 + i) * (i % 5), "a") for i in range(150)] + [(900, None, "a"), (901, "q" * 5000, "a")]
+    training = [(t or "").encode() for i, t, _ in rows if zlib.crc32(str(i).encode()) % 5 != 1]
+    codes, n = lm_score.grams(training)
+    whole = lm_score.Rows(codes, n, np.bincount(codes & 511, n, 257).astype(int))
+    expected = dict(zip([r[0] for r in rows], whole.scores([(r[1] or "").encode() for r in rows]), strict=True))
+    got = {r.doc_id: r.score for r in lm_score.scored(docs(spark, rows)).collect()}
+    assert got == pytest.approx(expected, rel=1e-5)
+    blocks = lm_score.blocks_of(docs(spark, rows).selectExpr("doc_id", "false AS held_out", "coalesce(text, '') AS text"))
+    held = blocks.groupBy("block").agg(F.count(F.lit(1)).alias("k"), F.sum(F.octet_length("text")).alias("n")).collect()
+    assert len(held) > 4 and all(b.n <= 2000 or b.k == 1 for b in held)
+
+
 # 9 HTML
 
 
