@@ -618,7 +618,7 @@ FROM conversations c JOIN (SELECT conv_id, turn, text AS before, CASE WHEN turn
 WHERE NOT regexp_matches(c.text, '[*{}\\[\\]]')""".replace("c.text = q.before", "turn % 5 <= 1").replace("c.text = q.after", "turn % 5 = 2"))
 def edit_reconcile(t: Tables) -> DataFrame:
     """Edits of every turn: kept, already satisfied, rebased, or of a line that is gone."""
-    said = t.conversations.where(~F.col("text").rlike(r"[*{}\[\]]"))
+    said = t.conversations
     ref, k = F.concat_ws(":", "conv_id", "turn").alias("line_ref"), F.col("turn") % 5
     old = F.when(k <= 1, F.col("text")).otherwise(F.concat(F.lit("~"), "text"))
     new = F.when(k == 2, F.col("text")).otherwise(F.concat(F.col("text"), F.lit("!")))
@@ -664,6 +664,5 @@ def tilde_move(t: Tables) -> DataFrame:
 SELECT conv_id, turn, regexp_replace(text, '[\\[\\]{}]', '', 'g') AS text FROM conversations
 WHERE len(regexp_extract_all(text, '[\\[\\]{}]')) = 0""")
 def notation_parse(t: Tables) -> DataFrame:
-    """The text of turns without typeface marks is itself (F4); marked ones are checked by unit cases."""
-    plain = t.conversations.where(~F.col("text").rlike(r"[\[\]{}]"))
-    return plain.select("conv_id", "turn", T.parse_notation(F.col("text"))["text"].alias("text"))
+    """The text of every turn without its typeface marks (F4), null where they are broken; the SQL has turns without marks only."""
+    return t.conversations.select("conv_id", "turn", T.parse_notation(F.col("text"))["text"].alias("text"))

@@ -197,3 +197,20 @@ def test_streams(spark, tmp_path):
 def test_navigation_window(spark):
     rows = spark.createDataFrame([(1, 0, "a"), (1, 1, "b"), (2, 0, "c")], "leaf int, unit_pos int, unit string")
     assert {(r.unit, r.k, r.n) for r in views.navigation(rows).collect()} == {("a", 1, 2), ("b", 2, 2), ("c", 1, 1)}
+
+
+def test_marked_turns_have_results(spark, tmp_path):
+    from leafmill.plans import catalog
+
+    texts = ["plain", "a [b] {c}", "a [b {c}]", "{c", "[]", "x ]", "", "{all}", "star *s*", "e {\u00e9}"]
+    stripped = ["plain", "a b c", None, None, None, None, "", "all", "star *s*", "e \u00e9"]
+    rows = [(i, turn, "user", text) for i, text in enumerate(texts) for turn in range(5)]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    got = catalog.QUERIES["notation_parse"](spark, str(tmp_path)).collect()
+    assert sorted((r.conv_id, r.turn, r.text) for r in got if r.turn == 0) == [(i, 0, x) for i, x in enumerate(stripped)]
+    assert len(got) == len(rows)
+    acts = {(r.conv_id, r.turn): r.action for r in catalog.QUERIES["edit_reconcile"](spark, str(tmp_path)).collect()}
+    # line texts are taken as they stand, so an edit with tilde (F3) or typeface marks (F4) proposes another line or is invalid
+    same = lambda text: not any(c in text for c in "*[]{}")
+    by_turn = lambda text: ["keep", "keep", "drop" if same(text) else "rebase", "rebase", "orphan"]
+    assert acts == {(i, turn): x for i, text in enumerate(texts) for turn, x in enumerate(by_turn(text))}
