@@ -12,10 +12,12 @@ log probability, its escapes and exclusions already in it, and scoring a text is
 a byte.  Below order 0 all of the 257 symbols (bytes and the end) are equally likely.
 
 No task and not the driver holds the trie.  Documents are dealt into blocks of about
-``BLOCK_BYTES`` of text (or one document).  The distinct five-grams of the blocks are grouped
-by the last two symbols of their context, of which no more than 257 ** 3 can be, for the
-orders 2 to 4; the counts of the orders 0 and 1 are a table of 257 x 257.  Each block is then
-joined with the log probabilities of its own five-grams.
+``BLOCK_BYTES`` of text (or one document).  A block's distinct five-grams travel packed: a
+row for each pair of last two context symbols, with the other three symbols in four bytes.
+They are merged by pair (at most 257 ** 3 five-grams each), ``FAN`` blocks at a time in as
+many rounds as it takes, and give the log probabilities of the orders 2 to 4; the counts of
+the orders 0 and 1 are a table of 257 x 257.  The log probabilities then meet the blocks by
+pair and ``FAN`` blocks, and go back to each block as four bytes a five-gram, in its order.
 
 Words: the most frequent ones (at most ``MOST_HOT``, by a cut at a power of two) are
 looked up in the tasks; the others are joined by a shuffle on the word, which is free of
@@ -23,8 +25,9 @@ frequent keys by then.
 
 Defined results: a null text is empty and scored as its end alone; with no training
 documents each base term is log10(0.5 / 0.5) = 0 and each symbol costs log10(257); a null
-doc_id counts as the empty text; repeated rows are scored and counted each; extra columns
-are ignored; an empty table gives no rows.
+doc_id counts as the empty text; a very long text is read in pieces of ``CHUNK`` that overlap
+by a context; repeated rows are scored and counted each; extra columns are ignored; an empty
+table gives no rows.
 """
 
 from __future__ import annotations
@@ -45,66 +48,86 @@ END, SYMBOLS = 256, 257
 FOLDS, HELD_OUT = 5, 1
 MOST_HOT = 1 << 17
 DEPTH = 4
-BLOCK_BYTES = 8 << 20
-PAIR = (1 << 18) - 1
+BLOCK_BYTES = 32 << 20
+FAN = 256
+FREE = 27  # bits of the symbols of a five-gram other than its pair
 CHUNK = 2 << 20
-BLOCK = 4096
-FLUSH = 1 << 20
+ROWS = 4096
+MERGE = 1 << 22
+FLUSH = 16 << 20
 
 
 def fold(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % FOLDS
 
 
-def symbols(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """All texts in a row, ``DEPTH`` boundary symbols before each and after the last; their starts and lengths."""
-    lengths = np.fromiter(map(len, texts), np.int64, len(texts))
-    starts = np.cumsum(lengths + DEPTH) - lengths
-    out = np.full(int(lengths.sum()) + DEPTH * (len(texts) + 1), END, np.int16)
-    for at, text in zip(starts, texts, strict=True):
-        out[at : at + len(text)] = np.frombuffer(text, np.uint8)
-    return out, starts, lengths
+def as_bytes(column: pa.Array) -> list[bytes]:
+    return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
 
 
-def grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct codes of a context and its next symbol, nine bits each, the next symbol lowest; and their counts.
+def pieces(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Symbols of about ``CHUNK`` bytes of texts at a time, how many of each text's piece are new, and which text it is of.
 
-    The next symbol runs over the bytes and the end of each text.
+    Each piece has the ``DEPTH`` symbols before it first; a text starts after ends, and its own end is its last symbol.
     """
-    row, starts, lengths = symbols(texts)
-    used = np.flatnonzero(np.bincount(row, minlength=SYMBOLS))
-    to = np.zeros(SYMBOLS, np.uint64)
-    to[used] = np.arange(len(used))
-    b = len(used)
-    s = to[row]
-    code = s[: len(s) - DEPTH].copy()
-    for i in range(1, DEPTH + 1):
-        code *= np.uint64(b)
-        code += s[i : len(s) - DEPTH + i]
-    ends = starts + lengths - DEPTH  # in ``code``, where the next symbol is the end
-    code = np.delete(code, np.concatenate([ends + i for i in range(1, DEPTH)]))
-    found, counts = np.unique(code, return_counts=True)
-    found, out = found.astype(np.int64), np.zeros(len(found), np.int64)
-    for i in range(DEPTH + 1):
-        out |= used[found % b] << (9 * i)
-        found //= b
-    return out, counts
-
-
-def chunks(texts: list[bytes]) -> Iterator[list[bytes]]:
-    part, size = [], 0
-    for text in texts:
-        part.append(text)
-        size += len(text)
-        if size >= CHUNK:
-            yield part
-            part, size = [], 0
-    if part:
-        yield part
-
-
-def as_bytes(column: pa.Array) -> list[bytes]:
-    return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
+    ends = np.full(DEPTH, END, np.int64)
+    rows, new, of, size = [], [], [], 0
+    for k, text in enumerate(texts):
+        for at in range(0, max(1, len(text)), CHUNK):
+            body = np.frombuffer(text[max(0, at - DEPTH) : at + CHUNK], np.uint8)
+            last = at + CHUNK >= len(text)
+            rows += [ends] * (not at) + [body] + [ends[:1]] * last
+            new.append(min(CHUNK, len(text) - at) + last)
+            of.append(k)
+            size += new[-1]
+            if size >= CHUNK:
+                yield np.concatenate(rows).astype(np.int64), np.array(new), np.array(of)
+                rows, new, of, size = [], [], [], 0
+    if new:
+        yield np.concatenate(rows).astype(np.int64), np.array(new), np.array(of)
+
+
+def codes_of(symbols: np.ndarray, new: np.ndarray) -> np.ndarray:
+    """Code of the five-gram that ends in each new symbol: the last two of the context, then the other two and the symbol."""
+    a, b, c, d, e = (symbols[i : len(symbols) - DEPTH + i] for i in range(DEPTH + 1))
+    code = c << 36 | d << 27 | a << 18 | b << 9 | e
+    between = (np.cumsum(new + DEPTH) - DEPTH)[:-1, None] + np.arange(DEPTH)
+    return np.delete(code, between.ravel())
+
+
+def merged(codes: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct codes in order, and the sums of their counts."""
+    found, at = np.unique(codes, return_inverse=True)
+    return found, np.bincount(at, n, len(found)).astype(np.int64)
+
+
+class Sums:
+    """Codes and counts added up, merged whenever ``MERGE`` of them have come together."""
+
+    def __init__(self):
+        self.parts: list[tuple[np.ndarray, np.ndarray]] = []
+        self.size = 0
+
+    def add(self, codes: np.ndarray, n: np.ndarray) -> None:
+        self.parts.append((codes, n))
+        self.size += len(codes)
+        if self.size > MERGE and len(self.parts) > 1:
+            self.parts = [self.all()]
+            self.size = len(self.parts[0][0])
+
+    def all(self) -> tuple[np.ndarray, np.ndarray]:
+        return merged(*map(np.concatenate, zip(*self.parts, strict=True)))
+
+
+def packed(codes: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, list[pa.Array]]:
+    """The pairs of the sorted ``codes``, and for each a binary of its codes without it and a binary of each of ``values``."""
+    pairs = codes >> FREE
+    edges = np.append(0, np.flatnonzero(np.diff(pairs)) + 1)[: len(codes)]
+    out = []
+    for x in ((codes & ((1 << FREE) - 1)).astype("<u4"), *values):
+        offsets = (np.append(edges, len(codes)) * x.itemsize).astype(np.int32)
+        out.append(pa.Array.from_buffers(pa.binary(), len(edges), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(x))]))
+    return pairs[edges], out
 
 
 def blocks_of(known: DataFrame) -> DataFrame:
@@ -132,55 +155,105 @@ def blocks_of(known: DataFrame) -> DataFrame:
 
 
 def counts_of(blocks: DataFrame) -> DataFrame:
-    """(word, block, code, n): counts of words (the end is the empty word) of training texts, and of the five-grams of each block.
+    """(word, times, block, pair, free, n): counts of words (the end is the empty word) of training texts, and packed ones of each block's five-grams.
 
-    Held-out texts count as none, but their five-grams have rows.  Rows may repeat.
+    Held-out texts count as none, but their five-grams are there.  Words may repeat; so may the pairs of a block.
     """
+    names = ["word", "times", "block", "pair", "free", "n"]
 
     def grams_of(block: int, codes: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.nulls(len(codes), pa.binary()), pa.array(np.full(len(codes), block), pa.int64()), pa.array(codes), pa.array(n)],
-            names=["word", "block", "code", "n"],
-        )
+        pairs, (free, times) = packed(codes, n.astype("<u8"))
+        none = pa.nulls(len(pairs), pa.binary()), pa.nulls(len(pairs), pa.int64())
+        return pa.RecordBatch.from_arrays([*none, pa.array(np.full(len(pairs), block)), pa.array(pairs.astype(np.int32)), free, times], names=names)
 
     def words_of(words: Counter) -> pa.RecordBatch:
-        none = pa.nulls(len(words), pa.int64())
-        return pa.RecordBatch.from_arrays(
-            [pa.array(list(words), pa.binary()), none, none, pa.array(list(words.values()), pa.int64())], names=["word", "block", "code", "n"]
-        )
+        none = [pa.nulls(len(words), t) for t in (pa.int64(), pa.int32(), pa.binary(), pa.binary())]
+        return pa.RecordBatch.from_arrays([pa.array(list(words), pa.binary()), pa.array(list(words.values()), pa.int64()), *none], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words: Counter = Counter()
-        block, codes, n = 0, np.empty(0, np.int64), np.empty(0, np.int64)
+        since = 0  # bytes of text counted into ``words``
+        block, some = 0, Sums()
         for batch in batches:
             blocks = batch["block"].to_numpy()
             held = batch["held_out"].to_numpy(zero_copy_only=False)
             cuts = np.flatnonzero(np.diff(blocks)) + 1
             for lo, hi in zip([0, *cuts], [*cuts, len(blocks)], strict=True):
+                if lo == hi:
+                    continue
                 if blocks[lo] != block:
-                    if len(codes):
-                        yield grams_of(block, codes, n)
-                    block, codes, n = int(blocks[lo]), codes[:0], n[:0]
+                    if some.size:
+                        yield grams_of(block, *some.all())
+                    block, some = int(blocks[lo]), Sums()
                 texts = as_bytes(batch["text"].slice(lo, hi - lo))
                 training = [t for t, h in zip(texts, held[lo:hi], strict=True) if not h]
-                if training:
-                    words[b""] += len(training)
                 for text in training:
                     words.update(text.lower().split())
+                    words[b""] += 1
+                    since += len(text)
+                    if since > FLUSH:
+                        yield words_of(words)
+                        words, since = Counter(), 0
                 for own, times in ((training, 1), ([t for t, h in zip(texts, held[lo:hi], strict=True) if h], 0)):
-                    for part in chunks(own):
-                        new, k = grams(part)
-                        codes, at = np.unique(np.concatenate((codes, new)), return_inverse=True)
-                        n = np.bincount(at, np.concatenate((n, k * times)), len(codes)).astype(np.int64)
-                if len(words) > FLUSH:
-                    yield words_of(words)
-                    words = Counter()
-        if len(codes):
-            yield grams_of(block, codes, n)
+                    for symbols, new, _ in pieces(own):
+                        codes, n = np.unique(codes_of(symbols, new), return_counts=True)
+                        some.add(codes, n * times)
+        if some.size:
+            yield grams_of(block, *some.all())
         yield words_of(words)
 
     rows = blocks.select("block", "held_out", "text").where("block IS NOT NULL")
-    return rows.mapInArrow(run, "word binary, block long, code long, n long")
+    return rows.mapInArrow(run, "word binary, times long, block long, pair int, free binary, n binary")
+
+
+def unpacked(batch: pa.RecordBatch, value: str, kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """Codes and values of all rows of a batch (pair, free, value)."""
+    free = np.frombuffer(b"".join(batch["free"].to_pylist()), "<u4").astype(np.int64)
+    sizes = np.fromiter((len(x.as_buffer()) // 4 for x in batch["free"]), np.int64, len(batch))
+    return np.repeat(batch["pair"].to_numpy().astype(np.int64), sizes) << FREE | free, np.frombuffer(b"".join(batch[value].to_pylist()), kind)
+
+
+def whole_pairs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.RecordBatch]:
+    """The rows of sorted batches, never cutting between rows of equal ``keys``."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not len(batch):
+            continue
+        own = np.stack([batch[k].to_numpy() for k in keys])
+        if held:
+            before = np.array([held[-1][k][-1].as_py() for k in keys])
+            first = int(np.argmin(np.append((own == before[:, None]).all(0), False)))
+            if first:
+                held.append(batch.slice(0, first))
+            if first < len(batch):
+                yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+                held = []
+            batch, own = batch.slice(first), own[:, first:]
+        if len(batch):
+            last = int(np.argmax((own == own[:, -1:]).all(0)))
+            if last:
+                yield batch.slice(0, last)
+            held.append(batch.slice(last))
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
+def summed(counts: DataFrame, parts: int) -> DataFrame:
+    """(pair, part, free, n): packed counts summed within each of ``parts`` groups of ``part``."""
+    dealt = counts.withColumn("part", F.pmod("part", F.lit(parts))).repartition("pair", "part").sortWithinPartitions("pair", "part")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in whole_pairs(batches, ["pair", "part"]):
+            part = batch["part"].to_numpy()
+            for p in np.unique(part):
+                own = batch.filter(pa.array(part == p))
+                codes, n = merged(*unpacked(own, "n", "<u8"))
+                pairs, (free, times) = packed(codes, n.astype("<u8"))
+                yield pa.RecordBatch.from_pydict(
+                    {"pair": pa.array(pairs.astype(np.int32)), "part": pa.array(np.full(len(pairs), p)), "free": free, "n": times}
+                )
+
+    return dealt.select("pair", "part", "free", "n").mapInArrow(run, "pair int, part long, free binary, n binary")
 
 
 def next_order(grams: np.ndarray, c: np.ndarray, below: tuple[np.ndarray, ...]) -> tuple[np.ndarray, ...]:
@@ -212,130 +285,91 @@ def short_contexts(pairs: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, t
 
 def log_probabilities(codes: np.ndarray, counts: np.ndarray, short: tuple[np.ndarray, tuple[np.ndarray, ...]]) -> np.ndarray:
     """Log10 probability of five-grams: of all, seen or not, of some pairs of last symbols of the context."""
+    inner = (codes >> 9 & ((1 << 18) - 1)) << 27 | codes >> FREE << 9 | codes & 511  # in the order of the text
     below_grams, below = short
     for order in range(2, DEPTH + 1):
-        grams, at = np.unique(codes & ((1 << (9 * (order + 1))) - 1), return_inverse=True)
+        grams, at = np.unique(inner & ((1 << (9 * (order + 1))) - 1), return_inverse=True)
         parent = np.searchsorted(below_grams, grams & ((1 << (9 * order)) - 1))
         below = next_order(grams, np.bincount(at, counts), tuple(x[parent] for x in below))
         below_grams = grams
     return np.log10(below[-1][at])
 
 
-def known_grams(counts: DataFrame) -> DataFrame:
-    """(code, log): log10 probabilities of all five-grams of (block, code, n)."""
-    each = keep(counts.groupBy("code").agg(F.sum("n").alias("n")), "lm-grams")
-    got = each.groupBy(F.col("code").bitwiseAND(PAIR).alias("pair")).agg(F.sum("n").alias("n")).toArrow()  # at most 257 x 257 rows
-    short = each.sparkSession.sparkContext.broadcast(short_contexts(got["pair"].to_numpy(), got["n"].to_numpy()))
+def known_grams(counts: DataFrame, blocks: int) -> DataFrame:
+    """(pair, free, log): packed log10 probabilities of all five-grams, from packed counts (block, pair, free, n)."""
+    spark = counts.sparkSession
+    parts = -(-blocks // FAN)
+    each = counts.select("pair", F.xxhash64("block").alias("part"), "free", "n")
+    while True:
+        each = summed(each, parts)
+        if parts == 1:
+            break
+        parts = -(-parts // FAN)
+    each = keep(each, "lm-grams")
+
+    def read_two(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, seen = np.zeros(1 << 18), np.zeros(1 << 18, bool)
+        for batch in batches:
+            if len(batch):
+                codes, n = unpacked(batch, "n", "<u8")
+                two = (codes >> FREE & 511) << 9 | codes & 511
+                total += np.bincount(two, n, 1 << 18)
+                seen[two] = True
+        two = np.flatnonzero(seen)
+        yield pa.RecordBatch.from_pydict({"two": pa.array(two), "n": pa.array(total[two])})
+
+    twos = each.select("pair", "free", "n").mapInArrow(read_two, "two long, n double")
+    got = twos.groupBy("two").agg(F.sum("n").alias("n")).toArrow()  # at most 257 x 257 rows
+    short = spark.sparkContext.broadcast(short_contexts(got["two"].to_numpy(), got["n"].to_numpy()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def done(codes: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-            return pa.RecordBatch.from_pydict({"code": pa.array(codes), "log": pa.array(log_probabilities(codes, n, short.value))})
+        for batch in batches:
+            for at in range(0, len(batch), ROWS):
+                codes, n = unpacked(batch.slice(at, ROWS), "n", "<u8")
+                pairs, (free, logs) = packed(codes, log_probabilities(codes, n.astype(float), short.value).astype("<f4"))
+                yield pa.RecordBatch.from_pydict({"pair": pa.array(pairs.astype(np.int32)), "free": free, "log": logs})
+
+    ordered = each.sortWithinPartitions("pair").select("pair", "free", "n")
+    out = keep(ordered.mapInArrow(run, "pair int, free binary, log binary"), "lm-logs")
+    short.destroy()
+    return out
+
+
+def logs_of_blocks(counts: DataFrame, logs: DataFrame, blocks: int) -> DataFrame:
+    """(block, pair, log): the packed log probabilities of each row of ``counts``."""
+    salts = -(-blocks // FAN)
+    known = logs.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))).select(
+        "pair", "salt", F.lit(-1).cast("long").alias("block"), "free", "log"
+    )
+    asked = counts.select(
+        "pair", F.pmod(F.xxhash64("block"), F.lit(salts)).cast("int").alias("salt"), "block", "free", F.lit(None).cast("binary").alias("log")
+    )
 
-        held: list[tuple[np.ndarray, np.ndarray]] = []  # of the last pair so far
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        free, log = np.empty(0, "<u4"), np.empty(0, "<f4")
         for batch in batches:
-            if not len(batch):
-                continue
-            codes, n = batch["code"].to_numpy(), batch["n"].to_numpy()
-            pair = codes >> 9 & PAIR
-            last = int(np.searchsorted(pair, pair[-1]))
-            if held and pair[0] != held[-1][0][-1] >> 9 & PAIR or last:
-                held.append((codes[:last], n[:last]))
-                yield done(*map(np.concatenate, zip(*held, strict=True)))
-                held = []
-                codes, n = codes[last:], n[last:]
-            held.append((codes, n))
-        if held:
-            yield done(*map(np.concatenate, zip(*held, strict=True)))
+            blocks, pairs, out = [], [], []
+            for block, pair, f, own in zip(*(batch[k] for k in ("block", "pair", "free", "log")), strict=True):
+                f = np.frombuffer(f.as_buffer(), "<u4")
+                if own.is_valid:
+                    free, log = f, np.frombuffer(own.as_buffer(), "<f4")
+                    continue
+                blocks.append(block.as_py())
+                pairs.append(pair.as_py())
+                out.append(log[np.searchsorted(free, f)].tobytes())
+            yield pa.RecordBatch.from_pydict({"block": pa.array(blocks, pa.int64()), "pair": pa.array(pairs, pa.int32()), "log": pa.array(out, pa.binary())})
 
-    pair = F.shiftright("code", 9).bitwiseAND(PAIR)
-    dealt = each.withColumn("pair", pair).repartition("pair").sortWithinPartitions("pair").select("code", "n")
-    return dealt.mapInArrow(run, "code long, log double")
+    dealt = known.unionByName(asked).repartition("pair", "salt").sortWithinPartitions("pair", "salt", "block")
+    return dealt.mapInArrow(run, "block long, pair int, log binary")
 
 
 def scores_of(texts: list[bytes], codes: np.ndarray, logs: np.ndarray) -> np.ndarray:
     """Log10 probability of each text and its end, from its five-grams' in ``codes`` (sorted)."""
-    row, starts, lengths = symbols(texts)
-    s = row.astype(np.int64)
-    code = s[: len(s) - DEPTH].copy()
-    for i in range(1, DEPTH + 1):
-        code <<= 9
-        code |= s[i : len(s) - DEPTH + i]
-    at = np.searchsorted(codes, code)  # none between two texts: their places cancel out
-    sums = np.concatenate(([0.0], np.cumsum(logs[np.minimum(at, len(logs) - 1)])))
-    return sums[starts - DEPTH + lengths + 1] - sums[starts - DEPTH]
-
-
-class Rows:
-    """Log10 probabilities of all symbols after each context of a set of four-grams: the whole trie in one place, for small corpora."""
-
-    def __init__(self, codes: np.ndarray, counts: np.ndarray, zero: np.ndarray):
-        """``codes`` and ``counts``: the five-grams of this part; ``zero``: counts of all 257 symbols in the whole corpus."""
-        self.used = np.flatnonzero(zero)
-        self.column = np.full(SYMBOLS, len(self.used), np.int16)  # the last column is for any one unseen symbol
-        self.column[self.used] = np.arange(len(self.used))
-        width = len(self.used) + 1
-        t0, n0 = len(self.used), float(zero.sum())
-        root = np.append(zero[self.used].astype(float), 0.0)[None]
-        unseen = 1.0 / max(1, SYMBOLS - t0)
-        p = np.where(root > 0, root / max(1.0, n0 + t0), unseen * (t0 / (n0 + t0) if t0 else 1.0))
-        tables, below_counts, below_p = [p.astype(np.float32)], root, p
-        below_ids = np.zeros(1, np.int64)
-        self.index = np.zeros((width, width, width), np.int32)
-        context = codes >> 9
-        symbol = self.column[codes & 511]
-        total = 1
-        for order in range(1, DEPTH + 1):
-            ids, at = np.unique(context & ((1 << (9 * order)) - 1), return_inverse=True)
-            parent = np.searchsorted(below_ids, ids & ((1 << (9 * (order - 1))) - 1)) if order > 1 else np.zeros(len(ids), np.int64)
-            c, p = np.empty((len(ids) if order < DEPTH else 0, width), np.float32), np.empty((len(ids), width), np.float32)
-            sort = np.argsort(at, kind="stable")
-            for lo in range(0, len(ids), BLOCK):  # few contexts at a time, to bound memory
-                hi = min(lo + BLOCK, len(ids))
-                own = sort[slice(*np.searchsorted(at[sort], (lo, hi)))]
-                cell = (at[own] - lo) * width + symbol[own]
-                block = np.bincount(cell, counts[own], (hi - lo) * width).reshape(hi - lo, width)
-                p[lo:hi] = self.after(block, below_counts[parent[lo:hi]], below_p[parent[lo:hi]])
-                if order < DEPTH:
-                    c[lo:hi] = block
-            tables.append(p)
-            where = [self.column[(ids >> (9 * i)) & 511] for i in range(order)]  # the last symbol first
-            row = (total + np.arange(len(ids))).astype(np.int32)
-            if order == 1:
-                self.index[:, :, where[0]] = row
-            elif order == 2:
-                self.index[:, where[1], where[0]] = row
-            elif order == 3:
-                self.index[where[2], where[1], where[0]] = row
-            else:  # from the row of the last three symbols, by the one before them
-                self.further = np.repeat(np.arange(total, dtype=np.int32)[:, None], width, 1)
-                self.further[self.index[where[2], where[1], where[0]], where[3]] = row
-            total += len(ids)
-            below_counts, below_p, below_ids = c, p, ids
-        self.logs = np.concatenate(tables)
-        np.log10(self.logs, out=self.logs)
-
-    @staticmethod
-    def after(c: np.ndarray, parent_c: np.ndarray, parent_p: np.ndarray) -> np.ndarray:
-        """Probabilities after contexts with counts ``c``, from their one shorter contexts."""
-        seen, below = c > 0, parent_c > 0
-        n, t = c.sum(1, keepdims=True), seen.sum(1, keepdims=True)
-        n1, t1 = parent_c.sum(1, keepdims=True), below.sum(1, keepdims=True)
-        n2 = n1 - (parent_c * seen).sum(1, keepdims=True)  # without the excluded symbols
-        t2 = t1 - t
-        rest = np.maximum(n2 + t2, 1.0)
-        further = np.where(t2 > 0, t2 / rest, 1.0) * parent_p * (n1 + t1) / np.maximum(t1, 1)
-        return np.where(seen, c / (n + t), t / (n + t) * np.where(below, parent_c / rest, further))
-
-    def scores(self, texts: list[bytes], own: np.ndarray | None = None) -> np.ndarray:
-        """Log10 probability of each text and its end; with ``own``, of the positions whose last symbol is in it."""
-        row, starts, lengths = symbols(texts)
-        s = self.column[row]
-        context = self.further[self.index[s[1:-3], s[2:-2], s[3:-1]], s[:-4]]
-        logs = self.logs[context, s[4:]].astype(np.float64)
-        if own is not None:
-            logs = np.where(own[row[3:-1]], logs, 0.0)
-        sums = np.concatenate(([0.0], np.cumsum(logs)))
-        return sums[starts - DEPTH + lengths + 1] - sums[starts - DEPTH]
+    out = np.zeros(len(texts))
+    for symbols, new, of in pieces(texts):
+        sums = np.add.reduceat(logs[np.searchsorted(codes, codes_of(symbols, new))], np.cumsum(new) - new, dtype=float)
+        out += np.bincount(of, sums, len(texts))
+    return out
 
 
 def hot_words(words: DataFrame) -> tuple[int, list[tuple[bytes, int]]]:
@@ -355,33 +389,41 @@ def scored(docs: DataFrame) -> DataFrame:
     known = docs.select("doc_id", (fold(F.col("doc_id")) == HELD_OUT).alias("held_out"), F.coalesce("text", F.lit("")).alias("text"))
     blocks = keep(blocks_of(known), "lm-blocks")
     counts = keep(counts_of(blocks), "lm-counts")
-    words = keep(counts.where("word IS NOT NULL").groupBy("word").agg(F.sum("n").alias("n")), "lm-words")
+    words = keep(counts.where("word IS NOT NULL").groupBy("word").agg(F.sum("times").alias("n")), "lm-words")
     total, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     whole = total + 0.5 * (distinct + 1)
     cut, hot = hot_words(words)
     hot_ids = sc.broadcast({w: i for i, (w, _) in enumerate(hot)})
     hot_logs = sc.broadcast(np.log10((np.array([n for _, n in hot], float) + 0.5) / whole))
-    found_grams = counts.where("code IS NOT NULL").select("block", "code", "n")
-    logs_of = found_grams.select("block", "code").join(keep(known_grams(found_grams), "lm-logs"), "code")
-
-    def read(docs: pa.Table, grams: pa.Table) -> pa.Table:
-        ids, logs = hot_ids.value, hot_logs.value
-        codes, first = np.unique(grams["code"].to_numpy(), return_index=True)
-        gram_logs = grams["log"].to_numpy()[first]
+    grams = counts.where("block IS NOT NULL").select("block", "pair", "free", "n")
+    n_blocks = max(1, grams.select("block").distinct().count())
+    logs = logs_of_blocks(grams, known_grams(grams, n_blocks), n_blocks)
+
+    def read(docs: pa.Table, found: pa.Table) -> pa.Table:
+        ids, word_logs = hot_ids.value, hot_logs.value
+        order = np.argsort(found["pair"].to_numpy())
+        packs = found["log"].to_pylist()
+        gram_logs = np.frombuffer(b"".join(packs[i] for i in order), "<f4")
+        del packs
+        parts = [as_bytes(b["text"]) for b in docs.select(["text"]).combine_chunks().to_batches(max_chunksize=ROWS)]
+        some = Sums()
+        for texts in parts:
+            for symbols, new, _ in pieces(texts):
+                codes, n = np.unique(codes_of(symbols, new), return_counts=True)
+                some.add(codes, n)
+        codes = some.all()[0]
         done = []
-        for batch in docs.combine_chunks().to_batches(max_chunksize=BLOCK):
-            texts = as_bytes(batch["text"])
-            score = np.concatenate([scores_of(part, codes, gram_logs) for part in chunks(texts)])
+        for batch, texts in zip(docs.combine_chunks().to_batches(max_chunksize=ROWS), parts, strict=True):
             n, n_hot, base, rare, times = [], [], [], [], []
             for text in texts:
                 w = text.lower().split()
                 w.append(b"")
-                found = np.fromiter(map(ids.get, w, repeat(-1)), np.int64, len(w))
-                inside = found[found >= 0]
-                base.append(float(logs[inside].sum()))
+                at = np.fromiter(map(ids.get, w, repeat(-1)), np.int64, len(w))
+                inside = at[at >= 0]
+                base.append(float(word_logs[inside].sum()))
                 n.append(len(w))
                 n_hot.append(len(inside))
-                others = Counter(w[i] for i in np.flatnonzero(found < 0)) if len(inside) < len(w) else {}
+                others = Counter(w[i] for i in np.flatnonzero(at < 0)) if len(inside) < len(w) else {}
                 rare.append(list(others))
                 times.append(list(others.values()))
             part = pa.RecordBatch.from_pydict(
@@ -392,7 +434,7 @@ def scored(docs: DataFrame) -> DataFrame:
                     "n_tokens": pa.array(n, pa.int64()),
                     "n_hot": pa.array(n_hot, pa.int64()),
                     "base": pa.array(base, pa.float64()),
-                    "score": pa.array(score, pa.float64()),
+                    "score": pa.array(scores_of(texts, codes, gram_logs), pa.float64()),
                     "rare": pa.array(rare, pa.list_(pa.binary())),
                     "times": pa.array(times, pa.list_(pa.int64())),
                 }
@@ -403,7 +445,7 @@ def scored(docs: DataFrame) -> DataFrame:
     id_type = docs.schema["doc_id"].dataType.simpleString()
     first = keep(
         blocks.groupBy("block")
-        .cogroup(logs_of.groupBy("block"))
+        .cogroup(logs.groupBy("block"))
         .applyInArrow(
             read,
             f"row long, doc_id {id_type}, held_out boolean, n_tokens long, n_hot long, base double, score double, "
@@ -411,6 +453,8 @@ def scored(docs: DataFrame) -> DataFrame:
         ),
         "lm-first",
     )
+    hot_ids.destroy()
+    hot_logs.destroy()
     each = first.select("row", F.explode(F.arrays_zip("rare", "times")).alias("x")).select(
         "row", F.col("x.rare").alias("word"), F.col("x.times").alias("times")
     )

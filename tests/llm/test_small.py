@@ -337,35 +337,33 @@ def ppm(counts, context, symbol):
     return p / (257 - len(excluded))
 
 
-def test_ppm_rows_are_step_by_step_ppm():
-    texts = [w.encode() for w in ("abracadabra", "abra", "cadaver", "", "banana bandana")]
+def step_by_step(texts):
+    """Counts of all contexts of the training texts, and the log10 probability of a text by them."""
+    symbols = lambda t: (256,) * 4 + tuple(t) + (256,)
     counts = {}
-    for t in texts:
-        s = (256,) * 4 + tuple(t) + (256,)
+    for s in map(symbols, texts):
         for i in range(4, len(s)):
             for k in range(5):
                 counts.setdefault(s[i - k : i], Counter())[s[i]] += 1
-    codes, n = lm_score.grams(texts)
-    rows = lm_score.Rows(codes, n, np.bincount(codes & 511, n, 257).astype(int))
-    for text in (b"abracadabra", b"bandage", b"zz", b"", b"na\xff\xffna"):
-        s = (256,) * 4 + tuple(text) + (256,)
-        expected = sum(np.log10(ppm(counts, s[i - 4 : i], s[i])) for i in range(4, len(s)))
-        assert rows.scores([text])[0] == pytest.approx(expected, rel=1e-5)
-    own = np.zeros(257, bool)
-    own[ord("a")] = True
-    both = rows.scores([b"banana", b"x"], own) + rows.scores([b"banana", b"x"], ~own)
-    assert both == pytest.approx(rows.scores([b"banana", b"x"]))
-
-
-def test_trie_is_dealt_by_pairs(spark, monkeypatch):
+    return lambda t: sum(np.log10(ppm(counts, s[i - 4 : i], s[i])) for s in [symbols(t)] for i in range(4, len(s)))
+
+
+def held_out(i):
+    return zlib.crc32(("" if i is None else str(i)).encode()) % 5 == 1
+
+
+@pytest.mark.parametrize("fan", [2, 256])
+def test_scores_are_step_by_step_ppm(spark, monkeypatch, fan):
     monkeypatch.setattr(lm_score, "BLOCK_BYTES", 2000)
-    rows = [(i, words(random.randint(0, 40)) + chr(200 + i) * (i % 5), "a") for i in range(150)] + [(900, None, "a"), (901, "q" * 5000, "a")]
-    training = [(t or "").encode() for i, t, _ in rows if zlib.crc32(str(i).encode()) % 5 != 1]
-    codes, n = lm_score.grams(training)
-    whole = lm_score.Rows(codes, n, np.bincount(codes & 511, n, 257).astype(int))
-    expected = dict(zip([r[0] for r in rows], whole.scores([(r[1] or "").encode() for r in rows]), strict=True))
-    got = {r.doc_id: r.score for r in lm_score.scored(docs(spark, rows)).collect()}
-    assert got == pytest.approx(expected, rel=1e-5)
+    monkeypatch.setattr(lm_score, "FAN", fan)
+    monkeypatch.setattr(lm_score, "CHUNK", 700)
+    monkeypatch.setattr(lm_score, "MERGE", 500)
+    rows = [(i, words(random.randint(0, 40)) + chr(200 + i) * (i % 5), "a") for i in range(150)]
+    rows += [(900, None, "a"), (901, "q" * 5000 + words(50), "a"), (902, "abracadabra", "a"), (902, "abracadabra", "a"), (None, "abra", "a"), (903, "", "b")]
+    score = step_by_step([(t or "").encode() for i, t, _ in rows if not held_out(i)])
+    expected = {(i, round(score((t or "").encode()), 3)) for i, t, _ in rows}
+    got = lm_score.scored(docs(spark, rows)).collect()
+    assert {(r.doc_id, round(r.score, 3)) for r in got} == expected and len(got) == len(rows)
     blocks = lm_score.blocks_of(docs(spark, rows).selectExpr("doc_id", "false AS held_out", "coalesce(text, '') AS text"))
     held = blocks.groupBy("block").agg(F.count(F.lit(1)).alias("k"), F.sum(F.octet_length("text")).alias("n")).collect()
     assert len(held) > 4 and all(b.n <= 2000 or b.k == 1 for b in held)
