@@ -6,7 +6,8 @@ evaluations a shingle, and its share of equal values is an unbiased estimate of
 with less variance than m minima.  Of each value 16 bits are kept; bands of ``rows`` values,
 as many as make a miss at the threshold rarer than ``MISS``, are the buckets.
 
-Documents of equal sets form one class (copies are never paired).  In the buckets of classes
+Documents of equal words form one class, by a 128-bit digest of the words (copies are never
+paired).  In the buckets of classes
 
 1. each class is linked with the bucket's first class, if their exact sets confirm it, and
    the components of these links are found.  Large groups of near copies mostly fall
@@ -15,20 +16,21 @@ Documents of equal sets form one class (copies are never paired).  In the bucket
    by signature, and all that are not far below the threshold are confirmed: no link is lost
    by 1.
 
-Step 2 compares in blocks of at most ``BLOCK`` members a side (a large bucket is as many
-tasks as it has pairs of blocks) and takes a pair only in the first band that it shares.  The
-pairs stay packed in arrays, by blocks of classes again, and are confirmed by tasks that
-have the texts of two blocks (``TEXTS`` each) and skip what is connected by then: a group of
-near copies that are just too unlike costs comparisons, not rows.  Links are
-confirmed on full texts.  Components are found by contracting to the least neighbour; ids
-of classes are hashes, so paths shrink by a constant share in each round.
+Links are confirmed on full sets, as 64-bit hashes of all shingles.  In 1 a first class's set
+travels once for ``FAN`` of its candidates.  Step 2 compares in blocks of at most ``BLOCK``
+members and about ``BLOCK_BYTES`` of sets a side (a large bucket is as many tasks as it has
+pairs of blocks) and takes a pair only in the first band that it shares.  A task has the
+signatures and sets of its two blocks, and gives only the links that join two components
+there, fewer than it has members: a group of near copies that are just too unlike costs
+comparisons, not rows.  Components are found by contracting to the least neighbour; ids of
+classes are hashes, so paths shrink by a constant share in each round.
 
 Defined results: words are maximal runs of other than ASCII white space, A-Z lower-cased; a
 document of fewer words than ``width`` has one shingle of all its words; one without words
 or text has none, and is linked with nothing; documents of equal sets are linked; rows of
-one doc_id are one document if their sets are equal and else stand by themselves; a null
-doc_id is linked with nothing; ties go to the smaller doc_id; extra columns are ignored (components) or pass through (filter); an
-empty table gives no rows.
+one doc_id are one document if their words are equal and else stand by themselves; a null
+doc_id is linked with nothing; ties go to the smaller doc_id; extra columns are ignored
+(components) or pass through (filter), whatever their names; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -38,20 +40,18 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .decontaminate import shingles_of, words_of
-from .scratch import keep, table
+from .decontaminate import words_of
+from .scratch import column, free, keep, table
 
 MISS = 1e-7
 SIGMAS = 4.3
-BLOCK = 1024
-TEXTS = 512
-PACK = 1 << 16  # pairs in a row
+BLOCK, BLOCK_BYTES = 1024, 16 << 20
+FAN = 4096  # candidates of one class in a group
 CACHE = 1 << 19
 HALF = 1 << 12  # shingles hashed at once
 
@@ -73,7 +73,7 @@ def mixed(h: np.ndarray) -> np.ndarray:
 
 
 def shingle_hashes(words: list[bytes], width: int, known: Words) -> np.ndarray:
-    """Sorted distinct hashes of the shingles."""
+    """Sorted distinct hashes of the shingles, of which there is at least one."""
     h = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
     n = min(width, len(h))
     out = np.full(len(h) - n + 1, n, np.uint64)
@@ -82,6 +82,10 @@ def shingle_hashes(words: list[bytes], width: int, known: Words) -> np.ndarray:
     return np.unique(out)
 
 
+def class_of(words: list[bytes]) -> bytes:
+    return hashlib.blake2b(b" ".join(words), digest_size=16).digest()
+
+
 class Scheme:
     """Shingle width, threshold as a fraction, and the bands that follow from it."""
 
@@ -109,9 +113,9 @@ class Scheme:
             np.maximum(high, x.max(0), out=high)
         return ((np.concatenate((low, high)) >> np.uint64(20)) & np.uint64(0xFFFF)).astype("<u2").tobytes()
 
-    def linked(self, a: set, b: set) -> bool:
-        shared = len(a & b)
-        return bool(shared) and self.den * shared >= self.num * (len(a) + len(b) - shared)
+    def linked(self, shared: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.ndarray:
+        """Which counts of shared shingles of sets of n and m reach the threshold."""
+        return (shared > 0) & (self.den * shared >= self.num * (n + m - shared))
 
 
 def hashed(docs: DataFrame) -> DataFrame:
@@ -119,7 +123,7 @@ def hashed(docs: DataFrame) -> DataFrame:
 
 
 def signatures(docs: DataFrame, scheme: Scheme) -> DataFrame:
-    """(doc_id, th, n, c, sig): hash of the text, size of the set, id of its class and signature (null without shingles)."""
+    """(doc_id, th, n, c, sig): hash of the text, size of the set, digest of its words and signature (null without shingles)."""
     doc_id = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -134,19 +138,19 @@ def signatures(docs: DataFrame, scheme: Scheme) -> DataFrame:
                     c.append(None)
                     sig.append(None)
                     continue
-                c.append(int.from_bytes(hashlib.blake2b(h.tobytes(), digest_size=8).digest(), "little", signed=True))
+                c.append(class_of(words))
                 sig.append(scheme.signature(h))
             yield pa.RecordBatch.from_pydict(
                 {
                     "doc_id": batch["doc_id"],
                     "th": batch["th"],
                     "n": pa.array(n, pa.int64()),
-                    "c": pa.array(c, pa.int64()),
+                    "c": pa.array(c, pa.binary()),
                     "sig": pa.array(sig, pa.binary()),
                 }
             )
 
-    return hashed(docs).mapInArrow(run, f"doc_id {doc_id}, th long, n long, c long, sig binary")
+    return hashed(docs).mapInArrow(run, f"doc_id {doc_id}, th long, n long, c binary, sig binary")
 
 
 def buckets(classes: DataFrame, scheme: Scheme) -> DataFrame:
@@ -157,28 +161,50 @@ def buckets(classes: DataFrame, scheme: Scheme) -> DataFrame:
     return classes.select("c", F.posexplode(keys).alias("band", "key"))
 
 
-def confirmed(pairs: DataFrame, texts: DataFrame, scheme: Scheme) -> DataFrame:
-    """The pairs (a, b) whose full sets reach the threshold."""
+def class_sets(docs: DataFrame, wanted: DataFrame, classes: DataFrame, scheme: Scheme) -> DataFrame:
+    """(c, set): the sorted shingle hashes of each class in ``wanted`` (c)."""
+    ids = wanted.distinct().join(classes.select("c", "rep.doc_id", "rep.th"), "c")
+    texts = hashed(docs).join(ids, ["doc_id", "th"]).select("c", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Words()
         for batch in batches:
-            last: tuple = (None, set())
-            own = []
-            for a, ta, tb in zip(batch["a"].to_pylist(), batch["ta"], batch["tb"], strict=True):
-                if last[0] != a:
-                    last = (a, shingles_of(words_of(ta.as_py()), scheme.width))
-                own.append(scheme.linked(last[1], shingles_of(words_of(tb.as_py()), scheme.width)))
-            yield batch.select(["a", "b"]).filter(pa.array(own, pa.bool_()))
+            sets = []
+            for c, text in zip(batch["c"].to_pylist(), batch["text"], strict=True):
+                words = words_of(text.as_py())
+                sets.append(shingle_hashes(words, scheme.width, known).tobytes() if class_of(words) == c else None)
+            out = pa.RecordBatch.from_pydict({"c": batch["c"], "set": pa.array(sets, pa.binary())})
+            yield out.filter(out["set"].is_valid())
 
-    first = texts.select(F.col("c").alias("a"), F.col("text").alias("ta"))
-    second = texts.select(F.col("c").alias("b"), F.col("text").alias("tb"))
-    return pairs.select("a", "b").join(first, "a").join(second, "b").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
+    # a class's first document may be repeated
+    return texts.mapInArrow(run, "c binary, set binary").dropDuplicates(["c"])
 
 
-def class_texts(docs: DataFrame, wanted: DataFrame, classes: DataFrame) -> DataFrame:
-    """(c, text): the text of each class in ``wanted`` (c); once for each row that repeats its first document."""
-    ids = wanted.distinct().join(classes.select("c", "rep.doc_id", "rep.th"), "c")
-    return hashed(docs).join(ids, ["doc_id", "th"]).select("c", "text")
+def confirmed(pairs: DataFrame, sets: DataFrame, scheme: Scheme) -> DataFrame:
+    """The pairs (a, b) whose full sets reach the threshold."""
+    group = F.pmod(F.xxhash64("b"), F.ceil(F.col("of") / FAN)).cast("int")
+    sizes = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("of"))
+    other = pairs.join(sizes, "a").withColumn("group", group).join(sets.withColumnRenamed("c", "b"), "b").select("a", "group", "b", "set")
+    every = F.explode(F.sequence(F.lit(0), (F.ceil(F.col("of") / FAN) - 1).cast("int")))
+    own = sizes.withColumn("group", every).join(sets.withColumnRenamed("c", "a"), "a")
+    own = own.select("a", "group", F.lit(None).cast("binary").alias("b"), "set")
+    dealt = own.unionByName(other).repartition("a", "group").sortWithinPartitions("a", "group", F.asc_nulls_first("b"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = np.empty(0, np.uint64)
+        for batch in batches:
+            kept = []
+            for b, own in zip(batch["b"], batch["set"], strict=True):
+                own = np.frombuffer(own.as_buffer(), np.uint64)
+                if not b.is_valid:
+                    first = own
+                    kept.append(False)
+                    continue
+                shared = len(np.intersect1d(first, own, assume_unique=True))
+                kept.append(bool(scheme.linked(shared, len(first), len(own))))
+            yield batch.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
+
+    return dealt.mapInArrow(run, "a binary, b binary")
 
 
 def estimated(pairs: DataFrame, classes: DataFrame, scheme: Scheme) -> DataFrame:
@@ -194,7 +220,7 @@ def estimated(pairs: DataFrame, classes: DataFrame, scheme: Scheme) -> DataFrame
     one = lambda k: classes.select(F.col("c").alias(k), F.col("sig").alias(f"s{k}"), F.col("n").alias(f"n{k}"))
     near = scheme.den * F.least("na", "nb") >= scheme.num * F.greatest("na", "nb")
     joined = pairs.join(one("a"), "a").join(one("b"), "b").where(near)
-    return joined.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
+    return joined.select("a", "b", "sa", "sb").mapInArrow(run, "a binary, b binary")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -219,111 +245,103 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def open_rows(members: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFrame:
-    """Rows (band, key, c, root, sig, n, blocks) of the buckets whose members are in several components.
+    """Rows (band, key, c, root, n, blocks) of the buckets whose members are in several components.
 
     ``members`` is (band, key, c, p), p the bucket's first class, without the row of p.
     """
-    known = members.join(labels, "c", "left").withColumn("root", F.coalesce("root", "c"))
+    known = members.join(labels, "c", "left").withColumn("root", F.coalesce("root", "c")).join(classes.select("c", "n"), "c")
+    blocks = F.greatest(F.count(F.lit(1)) / BLOCK, 8 * F.sum("n") / BLOCK_BYTES)
     open_ = (
         known.groupBy("band", "key")
-        .agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count(F.lit(1)).alias("size"))
+        .agg(F.min("root").alias("x"), F.max("root").alias("y"), F.ceil(blocks).cast("int").alias("blocks"))
         .where("x <> y")
-        .select("band", "key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
+        .select("band", "key", "blocks")
     )
-    return known.join(open_, ["band", "key"]).join(classes.select("c", "sig", "n"), "c").drop("p")
+    return known.join(open_, ["band", "key"]).drop("p")
 
 
-def open_pairs(rows: DataFrame, scheme: Scheme, parts: int) -> DataFrame:
-    """Packed pairs (i, j, a, b, ra, rb) between components that signatures do not rule out.
+class Forest:
+    """Components that grow together by links."""
 
-    i and j are the parts of the classes a and b, ra and rb their components.
+    def __init__(self, n: int):
+        self.to = list(range(n))
+
+    def root(self, x: int) -> int:
+        while (y := self.to[x]) != x:
+            self.to[x] = x = self.to[y]
+        return x
+
+
+def joining_links(band: int, same: bool, block: np.ndarray, root: list[bytes], sig: np.ndarray, sets: list[np.ndarray], scheme: Scheme) -> list[tuple]:
+    """Links (positions) that join the components of two blocks (block: 0 or 1 of each member), or of one with itself.
+
+    Taken are only the pairs that no band before ``band`` has in one bucket.
     """
+    left, right = (np.arange(len(sets)),) * 2 if same else (np.flatnonzero(block == 0), np.flatnonzero(block == 1))
+    n = np.array([len(x) for x in sets])
+    every = np.concatenate([sets[i] for i in right])
+    order = np.argsort(every, kind="stable")
+    every, owner = every[order], np.repeat(np.arange(len(right)), n[right])[order]
+    number = {r: i for i, r in enumerate(dict.fromkeys(root))}
+    of = np.array([number[r] for r in root])
+    forest, out = Forest(len(number)), []
+    for x in left:
+        equal = sig[right] == sig[x]
+        near = (equal.mean(1) >= scheme.least) & (scheme.den * np.minimum(n[x], n[right]) >= scheme.num * np.maximum(n[x], n[right]))
+        near &= ~equal[:, : band * scheme.rows].reshape(len(right), band, scheme.rows).all(2).any(1)
+        if same:
+            near &= right > x
+        own = forest.root(of[x])
+        candidates = [y for y in np.flatnonzero(near) if forest.root(of[right[y]]) != own]
+        if not candidates:
+            continue
+        lo, hi = np.searchsorted(every, sets[x], "left"), np.searchsorted(every, sets[x], "right")
+        length = hi - lo
+        at = np.repeat(lo - np.cumsum(length) + length, length) + np.arange(length.sum())
+        shared = np.bincount(owner[at], minlength=len(right))
+        linked = scheme.linked(shared, n[x], n[right])
+        for y in candidates:
+            a, b = forest.root(of[x]), forest.root(of[right[y]])
+            if linked[y] and a != b:
+                forest.to[a] = b
+                out.append((x, right[y]))
+    return out
+
+
+def open_links(rows: DataFrame, classes: DataFrame, sets: DataFrame, scheme: Scheme) -> DataFrame:
+    """Links (a, b) between components of the open buckets, enough to join all that are linked."""
     own = F.pmod(F.xxhash64("c"), F.col("blocks")).cast("int")
     rows = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.select(
-        "band", "key", "c", "root", "sig", "n", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")
-    )
+    rows = rows.select("band", "key", "c", "root", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    rows = rows.join(classes.select("c", "sig"), "c").join(sets, "c")
     dealt = rows.repartition("key", "i", "j").sortWithinPartitions("key", "band", "i", "j")
-
-    def pairs(band: int, i: int, j: int, c, root, sig, n, block) -> np.ndarray:
-        """(part of a, part of b, a, b, component of a, component of b) as rows."""
-        left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
-        found = [np.empty((0, 2), np.int64)]
-        for at in range(0, len(left), 32):
-            part = left[at : at + 32]
-            equal = sig[part][:, None] == sig[right][None]
-            ok = (equal.mean(2) >= scheme.least) & (root[part][:, None] != root[right][None])
-            ok &= scheme.den * np.minimum(n[part][:, None], n[right]) >= scheme.num * np.maximum(n[part][:, None], n[right])
-            if i == j:
-                ok &= c[part][:, None] < c[right][None]
-            x, y = np.nonzero(ok)
-            if band:
-                earlier = equal[x, y][:, : band * scheme.rows].reshape(len(x), band, scheme.rows).all(2).any(1)
-                x, y = x[~earlier], y[~earlier]
-            found.append(np.stack((part[x], right[y]), 1))
-        x, y = np.concatenate(found).T
-        swap = c[x] % parts > c[y] % parts
-        x, y = np.where(swap, y, x), np.where(swap, x, y)
-        out = np.stack((c[x] % parts, c[y] % parts, c[x], c[y], root[x], root[y]), 1)
-        return out[np.lexsort((out[:, 1], out[:, 0]))]
-
-    def packed(out: np.ndarray) -> Iterator[tuple]:
-        edges = np.flatnonzero(np.any(np.diff(out[:, :2], axis=0), axis=1)) + 1
-        for own in np.split(out, edges):
-            for at in range(0, len(own), PACK):
-                p = own[at : at + PACK]
-                yield (p[0, 0], p[0, 1], *p[:, 2:].T)
-
-    names = ["band", "key", "c", "root", "sig", "n", "own", "i", "j"]
+    keys = ["band", "key", "i", "j"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list = []
+        last = None
 
         def flush() -> pa.RecordBatch:
-            c, root, n, block = (np.array([r[k] for r in held], np.int64) for k in (2, 3, 5, 6))
-            sig = np.frombuffer(b"".join(r[4] for r in held), "<u2").reshape(len(held), -1)
-            out = list(packed(pairs(held[0][0], *held[0][7:], c, root, sig, n, block))) if len(held) > 1 else []
-            out = [r for r in out if len(r[2])]
-            columns = {k: pa.array([r[x] for r in out], pa.int32()) for x, k in enumerate("ij")}
-            lists = {k: pa.array([r[x] for r in out], pa.list_(pa.int64())) for x, k in enumerate(("a", "b", "ra", "rb"), 2)}
-            return pa.RecordBatch.from_pydict(columns | lists)
+            c, root, block, sig, sets = zip(*held, strict=True)
+            sig = np.frombuffer(b"".join(sig), "<u2").reshape(len(held), -1)
+            sets = [np.frombuffer(x, np.uint64) for x in sets]
+            _, _, i, j = last
+            block = (np.array(block) == j).astype(int) if i != j else np.zeros(len(held), int)
+            out = joining_links(last[0], i == j, block, root, sig, sets, scheme) if i == j or 0 < block.sum() < len(block) else []
+            return pa.RecordBatch.from_pydict({k: pa.array([c[r[x]] for r in out], pa.binary()) for x, k in enumerate("ab")})
 
         for batch in batches:
-            for row in zip(*(batch[k].to_pylist() for k in names), strict=True):
-                if held and (held[0][:2] != row[:2] or held[0][7:] != row[7:]):
-                    yield flush()
-                    held = []
-                held.append(row)
+            columns = [batch[k].to_pylist() for k in (*keys, "c", "root", "own", "sig", "set")]
+            for row in zip(*columns, strict=True):
+                if row[:4] != last:
+                    if held:
+                        yield flush()
+                    held, last = [], row[:4]
+                held.append(row[4:])
         if held:
             yield flush()
 
-    return dealt.mapInArrow(run, "i int, j int, a array<long>, b array<long>, ra array<long>, rb array<long>")
-
-
-def confirmed_packed(pairs: DataFrame, texts: DataFrame, scheme: Scheme) -> DataFrame:
-    """Links (a, b) that connect the components of the packed pairs, confirmed on full sets."""
-    wanted = pairs.select("i", "j", F.explode(F.array_distinct(F.concat("a", "b"))).alias("c")).distinct()
-    held = texts.join(wanted, "c").select(F.col("i").alias("x"), F.col("j").alias("y"), "c", "text")
-
-    def run(packs: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
-        sets = {c: shingles_of(words_of(t), scheme.width) for c, t in zip(own["c"], own["text"], strict=True)}
-        to: dict[int, int] = {}
-
-        def root(x: int) -> int:
-            while (y := to.get(x, x)) != x:
-                to[x] = x = to.get(y, y)
-            return x
-
-        out = []
-        for pack in packs.itertuples():
-            for a, b, ra, rb in zip(pack.a, pack.b, pack.ra, pack.rb, strict=True):
-                x, y = root(ra), root(rb)
-                if x != y and scheme.linked(sets[a], sets[b]):
-                    to[x] = y
-                    out.append((a, b))
-        return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
-
-    return pairs.groupBy("i", "j").cogroup(held.groupBy("x", "y")).applyInPandas(run, "a long, b long")
+    return dealt.mapInArrow(run, "a binary, b binary")
 
 
 def near_duplicates(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
@@ -343,17 +361,14 @@ def near_duplicates(docs: DataFrame, width: int, num: int, den: int) -> DataFram
     star = members.select(F.col("p").alias("a"), F.col("c").alias("b")).distinct()
     star = keep(estimated(star, classes, scheme), "dup-star")
     ends = star.select(F.explode(F.array("a", "b")).alias("c"))
-    texts = keep(class_texts(docs, ends, classes), "dup-texts")
-    links = keep(confirmed(star, texts, scheme), "dup-links")
+    sets = keep(class_sets(docs, ends, classes, scheme), "dup-sets")
+    links = keep(confirmed(star, sets, scheme), "dup-links")
     labels = components(links)
 
     rows = keep(open_rows(members, labels, classes), "dup-open")
-    parts = -(-rows.select("c").distinct().count() // TEXTS) or 1
-    pairs = keep(open_pairs(rows, scheme, parts), "dup-pairs")
-    if not pairs.isEmpty():
-        ends = pairs.select(F.explode(F.array_distinct(F.concat("a", "b"))).alias("c")).distinct()
-        more = class_texts(docs, ends.join(texts, "c", "left_anti"), classes)
-        new = keep(confirmed_packed(pairs, texts.unionByName(more), scheme), "dup-links")
+    if not rows.isEmpty():
+        more = keep(class_sets(docs, rows.select("c").join(sets, "c", "left_anti"), classes, scheme), "dup-sets")
+        new = keep(open_links(rows, classes, sets.unionByName(more), scheme), "dup-links")
         if not new.isEmpty():
             labels = components(links.unionByName(new))
 
@@ -370,8 +385,9 @@ def near_duplicates(docs: DataFrame, width: int, num: int, den: int) -> DataFram
 def without_near_duplicates(docs: DataFrame, width: int = 5, num: int = 8, den: int = 10) -> DataFrame:
     """``docs`` with one document of each component, that of the smallest id."""
     gone = near_duplicates(docs, width, num, den).where("doc_id <> component_id").select("doc_id", "th").distinct()
-    known = docs.withColumn("th", F.xxhash64("text"))
-    return known.join(keep(gone, "dup-gone"), ["doc_id", "th"], "left_anti").select(*docs.columns)
+    th = free(docs, "th")
+    known = docs.withColumn(th, F.xxhash64("text"))
+    return known.join(keep(gone.withColumnRenamed("th", th), "dup-gone"), ["doc_id", th], "left_anti").select(*map(column, docs.columns))
 
 
 def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

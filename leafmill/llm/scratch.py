@@ -10,7 +10,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _LOCAL: dict[str, str] = {}
 
@@ -37,3 +38,31 @@ def keep(df: DataFrame, name: str) -> DataFrame:
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One input table."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def free(df: DataFrame, *names: str) -> str | list[str]:
+    """``names`` with as many underscores before each as make it no column of ``df`` (in any case)."""
+    used, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in used:
+            name = f"_{name}"
+        used.add(name.lower())
+        out.append(name)
+    return out[0] if len(out) == 1 else out
+
+
+def column(name: str) -> Column:
+    """The column of exactly this name, dots and all."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def own_names(df: DataFrame, *outputs: str) -> dict[str, str]:
+    """New names of the columns of ``df`` whose names are those of ``outputs``: ``_in`` is put after them."""
+    taken, used, out = {x.lower() for x in outputs}, {c.lower() for c in df.columns}, {}
+    for c in df.columns:
+        name = c
+        while name.lower() in taken or name != c and name.lower() in used:
+            name = f"{name}_in"
+        used.add(name.lower())
+        out[c] = name
+    return out

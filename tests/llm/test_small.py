@@ -191,6 +191,24 @@ def test_ledger(spark):
 # 6 near duplicates
 
 
+def linked_by_brute_force(rows, width, num, den):
+    """Shingle sets, and the least id that each id is linked with."""
+    sets = {i: decontaminate.shingles_of(decontaminate.words_of(t), width) for i, t, _ in rows if i is not None}
+    to = {i: i for i in sets}
+
+    def root(x):
+        while to[x] != x:
+            x = to[x]
+        return x
+
+    for a in sets:
+        for b in sets:
+            if a < b and sets[a] and den * len(shared := sets[a] & sets[b]) >= num * (len(sets[a]) + len(sets[b]) - len(shared)) and shared:
+                x, y = sorted((root(a), root(b)))
+                to[y] = x
+    return sets, root
+
+
 def test_near_duplicates(spark):
     base = [words(random.randint(3, 120)).split() for _ in range(25)]
     rows = []
@@ -204,29 +222,36 @@ def test_near_duplicates(spark):
             rows += [(len(rows) + k, " ".join([*b[:-1], f"z{k}"]), "a") for k in range(60)]
     n = len(rows)
     rows += [(n, None, "a"), (n + 1, "", "a"), (n + 2, "two words", "a"), (n + 3, "Two\nWORDS", "b"), (0, rows[0][1], "a"), (n + 4, words(9000), "a"), (None, rows[0][1], "a")]
-    frame = docs(spark, rows).withColumn("c", F.lit("clash")).withColumn("th", F.lit(0))
+    turned = words(30)
+    rows += [(n + 5, f"{turned} {turned} {turned}", "a"), (n + 6, f"{turned} {turned}", "a")]  # equal sets, other words
+    frame = docs(spark, rows).withColumn("c", F.lit("clash")).withColumn("th", F.lit("mine")).withColumn("a.b", F.lit("dot"))
     got = near_dup.near_duplicates(frame, 3, 85, 100).collect()
     assert len(got) == len(rows)
-    sets = {i: decontaminate.shingles_of(decontaminate.words_of(t), 3) for i, t, _ in rows if i is not None}
-    to = {i: i for i in sets}
-
-    def root(x):
-        while to[x] != x:
-            x = to[x]
-        return x
-
-    for a in sets:
-        for b in sets:
-            if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b]):
-                x, y = sorted((root(a), root(b)))
-                to[y] = x
+    sets, root = linked_by_brute_force(rows, 3, 85, 100)
     assert {(r.doc_id, r.n_shingles, r.component_id) for r in got if r.doc_id is not None} == {(i, len(s), root(i)) for i, s in sets.items()}
     kept = near_dup.without_near_duplicates(frame, 3, 85, 100)
     assert kept.columns == frame.columns
-    assert {r.doc_id for r in kept.collect() if r.doc_id is not None} == {i for i in sets if root(i) == i}
+    found = kept.collect()
+    assert {r.doc_id for r in found if r.doc_id is not None} == {i for i in sets if root(i) == i}
+    assert {(r.c, r.th, r["a.b"]) for r in found} == {("clash", "mine", "dot")}
     assert near_dup.near_duplicates(frame.where("false"), 3, 85, 100).count() == 0
 
 
+def test_near_misses_by_blocks(spark, monkeypatch):
+    monkeypatch.setattr(near_dup, "BLOCK", 128)
+    monkeypatch.setattr(near_dup, "FAN", 64)
+    base, rows = words(100).split(), []
+    for i in range(700):
+        w = list(base)
+        for at in random.sample(range(100), random.choice((1, 2, 3, 3, 4, 4, 5))):
+            w[at] = f"x{i}.{at}"
+        rows.append((i, " ".join(w), "a"))
+    sets, root = linked_by_brute_force(rows, 3, 85, 100)
+    got = near_dup.near_duplicates(docs(spark, rows), 3, 85, 100).collect()
+    assert {(r.doc_id, r.component_id) for r in got} == {(i, root(i)) for i in sets}
+    assert 10 < len({root(i) for i in sets}) < 600
+
+
 def test_components(spark):
     n = 200
     path = [(i, i + 1) for i in range(n)] + [(1000, 1001), (1001, 1002), (1000, 1002)]
