@@ -13,11 +13,16 @@ with one slice are one list, and an object's score is the sum over the lists.
 
 The stated queries meet all rows in blocks: rows are grouped by a hash of their id into
 groups of about ``ROWS``, queries into blocks of about ``QUERIES``, and each pair of group
-and block is one bounded task of matrix products.  Cutoffs travel with the query blocks.
-Only local winners (k for a query and group) leave a task, and merging them pre-aggregates.
+and block is one bounded task, which has that group's part of every list as one matrix
+product; whole scores are added up only for the entries gathered (1) or sufficient (2).
+The lists of a group stay together because, of dense vectors, about a fifth of all entries
+reach the cutoff: as rows between tasks they would cost far more than the products.
+Cutoffs travel with the query blocks.  Only local winners (k for a query and group) leave
+a task, and they are cut to k again before and after the shuffle.
 
-Integer components are exact in double precision while k-term sums stay below 2 ** 53;
-beyond that, Python integers are used.
+Whole scores are exact: in double precision while ``LISTS`` times the largest possible sum
+stays below 2 ** 53, and beyond that in Python integers.  Scores beyond the range of a long
+are the nearest long, and rank as that.
 
 Defined results: rows whose vector is null, or has a null or non-finite component, take no
 part, as query or candidate; neither do rows without id; a vector id on several rows stands
@@ -30,7 +35,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .scratch import keep, table
@@ -38,6 +43,7 @@ from .scratch import keep, table
 K, LISTS, SCALE = 5, 4, 256
 ROWS, QUERIES = 1024, 1024
 EXACT = 2.0**53
+LEAST, MOST = -(1 << 63), (1 << 63) - 1
 
 
 def usable(vector: Column) -> Column:
@@ -54,17 +60,29 @@ def matrix(vectors: pd.Series, width: int) -> np.ndarray:
     return np.floor(out * SCALE)
 
 
-def products(q: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """Exact inner products of all pairs."""
-    bound = np.abs(q).max(initial=0) * np.abs(x).max(initial=0) * max(1, q.shape[1])
-    if bound < EXACT:
-        return q @ x.T
-    to = lambda a: np.array([[int(c) for c in r] for r in a], object).reshape(a.shape)
-    return to(q) @ to(x).T
+def integers(a: np.ndarray) -> np.ndarray:
+    """The same whole numbers as Python integers."""
+    return np.array([[int(c) for c in r] for r in a], object).reshape(a.shape)
+
+
+def lists_of(q: np.ndarray, x: np.ndarray) -> list[np.ndarray]:
+    """The exact partial products of all queries and rows, one array for each slice of the dimensions."""
+    bound = np.abs(q).max(initial=0) * np.abs(x).max(initial=0) * max(1, q.shape[1]) * LISTS
+    if not bound < EXACT:
+        q, x = integers(q), integers(x)
+    return [q[:, s] @ x[:, s].T for s in slices(q.shape[1])]
+
+
+def whole(lists: list[np.ndarray], i: int, own: np.ndarray) -> np.ndarray:
+    """Scores of query ``i`` with the rows ``own``, within the range of a long."""
+    total = sum(p[i, own] for p in lists)
+    return total if total.dtype != object else np.array([min(max(t, LEAST), MOST) for t in total], object)
 
 
 def best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     """Positions of the k best of one row, ties to the smaller id."""
+    if scores.dtype == object:
+        return np.array(sorted(range(len(scores)), key=lambda i: (-scores[i], ids[i]))[:k], np.int64)
     if len(scores) > k:
         cut = np.partition(scores, len(scores) - k)[len(scores) - k]
         own = np.flatnonzero(scores >= cut)
@@ -91,49 +109,52 @@ def loaded(rows: pd.DataFrame, queries: pd.DataFrame) -> tuple:
 
 def slices(width: int) -> list[slice]:
     edges = [width * i // LISTS for i in range(LISTS + 1)]
-    return [slice(a, b) for a, b in zip(edges, edges[1:], strict=False) if b > a]
+    return [slice(a, b) for a, b in zip(edges, edges[1:], strict=False) if b > a] or [slice(0, 0)]
 
 
 def winners(query_ids: list, ids: list, scores: list) -> pd.DataFrame:
-    return pd.DataFrame({"query_id": query_ids, "vec_id": ids, "score": scores}).astype("int64")
+    return pd.DataFrame({"query_id": query_ids, "vec_id": ids, "score": [int(s) for s in scores]}).astype("int64")
 
 
 def gather(rows: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
-    """Phase 1 in one group: full scores of the k best objects among the lists' local best."""
+    """Phase 1 in one group: the k best, by whole scores, of the lists' local best."""
     if rows.empty or queries.empty:
         return winners([], [], [])
-    ids, x, _, query_ids, q, width = loaded(rows, queries)
-    partial = [products(q[:, s], x[:, s]) for s in slices(width)]
-    total = sum(partial)
+    ids, x, _, query_ids, q, _ = loaded(rows, queries)
+    lists = lists_of(q, x)
     out: tuple[list, list, list] = ([], [], [])
     for i, query in enumerate(query_ids):
         other = np.flatnonzero(ids != query)
-        local = np.unique(np.concatenate([best(p[i, other], ids[other], K) for p in partial]))
-        own = other[local]
-        top = own[best(total[i, own], ids[own], K)]
+        own = other[np.unique(np.concatenate([best(p[i, other], ids[other], K) for p in lists]))]
+        total = whole(lists, i, own)
+        top = best(total, ids[own], K)
         out[0].extend([query] * len(top))
-        out[1].extend(ids[top])
-        out[2].extend(total[i, top])
+        out[1].extend(ids[own[top]])
+        out[2].extend(total[top])
     return winners(*out)
 
 
+def below(bound: int) -> float | int:
+    """A number no greater than ``bound`` that compares exactly with doubles; all of them if there is no bound."""
+    if bound == LEAST:
+        return -np.inf
+    return float(bound) if abs(bound) < EXACT else float(np.nextafter(float(bound), -np.inf))
+
+
 def resolve(rows: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
     """Phases 2 and 3 in one group: the entries that reach the cutoff in a list, scored, and the k best kept."""
     if rows.empty or queries.empty:
         return winners([], [], [])
-    ids, x, queries, query_ids, q, width = loaded(rows, queries)
-    parts = slices(width)
-    bound = queries["bound"].to_numpy(dtype=float, na_value=-np.inf)
-    partial = [products(q[:, s], x[:, s]) for s in parts]
-    cutoff = (bound / len(parts))[:, None]
-    sufficient = np.zeros(partial[0].shape, bool)
-    for p in partial:
-        sufficient |= p >= cutoff
+    ids, x, queries, query_ids, q, _ = loaded(rows, queries)
+    lists = lists_of(q, x)
     out: tuple[list, list, list] = ([], [], [])
-    for i, query in enumerate(query_ids):
-        own = np.flatnonzero(sufficient[i] & (ids != query))
-        total = sum(p[i, own] for p in partial)
-        reach = total >= bound[i]
+    for i, (query, bound) in enumerate(zip(query_ids, map(int, queries["bound"]), strict=True)):
+        bound = below(bound)
+        sufficient = ids != query
+        sufficient &= np.logical_or.reduce([len(lists) * p[i] >= bound for p in lists]).astype(bool)
+        own = np.flatnonzero(sufficient)
+        total = whole(lists, i, own)
+        reach = np.asarray(total >= bound, bool)
         own, total = own[reach], total[reach]
         top = best(total, ids[own], K)
         out[0].extend([query] * len(top))
@@ -142,15 +163,10 @@ def resolve(rows: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
     return winners(*out)
 
 
-def merged(lists: DataFrame) -> DataFrame:
-    """(query_id, top): the k best entries of each query, in order."""
-    entry = F.struct((-F.col("score")).alias("minus"), F.col("vec_id"), F.col("score"))
-    part = F.slice(F.array_sort(F.collect_list(entry)), 1, K)
-    # in two steps, so that no task gathers the entries of all groups for a query at once
-    first = lists.groupBy("query_id", F.pmod(F.xxhash64("vec_id"), F.lit(32)).alias("part")).agg(part.alias("some"))
-    return first.groupBy("query_id").agg(
-        F.slice(F.array_sort(F.flatten(F.collect_list("some"))), 1, K).alias("top")
-    )
+def ranked(lists: DataFrame) -> DataFrame:
+    """(query_id, rank, vec_id, score): the k best entries of each query."""
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    return lists.withColumn("rank", rank).where(F.col("rank") <= K).select("query_id", "rank", "vec_id", "score")
 
 
 def top_k(vectors: DataFrame, is_query: Column) -> DataFrame:
@@ -159,7 +175,7 @@ def top_k(vectors: DataFrame, is_query: Column) -> DataFrame:
         F.col("vec_id").cast("long"), F.col("vector").cast("array<double>")
     )
     asked = fine.where(is_query)
-    n, n_queries = fine.count(), asked.count()
+    n, n_queries = fine.agg(F.count(F.lit(1)), F.count_if(is_query)).first()
     groups, blocks = max(1, -(-n // ROWS)), max(1, -(-n_queries // QUERIES))
     every = lambda k: F.explode(F.sequence(F.lit(0), F.lit(k - 1)))
     hashed = lambda c, k: F.pmod(F.xxhash64(c), F.lit(k)).cast("int")
@@ -172,12 +188,9 @@ def top_k(vectors: DataFrame, is_query: Column) -> DataFrame:
         schema = "query_id long, vec_id long, score long"
         return rows.groupBy("g", "b").cogroup(spread.groupBy("g", "b")).applyInPandas(task, schema)
 
-    bounds = merged(in_blocks(queries, gather)).where(F.size("top") == K)
-    bounds = keep(bounds.select("query_id", F.element_at("top", -1)["score"].alias("bound")), "topk-bounds")
-    found = merged(in_blocks(queries.join(bounds, "query_id", "left"), resolve))
-    return found.select("query_id", F.posexplode("top").alias("at", "x")).select(
-        "query_id", (F.col("at") + 1).alias("rank"), F.col("x.vec_id").alias("vec_id"), F.col("x.score").alias("score")
-    )
+    bounds = ranked(in_blocks(queries, gather)).where(F.col("rank") == K).select("query_id", F.col("score").alias("bound"))
+    known = queries.join(keep(bounds, "topk-bounds"), "query_id", "left").withColumn("bound", F.coalesce("bound", F.lit(LEAST)))
+    return ranked(in_blocks(known, resolve))
 
 
 def op2_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
