@@ -12,8 +12,9 @@ that take further sweeps over the (narrow) keys, of which the longest match wins
 
 Defined results: a null URL, or one without ``://``, has empty host and path and fits no
 rule; of rules with equal host and path the blocking one holds; of equally long ones that
-fit, the one with the longer host; no rule leaves ``default``.  Equal URLs are judged
-alike, extra columns pass through, an empty table gives no rows.
+fit, the one with the longer host, in however many sweeps; no rule leaves ``default``.
+Equal URLs are judged alike, extra columns pass through (one named like an output gets
+``_in`` after its name), an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .scratch import table
+from .scratch import column, free, own_names, table
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 RULES_PER_PASS = 200_000
@@ -60,17 +61,16 @@ def key_of(host: str) -> str:
 
 
 class Level:
-    """The rules of one host: path prefix -> (rule, action)."""
+    """The rules of one host: path prefix -> (length of rule, length of host, whether it blocks, rule, action), the larger the stronger."""
 
     def __init__(self, key: str):
         self.key, self.paths, self.lengths = key, {}, []
 
     def add(self, host: str, path: str, action: str) -> None:
-        if self.paths.get(path, ("", ""))[1] != "block":
-            self.paths[path] = (host + path, action)
-        self.lengths = sorted({len(p) for p in self.paths}, reverse=True)
+        hit = (len(host + path), len(host), action == "block", host + path, action)
+        self.paths[path] = max(hit, self.paths.get(path, hit))
 
-    def longest(self, path: str) -> tuple[str, str] | None:
+    def longest(self, path: str) -> tuple | None:
         for n in self.lengths:
             if n <= len(path) and (hit := self.paths.get(path[:n])):
                 return hit
@@ -83,6 +83,8 @@ def levels(rules: list[tuple[str, str, str]]) -> list[Level]:
     for action, host, path in rules:
         key = key_of(host)
         by.setdefault(key, Level(key)).add(host, path, action)
+    for level in by.values():
+        level.lengths = sorted({len(p) for p in level.paths}, reverse=True)
     return [by[k] for k in sorted(by)]
 
 
@@ -92,7 +94,7 @@ class Sweep:
     def __init__(self, ordered: list[Level]):
         self.rules, self.next, self.open, self.key = ordered, 0, [], None
 
-    def judge(self, key: str, path: str) -> tuple[str | None, str | None]:
+    def judge(self, key: str, path: str) -> tuple | None:
         if key != self.key:
             self.key = key
             while self.open and not key.startswith(self.open[-1].key):
@@ -101,32 +103,29 @@ class Sweep:
                 if key.startswith(self.rules[self.next].key):
                     self.open.append(self.rules[self.next])
                 self.next += 1
-        best: tuple[str | None, str | None] = (None, None)
-        for level in self.open:  # from the shortest host to the longest
-            hit = level.longest(path)
-            if hit and (best[0] is None or len(hit[0]) >= len(best[0])):
-                best = hit
-        return best
+        return max((hit for level in self.open if (hit := level.longest(path))), default=None)
 
 
-def sweep_once(keys: DataFrame, rules: list[tuple[str, str, str]]) -> DataFrame:
-    """``keys`` (with ``_key`` and ``_path``) with the rule and action of this set of rules."""
+BEST = (("length", "int"), ("host", "int"), ("blocks", "boolean"), ("rule", "string"), ("action", "string"))
+
+
+def sweep_once(keys: DataFrame, key: str, path: str, best: list[str], rules: list[tuple[str, str, str]]) -> DataFrame:
+    """``keys`` with the columns ``best`` of this set of rules where it is stronger than what they hold."""
     ordered = keys.sparkSession.sparkContext.broadcast(levels(rules))
-    schema = keys.select("*").schema.add("_rule", "string").add("_action", "string")
+    others = [c for c in keys.columns if c not in best]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sweep = Sweep(ordered.value)
         for batch in batches:
-            found = [
-                sweep.judge(k, p)
-                for k, p in zip(batch["_key"].to_pylist(), batch["_path"].to_pylist(), strict=True)
-            ]
-            columns = {n: batch[n] for n in batch.schema.names}
-            columns["_rule"] = pa.array([x[0] for x in found], pa.string())
-            columns["_action"] = pa.array([x[1] for x in found], pa.string())
-            yield pa.RecordBatch.from_pydict(columns)
+            found = []
+            for k, p, *old in zip(batch[key].to_pylist(), batch[path].to_pylist(), *(batch[b].to_pylist() for b in best), strict=True):
+                hit = sweep.judge(k, p)
+                found.append(hit if hit and (old[0] is None or hit > tuple(old)) else old)
+            columns = [pa.array([x[i] for x in found], batch[b].type) for i, b in enumerate(best)]
+            yield pa.RecordBatch.from_arrays([*(batch[c] for c in others), *columns], names=[*others, *best])
 
-    return keys.sortWithinPartitions("_key", "_path").mapInArrow(run, schema)
+    ordered_keys = keys.select(*map(column, others), *best).sortWithinPartitions(key, path)
+    return ordered_keys.mapInArrow(run, ordered_keys.schema)
 
 
 def url_filter(
@@ -136,32 +135,19 @@ def url_filter(
     rules_per_pass: int = RULES_PER_PASS,
 ) -> DataFrame:
     """``pages`` (a ``url`` and any other columns) with host, path, rule and verdict."""
-    names = [c for c in pages.columns if c not in ("host", "path", "rule", "verdict")]
-    keys = pages.select(
-        *names, host_of(F.col("url")).alias("_host"), path_of(F.col("url")).alias("_path")
-    ).withColumn("_key", host_key(F.col("_host")))
-    out = keys.withColumn("_best", F.lit(None).cast("string")).withColumn(
-        "_verdict", F.lit(None).cast("string")
-    )
+    names = own_names(pages, "host", "path", "rule", "verdict")
+    out = pages.select(*(column(c).alias(n) for c, n in names.items()))
+    host, path, key, *best = free(out, "_host", "_path", "_key", *(f"_best_{n}" for n, _ in BEST))
+    out = out.withColumn(host, host_of(F.col("url"))).withColumn(path, path_of(F.col("url"))).withColumn(key, host_key(F.col(host)))
+    out = out.select("*", *(F.lit(None).cast(kind).alias(b) for b, (_, kind) in zip(best, BEST, strict=True)))
     for i in range(0, len(rules), rules_per_pass):
-        out = sweep_once(out, rules[i : i + rules_per_pass])
-        better = F.col("_rule").isNotNull() & (
-            F.col("_best").isNull()
-            | (F.length("_rule") > F.length("_best"))
-            | ((F.col("_rule") == F.col("_best")) & (F.col("_action") == "block"))
-        )
-        out = (
-            out.withColumn("_better", better)
-            .withColumn("_best", F.when(F.col("_better"), F.col("_rule")).otherwise(F.col("_best")))
-            .withColumn("_verdict", F.when(F.col("_better"), F.col("_action")).otherwise(F.col("_verdict")))
-            .drop("_rule", "_action", "_better")
-        )
+        out = sweep_once(out, key, path, best, rules[i : i + rules_per_pass])
     return out.select(
-        *names,
-        F.col("_host").alias("host"),
-        F.col("_path").alias("path"),
-        F.col("_best").alias("rule"),
-        F.coalesce("_verdict", F.lit(default)).alias("verdict"),
+        *map(column, names.values()),
+        F.col(host).alias("host"),
+        F.col(path).alias("path"),
+        F.col(best[3]).alias("rule"),
+        F.coalesce(best[4], F.lit(default)).alias("verdict"),
     )
 
 
