@@ -1,13 +1,15 @@
 r"""Secret scan with an incremental blob ledger, in DataFrame operations only.
 
-Every version of a text is addressed by its SHA-256.  The ledger holds, for each blob and
-each version of a rule, the spans found; a scan reads only the (blob, rule version) pairs
-that the ledger lacks, and findings are joined back to every path that has the blob.  A
-text with thousands of copies is scanned once.
+Every version of a text is addressed by its SHA-256.  The ledger, a table that each scan
+appends to, holds for each blob the rule versions it was scanned by and the spans each of
+them found; a scan reads only the (blob, rule version) pairs that the ledger lacks, and the
+findings of the rule versions asked for are joined back from it to every path that has the
+blob.  A text with thousands of copies is scanned once.
 
 Spans need no Python: cutting the text at the matches (``split``) and collecting the
 matches (``regexp_extract_all``) with the same pattern give pieces and matches in turn,
-whose lengths add up to positions in code points.  The cut runs only where there is a match.
+whose lengths add up to positions in code points, ``CHUNK`` matches at a time.  The cut runs
+only where there is a match.
 
 Base rules, leftmost and non-overlapping, failing matches dropped: ``assign`` (a keyword,
 ``:`` or ``=``, a value of at least 8 characters), ``access`` (``AKIA`` and at least 12
@@ -17,16 +19,20 @@ tested afterwards, for a dropped match uses up its text.  The method adds ``pem`
 key headers) and ``ghtoken`` (``ghp_...`` tokens).
 
 Defined results: a null text is the empty text and has no spans; equal texts have equal
-findings; repeated rows stay repeated; extra columns of any name pass through; an empty
-table gives no rows.
+findings; repeated rows stay repeated; extra columns pass through (one named ``_found`` gets
+``_in`` after its name); spans of rules or versions that are not asked for stay in the
+ledger and out of the result; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .scratch import keep, table
+from .scratch import column, free, own_names, shared_dir, table
 
 # Kind, version, pattern, group whose length counts, least length.  The first three are the base.
 RULES = [
@@ -37,34 +43,38 @@ RULES = [
     ("ghtoken", 1, r"gh[pousr]_[A-Za-z0-9]{36,}", 0, 40),
 ]
 BASE = ("assign", "access", "hex")
-SPANS = "array<struct<start:bigint,rank:int,kind:string,end:bigint>>"
+CHUNK = 256
+SPANS = "array<struct<start:bigint,kind:string,end:bigint,rule:string>>"
+LEDGER = f"blob string, scanned array<string>, found {SPANS}"
 
 
 def rule_id(rule: tuple) -> str:
     return f"{rule[0]}@{rule[1]}"
 
 
-def spans_of(text: Column, matches: Column, rule: tuple, rank: int) -> Column:
+def spans_of(text: Column, matches: Column, rule: tuple) -> Column:
     """Spans of the matches of one rule, from the pieces between them."""
     kind, _, pattern, group, least = rule
     pieces = F.split(text, pattern, -1)
     counted = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else matches
-    parts = F.arrays_zip(
-        F.slice(pieces, F.lit(1), F.size(matches)).alias("p"), matches.alias("m"), counted.alias("c")
-    )
     none = F.from_json(F.lit("[]"), SPANS)
-    start = F.struct(F.lit(0).cast("long").alias("at"), none.alias("out"))
 
     def step(acc: Column, x: Column) -> Column:
         begin = acc["at"] + F.length(x["p"])
         end = begin + F.length(x["m"])
-        span = F.struct(
-            begin.alias("start"), F.lit(rank).alias("rank"), F.lit(kind).alias("kind"), end.alias("end")
-        )
+        span = F.struct(begin.alias("start"), F.lit(kind).alias("kind"), end.alias("end"), F.lit(rule_id(rule)).alias("rule"))
         out = F.when(F.length(x["c"]) >= least, F.concat(acc["out"], F.array(span))).otherwise(acc["out"])
         return F.struct(end.alias("at"), out.alias("out"))
 
-    return F.aggregate(parts, start, step, lambda acc: acc["out"])
+    def chunk(done: Column, k: Column) -> Column:
+        some = lambda a: F.slice(a, k, F.least(F.lit(CHUNK), F.size(matches) - k + 1))
+        parts = F.arrays_zip(some(pieces).alias("p"), some(matches).alias("m"), some(counted).alias("c"))
+        start = F.struct(F.element_at(done, -1)["at"].alias("at"), none.alias("out"))
+        return F.concat(done, F.array(F.aggregate(parts, start, step)))
+
+    begin = F.array(F.struct(F.lit(0).cast("long").alias("at"), none.alias("out")))
+    at = F.sequence(F.lit(1), F.size(matches), F.lit(CHUNK))
+    return F.aggregate(at, begin, chunk, lambda done: F.flatten(F.transform(done, lambda x: x["out"])))
 
 
 def scan(blobs: DataFrame, rules: list[tuple]) -> DataFrame:
@@ -77,7 +87,7 @@ def scan(blobs: DataFrame, rules: list[tuple]) -> DataFrame:
         )
     none = F.from_json(F.lit("[]"), SPANS)
     found = [
-        F.when(F.size(f"m{i}") > 0, spans_of(F.col("text"), F.col(f"m{i}"), rule, i)).otherwise(none)
+        F.when(F.size(f"m{i}") > 0, spans_of(F.col("text"), F.col(f"m{i}"), rule)).otherwise(none)
         for i, rule in enumerate(rules)
     ]
     wanted = F.array(*[F.lit(rule_id(r)) for r in rules])
@@ -110,21 +120,40 @@ def blob_of(text: Column) -> Column:
     return F.sha2(F.coalesce(text, F.lit("")), 256)
 
 
-def secret_scan(paths: DataFrame, ledger: DataFrame | None = None, rules: list[tuple] = RULES, text: str = "text") -> DataFrame:
-    """``paths`` (a text and any other columns, but not ``_blob``/``_found``) with ``_found``, the spans of each row.
+def ledger_rows(spark: SparkSession, path: str) -> DataFrame | None:
+    """The ledger table at ``path``; None if there is none yet."""
+    try:
+        return spark.read.schema(LEDGER).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def secret_scan(paths: DataFrame, ledger: str | None = None, rules: list[tuple] = RULES, text: str = "text") -> DataFrame:
+    """``paths`` (a text and any other columns) without the text, and with ``_found``, the spans of each row.
 
-    Rows of blobs without findings get an empty array.
+    ``ledger`` is the folder of the ledger table, to which this scan appends; None starts a new
+    one.  Rows of blobs without findings get an empty array.
     """
-    known = paths.withColumn("_blob", blob_of(F.col(text)))
-    versions = known.select(F.col("_blob").alias("blob"), F.coalesce(text, F.lit("")).alias("text"))
-    found = keep(new_findings(versions, ledger, rules), "secret-ledger").select("blob", "found")
-    if ledger is not None:
-        found = found.unionByName(ledger.select("blob", "found"))
-        # several ledger rows of a blob: one for each time that rules were added
-        found = found.groupBy("blob").agg(F.flatten(F.collect_list("found")).alias("found"))
-    found = found.where(F.size("found") > 0).select(F.col("blob").alias("_blob"), F.col("found").alias("_found"))
-    joined = known.drop(text).join(found, "_blob", "left")
-    return joined.withColumn("_found", F.coalesce("_found", F.from_json(F.lit("[]"), SPANS))).drop("_blob")
+    spark = paths.sparkSession
+    place = ledger or f"{shared_dir(spark)}/secret-ledger-{uuid.uuid4().hex}"
+    names = own_names(paths, "_found")
+    blob = free(paths, "_blob")
+    known = paths.select(*(column(c).alias(n) for c, n in names.items()), blob_of(column(text)).alias(blob))
+    versions = known.select(F.col(blob).alias("blob"), F.coalesce(column(names[text]), F.lit("")).alias("text"))
+    new_findings(versions, ledger_rows(spark, place), rules).write.mode("append").parquet(place)
+
+    wanted = {rule_id(r): i for i, r in enumerate(rules)}
+    asked = F.filter("found", lambda s: s["rule"].isin(*wanted))
+    ranks = F.create_map(*(F.lit(x) for pair in wanted.items() for x in pair))
+    ranked = lambda s: F.struct(s["start"].alias("start"), ranks[s["rule"]].alias("rank"), s["kind"].alias("kind"), s["end"].alias("end"))
+    found = ledger_rows(spark, place).select(F.col("blob").alias(blob), F.transform(asked, ranked).alias("_found")).where(F.size("_found") > 0)
+    # several ledger rows of a blob: one for each time that rules were added
+    found = found.groupBy(blob).agg(F.array_distinct(F.flatten(F.collect_list("_found"))).alias("_found"))
+    joined = known.select(*(column(n) for c, n in names.items() if c != text), blob).join(found, blob, "left")
+    none = F.from_json(F.lit("[]"), "array<struct<start:bigint,rank:int,kind:string,end:bigint>>")
+    return joined.withColumn("_found", F.coalesce("_found", none)).drop(blob)
 
 
 def written(spans: Column) -> Column:
