@@ -30,6 +30,8 @@ import hashlib
 import heapq
 import re
 from collections.abc import Iterator
+from itertools import groupby, islice
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +41,7 @@ from pyspark.sql import functions as F
 from .scratch import table
 
 KINDS = ("email", "ip", "card", "phone")
-LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
+LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
 IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
@@ -48,7 +50,7 @@ TRIGGER = re.compile(r"[0-9@]+")
 NOT_DIGIT = re.compile(r"[^0-9]+")
 
 WIDTH, EDGE, REACH = 96, 16, 32
-WINDOWS_PER_KIND = 256
+WINDOWS_PER_KIND, SALTS = 256, 16
 HIDDEN, STEPS, BATCH, RATE = 12, 200, 48, 0.02
 BATCH_WINDOWS = 2048
 TAGS = 1 + 2 * len(KINDS)  # O, then B and I of each kind
@@ -69,11 +71,12 @@ def luhn(digits: str) -> bool:
 def emails(text: str) -> Iterator[tuple[int, int]]:
     last, at = 0, text.find("@")
     while at >= 0:
-        head = text[last:at]
-        local = len(head) - len(head.rstrip(LOCAL))
-        m = DOMAIN.match(text, at + 1) if local else None
+        first = at
+        while first > last and text[first - 1] in LOCAL:
+            first -= 1
+        m = DOMAIN.match(text, at + 1) if first < at else None
         if m:
-            yield at - local, m.end()
+            yield first, m.end()
             last = m.end()
         at = text.find("@", max(at + 1, last))
 
@@ -341,40 +344,40 @@ def added(text: str, base: list[Span], found: list[Span]) -> list[Span]:
 
 
 def training_windows(docs: DataFrame) -> DataFrame:
-    """(kind, x, y): labelled windows, at most ``WINDOWS_PER_KIND`` of each kind and of none, by a hash."""
+    """(kind, name, x, y): labelled windows, the ``WINDOWS_PER_KIND`` least hashes of each kind and of none in each of ``SALTS`` parts."""
 
-    def of(text: str) -> Iterator[tuple[int, str, bytes, bytes]]:
-        spans = base_spans(text)
-        classes = tags = None
+    def marks_of(text: str, spans: list[Span]) -> Iterator[tuple[int, int, int]]:
+        """Kind, hash and start of every span, and of every trigger in none."""
         taken = np.zeros(len(text), bool)
-        marks = [(k, a) for k, a, b in spans]
         for _, a, b in spans:
             taken[a:b] = True
-        marks += [(len(KINDS), m.start()) for m in TRIGGER.finditer(text) if not taken[m.start()]]
-        for kind, a in marks[:WINDOWS_PER_KIND]:
-            if classes is None:
-                classes, tags = classes_of(text), np.zeros(len(text), np.int8)
-                for k, s, e in reversed(spans):
-                    tags[s:e] = 2 + 2 * k
-                    tags[s] = 1 + 2 * k
-            name = hashlib.blake2b(f"{a}:{text[a : a + 200]}".encode("utf-8", "surrogatepass"), digest_size=8).hexdigest()
-            at = max(0, a - 8 - int(name[:2], 16) % 48)
-            y = np.zeros(WIDTH, np.int8)
-            part = tags[at : at + WIDTH]
-            y[: len(part)] = part
-            yield kind, name, padded(classes, at).tobytes(), y.tobytes()
+        marks = [(k, a) for k, a, _ in spans] + [(len(KINDS), m.start()) for m in TRIGGER.finditer(text) if not taken[m.start()]]
+        for kind, a in marks:
+            said = f"{a}:{text[a : a + 200]}".encode("utf-8", "surrogatepass")
+            yield kind, int.from_bytes(hashlib.blake2b(said, digest_size=8).digest(), "big"), a
+
+    def window(text: str, spans: list[Span], name: int, a: int) -> tuple[bytes, bytes]:
+        at = max(0, a - 8 - (name >> 56) % 48)
+        y = np.zeros(WIDTH, np.int8)
+        for k, s, e in reversed(spans):
+            if s < at + WIDTH and e > at:
+                y[max(s, at) - at : e - at] = 2 + 2 * k
+                if s >= at:
+                    y[s - at] = 1 + 2 * k
+        return padded(classes_of(text[at : at + WIDTH]), 0).tobytes(), y.tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         least: list[list] = [[] for _ in range(len(KINDS) + 1)]  # of each kind, the smallest hashes
         for batch in batches:
             for text in batch["text"]:
                 if (said := text.as_py()) and TRIGGER.search(said):
-                    for kind, name, x, y in of(said):
-                        entry = (-int(name, 16), x, y)
-                        if len(least[kind]) < WINDOWS_PER_KIND:
-                            heapq.heappush(least[kind], entry)
-                        else:
-                            heapq.heappushpop(least[kind], entry)
+                    spans = base_spans(said)
+                    for kind, name, a in marks_of(said, spans):
+                        own = least[kind]
+                        if len(own) < WINDOWS_PER_KIND:
+                            heapq.heappush(own, (-name, *window(said, spans, name, a)))
+                        elif -name > own[0][0]:
+                            heapq.heapreplace(own, (-name, *window(said, spans, name, a)))
         rows = [(k, -e[0], e[1], e[2]) for k, own in enumerate(least) for e in own]
         yield pa.RecordBatch.from_pydict(
             {
@@ -386,14 +389,16 @@ def training_windows(docs: DataFrame) -> DataFrame:
         )
 
     found = docs.select("text").mapInArrow(run, "kind int, name string, x binary, y binary")
-    found = found.dropDuplicates(["kind", "name"])
-    rank = F.row_number().over(Window.partitionBy("kind").orderBy("name", "x", "y"))
-    return found.withColumn("rank", rank).where(F.col("rank") <= WINDOWS_PER_KIND)
+    found = found.dropDuplicates(["kind", "name"]).withColumn("salt", F.pmod(F.xxhash64("name"), F.lit(SALTS)))
+    rank = F.row_number().over(Window.partitionBy("kind", "salt").orderBy("name", "x", "y"))
+    return found.withColumn("rank", rank).where(F.col("rank") <= WINDOWS_PER_KIND).select("kind", "name", "x", "y")
 
 
 def trained(docs: DataFrame) -> Tagger | None:
     """A tagger from the labelled windows of ``docs`` (a bounded number); None without labelled spans."""
-    rows = sorted((r["kind"], r["name"], bytes(r["x"]), bytes(r["y"])) for r in training_windows(docs).collect())
+    # at most SALTS * WINDOWS_PER_KIND rows a kind
+    every = sorted((r["kind"], r["name"], bytes(r["x"]), bytes(r["y"])) for r in training_windows(docs).collect())
+    rows = [r for _, own in groupby(every, itemgetter(0)) for r in islice(own, WINDOWS_PER_KIND)]
     if not any(r[0] < len(KINDS) for r in rows):
         return None
     tagger = Tagger()
@@ -467,5 +472,4 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
             columns["spans"] = pa.array([written(b + m) for b, m in found], pa.string())
             yield pa.RecordBatch.from_pydict(columns)
 
-
     return docs.mapInArrow(run, schema)

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -91,8 +92,20 @@ def test_top_k(spark):
     assert sorted(map(tuple, got.collect())) == sorted(expected)
     assert topk.top_k(frame.where("vec_id = 50"), F.col("vec_id") % 50 == 0).count() == 0
     assert topk.top_k(frame.where("false"), F.col("vec_id") % 50 == 0).count() == 0
-    big = topk.products(np.full((1, 6), 2.0**60), np.full((1, 6), 2.0**60))
-    assert big[0, 0] == 6 * 2**120
+
+
+@pytest.mark.parametrize("size", [2.0**17, 2.0**60])
+def test_top_k_of_large_components(spark, size):
+    base = [(i, [size + random.randint(-9, 9) if size < 2**50 else size * random.choice((1, -1, 3)) for _ in range(16)]) for i in range(60)]
+    frame = spark.createDataFrame(base, "vec_id long, vector array<double>")
+    got = topk.top_k(frame, F.col("vec_id") % 50 == 0)
+    whole = {i: [int(np.floor(256 * x)) for x in v] for i, v in base}
+    clip = lambda x: min(max(x, -(1 << 63)), (1 << 63) - 1)
+    expected = []
+    for q in (0, 50):
+        scores = sorted((-clip(sum(a * b for a, b in zip(whole[q], v, strict=True))), i) for i, v in whole.items() if i != q)[:5]
+        expected += [(q, k + 1, i, -s) for k, (s, i) in enumerate(scores)]
+    assert sorted(map(tuple, got.collect())) == sorted(expected)
 
 
 # 3 decontamination
@@ -145,6 +158,18 @@ def test_url_filter(spark):
         got = sorted((r.page_id, r.host, r.path, r.rule, r.verdict) for r in url_rules.url_filter(frame, url_rules.RULES, rules_per_pass=size).collect())
         assert [x[1:] for x in got] == [x[1:] for x in sorted(((i, *judge(u)) for i, u, _ in rows), key=lambda x: x[0])]
     assert url_rules.url_filter(frame.where("false"), url_rules.RULES).count() == 0
+    out = url_rules.url_filter(frame.withColumn("_path", F.lit("p")).withColumn("_best_rule", F.lit("b")), url_rules.RULES)
+    assert {(r.rule_in, r._path, r._best_rule) for r in out.collect()} == {("own", "p", "b")}
+
+
+def test_url_rules_of_equal_length(spark):
+    rules = [("allow", "org", "/x23456"), ("block", "a.org", "/x234")]
+    frame = spark.createDataFrame([("http://a.org/x23456",)], "url string")
+    for own in (rules, rules[::-1]):
+        for size in (1, 2):
+            row = url_rules.url_filter(frame, own, rules_per_pass=size).first()
+            assert (row.rule, row.verdict) == ("a.org/x234", "block")
+    assert len(url_rules.levels([("block", "h.org", f"/{i}") for i in range(200_000)])[0].paths) == 200_000
 
 
 # 5 secrets
@@ -184,8 +209,26 @@ def test_ledger(spark):
     new = secrets.new_findings(versions, old, secrets.RULES).collect()
     assert all(r.scanned == [secrets.rule_id(x) for x in secrets.RULES[1:]] for r in new) and len(new) == 2
     assert secrets.new_findings(versions, old, secrets.RULES[:1]).count() == 0
-    both = secrets.secret_scan(frame, old).select("doc_id", secrets.written(F.col("_found")).alias("s")).collect()
-    assert {r.doc_id: r.s for r in both} == {1: "assign:0:17", 2: "access:0:16"}
+
+
+def test_ledger_grows(spark, tmp_path):
+    frame = spark.createDataFrame([(1, "token = abcdefgh1", "x"), (2, "AKIA" + "A" * 12, "x")], "doc_id long, text string, _found string")
+    place = str(tmp_path / "ledger")
+    said = lambda rules: {r.doc_id: r.s for r in secrets.secret_scan(frame, place, rules).select("doc_id", secrets.written(F.col("_found")).alias("s")).collect()}
+    assert said(secrets.RULES[:1]) == {1: "assign:0:17", 2: ""}
+    assert said(secrets.RULES) == {1: "assign:0:17", 2: "access:0:16"}
+    before = spark.read.parquet(place).count()
+    assert said(secrets.RULES) == {1: "assign:0:17", 2: "access:0:16"} and spark.read.parquet(place).count() == before == 4
+    newer = [(secrets.RULES[0][0], 2, *secrets.RULES[0][2:]), *secrets.RULES[1:]]
+    assert said(newer) == {1: "assign:0:17", 2: "access:0:16"}  # the older version's spans are out
+    assert said(secrets.RULES[:0:-1]) == {1: "", 2: "access:0:16"}  # without a rule, and in another order
+    assert {r._found_in for r in secrets.secret_scan(frame).collect()} == {"x"}
+
+
+def test_many_secrets_in_a_text(spark):
+    text = " ".join(f"token={i:08d}" for i in range(2000))
+    found = secrets.secret_scan(spark.createDataFrame([(text,)], "text string")).first()._found
+    assert [(s.start, s.end) for s in found] == [m.span() for m in re.finditer(r"token=\d{8}", text)]
 
 
 # 6 near duplicates
@@ -291,6 +334,14 @@ def test_pii_base_is_brute_force():
         assert pii.base_spans(x) == spans, x
 
 
+def test_emails_are_linear_and_windows_of_all_kinds(spark):
+    start = time.perf_counter()
+    assert pii.base_spans("@" * 400_000) == [] and time.perf_counter() - start < 1
+    text = " ".join(f"m{i}@x.org" for i in range(300)) + " 10.0.0.1 x 4111 1111 1111 1111 x +1 (212) 555-0100 x 7"
+    kinds = Counter(r["kind"] for r in pii.training_windows(docs(spark, [(1, text, "a")])).collect())
+    assert kinds[0] >= 256 and all(kinds[k] == 1 for k in (1, 2, 3)) and kinds[4] > 0
+
+
 def test_tagger_learns_and_gradients_hold():
     rng = np.random.default_rng(0)
     tagger = pii.Tagger(1)
