@@ -1,46 +1,50 @@
 """Quality classifier from weak labels.
 
 Overlapping heuristic labellers vote good, bad or nothing on every document, for two
-questions: is it prose of quality, and is it toxic.  Votes are counted by pattern over all
-documents (a few thousand patterns at most), and expectation-maximisation finds how
-accurate each labeller is and how likely each pattern is to be good.  Those posteriors
-label a training sample, on which a hashed linear scorer is trained (follow-the-regularised-
-leader, whose L1 term leaves weights at zero for words that say nothing).  The scorer
-decides: a document is accepted if it scores as quality and not as toxic.
+questions: is it prose of quality, and is it toxic.  The labels of documents that have them
+are one more labeller of each.  One pass reads the texts and writes votes and hashed
+features; votes are joined with the labels and counted by pattern (a few thousand patterns
+at most), and expectation-maximisation finds how accurate each labeller is and how likely
+each pattern is to be good.  Those posteriors label a training sample, on which a hashed
+linear scorer is trained (follow-the-regularised-leader, whose L1 term leaves weights at
+zero for words that say nothing).  The scorer decides, from the features written: a
+document is accepted if it scores as quality and not as toxic.
 
 Labellers of toxicity are a short list of insults, a word list learned from labelled rows,
-and the label itself where there is one.  Bounds, all documented parameters: the learned
-list uses at most ``LABELLED_ROWS`` labelled documents (the smallest hashes of doc_id), the
-scorer about ``TRAIN_ROWS`` documents (by hash).  Votes, their counts and scores cover all
-documents.
+and the label.  The list counts a word once for each distinct context (its neighbours where
+the text has it first), so near copies count once whoever comes first, and takes it by one
+smoothed share of toxic contexts.  Bounds, all documented parameters: the list reads at
+most ``LABELLED_ROWS`` labelled documents (the smallest hashes of doc_id), the scorer about
+``TRAIN_ROWS`` documents (by hash).  Votes, their counts and scores cover all documents.
 
 Defined results: a null or empty text has no words, gets no votes but that on length, and
 scores by the features it has; labels that are null, repeated or of unknown documents do
 no harm (the largest value of a repeated one holds); equal texts score alike; without
-labels the learned list is empty; extra columns pass through; an empty table gives no rows.
+labels the learned list is empty; extra columns pass through (one named like a score gets
+``_in`` after its name); an empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import re
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from operator import eq
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, ByteType, IntegerType
 
-from .scratch import table
+from .scratch import column, free, keep, own_names, table
 
 LABELLED_ROWS, TRAIN_ROWS = 20_000, 20_000
 BITS = 18
 STEM = 6  # bytes
 CACHE = 1 << 19
-LEXICON_SHARE, LEXICON_PRECISION, LEXICON_LEAST, LEXICON_MOST = 0.01, 0.9, 5, 2000
+LEXICON_PRECISION = 0.9
 EPOCHS, ALPHA, BETA, L1, L2 = 3, 0.3, 1.0, 1.0, 1.0
 
 # Insults.
@@ -66,7 +70,7 @@ STATISTICS = (
     ("compression", 0.8, 0.75),
 )
 MOST_FALSE = 0.005  # the labellers' thresholds are set so that few good documents get a bad vote
-TOXIC = ("insults", "learned", "learned_twice", "label")
+TOXIC = ("insults", "learned")
 
 
 def statistics_of(raw: bytes, words: list[bytes]) -> list[float | None]:
@@ -94,17 +98,23 @@ def stripped(words: list[bytes]) -> set[bytes]:
     return found | {b"\1" + w[:STEM] for w in found if len(w) >= STEM}
 
 
-def votes_of(shares: list[float | None], distinct: set[bytes], lexicon: frozenset, label: int | None) -> tuple[int, ...]:
+def first_contexts(raw: bytes) -> dict[bytes, int]:
+    """A hash of the neighbours of each word of ``stripped``, where the text has it first."""
+    words = [w.strip(EDGES) for w in raw.lower().split()]
+    words = [b"", *(w for w in words if w), b""]
+    found: dict[bytes, int] = {}
+    for i in range(1, len(words) - 1):
+        w = words[i]
+        for key in (w, b"\1" + w[:STEM]) if len(w) >= STEM else (w,):
+            if key not in found:
+                found[key] = xxhash.xxh3_64_intdigest(words[i - 1] + b"\0" + words[i + 1]) - (1 << 63)
+    return found
+
+
+def votes_of(shares: list[float | None], distinct: set[bytes], lexicon: frozenset) -> tuple[int, ...]:
     """1 good, -1 bad, 0 nothing: the quality labellers, then those of toxicity (-1 toxic)."""
     quality = [0 if s is None else -1 if s > bad else 1 if s < good else 0 for s, (_, bad, good) in zip(shares, STATISTICS, strict=True)]
-    found = len(distinct & lexicon)  # a word and its stem may both be in it
-    said = [
-        -1 if distinct & INSULTS else 1,
-        0 if not lexicon else -1 if found else 1,
-        0 if not lexicon else -1 if found > 2 else 1,
-        0 if label is None else -1 if label else 1,
-    ]
-    return (*quality, *said)
+    return (*quality, -1 if distinct & INSULTS else 1, 0 if not lexicon else -1 if distinct & lexicon else 1)
 
 
 def estimated(patterns: np.ndarray, counts: np.ndarray, rounds: int = 50) -> np.ndarray:
@@ -173,47 +183,39 @@ class Scorer:
         self.w = self.weights(np.arange(1 << BITS)).astype(np.float32)
         self.z = self.n = np.empty(0)
 
-    def score(self, x: np.ndarray) -> float:
-        return float(1 / (1 + np.exp(-np.clip(self.w[x].sum(), -30, 30))))
-
 
 def learned_lexicon(docs: DataFrame, labels: DataFrame) -> frozenset:
-    """Words of toxic labelled documents that are rare in the others; near copies count once."""
+    """Words whose contexts in labelled documents are mostly of toxic ones."""
     sample = (
         labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL")
         .groupBy("doc_id")
-        .agg(F.max("toxic").alias("toxic"))
+        .agg((F.max("toxic") > 0).cast("int").alias("toxic"))
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(LABELLED_ROWS)
     )
-    listed = F.split(F.lower("text"), r"[\s\p{Punct}]*(?:\s|\z)[\s\p{Punct}]*")
-    words = F.transform(F.array_distinct("listed"), lambda w: w.cast("binary"))
-    stems = F.transform(
-        F.filter(words, lambda w: F.octet_length(w) >= STEM), lambda w: F.concat(F.lit(b"\1"), F.substring(w, 1, STEM))
-    )
-    words = F.array_distinct(F.concat(words, stems))
     read = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")  # at most LABELLED_ROWS ids
-    # the least of a text's shingle hashes, which near copies share
-    at = F.sequence(F.lit(1), F.greatest(F.size("listed") - 4, F.lit(1)))
-    sketch = F.array_min(F.transform(at, lambda i: F.xxhash64(F.slice("listed", i, F.lit(5)))))
-    toxic = (
-        read.where("text <> ''")
-        .select((F.col("toxic") > 0).cast("int").alias("toxic"), listed.alias("listed"))
-        .withColumn("sketch", sketch)
-        .groupBy("toxic", "sketch")
-        .agg(F.first("listed").alias("listed"))
-    )
-    total = toxic.where("toxic = 1").count()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, len(batch), 256):
+                part = batch.slice(at, 256)
+                found = {
+                    (word, context, toxic)
+                    for raw, toxic in zip(part["text"].cast(pa.binary()).to_pylist(), part["toxic"].to_pylist(), strict=True)
+                    for word, context in first_contexts(raw or b"").items()
+                }
+                words, contexts, said = zip(*found, strict=True) if found else ((), (), ())
+                yield pa.RecordBatch.from_pydict(
+                    {"word": pa.array(words, pa.binary()), "context": pa.array(contexts, pa.int64()), "toxic": pa.array(said, pa.int32())}
+                )
+
+    contexts = read.select("text", "toxic").mapInArrow(run, "word binary, context long, toxic int").distinct()
     found = (
-        toxic.select("toxic", F.explode(words).alias("word"))
-        .where(F.octet_length("word") > 0)
-        .groupBy("word")
+        contexts.groupBy("word")
         .agg(F.sum("toxic").alias("a"), F.count(F.lit(1)).alias("n"))
-        .where((F.col("a") >= max(LEXICON_LEAST, LEXICON_SHARE * total)) & ((F.col("a") + 0.5) / (F.col("n") + 1) >= LEXICON_PRECISION))
-        .orderBy(F.desc("a"), "word")
-        .limit(LEXICON_MOST)
+        .where((F.col("a") + 0.5) / (F.col("n") + 1) >= LEXICON_PRECISION)
     )
-    return frozenset(bytes(r["word"]) for r in found.collect())
+    return frozenset(bytes(r["word"]) for r in found.select("word").collect())  # words of the bounded sample
 
 
 def read_texts(batch: pa.RecordBatch) -> Iterator[tuple[list, set]]:
@@ -223,106 +225,118 @@ def read_texts(batch: pa.RecordBatch) -> Iterator[tuple[list, set]]:
         yield statistics_of(raw, words), stripped(words)
 
 
-class Classifier:
-    """Both scorers."""
-
-    def __init__(self, quality: Scorer, toxic: Scorer):
-        self.quality, self.toxic = quality, toxic
+def read_once(docs: DataFrame, lexicon: frozenset, keep_text: bool, key: str, votes: str, x: str) -> DataFrame:
+    """``docs`` with a hash of each row's id and text, its votes and its features, written to a table."""
+    shared = docs.sparkSession.sparkContext.broadcast(lexicon)
+    known = docs.withColumn(key, F.xxhash64("doc_id", "text"))
+    names = [c for c in known.columns if keep_text or c != "text"]
+    schema = known.select(*map(column, names)).schema.add(votes, ArrayType(ByteType())).add(x, ArrayType(IntegerType()))
 
-    def scores(self, shares: list, distinct: set) -> tuple[float, float]:
-        x = features(shares, distinct)
-        return self.quality.score(x), self.toxic.score(x)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            said, found = [], []
+            for shares, distinct in read_texts(batch):
+                said.append(votes_of(shares, distinct, shared.value))
+                found.append(features(shares, distinct))
+            columns = [pa.array(said, pa.list_(pa.int8())), pa.array(found, pa.list_(pa.int32()))]
+            yield pa.RecordBatch.from_arrays([*(batch[n] for n in names), *columns], names=[*names, votes, x])
+
+    out = keep(known.mapInArrow(run, schema), "quality-features")
+    shared.destroy()
+    return out
 
 
-def trained(docs: DataFrame, labels: DataFrame) -> Classifier:
-    """The classifier for ``docs`` (doc_id, text), given ``labels`` (doc_id, quality, toxic)."""
-    sc = docs.sparkSession.sparkContext
-    lexicon = sc.broadcast(learned_lexicon(docs, labels))
-    own = labels.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("_label"))
-    known = docs.select("doc_id", "text").withColumn("_h", F.pmod(F.xxhash64("doc_id", "text"), F.lit(1_000_000)))
+def with_labels(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """``rows`` (doc_id, others) with the quality and toxic label of their documents, null where there is none."""
+    own = labels.where("doc_id IS NOT NULL").groupBy("doc_id").agg(
+        F.max("quality").cast("int").alias("quality"), F.max("toxic").cast("int").alias("toxic")
+    )
+    without = rows.where("doc_id IS NULL").withColumn("quality", F.lit(None).cast("int")).withColumn("toxic", F.lit(None).cast("int"))
+    return rows.where("doc_id IS NOT NULL").join(own, "doc_id", "left").unionByName(without)
 
-    def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            said = Counter(votes_of(s, d, lexicon.value, None) for s, d in read_texts(batch))
-            yield pa.RecordBatch.from_pydict(
-                {"votes": pa.array([list(v) for v in said], pa.list_(pa.int8())), "n": pa.array(list(said.values()), pa.int64())}
-            )
 
-    counted = known.select("text").mapInArrow(vote, "votes array<tinyint>, n long").groupBy("votes").agg(F.sum("n").alias("n"))
-    rows = sorted((tuple(r["votes"]), r["n"]) for r in counted.collect())  # bounded: three votes, nine labellers
+def split_votes(votes: np.ndarray, quality: np.ndarray, toxic: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The votes on each of the two questions, the label (1, 0 or -1 for none) last."""
+    said = lambda label, bad: np.where(label < 0, 0, np.where(label == bad, -1, 1))[:, None]
     q = len(STATISTICS)
+    return np.hstack((votes[:, :q], said(quality, 0))), np.hstack((votes[:, q:], said(np.minimum(toxic, 1), 1)))
+
+
+def trained(read: DataFrame, labels: DataFrame, key: str, votes: str, x: str) -> tuple[Scorer, Scorer]:
+    """The scorers of quality and of toxicity, from the table of ``read_once``."""
+    rows = read.select("doc_id", F.col(key).alias("k"), F.col(votes).alias("votes"), F.col(x).alias("x"))
+    none = [F.coalesce(c, F.lit(-1)).alias(c) for c in ("quality", "toxic")]
+    counted = with_labels(rows.select("doc_id", "votes"), labels).groupBy("votes", *none).agg(F.count(F.lit(1)).alias("n"))
+    counts = sorted((tuple(r["votes"]), r["quality"], r["toxic"], r["n"]) for r in counted.collect())  # bounded: three votes, few labellers
+    n = np.array([r[3] for r in counts], float)
+    width = len(STATISTICS) + len(TOXIC)
+    stacked = np.array([r[0] for r in counts], np.int8).reshape(len(counts), width)
     models = []
-    patterns = np.array([r[0] for r in rows], np.int8).reshape(len(rows), q + len(TOXIC))
-    n = np.array([r[1] for r in rows], float)
-    for part in (patterns[:, :q], patterns[:, q:-1]):
+    for part in split_votes(stacked, *(np.array([r[i] for r in counts], int) for i in (1, 2))):
         unique, at = np.unique(part, axis=0, return_inverse=True)
         bad = estimated(unique, np.bincount(at.ravel(), n, len(unique)))
-        models.append({tuple(int(v) for v in p): float(b) for p, b in zip(unique, bad, strict=True)})
-    learned = sc.broadcast(models)
-
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x, good, toxic = [], [], []
-            for (shares, distinct), label in zip(read_texts(batch), batch["_label"].to_pylist(), strict=True):
-                v = votes_of(shares, distinct, lexicon.value, label)
-                x.append(features(shares, distinct))
-                good.append(1 - learned.value[0].get(v[:q], 0.5))
-                # a label, where there is one, outweighs the heuristics
-                toxic.append(float(v[-1] < 0) if v[-1] else learned.value[1].get(v[q:-1], 0.5))
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "k": batch["k"],
-                    "x": pa.array(x, pa.list_(pa.int32())),
-                    "good": pa.array(good, pa.float64()),
-                    "toxic": pa.array(toxic, pa.float64()),
-                }
-            )
+        models.append({p.tobytes(): float(b) for p, b in zip(unique.astype(np.int8), bad, strict=True)})
 
-    total = n.sum()
-    sample = known.where(F.col("_h") < int(1_000_000 * min(1.0, TRAIN_ROWS / max(1.0, total))) + 1)
-    # about TRAIN_ROWS documents; their labels are joined by id
-    schema = "k long, x array<int>, good double, toxic double"
-    got = sample.withColumn("k", F.xxhash64("doc_id", "text")).join(own, "doc_id", "left").mapInArrow(read, schema).toArrow()
+    sample = rows.where(F.pmod("k", F.lit(1_000_000)) < int(1_000_000 * min(1.0, TRAIN_ROWS / max(1.0, n.sum()))) + 1)
+    # about TRAIN_ROWS documents
+    got = with_labels(sample, labels).select("k", "votes", "x", *none).toArrow()
     order = np.argsort(got["k"].to_numpy(), kind="stable")  # the same order however the rows arrive
+    own = np.array(got["votes"].to_pylist(), np.int8).reshape(got.num_rows, width)
+    posteriors = [
+        np.array([m[v.tobytes()] for v in part.astype(np.int8)])
+        for m, part in zip(models, split_votes(own, got["quality"].to_numpy(), got["toxic"].to_numpy()), strict=True)
+    ]
     lists = pa.concat_arrays(got["x"].chunks) if got.num_rows else pa.array([], pa.list_(pa.int32()))
-    x, edges = lists.flatten().to_numpy(), lists.offsets.to_numpy()
-    targets = [got[name].to_numpy()[order] for name in ("good", "toxic")]
+    flat, edges = lists.flatten().to_numpy(), lists.offsets.to_numpy()
+    edges = edges - edges[0]
     del got, lists
     out = []
-    for y in targets:
+    for y in (1 - posteriors[0], posteriors[1]):
         scorer = Scorer()
-        scorer.fit([x[edges[i] : edges[i + 1]] for i in order], y)
+        scorer.fit([flat[edges[i] : edges[i + 1]] for i in order], y[order])
         out.append(scorer)
-    return Classifier(*out)
+    return tuple(out)
 
 
-def judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``docs`` with ``p_quality`` and ``p_toxic``."""
-    model = docs.sparkSession.sparkContext.broadcast(trained(docs, labels))
-    schema = docs.select("*").schema.add("p_quality", "double").add("p_toxic", "double")
+def scored(docs: DataFrame, labels: DataFrame, quality: str, toxic: str, keep_text: bool = True) -> DataFrame:
+    """``docs`` with the scores ``quality`` and ``toxic``, which are no columns of it."""
+    key, votes, x = free(docs.withColumn(quality, F.lit(0)).withColumn(toxic, F.lit(0)), "_key", "_votes", "_x")
+    read = read_once(docs, learned_lexicon(docs, labels), keep_text, key, votes, x)
+    model = docs.sparkSession.sparkContext.broadcast([s.w for s in trained(read, labels, key, votes, x)])
+    names = [c for c in docs.columns if keep_text or c != "text"]
+    schema = read.select(*map(column, names)).schema.add(quality, "double").add(toxic, "double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [model.value.scores(s, d) for s, d in read_texts(batch)]
-            columns = {n: batch[n] for n in batch.schema.names}
-            columns["p_quality"] = pa.array([f[0] for f in found], pa.float64())
-            columns["p_toxic"] = pa.array([f[1] for f in found], pa.float64())
-            yield pa.RecordBatch.from_pydict(columns)
+            offsets = batch[x].offsets.to_numpy()
+            flat = batch[x].values.to_numpy()[offsets[0] : offsets[-1]]
+            found = []
+            for w in model.value:
+                sums = np.add.reduceat(w[flat], offsets[:-1] - offsets[0]) if len(batch) else np.empty(0)
+                found.append(pa.array(1 / (1 + np.exp(-np.clip(sums, -30, 30))), pa.float64()))
+            yield pa.RecordBatch.from_arrays([*(batch[n] for n in names), *found], names=[*names, quality, toxic])
+
+    return read.select(*map(column, names), x).mapInArrow(run, schema)
 
-    return docs.mapInArrow(run, schema)
+
+def judged(docs: DataFrame, labels: DataFrame, keep_text: bool = True) -> DataFrame:
+    """``docs`` with ``p_quality`` and ``p_toxic``."""
+    names = own_names(docs, "p_quality", "p_toxic")
+    return scored(docs.select(*(column(c).alias(n) for c, n in names.items())), labels, "p_quality", "p_toxic", keep_text)
 
 
-ACCEPTED = "p_quality >= 0.5 AND p_toxic < 0.5"
+def accepts(quality: str, toxic: str) -> Column:
+    return (F.col(quality) >= 0.5) & (F.col(toxic) < 0.5)
 
 
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that the classifier accepts."""
-    return judged(docs, labels).where(ACCEPTED).drop("p_quality", "p_toxic")
+    names = free(docs, "_p_quality", "_p_toxic")
+    return scored(docs, labels, *names).where(accepts(*names)).select(*map(column, docs.columns))
 
 
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both scores of every document, and whether it is accepted."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return judged(docs, table(spark, sf_dir, "labels")).select(
-        "doc_id", "p_quality", "p_toxic", F.expr(ACCEPTED).alias("accepted")
-    )
+    out = judged(docs, table(spark, sf_dir, "labels"), keep_text=False)
+    return out.withColumn("accepted", accepts("p_quality", "p_toxic"))

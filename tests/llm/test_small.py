@@ -68,11 +68,36 @@ def test_mixing(spark):
     assert mixing.mix(docs(spark, [])).count() == 0 and mixing.mixed_rows(docs(spark, [(1, None, "a")])).count() == 0
 
 
+def test_mixing_keeps_clashing_columns(spark):
+    frame = docs(spark, [(i, words(9), "ab"[i % 2]) for i in range(40)]).select(
+        "*", *(F.lit(f"mine {c}").alias(c) for c in ("_z", "size", "row", "stop", "off", "w", "mix_copy", "a.b"))
+    )
+    for out, said in ((mixing.mix(frame), "_z_in"), (mixing.mixed_rows(frame), "mix_copy_in")):
+        row = out.first()
+        assert row[said] == f"mine {said.removesuffix('_in')}"
+        assert all(row[c] == f"mine {c}" for c in ("size", "row", "stop", "off", "w", "a.b"))
+
+
 def test_splitting_tree(spark):
-    root = spark.createDataFrame([([40, 0, 7, 1],)], "quotas array<long>")
+    root = spark.createDataFrame([([(0, 40), (2, 7), (3, 1)],)], "quotas array<struct<i:int,q:long>>")
     leaves = mixing.splitting_tree(root, 3, 1).collect()
-    assert len(leaves) == 8 and [sum(r.quotas[i] for r in leaves) for i in range(4)] == [40, 0, 7, 1]
-    assert all(5 <= sum(r.quotas) <= 7 for r in leaves)
+    assert len(leaves) == 8 and [sum(x.q for r in leaves for x in r.quotas if x.i == i) for i in range(4)] == [40, 0, 7, 1]
+    assert all(5 <= sum(x.q for x in r.quotas) <= 7 for r in leaves)
+    blocks = sorted(map(tuple, mixing.permuted_blocks(spark.createDataFrame(leaves), 1).collect()))
+    assert [b[:2] for b in blocks] == [(0, k) for k in range(40)] + [(2, k) for k in range(7)] + [(3, 0)]
+    assert Counter(b[2] for b in blocks) == {r.shard: sum(x.q for x in r.quotas) for r in leaves}
+
+
+def test_draws_are_hypergeometric(spark):
+    quotas = F.expr("array(named_struct('i', 0, 'q', 30L), named_struct('i', 1, 'q', 12L), named_struct('i', 2, 'q', 6L))")
+    out = spark.range(4000).withColumn("quotas", quotas)
+    got = np.array([r[0] for r in out.select(mixing.drawn_left(F.col("quotas"), F.lit(20), F.col("id"), 5)).collect()])
+    n, k = 48, 20
+    for i, q in enumerate((30, 12, 6)):
+        mean, variance = k * q / n, k * q / n * (1 - q / n) * (n - k) / (n - 1)
+        assert abs(got[:, i].mean() - mean) < 4 * (variance / 4000) ** 0.5 and got[:, i].var() == pytest.approx(variance, rel=0.12)
+    covariance = -k * (30 / n) * (12 / n) * (n - k) / (n - 1)
+    assert np.cov(got[:, 0], got[:, 1])[0, 1] == pytest.approx(covariance, rel=0.15) and (got.sum(1) == 20).all()
 
 
 # 2 top-k
@@ -517,16 +542,17 @@ def test_quality(spark):
     rows += [(500 + i, sentence() + " zorgle " + sentence() + " Zorgle!", "a") for i in range(40)]
     rows += [(600, None, "a"), (601, "", "a"), (602, sentence() * 300, "a"), (0, rows[0][1], "a")]
     labels = [(500 + i, 1, 1) for i in range(20)] + [(i, 1, 0) for i in range(60)] + [(500, 1, None), (None, 1, 1), (9999, 0, 1), (501, 1, 1)]
-    frame = docs(spark, rows).withColumn("p", F.lit("clash"))
+    frame = docs(spark, rows).withColumn("p_quality", F.lit("clash")).withColumn("_x", F.lit("x"))
     marked = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
     out = quality.judged(frame, marked)
     got = {r.doc_id: r for r in out.collect()}
-    assert out.count() == len(rows)
+    assert out.count() == len(rows) and {(r.p_quality_in, r._x) for r in got.values()} == {("clash", "x")}
     assert all(got[i].p_quality > 0.5 and got[i].p_toxic < 0.5 for i in range(240))
     assert all(got[300 + i].p_quality < 0.5 for i in range(30)) and all(got[400 + i].p_quality < 0.5 for i in range(20))
     assert all(got[500 + i].p_toxic > 0.5 for i in range(40))  # half of them without a label
     kept = quality.accepted(frame, marked)
     assert kept.columns == frame.columns and kept.where("doc_id BETWEEN 300 AND 599").count() == 0
+    assert {(r.p_quality, r._x) for r in kept.collect()} == {("clash", "x")}
     assert quality.accepted(frame.where("false"), marked.where("false")).count() == 0
 
 
