@@ -6,6 +6,13 @@ of its presentation (the sequence of its children) and of its contents (the text
 right under it).  A node whose contents recur on most pages has high content entropy over
 pages and so low importance; branches of low importance are removed from each page.
 
+Every block of every page is judged so: it stays if the importance of its node times the
+node's weight reaches ``LEAST_IMPORTANCE``.  What tags and class names say of a node's role
+only weighs it: ``NEVER`` for what HTML itself sets apart (``nav``, ``footer``, ``form``) and for
+names of matter that is new on each page and yet no article (``ad``, ``comments``), ``DOUBTFUL``
+for names that an article may bear too (``notice``, ``section-header``), whose nodes go only
+if they also recur.  An element that is not shown, or is a control, has no text.
+
 Pages of a host with the same set of blocks are copies and count once, or else a much copied
 article would look like a notice.  The entropies are smoothed by ``PRIOR`` pages with contents
 of their own, so there is no least number of pages: what recurs on all of two pages of a host
@@ -16,23 +23,24 @@ Shuffled are only hashes: one row for each distinct page, with a hash for each p
 block, then counted in two steps, so that a host with a third of all pages is pre-aggregated on
 the map side.  The paths to remove are then joined back by host and salt.
 
-Tags and class names that state a role (``nav``, ``footer``, ``form``, ``class="ad"``, ...)
-are removed as such.  All other branches are judged by the style tree, inside a marked article
-(``article``, ``main``) too.  Of what it leaves, the marked part is taken if it is at least as
-long as the part outside, and else both: a mark of less is a teaser card.  Only where the tree
-would take more than half of the marked text of a page is that text kept whole: then the
-article itself recurs on its host, in versions that are not quite copies.
+Of what is left, the part in a marked article (``article``, ``main``) is taken if it is at
+least as long as the part outside, and else both: a mark of less is a teaser card.  Only where
+the tree would take more than half of the marked text of a page is that text kept whole: then
+the article itself recurs on its host, in versions that are not quite copies.
 
 Defined results: null or empty HTML gives the empty text; character references are decoded
 as HTML does (also without a closing semicolon); ``br`` is white space; a block is a
-block-level element's run of text; unclosed elements end with what encloses them; rows are
-independent, so repeated pages give repeated results; null URLs form one host; extra columns are ignored; an empty table gives no rows.
+block-level element's run of text, of which inline elements that go leave the rest; a tag
+without its ``>`` ends the markup, what follows is text; unclosed elements end with what
+encloses them; rows are independent, so repeated pages give repeated results; null URLs form
+one host; extra columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 
@@ -53,23 +61,29 @@ BLOCKS = set(
 )
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 RAW = set("script style textarea title iframe noembed noframes xmp noscript".split())
-DROPPED = set(
-    "aside audio button canvas datalist dialog embed footer form head iframe input label map math menu nav noembed noframes noscript "
-    "object optgroup option select script style svg template textarea title video".split()
+HIDDEN = set(
+    "audio button canvas datalist embed head iframe input label map noembed noframes noscript object optgroup option select script "
+    "style svg template textarea title video".split()
 )
+APART = set("aside dialog footer form menu nav".split())
 ENDS_P = BLOCKS - {"body", "html", "caption", "tbody", "td", "tfoot", "th", "thead", "tr"}
 SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 # Words in class or id that state a role other than the article's.
 ROLES = set(
-    "ad ads adbox adslot advert adverts advertisement advertising alert banner breadcrumb breadcrumbs byline-share comment comments commentlist "
-    "consent cookie cookies disclaimer disqus footer gdpr header infobar login masthead menu modal nav navbar navigation newsletter notice notices "
-    "notification pager pagination paywall popup promo promoted promotion recommended related replies reply respond search share sharing sidebar "
-    "signup site-footer site-header skip social sponsor sponsored sponsors subscribe subscription teaser toolbar topbar widget widgets".split()
+    "ad ads adbox adslot advert adverts advertisement advertising breadcrumb breadcrumbs comment comments commentlist consent cookie cookies "
+    "disqus gdpr infobar masthead modal nav navbar navigation newsletter pager pagination paywall popup promo promoted promotion "
+    "recommended replies share sharing sidebar signup site-footer site-header social sponsor sponsored sponsors subscribe subscription "
+    "toolbar topbar widget widgets".split()
 )
-MAIN_ROLES = {"main", "article"}
-TOKEN = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?>[^>"']+|"[^"]*"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>""", re.S
+DOUBTFUL_ROLES = ROLES | set(
+    "alert banner disclaimer footer header login menu notice notices notification related reply respond search skip teaser".split()
 )
+APART_ROLES = set("navigation banner contentinfo complementary search form dialog alert".split())
+MAIN_ROLES = {"main", "article"}
+NEVER, DOUBTFUL = 0.2, 0.6
+TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/<>]*)((?:[^<>"']|"[^"<>]*"|'[^'<>]*')*+)>""")
+STOP = re.compile("[>\"']")
+NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
 ATTRIBUTE = re.compile(r"""(?:^|[\s"'/])(class|id|role|hidden|itemprop)(?=[\s=/]|$)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 
 
@@ -82,19 +96,21 @@ def text_hash(text: str) -> int:
 
 
 class Element:
-    __slots__ = ("tag", "path", "dropped", "main", "children")
+    __slots__ = ("tag", "path", "hidden", "main", "weight", "block", "children")
 
-    def __init__(self, tag: str, path: int, dropped: bool, main: bool):
-        self.tag, self.path, self.dropped, self.main, self.children = tag, path, dropped, main, []
+    def __init__(self, tag: str, path: int, hidden: bool, main: bool, weight: float, block: "Element | None"):
+        self.tag, self.path, self.hidden, self.main, self.weight, self.children = tag, path, hidden, main, weight, []
+        self.block = block or self  # the nearest block-level element
 
 
 class Page:
-    """Blocks of one page as (path, in the main branch, text), without what is dropped, and the children of each path."""
+    """Blocks of one page as (path, in the main branch, weight, text), and the children of each path."""
 
     def __init__(self, html: str | None):
-        self.blocks: list[tuple[int, bool, str]] = []
+        self.blocks: list[tuple[int, bool, float, str]] = []
         self.styles: list[tuple[int, str]] = []
-        self.stack = [Element("", 0, False, False)]
+        self.stack = [Element("", 0, False, False, 1.0, None)]
+        self.open: Counter = Counter()
         self.buffer: list[str] = []
         if html:
             self.read(html)
@@ -103,35 +119,67 @@ class Page:
         self.flush()
 
     def read(self, html: str) -> None:
-        at = 0
-        while (m := TOKEN.search(html, at)) is not None:
-            if m.start() > at:
-                self.text(html[at : m.start()])
-            at = m.end()
-            tag = (m[2] or m[5] or "").lower()
-            if not tag:
+        at, ended = 0, set()  # quotes of which there is no more
+        while (lt := html.find("<", at)) >= 0:
+            if lt > at:
+                self.text(html[at:lt])
+            if m := TAG.match(html, lt):
+                at, closing, tag, attributes = m.end(), m[1], m[2].lower(), m[3]
+            elif html.startswith("<!--", lt):
+                at = html.find("-->", lt + 4) + 3
+                if at < 3:
+                    return
                 continue
-            if m[1] or m[4]:
+            elif html.startswith(("<!", "<?"), lt):
+                at = html.find(">", lt) + 1
+                if not at:
+                    return
+                continue
+            elif m := NAME.match(html, lt):
+                at = self.tag_end(html, m.end(), ended)
+                if at < 0:
+                    self.text(html[lt:])
+                    return
+                closing, tag, attributes = html[lt + 1] == "/", m[1].lower(), html[m.end() : at - 1]
+            else:
+                self.text("<")
+                at = lt + 1
+                continue
+            if closing:
                 self.end(tag)
                 continue
-            self.begin(tag, m[3] or m[6] or "")
+            self.begin(tag, attributes)
             if tag in RAW:
                 last = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.I).search(html, at)
                 at = last.end() if last else len(html)
                 self.end(tag)
-        if at < len(html):
-            self.text(html[at:])
+        self.text(html[at:])
+
+    @staticmethod
+    def tag_end(html: str, at: int, ended: set[str]) -> int:
+        """Where the tag ends whose attributes start at ``at``; -1 if it does not."""
+        while (m := STOP.search(html, at)) is not None:
+            if m[0] == ">":
+                return m.end()
+            at = html.find(m[0], m.end()) if m[0] not in ended else -1
+            if at < 0:  # an open quote: up to the first >
+                ended.add(m[0])
+                return html.find(">", m.end()) + 1 or -1
+            at += 1
+        return -1
 
     def text(self, raw: str) -> None:
-        if not self.stack[-1].dropped:
+        if not self.stack[-1].hidden:
             self.buffer.append(raw)
 
     def flush(self) -> None:
+        if not self.buffer:
+            return
         text = " ".join("".join(map(unescape, self.buffer)).split())
         self.buffer = []
         if text:
-            top = next(e for e in reversed(self.stack) if e.tag in BLOCKS or not e.tag)
-            self.blocks.append((top.path, self.stack[-1].main, text))
+            top = self.stack[-1].block
+            self.blocks.append((top.path, top.main, top.weight, text))
 
     def begin(self, tag: str, attributes: str) -> None:
         if tag == "br":
@@ -141,9 +189,9 @@ class Page:
             if tag == "hr":
                 self.flush()
             return
-        if tag in ENDS_P and any(e.tag == "p" for e in self.stack):
+        if tag in ENDS_P and self.open["p"]:
             self.end("p")
-        if tag in SIBLINGS:
+        if tag in SIBLINGS and any(self.open[x] for x in SIBLINGS[tag]):
             for i in range(len(self.stack) - 1, 0, -1):
                 if self.stack[i].tag in SIBLINGS[tag]:
                     while len(self.stack) > i:
@@ -151,62 +199,72 @@ class Page:
                     break
                 if self.stack[i].tag in {"ul", "ol", "dl", "table", "select", "menu"}:
                     break
+        block = tag in BLOCKS
+        if block:
+            self.flush()
         top = self.stack[-1]
         found = {m[1].lower(): (m[2] or m[3] or m[4] or "") for m in ATTRIBUTE.finditer(attributes)} if attributes else {}
         names = sorted({x for k in ("class", "id") for x in found.get(k, "").lower().split()})
         role = found.get("role", "").lower()
         main = top.main or tag in MAIN_ROLES or role in MAIN_ROLES or found.get("itemprop", "").lower() == "articlebody"
-        roles = {y for x in names for y in (x, *re.split(r"[-_]+", x))}
-        dropped = (
-            top.dropped
-            or tag in DROPPED
-            or (tag == "header" and not top.main)
-            or (tag not in {"body", "html", "article", "main"} or "comment" in roles) and bool(roles & ROLES)
-            or "hidden" in found
-            or role in {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert"}
-        )
-        if tag in BLOCKS or dropped != top.dropped:
-            self.flush()
-        name = ".".join([tag, *(x for x in names if not re.search(r"\d", x))])
+        own = self.weight_of(tag, names, role, top.main)
+        hidden = top.hidden or tag in HIDDEN or "hidden" in found or (not block and own == NEVER)
         top.children.append(tag)
-        self.stack.append(Element(tag, path_hash(top.path, name) if tag in BLOCKS else top.path, dropped, main))
+        name = ".".join([tag, *(x for x in names if not re.search(r"\d", x))])
+        weight = min(top.weight, own) if block else top.weight
+        path = path_hash(top.path, name) if block else top.path
+        self.stack.append(Element(tag, path, hidden, main, weight, None if block else top.block))
+        self.open[tag] += 1
+
+    @staticmethod
+    def weight_of(tag: str, names: list[str], role: str, in_main: bool) -> float:
+        """What tag, class names and role say against a node."""
+        if tag in APART or role in APART_ROLES or (tag == "header" and not in_main):
+            return NEVER
+        words = set(names)
+        if tag in {"body", "html", "article", "main"}:
+            words &= {"comment", "comments"}
+        parts = {y for x in words for y in re.split(r"[-_]+", x)} if words else words
+        if words & ROLES or not in_main and (words | parts) & DOUBTFUL_ROLES:
+            return NEVER
+        return DOUBTFUL if (words | parts) & DOUBTFUL_ROLES else 1.0
 
     def end(self, tag: str) -> None:
-        for i in range(len(self.stack) - 1, 0, -1):
-            if self.stack[i].tag == tag:
-                while len(self.stack) > i:
-                    self.close()
-                return
+        if self.open[tag]:
+            while self.close() != tag:
+                pass
 
-    def close(self) -> None:
+    def close(self) -> str:
         top = self.stack[-1]
-        if top.tag in BLOCKS or top.dropped != self.stack[-2].dropped:
+        if top.block is top:
             self.flush()
-        if top.tag in BLOCKS:
             self.styles.append((top.path, ",".join(top.children)))
-        self.stack.pop()
-
-    def main_text(self, low: set[int]) -> str:
-        length = lambda blocks: sum(len(text) for _, _, text in blocks)
-        marked = [b for b in self.blocks if b[1]]
-        if 2 * length(b for b in marked if b[0] in low) > length(marked):
-            low = low - {path for path, _, _ in marked}
-        kept = [b for b in self.blocks if b[0] not in low]
+        self.open[top.tag] -= 1
+        return self.stack.pop().tag
+
+    def main_text(self, importance: dict[int, float]) -> str:
+        """The text by the importance of each path (1 where there is none)."""
+        low = lambda b: importance.get(b[0], 1.0) * b[2] < LEAST_IMPORTANCE
+        length = lambda blocks: sum(len(b[3]) for b in blocks)
+        blocks = [b for b in self.blocks if b[2] >= LEAST_IMPORTANCE]
+        marked = [b for b in blocks if b[1]]
+        believed = 2 * length(b for b in marked if low(b)) > length(marked)
+        kept = [b for b in blocks if not low(b) or (believed and b[1])]
         inside = [b for b in kept if b[1]]
-        return "\n".join(text for _, _, text in (inside if 2 * length(inside) >= length(kept) else kept))
+        return "\n".join(b[3] for b in (inside if 2 * length(inside) >= length(kept) else kept))
 
 
 def node_rows(html: str | None) -> tuple[int, list[tuple[int, int, int]]]:
     """A hash of a page's blocks, and its (path, kind, feature), each once: kind 0 the page itself, 1 a style, 2 a block."""
     page = Page(html)
-    rows = {(p, 2, text_hash(t)) for p, _, t in page.blocks}
+    rows = {(p, 2, text_hash(t)) for p, _, _, t in page.blocks}
     rows |= {(p, 1, text_hash(s)) for p, s in page.styles}
-    contents = text_hash(repr(sorted({t for _, _, t in page.blocks})))
+    contents = text_hash(repr(sorted({t for _, _, _, t in page.blocks})))
     return contents, sorted(rows | {(p, 0, 0) for p, _, _ in rows})
 
 
 def low_paths(pages: DataFrame) -> DataFrame:
-    """(host, low): the paths to remove from the pages of each host, from (host, html)."""
+    """(host, low): the paths of each host that go, alone or if their weight is doubtful, with their importance; from (host, html)."""
     node = pa.struct([("path", pa.int64()), ("kind", pa.int32()), ("feature", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -246,7 +304,8 @@ def low_paths(pages: DataFrame) -> DataFrame:
     content = 1 - F.col("block_log") / (F.col("block_n") + PRIOR) / log_m
     weight = F.pow(F.lit(DECAY), F.col("styles"))
     importance = F.greatest(content, (1 - weight) * presentation + weight * content)
-    return nodes.where(importance < LEAST_IMPORTANCE).groupBy("host").agg(F.collect_set("path").alias("low"))
+    lows = nodes.withColumn("importance", importance.cast("float")).where(F.col("importance") < LEAST_IMPORTANCE / DOUBTFUL)
+    return lows.groupBy("host").agg(F.collect_list(F.struct("path", "importance")).alias("low"))
 
 
 def main_texts(pages: DataFrame) -> DataFrame:
@@ -260,7 +319,8 @@ def main_texts(pages: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [
-                Page(html.as_py()).main_text(set(low.as_py() or ())) for html, low in zip(batch["html"], batch["low"], strict=True)
+                Page(html.as_py()).main_text({x["path"]: x["importance"] for x in low.as_py() or ()})
+                for html, low in zip(batch["html"], batch["low"], strict=True)
             ]
             yield pa.RecordBatch.from_pydict(
                 {

@@ -474,7 +474,7 @@ def test_scores_are_step_by_step_ppm(spark, monkeypatch, fan):
 
 
 def main_text(html):
-    return html_text.Page(html).main_text(set())
+    return html_text.Page(html).main_text({})
 
 
 def test_html():
@@ -487,10 +487,49 @@ def test_html():
     assert main_text(page) == "Head & A&am\nOne two é\nx < y <z>\ni\nj"
     assert main_text(None) == main_text("") == main_text("<nav>x</nav>") == ""
     assert main_text("plain  text") == "plain text"
-    assert main_text("<div>a<span class=advert>b</span>c</div><p>d") == "a\nc\nd" or main_text("<div>a<span class=advert>b</span>c</div><p>d") == "ac\nd"
+    assert main_text("<div>a<span class=advert>b</span>c</div><p>d") == "ac\nd"
+    assert main_text("<article><div class=section-header><h2>Real head</h2></div><p class=notice>n</p><math>x</math></article>") == "Real head\nn\nx"
+    assert main_text("a < b <3 <p title='x>y'>c<q title=\"z>d<p") == "a < b <3\ncd<p"
     assert main_text("<article>" + "<p>w</p>" * 5000 + "<script>unclosed") == "\n".join(["w"] * 5000)
 
 
+def test_markup_is_read_in_linear_time():
+    for part in ("<a ", "<a '", "<a \">", "<b>", "<b><p>", "</b>", "<!", "<li><b>", "&amp", "<"):
+        start = time.perf_counter()
+        html_text.Page(part * (1_000_000 // len(part) // (8 if part.startswith(("<b", "<li")) else 1)))
+        assert time.perf_counter() - start < 3, part
+
+
+def test_style_tree_is_brute_force(spark):
+    """Importance of each path of a small host, counted page by page."""
+    pages = [f"<div class=top>same</div><article><p>own {i}</p><div class=x>{'again' if i else 'once'}</div></article>" for i in range(5)]
+    got = html_text.low_paths(spark.createDataFrame([("h", p) for p in [*pages, pages[0]]], "host string, html string")).first()
+    seen = {}
+    for page in map(html_text.Page, pages):
+        for path in {b[0] for b in page.blocks}:
+            blocks = {b[3] for b in page.blocks if b[0] == path}
+            styles = {c for p, c in page.styles if p == path}
+            seen.setdefault(path, ([], []))
+            seen[path][0].append(blocks)
+            seen[path][1].append(styles)
+    expected = {}
+    for path, (blocks, styles) in seen.items():
+        m = len(blocks)
+        entropy = lambda sets: 1 - sum(k * np.log(k) for k in c.values()) / (sum(c.values()) + 0.5) / np.log(m + 0.5) if (c := Counter(x for s in sets for x in s)) else 0  # noqa: E731, B023
+        content, look = entropy(blocks), entropy(styles)
+        weight = 0.9 ** len({x for s in styles for x in s})
+        expected[path] = max(content, (1 - weight) * look + weight * content)
+    low = {x.path: x.importance for x in got.low}
+    assert low == pytest.approx({p: v for p, v in expected.items() if v < 0.5}) and 1 < len(low) < len(expected)
+
+
+def test_doubtful_names_go_if_they_recur(spark):
+    page = lambda i: f"<article><p class=notice>{'Read our rules' if i < 9 else 'Only here'}</p><p>story {i} {words(20)}</p></article>"
+    rows = [(i, "http://h.example/x", page(i)) for i in range(9)] + [(9, "http://g.example/x", page(9))]
+    out = {r.page_id: r.text for r in html_text.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(out[i].startswith(f"story {i} ") for i in range(9)) and out[9].startswith("Only here\nstory 9 ")
+
+
 def test_style_tree(spark):
     body = lambda i: f"<div class=top>Welcome to the site</div><div class=text><p>story {i} {words(8)}</p></div><div class=end>All rights</div>"
     rows = [(i, "http://h.example/x", body(i)) for i in range(30)] + [(90, None, "<p>alone</p>"), (91, "http://o.example/", None)]
