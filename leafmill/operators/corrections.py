@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import difflib
-import json
-from collections import Counter
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as D
@@ -13,62 +13,82 @@ from pyspark.sql import types as D
 from leafmill.functions import content as C
 from leafmill.functions import text as T
 
+STYLE = ("typeface", "placement", "layout", "line_span", "span_id")
 FIELDS = ("typeface", "text", "placement", "layout", "line_span", "span_id")
-RUNS_OUT = D.ArrayType(D.StructType([D.StructField(f, D.IntegerType() if f == "line_span" else D.StringType()) for f in FIELDS]))
 
 
-def rewritten(runs: list[dict], target: str, roman: list, italic: list) -> list[dict]:
-    """Runs of the new text, each character in the style it had (F16).
+@F.pandas_udf(D.ArrayType(D.IntegerType()))
+def styles_between(removed: pd.Series, inserted: pd.Series, styles: pd.Series, near: pd.Series) -> pd.Series:
+    """Style numbers of inserted texts, from those of the characters they replace and of the one beside them."""
 
-    Inserted text takes the commonest style of what it replaces (the first seen of equals),
-    or else that of its neighbour, or else roman; forced ranges set the typeface.
+    def of(old: str | None, new: str, own: np.ndarray, beside: int) -> list[int]:
+        out: list[int] = []
+        i = j = 0
+        for x, y, n in difflib.SequenceMatcher(None, old, new, autojunk=False).get_matching_blocks():
+            gap = own[i:x].tolist()
+            if len(gap) == y - j:
+                out += gap  # letter for letter
+            elif y > j:
+                style = max(dict.fromkeys(gap), key=gap.count) if gap else int(own[i - 1]) if i else beside
+                out += [style] * (y - j)
+            out += own[x : x + n].tolist()
+            i, j = x + n, y + n
+        return out
+
+    return pd.Series([None if a is None else of(a, b, s, k) for a, b, s, k in zip(removed, inserted, styles, near, strict=True)])
+
+
+# its own step, as an expression with a lambda cannot hold it
+styles_between = styles_between.asNondeterministic()
+
+
+def rewrite_runs(lines: DataFrame, runs: str, target: str, roman: str, italic: str, into: str) -> DataFrame:
+    """``lines`` with the runs of the new text, each character in the style it had; null where a forced range is outside it (F16).
+
+    What stands before and after the change keeps its style.  Between, inserted text takes the
+    commonest style of what it replaces (the first seen of equals), or else that of its
+    neighbour, or else roman; forced ranges (s, e) set the typeface.
     """
-    old = "".join(r["text"] for r in runs)
-    styles = [json.dumps({k: v for k, v in r.items() if k != "text" and v is not None}, sort_keys=True) for r in runs for _ in r["text"]]
-    plain = json.dumps({"typeface": "roman"})
-    out: list[str] = []
-    for op, a, b, c, d in difflib.SequenceMatcher(None, old, target, autojunk=False).get_opcodes():
-        if op == "delete":
-            continue
-        if b - a == d - c:
-            out += styles[a:b]
-        elif a < b:
-            out += [Counter(styles[a:b]).most_common(1)[0][0]] * (d - c)
-        else:
-            out += [styles[a - 1] if a else styles[a] if styles else plain] * (d - c)
-    for face, ranges in (("roman", roman), ("italic", italic)):
-        for s, e in ranges:
-            out[s:e] = [json.dumps(json.loads(x) | {"typeface": face}, sort_keys=True) for x in out[s:e]]
-    done: list[dict] = []
-    last = None
-    for char, style in zip(target, out, strict=True):
-        if style == last:
-            done[-1]["text"] += char
-        else:
-            done.append(json.loads(style) | {"text": char})
-            last = style
-    return done
-
-
-@F.udf(RUNS_OUT, useArrow=False)
-def rewrite_runs(runs, target, roman, italic):
-    """``rewritten`` over columns; null where a range is outside the text."""
-    if runs is None or target is None:
-        return None
-    ranges = [[(x["s"], x["e"]) for x in part or ()] for part in (roman, italic)]
-    if any(not 0 <= s < e <= len(target) for part in ranges for s, e in part):
-        return None
-    return [tuple(r.get(k) for k in FIELDS) for r in rewritten([r.asDict() for r in runs], target, *ranges)]
+    old, new = F.col(runs), F.col(target)
+    styles = F.flatten(F.transform(old, lambda r, i: F.array_repeat(i, F.length(r["text"]))))
+    steps = lines.withColumn("_change", common_ends(C.line_text(old), new)).withColumn("_styles", styles)
+    head, cut = F.length("_change.prefix"), F.length("_change.removed")
+    near = F.coalesce(F.get("_styles", head - 1), F.get("_styles", head), F.lit(-1))
+    steps = steps.withColumn(
+        "_between", styles_between(F.col("_change.removed"), F.col("_change.inserted"), F.slice("_styles", head + 1, cut), near)
+    )
+    after = F.slice("_styles", head + cut + 1, F.greatest(F.size("_styles") - head - cut, F.lit(0)))
+    letters = F.concat(F.slice("_styles", F.lit(1), head), F.col("_between"), after)
+
+    known = F.transform(old, lambda r: F.struct(*(r[f].alias(f) for f in STYLE)))
+    inside = lambda ranges, i: F.exists(ranges, lambda r: (r["s"] <= i) & (i < r["e"]))
+    face = lambda i, own: F.when(inside(italic, i), "italic").when(inside(roman, i), "roman").otherwise(F.coalesce(own["typeface"], F.lit("roman")))
+    styled = F.transform(
+        F.transform(letters, lambda k, i: F.struct(i.alias("i"), F.when(k >= 0, F.get(known, k)).alias("own"))),
+        lambda x: F.struct(face(x["i"], x["own"]).alias("typeface"), *(x["own"][f].alias(f) for f in STYLE[1:])),
+    )
+    steps = steps.withColumn("_styled", styled)
+    style = lambda i: F.get("_styled", i)
+    starts = F.filter(F.sequence(F.lit(0), F.size("_styled") - 1), lambda i: (i == 0) | ~style(i - 1).eqNullSafe(style(i)))
+    steps = steps.withColumn("_starts", F.when(F.size("_styled") > 0, starts).otherwise(F.array().cast("array<int>")))
+    ends = F.concat(F.slice("_starts", F.lit(2), F.greatest(F.size("_starts") - 1, F.lit(0))), F.array(F.size("_styled")))
+    bounds = F.arrays_zip(F.col("_starts").alias("a"), ends.alias("b"))
+    text = lambda x: F.substring(new, x["a"] + 1, x["b"] - x["a"])
+    run = lambda x: F.struct(*((text(x) if f == "text" else style(x["a"])[f]).alias(f) for f in FIELDS))
+    out = F.transform(F.filter(bounds, lambda x: x["a"].isNotNull()), run)
+    broken = F.exists(F.concat(roman, italic), lambda r: (r["s"] < 0) | (r["s"] >= r["e"]) | (r["e"] > F.length(new)))
+    return steps.withColumn(into, F.when(~broken, out)).drop("_change", "_styles", "_between", "_styled", "_starts")
 
 
 def resolved(changes: DataFrame, after: str = "after") -> DataFrame:
     """``changes`` with target, roman, italic and error."""
-    read = changes.withColumn("_m", T.resolve_markers(after)).withColumn("_p", T.parse_notation(F.col("_m.value")))
-    return read.select(
+    read = changes.withColumn("_m", T.resolve_markers(F.col(after))).withColumn("_p", T.parse_notation(F.col("_m.value")))
+    out = read.select(
         *changes.columns,
-        T.nfc(F.col("_p.text")).alias("target"), F.col("_p.roman").alias("roman"), F.col("_p.italic").alias("italic"),
+        F.col("_p.text").alias("target"), F.col("_p.roman").alias("roman"), F.col("_p.italic").alias("italic"),
         F.coalesce("_m.error", "_p.error").alias("error"),
     )
+    return T.composed(out, "target")
 
 
 def applied(lines: DataFrame, changes: DataFrame) -> DataFrame:
@@ -88,8 +108,10 @@ def applied(lines: DataFrame, changes: DataFrame) -> DataFrame:
         .when(held, "held")
         .otherwise("applied")
     )
-    new = F.when(F.col("outcome") == "applied", rewrite_runs("runs", "target", "roman", "italic")).otherwise(F.col("runs"))
-    return now.withColumn("outcome", outcome).withColumn("new_runs", new)
+    known = now.withColumn("outcome", outcome)
+    known = known.withColumn("_target", F.when(F.col("outcome") == "applied", F.col("target")))
+    new = rewrite_runs(known, "runs", "_target", "roman", "italic", "new_runs")
+    return new.withColumn("new_runs", F.when(F.col("outcome") == "applied", F.col("new_runs")).otherwise(F.col("runs"))).drop("_target")
 
 
 def idempotent(log: DataFrame, page: str = "page_id", issue: str = "issue_no") -> tuple[DataFrame, DataFrame]:

@@ -634,9 +634,14 @@ def edit_reconcile(t: Tables) -> DataFrame:
     return out.select(at[0].cast("long").alias("conv_id"), at[1].cast("long").alias("turn"), "action")
 
 
-@query()
+@query(r"""
+SELECT conv_id, turn, CASE WHEN text IS NULL THEN NULL ELSE len(w) END AS runs, md5(new) AS digest,
+       md5(array_to_string(list_transform(range(1, len(w) + 1), lambda i: (CASE i % 2 WHEN 1 THEN 'r' ELSE 'i' END)
+         || CAST(length(w[i]) + 1 + CASE WHEN i = 1 AND new <> old THEN 1 ELSE 0 END AS VARCHAR)), '')) AS faces
+FROM (SELECT *, regexp_replace(old, '^(\S+) ', '\1, ') AS new FROM
+      (SELECT conv_id, turn, text, string_split(text, ' ') AS w, text || ' ' AS old FROM conversations))""")
 def style_rewrite(t: Tables) -> DataFrame:
-    """Every turn rewritten with a word replaced, its styles kept (F16): checked by unit cases."""
+    """Every turn rewritten with a comma after its first word, its styles kept (F16)."""
     words = F.split("text", " ")
     runs = F.transform(
         words,
@@ -648,8 +653,10 @@ def style_rewrite(t: Tables) -> DataFrame:
     )
     none = F.array().cast("array<struct<s:int,e:int>>")
     target = F.regexp_replace(C.line_text(runs), "^(\\S+) ", "$1, ")
-    new = R.rewrite_runs(runs, target, none, none)
-    return t.conversations.select("conv_id", "turn", F.size(new).alias("runs"), F.md5(C.line_text(new)).alias("digest"))
+    lines = t.conversations.select("conv_id", "turn", runs.alias("runs"), target.alias("target"), none.alias("roman"), none.alias("italic"))
+    new = R.rewrite_runs(lines, "runs", "target", "roman", "italic", "new")
+    faces = F.array_join(F.transform("new", lambda r: F.concat(F.substring(r["typeface"], 1, 1), F.length(r["text"]).cast("string"))), "")
+    return new.select("conv_id", "turn", F.size("new").alias("runs"), F.md5(C.line_text(F.col("new"))).alias("digest"), F.md5(faces).alias("faces"))
 
 
 @query()
@@ -657,7 +664,7 @@ def tilde_move(t: Tables) -> DataFrame:
     """Every word with a tilde, and what it is with the tilde on the other vowel (F2): checked by unit cases."""
     words = t.documents.select(F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(r"\p{L}*[ãõñ]\p{L}*"), F.lit(0)))).alias("word"))
     at = F.regexp_instr("word", F.lit("[ãõñ]")) - 1
-    return words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).withColumn("moved", T.move_tilde("word", at))
+    return words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).withColumn("moved", T.move_tilde(F.col("word"), at))
 
 
 @query("""

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import io
-import struct
+import re
 import zipfile
 
 import pandas as pd
@@ -76,33 +76,32 @@ def leaves(spark: SparkSession, start: int = 1, end: int = 651, last: int = 651)
     return spark.range(start, end + 1).select(F.col("id").cast("int").alias("leaf"))
 
 
+# Fixed values of the JPEG format: codes of frame headers, and of markers that stand alone.
+FRAME_CODES = frozenset(range(0xC0, 0xD0)) - {0xC4, 0xC8, 0xCC}
+LONE_CODES = frozenset(range(0xD0, 0xDA))
+MARKER = re.compile(rb"\xff+([^\xff])", re.S)
+
+
 def jpeg_size(data: bytes) -> tuple[int | None, int | None, str | None]:
-    """(width, height, error) from the frame header of a JPEG."""
-    if data[:2] != b"\xff\xd8":
-        return None, None, "no start marker"
-    stream = io.BytesIO(data)
-    stream.seek(2)
-    while byte := stream.read(1):
-        if byte != b"\xff":
-            continue
-        while byte == b"\xff":
-            byte = stream.read(1)
-        code = byte[0] if byte else 0xD9
-        if code in (0xD8, 0xD9) or 0xD0 <= code <= 0xD7:  # markers without a body
+    """(width, height, error) from the frame header of a JPEG.
+
+    Segments give their own length, so the search for the next marker starts behind each.
+    """
+    error, at = ("no frame", 2) if data.startswith(b"\xff\xd8") else ("no start marker", len(data))
+    while found := MARKER.search(data, at):
+        code, at = found[1][0], found.end()
+        if code in LONE_CODES:
             continue
-        size = stream.read(2)
-        if len(size) < 2:
-            break
-        (length,) = struct.unpack(">H", size)
-        if length < 2:
-            return None, None, "segment too short"
-        segment = stream.read(length - 2)
-        if 0xC0 <= code <= 0xCF and code not in (0xC4, 0xC8, 0xCC):  # a frame
-            if len(segment) < 5:
-                break
-            height, width = struct.unpack(">HH", segment[1:5])
-            return (width, height, None) if width and height else (None, None, "size is not positive")
-    return None, None, "no frame"
+        length = int.from_bytes(data[at : at + 2], "big")
+        if code in FRAME_CODES and length >= 7 and len(data) >= at + 7:
+            height, width = (int.from_bytes(data[at + k : at + k + 2], "big") for k in (3, 5))
+            if width and height:
+                return width, height, None
+            error, at = "size is not positive", len(data)
+        elif length < 2 and len(data) >= at + 2:
+            error, at = "segment too short", len(data)
+        at += length
+    return None, None, error
 
 
 @F.pandas_udf(T.StructType().add("width", "integer").add("height", "integer").add("error", "string"))

@@ -129,6 +129,8 @@ def frame(w, h):
 def test_files(spark, tmp_path):
     assert files.jpeg_size(frame(640, 480)) == (640, 480, None)
     assert files.jpeg_size(b"x")[2] and files.jpeg_size(frame(0, 480))[2] and files.jpeg_size(b"\xff\xd8\xff\xd9")[2]
+    assert files.jpeg_size(b"\xff\xd8\xff\xff\xd0\xff\xe0\x00\x04\xff\xc0" + frame(64, 48)[8:]) == (64, 48, None)  # a marker's bytes inside a segment
+    assert files.jpeg_size(b"\xff\xd8\xff\xe0\x00\x01")[2] == "segment too short" and files.jpeg_size(frame(640, 480)[:-1])[2] == "no frame"
     for bad in ((0, 3), (3, 2), (650, 652)):
         with pytest.raises(ValueError):
             files.leaves(spark, *bad)

@@ -11,8 +11,8 @@ from leafmill.operators import ordered as W
 @pytest.mark.parametrize(
     "word, at, moved", [("não", 1, "naõ"), ("huã", 2, "hũa"), ("poẽ", 2, "põe"), ("Gõye", 1, None), ("casa", 1, None), ("ã", 0, None), ("ãeo", 0, None)]
 )
-def test_tilde_moved(word, at, moved):
-    assert T.tilde_moved(word, at) == moved
+def test_move_tilde(spark, word, at, moved):
+    assert one(spark, T.move_tilde(F.col("w"), F.lit(at)), w=word) == moved
 
 
 @pytest.mark.parametrize(
@@ -26,8 +26,8 @@ def test_tilde_moved(word, at, moved):
         ("", "", None),
     ],
 )
-def test_markers(text, value, error):
-    assert T.markers_resolved(text) == (value, error)
+def test_markers(spark, text, value, error):
+    assert tuple(one(spark, T.resolve_markers(F.col("t")), t=text)) == (value, error)
 
 
 def one(spark, column, **values):
@@ -83,20 +83,36 @@ def test_common_ends(spark):
     assert tuple(one(spark, R.common_ends(F.col("a"), F.col("b")), a="aa", b="a")) == ("a", "a", "", "")
 
 
+RUNS = "array<struct<typeface:string,text:string,placement:string,layout:string,line_span:int,span_id:string>>"
+
+
 def run(face, text, **more):
     return {"typeface": face, "text": text, **more}
 
 
-def test_rewritten():
+def rewritten(spark, runs, target, roman=(), italic=()):
+    """The new runs, without what is null."""
+    as_rows = [tuple(r.get(f) for f in R.FIELDS) for r in runs]
+    ranges = "array<struct<s:int,e:int>>"
+    frame = spark.createDataFrame([(as_rows, target, list(roman), list(italic))], f"runs {RUNS}, target string, roman {ranges}, italic {ranges}")
+    out = R.rewrite_runs(frame, "runs", "target", "roman", "italic", "x").first().x
+    return None if out is None else [{k: v for k, v in r.asDict().items() if v is not None} for r in out]
+
+
+def test_rewritten(spark):
     old = [run("italic", "zinha, ou cha, &c.")]
-    assert R.rewritten(old, "zinha, ou cha, &c.", [(10, 13)], []) == [
-        run("italic", "zinha, ou "), run("roman", "cha"), run("italic", ", &c."),
-    ]
-    assert [r["typeface"] for r in R.rewritten([run("roman", "Adu. P. Vide.")], "Adu. P. Vide.", [], [(5, 7)])] == ["roman", "italic", "roman"]
+    assert rewritten(spark, old, "zinha, ou cha, &c.", [(10, 13)]) == [run("italic", "zinha, ou "), run("roman", "cha"), run("italic", ", &c.")]
+    assert [r["typeface"] for r in rewritten(spark, [run("roman", "Adu. P. Vide.")], "Adu. P. Vide.", [], [(5, 7)])] == ["roman", "italic", "roman"]
     big = [run("display", "A", layout="large-initial", line_span=2), run("roman", "FIru. 3", placement="far-right")]
-    assert R.rewritten(big, "AFIru! 3", [], []) == [big[0], run("roman", "FIru! 3", placement="far-right")]
-    assert R.rewritten([], "x", [], []) == [run("roman", "x")]
-    assert R.rewritten([run("italic", "ab"), run("roman", "cd")], "abXYZd", [], [])[0]["text"].startswith("ab")
+    assert rewritten(spark, big, "AFIru! 3") == [big[0], run("roman", "FIru! 3", placement="far-right")]
+    assert rewritten(spark, [], "x") == [run("roman", "x")] and rewritten(spark, [run("italic", "ab")], "") == []
+    two = [run("italic", "ab"), run("roman", "cd")]
+    assert rewritten(spark, two, "abXYZd") == [run("italic", "ab"), run("roman", "XYZd")]
+    assert rewritten(spark, two, "Xabcd") == [run("italic", "Xab"), run("roman", "cd")]  # the neighbour's
+    assert rewritten(spark, two, "abcdX") == [run("italic", "ab"), run("roman", "cdX")]
+    assert rewritten(spark, two, "aXYZWd") == [run("italic", "aXYZW"), run("roman", "d")]  # of equals the first seen
+    assert rewritten(spark, two, "a1c2") == [run("italic", "a1"), run("roman", "c2")]
+    assert rewritten(spark, two, "abcd", [(0, 5)]) is None and rewritten(spark, two, "abcd", [], [(2, 2)]) is None
 
 
 def test_assembled(spark):
