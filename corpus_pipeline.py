@@ -3,6 +3,13 @@
 A document is rejected if its quality classifier says so, or if a near copy of smaller id
 stays, or if it contains a benchmark item; personal data is replaced in those that are left,
 and the last stage mixes them to the target weights (a row for each copy taken).
+
+Defined results: a null or empty text is judged by its length alone, is no near copy, holds
+no item and no personal data, and is never taken into the mix; rows that repeat one document
+stay or go together, until the mix takes each by itself; a null doc_id is linked with
+nothing; a null source is mixed as the last source; extra columns pass through all stages,
+whatever their names (one named like a column of the mix gets ``_in`` after its name); empty
+tables give no rows.  Each stage is a table of its own, so a lost executor repeats no stage.
 """
 
 from __future__ import annotations
@@ -45,7 +52,7 @@ STAGES = [
     ("pii", pii_stage),
     ("mixing", mixing_stage),
 ]
-ORACLE_SQL = None  # trained models are not expressible in SQL; tests compare with brute force
+ORACLE_SQL = None  # trained models are not expressible in SQL; tests/llm/test_pipeline.py compares with brute force
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
