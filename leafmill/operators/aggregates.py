@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -118,3 +120,26 @@ def nested_report(rows: DataFrame, key: str, *fields: str) -> DataFrame:
 def map_total(maps: Column) -> Column:
     """Entries of a map, to be summed."""
     return F.coalesce(F.size(maps), F.lit(0))
+
+
+def global_counts(**tables: DataFrame) -> DataFrame:
+    """(name, n): how many rows each of several tables has (A1)."""
+    one = lambda name: tables[name].agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("name"), "n")
+    return reduce(DataFrame.unionByName, map(one, tables))
+
+
+def dark_rows(pixels: DataFrame, row: str, value: str, below: float = 105) -> DataFrame:
+    """(row, dark): the pixels of each row that are darker than ``below``."""
+    return pixels.groupBy(row).agg(F.count_if(F.col(value) < below).alias("dark"))
+
+
+def unlike_distribution(rows: DataFrame, column: str, expected: dict) -> DataFrame:
+    """(value, n, expected): the values of a column whose counts are not those expected."""
+    counts = rows.groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    kind = counts.schema["value"].dataType
+    wanted = [F.struct(F.lit(v).cast(kind).alias("value"), F.lit(n).cast("long").alias("expected")) for v, n in expected.items()]
+    known = rows.sparkSession.range(1).select(F.inline(F.array(*wanted)))  # a literal table
+    both = counts.join(known, counts["value"].eqNullSafe(known["value"]), "full").select(
+        F.coalesce(counts["value"], known["value"]).alias("value"), F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("expected", F.lit(0)).alias("expected")
+    )
+    return both.where("n <> expected")

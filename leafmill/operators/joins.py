@@ -60,3 +60,12 @@ def with_rules(rows: DataFrame, rules: list[tuple], columns: list[str], on: str)
     """Join with a literal table of rules (J7): a few rows, broadcast."""
     literal = rows.sparkSession.createDataFrame(rules, columns)
     return rows.join(F.broadcast(literal), on)
+
+
+def masters_with_pages(masters: DataFrame, pages: DataFrame, reviews: DataFrame, on: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(masters with their pages where there are any, pages without a master, reviews without a page)."""
+    return (
+        masters.join(pages, on, "left"),
+        pages.join(masters.select(on), on, "left_anti"),
+        reviews.join(pages.select(on), on, "left_anti"),
+    )

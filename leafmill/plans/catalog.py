@@ -19,6 +19,7 @@ from leafmill.operators import corrections as R
 from leafmill.operators import joins as J
 from leafmill.operators import ordered as W
 from leafmill.plans import views
+from leafmill.sources import pages as P
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -673,3 +674,106 @@ WHERE len(regexp_extract_all(text, '[\\[\\]{}]')) = 0""")
 def notation_parse(t: Tables) -> DataFrame:
     """The text of every turn without its typeface marks (F4), null where they are broken; the SQL has turns without marks only."""
     return t.conversations.select("conv_id", "turn", T.parse_notation(F.col("text"))["text"].alias("text"))
+
+
+@query("SELECT 'documents' AS name, count(*) AS n FROM documents UNION ALL SELECT 'pages', count(*) FROM pages UNION ALL SELECT 'labels', count(*) FROM labels")
+def global_counts(t: Tables) -> DataFrame:
+    return A.global_counts(documents=t.documents, pages=t.pages, labels=t.labels)
+
+
+@query("SELECT CAST(u.i - 1 AS INTEGER) AS y, count(*) FILTER (CAST(embedding[u.i] AS DOUBLE) < 0.05) AS dark FROM embeddings, unnest(range(1, len(embedding) + 1)) AS u(i) GROUP BY ALL")
+def dark_rows(t: Tables) -> DataFrame:
+    """Each dimension of the vectors as a row of pixels."""
+    pixels = t.embeddings.select(F.posexplode("embedding").alias("y", "x")).withColumn("x", F.col("x").cast("double"))
+    return A.dark_rows(pixels, "y", "x", 0.05)
+
+
+@query("""
+SELECT coalesce(l.value, e.value) AS value, coalesce(n, 0) AS n, coalesce(expected, 0) AS expected
+FROM (SELECT quality AS value, count(*) AS n FROM labels GROUP BY 1) l
+FULL JOIN (VALUES (0, 58::BIGINT), (1, 340::BIGINT), (2, 1::BIGINT)) e(value, expected) ON l.value = e.value
+WHERE coalesce(n, 0) <> coalesce(expected, 0)""")
+def unlike_distribution(t: Tables) -> DataFrame:
+    return A.unlike_distribution(t.labels, "quality", {0: 58, 1: 340, 2: 1})
+
+
+@query("""
+SELECT 'master' AS side, c_custkey AS key, n FROM customer c LEFT JOIN (SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1) o ON o_custkey = c_custkey
+UNION ALL SELECT 'page', o_custkey, count(*) FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer) GROUP BY 2
+UNION ALL SELECT 'review', s_suppkey, NULL FROM supplier WHERE s_suppkey NOT IN (SELECT o_custkey FROM orders)""")
+def masters_with_pages(t: Tables) -> DataFrame:
+    """Customers as masters, their orders as pages, suppliers of the same number as reviews."""
+    pages = t.orders.groupBy(F.col("o_custkey").alias("key")).agg(F.count(F.lit(1)).alias("n"))
+    parts = J.masters_with_pages(t.customer.select(F.col("c_custkey").alias("key")), pages, t.supplier.select(F.col("s_suppkey").alias("key")), "key")
+    shaped = [
+        part.withColumn("n", F.col("n") if "n" in part.columns else F.lit(None).cast("long")).select(F.lit(side).alias("side"), "key", "n")
+        for side, part in zip(("master", "page", "review"), parts, strict=True)
+    ]
+    return shaped[0].unionByName(shaped[1]).unionByName(shaped[2])
+
+
+@query("SELECT page_id, format('bnf-f{:04d}', page_id) AS id FROM pages WHERE page_id BETWEEN 20 AND 120")
+def page_range(t: Tables) -> DataFrame:
+    return P.in_page_range(t.pages.select("page_id", C.page_id(F.col("page_id").cast("int")).alias("id")), "id", 20, 120)
+
+
+@query("SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus <> 'F'")
+def eligible_columns(t: Tables) -> DataFrame:
+    return P.eligible_columns(t.orders.select("o_orderkey", "o_orderdate", "o_orderstatus"), "o_orderdate", "o_orderstatus", "F").drop("o_orderdate")
+
+
+@query("SELECT doc_id, len(string_split(text, chr(10))) AS n FROM documents WHERE lang = 'en' AND text IS NOT NULL")
+def column_bodies(t: Tables) -> DataFrame:
+    """English documents as columns."""
+    zones = t.documents.select("doc_id", F.when(F.col("lang") == "en", "column").otherwise("signature").alias("kind"), F.split("text", "\n", -1).alias("lines"))
+    return P.column_bodies(zones).select("doc_id", F.size("lines").cast("long").alias("n"))
+
+
+@query(f"SELECT doc_id, line_no FROM ({LINES_SQL}) WHERE contains(line, '=')")
+def literal_equals(t: Tables) -> DataFrame:
+    """Numbered lines of the documents as raw lines of pages."""
+    raw = F.concat(F.lit("["), F.col("line_no").cast("string"), F.lit("] "), "line")
+    return lines_of(t.documents).where(P.has_literal_equals(raw)).select("doc_id", "line_no")
+
+
+@query("SELECT page_id FROM pages WHERE page_id BETWEEN 10 AND 60 OR page_id IN (70, 77, 200)")
+def leaf_set(t: Tables) -> DataFrame:
+    leaves = P.leaf_set(t.spark, 10, 60, [70, 77, 60, 200])
+    return t.pages.select("page_id").join(leaves, F.col("page_id") == F.col("leaf"), "left_semi")
+
+
+@query(r"""
+SELECT doc_id, CASE quality WHEN 1 THEN true WHEN 0 THEN false END AS flag, length(trim(s, chr(9) || ' ')) AS n_bare, true AS digest, false AS short_digest,
+       starts_with(s, '  doc') AS prefix, replace('doc_' || doc_id, '_', ' ') AS label, least(greatest(doc_id, 100), 500) AS clamped
+FROM (SELECT *, '  doc ' || doc_id || chr(9) AS s FROM labels)""")
+def scalar_checks(t: Tables) -> DataFrame:
+    """Strict booleans, stripped texts, digests, prefixes, labels and clamped numbers of the labels."""
+    said = F.concat(F.lit("  doc "), F.col("doc_id").cast("string"), F.lit("\t"))
+    digest = F.sha2(F.col("doc_id").cast("string"), 256)
+    return t.labels.select(
+        "doc_id",
+        T.strict_bool(F.when(F.col("quality") == 1, "true").when(F.col("quality") == 0, "false").otherwise("no")).alias("flag"),
+        F.length(T.strip(said)).cast("long").alias("n_bare"),
+        C.is_digest(digest).alias("digest"),
+        C.is_digest(F.substring(digest, 1, 63)).alias("short_digest"),
+        T.has_prefix(said, "  doc").alias("prefix"),
+        T.label(F.concat(F.lit("doc_"), F.col("doc_id").cast("string"))).alias("label"),
+        G.clamp(F.col("doc_id"), F.lit(100), F.lit(500)).alias("clamped"),
+    )
+
+
+@query("SELECT c_custkey, CASE WHEN c_custkey % 7 = 0 THEN 5.0 ELSE 5 + (c_custkey % 7) * 90.0 / (c_custkey % 7 + 3) END::DOUBLE AS spaced FROM customer")
+def even_spacing(t: Tables) -> DataFrame:
+    """Line i of n between 5 and 95."""
+    i = F.col("c_custkey") % 7
+    return t.customer.select("c_custkey", W.evenly(F.lit(5.0), F.lit(95.0), i, i + 4).alias("spaced"))
+
+
+@query(r"""
+SELECT doc_id, regexp_replace(regexp_replace(text, '\*', '', 'g'), 'não', 'naõ', 'g') AS value FROM (
+  SELECT doc_id, left(replace(text, '*', ''), 200) || ' não' AS text FROM documents) WHERE NOT regexp_matches(text, '[ãõñẽĩũ]*não.*não')""")
+def marker_move(t: Tables) -> DataFrame:
+    """The beginning of each document with a marked word behind it, whose tilde moves."""
+    head = F.left(F.replace("text", F.lit("*"), F.lit("")), F.lit(200))
+    rows = t.documents.where(head.isNotNull() & (F.locate("não", head) == 0)).select("doc_id", T.resolve_markers(F.concat(head, F.lit(" *não"))).alias("m"))
+    return rows.select("doc_id", F.col("m.value").alias("value"))

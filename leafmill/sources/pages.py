@@ -217,3 +217,32 @@ def placed(runs: Column) -> Column:
     """struct(main, far) of the runs of a line."""
     far = lambda r: r["placement"].eqNullSafe("far-right")
     return F.struct(F.filter(runs, lambda r: ~far(r)).alias("main"), F.filter(runs, far).alias("far"))
+
+
+def in_page_range(rows: DataFrame, page_id: str, first: int | None = None, last: int | None = None) -> DataFrame:
+    """Rows whose page id ends in ``f`` and a number within bounds, of which either may be absent (P10)."""
+    number = F.regexp_extract(page_id, r"f(\d+)$", 1)
+    value = F.when(number != "", number.cast("int"))
+    return rows.where((value >= (0 if first is None else first)) & (F.lit(True) if last is None else value <= last))
+
+
+def eligible_columns(columns: DataFrame, source: str, state: str, target: str) -> DataFrame:
+    """Reviewed columns that are not yet in the target state."""
+    return columns.where(F.col(source).isNotNull() & ~F.col(state).eqNullSafe(target))
+
+
+def column_bodies(zones: DataFrame, kind: str = "kind", lines: str = "lines") -> DataFrame:
+    """Zones that are columns and have a line."""
+    return zones.where((F.col(kind) == "column") & (F.size(lines) > 0))
+
+
+def has_literal_equals(line: Column) -> Column:
+    """Whether a raw line of a page has ``=`` in its text, behind its bracket."""
+    return line.startswith("[") & (F.locate("] ", line) > 0) & F.contains(F.substring(line, F.locate("] ", line) + 2, F.length(line)), F.lit("="))
+
+
+def leaf_set(spark: SparkSession, first: int, last: int, extras: list[int]) -> DataFrame:
+    """Leaves of a contiguous range and some beside it, each once."""
+    return spark.range(first, last + 1).select(F.col("id").cast("int").alias("leaf")).union(
+        spark.range(1).select(F.explode(F.array(*map(F.lit, extras))).alias("leaf"))
+    ).distinct()
