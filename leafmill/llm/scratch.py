@@ -2,7 +2,8 @@
 
 ``keep`` writes a DataFrame as Parquet below ``spark.checkpoint.dir`` and reads it back, so
 that what follows neither recomputes it nor depends on the executor that made it.  Where
-the setting is absent (a local session, as in tests), a temporary folder is made once.
+the setting is absent, a local session (as in tests) makes a temporary folder once, and a
+cluster is told to set it.
 """
 
 from __future__ import annotations
@@ -21,6 +22,8 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that the cluster shares")
     app = spark.sparkContext.applicationId
     if app not in _LOCAL:
         _LOCAL[app] = tempfile.mkdtemp(prefix="spark-leafmill-")
