@@ -3,12 +3,22 @@
 ``global_rank`` numbers rows of a whole table without gathering them in one task: integer
 keys are cut into buckets, the buckets' totals are summed up (they are few), and rows are
 ranked inside their bucket.
+
+``rank_within``, ``guarded_rows`` and ``smoothed_rows`` do the same inside a key that may hold
+any share of all rows: ``bucket`` is a whole number that never falls along the order (an hour,
+a range of ids), a task sees the rows of one bucket of one key, and only a row a bucket is
+gathered for the key.  A null bucket comes first, as null does in the order.
 """
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql import types as S
 
 
 def global_rank(rows: DataFrame, key: str, ties: list[str] | None = None, width: int = 1 << 16, name: str = "rank") -> DataFrame:
@@ -22,6 +32,21 @@ def global_rank(rows: DataFrame, key: str, ties: list[str] | None = None, width:
     return bucketed.withColumn("_r", inside).join(offsets, "_b").withColumn(name, F.col("_r") + F.col("_off")).drop("_b", "_r", "_off")
 
 
+def bucketed(rows: DataFrame, key: str, bucket: Column) -> DataFrame:
+    """``rows`` with ``_k``, the key as a struct so that null joins null, and ``_b``, the bucket."""
+    return rows.withColumn("_k", F.struct(key)).withColumn("_b", F.coalesce(bucket.cast("long"), F.lit(-(1 << 63))))
+
+
+def rank_within(rows: DataFrame, key: str, *order: str, bucket: Column, name: str = "rank", total: str = "total") -> DataFrame:
+    """``rows`` with their 1-based rank in the key, and the key's number of rows."""
+    own = bucketed(rows, key, bucket)
+    sizes = own.groupBy("_k", "_b").agg(F.count(F.lit(1)).alias("_n"))
+    up_to = F.sum("_n").over(Window.partitionBy("_k").orderBy("_b"))
+    offsets = sizes.select("_k", "_b", (up_to - F.col("_n")).alias("_off"), F.sum("_n").over(Window.partitionBy("_k")).alias(total))
+    inside = F.row_number().over(Window.partitionBy("_k", "_b").orderBy(*order))
+    return own.withColumn("_r", inside).join(offsets, ["_k", "_b"]).withColumn(name, F.col("_r") + F.col("_off")).drop("_k", "_b", "_r", "_off")
+
+
 def interpolated(pos: Column, n: Column, low: float = 5.8, high: float = 95.8) -> Column:
     """Place of the 1-based ``pos`` of ``n`` between two bounds; the middle for one alone."""
     return F.when(n == 1, 50.0).otherwise(F.lit(low) + (pos - 1) / (n - 1) * (high - low))
@@ -43,7 +68,7 @@ def midpoints(value: str, w: WindowSpec, nominal: Column | float, overlap: float
 def guarded(snapped: Column, expected: Column, least: float = 28) -> Column:
     """Array of snapped values, each replaced by the expected one where it is not beyond its predecessor.
 
-    The predecessor is the adjusted one, so this is a fold and not a window.
+    The predecessor is the adjusted one.  For the lines of a page; ``guarded_rows`` takes keys of any size.
     """
     pairs = F.arrays_zip(snapped.alias("s"), expected.alias("e"))
     none = F.array().cast("array<double>")
@@ -56,6 +81,49 @@ def guarded(snapped: Column, expected: Column, least: float = 28) -> Column:
     return F.aggregate(pairs, none, step)
 
 
+def guarded_rows(
+    rows: DataFrame, key: str, *order: str, bucket: Column, snapped: Column, expected: Column, least: float = 28, name: str = "guarded"
+) -> DataFrame:
+    """``rows`` with the guarded value of each and whether it is the snapped one (W3), by key in order.
+
+    A row keeps one of two values, so all it hands on is one bit, and a row maps the bit before
+    it: to itself, to its opposite, or to a constant.  The bit of a row is thus the last constant
+    at or before it, turned over by the number of opposites since; so windows do it, first inside
+    a bucket, then over the buckets' maps.  The first row of a key is snapped, as is one after a
+    null; a null is not beyond anything, so it gives the expected value.
+    """
+    w, over = Window.partitionBy("_k", "_b").orderBy(*order), Window.partitionBy("_k").orderBy("_b")
+    beyond = lambda s, before: F.coalesce(before.isNull() | (s > before + least), F.lit(False))
+
+    def mapped(frame: DataFrame, s: Column, before: Column) -> DataFrame:
+        """With ``_same``, the constant of a row or null, and ``_turn``, whether it gives the opposite."""
+        after_snapped, after_expected = beyond(s, before["s"]), beyond(s, before["e"])
+        return frame.withColumn("_same", F.when(after_snapped == after_expected, after_snapped)).withColumn("_turn", ~after_snapped & after_expected)
+
+    def composed(frame: DataFrame, same: Column, turn: Column, spec: WindowSpec, known: str, odd: str) -> DataFrame:
+        """The map of all rows up to each: ``known``, the last constant or null, turned over if ``odd``."""
+        frame = frame.withColumn("_turns", F.sum(turn.cast("long")).over(spec))
+        frame = frame.withColumn("_last", F.last(F.when(same.isNotNull(), F.struct(same.alias("v"), F.col("_turns").alias("at"))), ignorenulls=True).over(spec))
+        since = F.col("_turns") - F.coalesce("_last.at", F.lit(0))
+        return frame.withColumn(known, F.col("_last.v")).withColumn(odd, since % 2 == 1).drop("_turns", "_last")
+
+    own = bucketed(rows, key, bucket).withColumn("_v", F.struct(snapped.cast("double").alias("s"), expected.cast("double").alias("e")))
+    own = own.withColumn("_i", F.row_number().over(w)).withColumn("_before", F.lag("_v").over(w))
+    own, inner = mapped(own, F.col("_v.s"), F.col("_before")), F.col("_i") > 1  # a bucket's first row waits for the bucket before
+    own = composed(own, F.when(inner, F.col("_same")), inner & F.col("_turn"), w, "_known", "_odd")
+
+    ends = own.groupBy("_k", "_b").agg(F.min_by("_v", "_i").alias("first"), F.max_by(F.struct("_v", "_known", "_odd"), "_i").alias("last"))
+    ends = mapped(ends, F.col("first.s"), F.lag("last._v").over(over)).withColumnsRenamed({"_same": "_same1", "_turn": "_turn1"})
+    whole = F.coalesce("last._known", "_same1") != F.col("last._odd")
+    ends = composed(ends, whole, F.col("_turn1") != F.col("last._odd"), over, "_known_b", "_odd_b")
+    ends = ends.withColumn("_end", F.lag(F.col("_known_b") != F.col("_odd_b")).over(over))
+    starts = ends.select("_k", "_b", F.coalesce("_same1", F.col("_end") != F.col("_turn1")).alias("_start"))
+
+    fine = F.coalesce("_known", "_start") != F.col("_odd")
+    out = own.join(starts, ["_k", "_b"]).withColumn(f"{name}_snapped", fine).withColumn(name, F.when(fine, F.col("_v.s")).otherwise(F.col("_v.e")))
+    return out.drop("_k", "_b", "_v", "_i", "_before", "_same", "_turn", "_known", "_odd", "_start")
+
+
 def islands(rows: DataFrame, key: str, value: str, *order: str) -> DataFrame:
     """Runs of neighbours with equal values: key, value, first and last position, size."""
     w = Window.partitionBy(key).orderBy(*order)
@@ -109,6 +177,33 @@ def smoothed(values: Column, weights: list[float]) -> Column:
     return F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), at)).otherwise(F.array().cast("array<double>"))
 
 
+def smoothed_rows(
+    rows: DataFrame, key: str, *order: str, bucket: Column, value: str, weights: list[float], name: str = "smooth", place: str = "place", chunk: int = 4096
+) -> DataFrame:
+    """``rows`` with the weighted sum about each, reflected at the ends of the key, and their 0-based place.
+
+    Ranks are cut into chunks of ``chunk`` rows with a halo of the kernel's radius on either side; rows
+    near the ends also stand at their mirror images, so each sum sees the whole kernel.
+    """
+    radius = len(weights) // 2
+    if chunk < 2 * radius:
+        raise ValueError("a chunk must hold the kernel")
+    kernel, p, n, v = F.array(*[F.lit(w) for w in weights]), F.col(place), F.col("_total"), F.col("_at")
+    ranked = rank_within(rows, key, *order, bucket=bucket, name="_rank", total="_total").withColumn(place, F.col("_rank") - 1)
+    times = F.ceil(F.lit(radius) / (2 * n)) + 1
+    images = F.flatten(F.transform(F.sequence(-times, times), lambda m: F.array(p + 2 * n * m, 2 * n * m - 1 - p)))
+    images = F.filter(images, lambda x: (x >= -radius) & (x < n + radius))
+    standing = ranked.withColumn("_at", F.explode(F.when((p >= radius) & (p < n - radius), F.array(p)).otherwise(images)))
+    homes = F.array_distinct(F.array(F.floor((v - radius) / chunk), F.floor((v + radius) / chunk)))
+    near = standing.withColumn("_c", F.explode(homes)).withColumn("_k", F.struct(key))
+    about = F.collect_list(F.struct(F.col(value).cast("double").alias("x"))).over(
+        Window.partitionBy("_k", "_c").orderBy("_at").rowsBetween(-radius, radius)
+    )
+    own = near.withColumn("_about", about).where((v == p) & (F.floor(v / chunk) == F.col("_c")))
+    terms = F.zip_with(kernel, "_about", lambda w, x: w * x["x"])
+    return own.withColumn(name, F.aggregate(terms, F.lit(0.0), lambda acc, x: acc + x)).drop("_rank", "_total", "_at", "_c", "_k", "_about")
+
+
 def first_maximum(values: Column, start: Column, stop: Column) -> Column:
     """0-based place of the first largest element in [start, stop)."""
     part = F.slice(values, (start + 1).cast("int"), F.greatest(stop - start, F.lit(0)).cast("int"))
@@ -146,6 +241,48 @@ def assembled(segments: Column) -> Column:
     return F.aggregate(segments, start, step, lambda a: F.struct(F.when(a["valid"], a["text"]).alias("text"), a["valid"].alias("valid")))
 
 
+def assembled_digests(rows: DataFrame, key: str, *order: str, text: str, join: str) -> DataFrame:
+    """(key, digest): MD5 of each key's segments as ``assembled`` joins them; null if not valid or a text is null.
+
+    A pass over sorted rows that holds one digest and the division marks at the end, so a key may be of any length.
+    """
+
+    def folded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        nothing = object()
+        now, digest, tail, valid = nothing, None, "", True
+        kind = None
+
+        def row() -> pa.RecordBatch:
+            said = digest.copy()
+            said.update(tail.encode())
+            return pa.RecordBatch.from_arrays([pa.array([now], kind), pa.array([said.hexdigest() if valid else None], pa.string())], [key, "digest"])
+
+        for batch in batches:
+            kind = batch.column(0).type
+            for k, piece, how in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if now is nothing or k != now:
+                    if now is not nothing:
+                        yield row()
+                    now, digest, tail, valid, added = k, hashlib.md5(), "", piece is not None, piece or ""
+                elif piece is None or not valid:
+                    valid = False
+                    continue
+                elif how == "word":
+                    valid = tail != ""
+                    tail, added = tail[:-1], piece.lstrip(" \t\n\x0b\f\r")
+                else:
+                    added = {"none": "", "newline": "\n"}.get(how, " ") + piece
+                whole = tail + added
+                done = whole.rstrip("-=")
+                digest.update(done.encode())
+                tail = whole[len(done) :]
+        if now is not nothing:
+            yield row()
+
+    parts = rows.repartition(key).sortWithinPartitions(key, *order).select(key, text, join)
+    return parts.mapInArrow(folded, S.StructType([rows.schema[key], S.StructField("digest", S.StringType())]))
+
+
 def filled_forward(value: str, key: str, *order: str) -> Column:
     """The last value at or before each row."""
     return F.last(value, ignorenulls=True).over(Window.partitionBy(key).orderBy(*order))

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from leafmill.functions import content as C
@@ -322,6 +322,10 @@ def neighbour_mid(t: Tables) -> DataFrame:
     return t.events.select("event_id", low.alias("low"), high.alias("high"))
 
 
+def hour() -> Column:
+    return F.floor(F.unix_seconds(F.col("ts").cast("timestamp")) / 3600)
+
+
 @query("""
 WITH RECURSIVE s AS (
   SELECT user_id, value, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS i FROM events
@@ -333,12 +337,9 @@ WITH RECURSIVE s AS (
 )
 SELECT user_id, last, CAST(n AS BIGINT) AS n_snapped FROM g QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY i DESC) = 1""")
 def monotone_guard(t: Tables) -> DataFrame:
-    grouped = t.events.groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct("ts", "event_id", "value"))).alias("x"))
-    snapped = F.transform("x", lambda v: v["value"])
-    done = W.guarded(snapped, F.transform("x", lambda v: v["value"] / 2))
-    kept = F.size(F.filter(F.arrays_zip(snapped.alias("a"), F.col("done").alias("b")), lambda p: p["a"] == p["b"]))
-    return grouped.withColumn("done", done).select(
-        "user_id", F.element_at("done", -1).alias("last"), kept.cast("long").alias("n_snapped")
+    done = W.guarded_rows(t.events, "user_id", "ts", "event_id", bucket=hour(), snapped=F.col("value"), expected=F.col("value") / 2)
+    return done.groupBy("user_id").agg(
+        F.max_by("guarded", F.struct("ts", "event_id")).alias("last"), F.count_if("guarded_snapped").alias("n_snapped")
     )
 
 
@@ -371,10 +372,8 @@ s AS (
          ELSE 2 * n - 1 - ((i + j - 16) % (2 * n) + 2 * n) % (2 * n) END AS BIGINT) + 1])) AS y FROM p)
 SELECT user_id, CAST(i AS INTEGER) AS place FROM s QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY round(y, 9) DESC, i) = 1""")
 def smooth_argmax(t: Tables) -> DataFrame:
-    grouped = t.events.groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct("ts", "event_id", "value"))).alias("x"))
-    smooth = F.transform(W.smoothed(F.transform("x", lambda v: v["value"]), KERNEL), lambda y: F.round(y, 9))
-    found = grouped.select("user_id", smooth.alias("y"))
-    return found.select("user_id", W.first_maximum(F.col("y"), F.lit(0), F.size("y")).cast("int").alias("place"))
+    smooth = W.smoothed_rows(t.events, "user_id", "ts", "event_id", bucket=hour(), value="value", weights=KERNEL)
+    return smooth.groupBy("user_id").agg(F.max_by("place", F.struct(F.round("smooth", 9), -F.col("place"))).cast("int").alias("place"))
 
 
 @query("""
@@ -389,9 +388,8 @@ def prev_next(t: Tables) -> DataFrame:
 
 @query("SELECT conv_id, md5(string_agg(ltrim(text), ' ' ORDER BY turn, role, text)) AS digest FROM conversations GROUP BY conv_id")
 def ordered_fold(t: Tables) -> DataFrame:
-    part = F.struct("turn", "role", F.ltrim("text").alias("text"), F.lit("space").alias("join"))
-    grouped = t.conversations.groupBy("conv_id").agg(F.array_sort(F.collect_list(part)).alias("parts"))
-    return grouped.select("conv_id", F.md5(W.assembled(F.col("parts"))["text"]).alias("digest"))
+    parts = t.conversations.select("conv_id", "turn", "role", F.ltrim("text").alias("text"), F.lit("space").alias("join"))
+    return W.assembled_digests(parts, "conv_id", "turn", "role", "text", text="text", join="join")
 
 
 @query("""

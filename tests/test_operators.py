@@ -1,6 +1,7 @@
 """Golden and property cases of joins, aggregations, ordered operators, geometry, rules, corrections and streams."""
 
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -214,3 +215,59 @@ def test_marked_turns_have_results(spark, tmp_path):
     same = lambda text: not any(c in text for c in "*[]{}")
     by_turn = lambda text: ["keep", "keep", "drop" if same(text) else "rebase", "rebase", "orphan"]
     assert acts == {(i, turn): x for i, text in enumerate(texts) for turn, x in enumerate(by_turn(text))}
+
+
+def guard_by_hand(pairs, least=28):
+    out, last = [], None
+    for s, e in pairs:
+        fine = last is None or (s is not None and s > last + least)
+        last = s if fine else e
+        out.append((last, fine))
+    return out
+
+
+@pytest.mark.parametrize("width", [1, 3, 1000])
+def test_guarded_rows(spark, width):
+    rng = random.Random(width)
+    draw = lambda: None if rng.random() < 0.05 else float(rng.randint(0, 120))
+    data = [(k, i, draw(), draw()) for k in ("a", "b", None) for i in range({"a": 200, "b": 1, None: 40}[k])]
+    rows = spark.createDataFrame(data, "k string, i int, s double, e double").repartition(5)
+    got = W.guarded_rows(rows, "k", "i", bucket=F.col("i") / width, snapped=F.col("s"), expected=F.col("e"))
+    assert got.columns == ["k", "i", "s", "e", "guarded_snapped", "guarded"]
+    found = {(r.k, r.i): (r.guarded, r.guarded_snapped) for r in got.collect()}
+    for k in ("a", "b", None):
+        own = [(s, e) for kk, _, s, e in data if kk == k]
+        assert [found[k, i] for i in range(len(own))] == guard_by_hand(own)
+    assert len(found) == len(data)
+    assert W.guarded_rows(rows.limit(0), "k", "i", bucket=F.col("i"), snapped=F.col("s"), expected=F.col("e")).count() == 0
+
+
+@pytest.mark.parametrize("width", [1, 50, 1000])
+def test_smoothed_rows(spark, width):
+    weights, rng = W.reflected_weights(), random.Random(width)
+    sizes = {"a": 150, "b": 1, "c": 7, None: 33}
+    data = [(k, i, rng.random()) for k, n in sizes.items() for i in range(n)]
+    rows = spark.createDataFrame(data, "k string, i int, x double").repartition(5)
+    got = W.smoothed_rows(rows, "k", "i", bucket=F.col("i") / width, value="x", weights=weights, chunk=40)
+    found = {(r.k, r.i): (r.place, r.smooth) for r in got.collect()}
+    assert got.columns == ["k", "i", "x", "place", "smooth"] and len(found) == len(data)
+    for k, n in sizes.items():
+        values = [x for kk, _, x in data if kk == k]
+        folded = lambda j, n=n: j % (2 * n) if j % (2 * n) < n else 2 * n - 1 - j % (2 * n)
+        for i in range(n):
+            place, smooth = found[k, i]
+            assert place == i and smooth == pytest.approx(sum(w * values[folded(i + j - 16)] for j, w in enumerate(weights)), abs=1e-12)
+
+
+def test_assembled_digests(spark):
+    rng = random.Random(3)
+    texts, joins = ["a", "ab-", "", "-", "c==", "  d", "é-"], ["space", "none", "word", "newline"]
+    data = [(k if k else None, i, rng.choice(texts), rng.choice(joins)) for k in range(60) for i in range(rng.randint(1, 6))]
+    rows = spark.createDataFrame(data, "k int, i int, text string, how string")
+    parts = F.transform(F.array_sort(F.collect_list(F.struct("i", "text", F.col("how").alias("join")))), lambda x: F.struct(x["text"], x["join"]))
+    whole = rows.groupBy("k").agg(F.md5(W.assembled(parts)["text"]).alias("digest"))
+    streamed = W.assembled_digests(rows, "k", "i", text="text", join="how")
+    known = {r.k: r.digest for r in whole.collect()}
+    assert {r.k: r.digest for r in streamed.collect()} == known and None in known.values() and len(set(known.values())) > 20
+    broken = spark.createDataFrame([(1, 0, "a", "space"), (1, 1, None, "space"), (1, 2, "b", "space")], "k int, i int, text string, how string")
+    assert W.assembled_digests(broken, "k", "i", text="text", join="how").first().digest is None
