@@ -10,6 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from leafmill import model
 from leafmill.functions import content as C
 from leafmill.functions import geometry as G
 from leafmill.functions import text as T
@@ -612,9 +613,9 @@ def check_mode(t: Tables) -> DataFrame:
 
 
 @query("""
-SELECT conv_id, turn, CASE WHEN q.after IS NULL THEN 'orphan' WHEN c.text = q.before THEN 'keep' WHEN c.text = q.after THEN 'drop' ELSE 'rebase' END AS action
-FROM conversations c JOIN (SELECT conv_id, turn, text AS before, CASE WHEN turn % 5 <> 4 THEN upper(text) END AS after FROM conversations) q USING (conv_id, turn)
-WHERE NOT regexp_matches(c.text, '[*{}\\[\\]]')""".replace("c.text = q.before", "turn % 5 <= 1").replace("c.text = q.after", "turn % 5 = 2"))
+SELECT conv_id, turn, CASE WHEN gone THEN 'orphan' WHEN before = now THEN 'keep' WHEN after = now THEN 'drop' ELSE 'rebase' END AS action
+FROM (SELECT conv_id, turn, turn % 5 = 4 AS gone, nfc_normalize(text) AS now, CASE WHEN turn % 5 <= 1 THEN text ELSE '~' || text END AS before,
+             nfc_normalize(CASE WHEN turn % 5 = 2 THEN text ELSE text || '!' END) AS after FROM conversations)""")
 def edit_reconcile(t: Tables) -> DataFrame:
     """Edits of every turn: kept, already satisfied, rebased, or of a line that is gone."""
     said = t.conversations
@@ -666,12 +667,29 @@ def tilde_move(t: Tables) -> DataFrame:
     return words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).withColumn("moved", T.move_tilde(F.col("word"), at))
 
 
-@query("""
-SELECT conv_id, turn, regexp_replace(text, '[\\[\\]{}]', '', 'g') AS text FROM conversations
-WHERE len(regexp_extract_all(text, '[\\[\\]{}]')) = 0""")
+@query(r"""
+WITH w AS (SELECT conv_id, turn, string_split(translate(text, '[]{}', '()()'), ' ') AS w FROM conversations),
+p AS (SELECT conv_id, turn, w, list_contains(list_transform(range(1, len(w) + 1), lambda i: i % 3 <> 1 AND w[i] = ''), true) OR turn % 7 = 3 AS broken,
+      list_transform(range(1, len(w) + 1), lambda i: length(array_to_string(w[1:i - 1], ' ')) + CASE WHEN i > 1 THEN 1 ELSE 0 END) AS place FROM w),
+r AS (SELECT *, list_transform(range(1, len(w) + 1), lambda i: concat(place[i], '-', place[i] + length(w[i]))) AS said FROM p)
+SELECT conv_id, turn, broken, CASE WHEN NOT broken THEN array_to_string(w, ' ') END AS text,
+       CASE WHEN NOT broken THEN array_to_string(list_transform(list_filter(range(1, len(w) + 1), lambda i: i % 3 = 2), lambda i: said[i]), ',') END AS roman,
+       CASE WHEN NOT broken THEN array_to_string(list_transform(list_filter(range(1, len(w) + 1), lambda i: i % 3 = 0), lambda i: said[i]), ',') END AS italic
+FROM r""")
 def notation_parse(t: Tables) -> DataFrame:
-    """The text of every turn without its typeface marks (F4), null where they are broken; the SQL has turns without marks only."""
-    return t.conversations.select("conv_id", "turn", T.parse_notation(F.col("text"))["text"].alias("text"))
+    """Every turn with two of three words marked, some with a mark that is not closed."""
+    words = F.split(F.translate("text", "[]{}", "()()"), " ", -1)
+    marked = F.transform(
+        words,
+        lambda w, i: F.when(i % 3 == 1, F.concat(F.lit("["), w, F.lit("]"))).when(i % 3 == 2, F.concat(F.lit("{"), w, F.lit("}"))).otherwise(w),
+    )
+    whole = F.concat(F.array_join(marked, " "), F.when(F.col("turn") % 7 == 3, "[").otherwise(""))
+    said = lambda ranges: F.array_join(F.transform(ranges, lambda x: F.concat_ws("-", x["s"].cast("string"), x["e"].cast("string"))), ",")
+    read = t.conversations.select("conv_id", "turn", T.parse_notation(whole).alias("x"))
+    return read.select(
+        "conv_id", "turn", F.col("x.error").isNotNull().alias("broken"), F.col("x.text").alias("text"),
+        said(F.col("x.roman")).alias("roman"), said(F.col("x.italic")).alias("italic"),
+    )
 
 
 @query("SELECT 'documents' AS name, count(*) AS n FROM documents UNION ALL SELECT 'pages', count(*) FROM pages UNION ALL SELECT 'labels', count(*) FROM labels")
@@ -767,11 +785,117 @@ def even_spacing(t: Tables) -> DataFrame:
     return t.customer.select("c_custkey", W.evenly(F.lit(5.0), F.lit(95.0), i, i + 4).alias("spaced"))
 
 
-@query(r"""
-SELECT doc_id, regexp_replace(regexp_replace(text, '\*', '', 'g'), 'não', 'naõ', 'g') AS value FROM (
-  SELECT doc_id, left(replace(text, '*', ''), 200) || ' não' AS text FROM documents) WHERE NOT regexp_matches(text, '[ãõñẽĩũ]*não.*não')""")
+@query("SELECT doc_id, md5(replace(text, '*', '') || ' naõ') AS digest FROM documents")
 def marker_move(t: Tables) -> DataFrame:
-    """The beginning of each document with a marked word behind it, whose tilde moves."""
-    head = F.left(F.replace("text", F.lit("*"), F.lit("")), F.lit(200))
-    rows = t.documents.where(head.isNotNull() & (F.locate("não", head) == 0)).select("doc_id", T.resolve_markers(F.concat(head, F.lit(" *não"))).alias("m"))
-    return rows.select("doc_id", F.col("m.value").alias("value"))
+    """Every document with a marked word behind it, whose tilde moves."""
+    marked = F.concat(F.replace("text", F.lit("*"), F.lit("")), F.lit(" *não"))
+    return t.documents.select("doc_id", F.md5(T.resolve_markers(marked)["value"]).alias("digest"))
+
+
+# Documents as pages of compact text, for the rules of that format and for its parser.
+CONTROLS = r"[\x00-\x09\x0B-\x1F\x7F-\x9F\x{2028}\x{2029}]"
+PAGE_LINES_SQL = f"""
+SELECT doc_id, lang, source, i, l, md5(l) AS id, contains(l, '@') AS bare, NOT contains(l, '@') AND contains(l, '&') AS note,
+       NOT contains(l, '@') AND NOT contains(l, '&') AS own, regexp_matches(l, '[0-9]') AS far, string_split(regexp_replace(l, '[*{{}}|]', '', 'g'), ',') AS c
+FROM (SELECT doc_id, lang, source, u.i AS i, string_split(regexp_replace(coalesce(text, ''), '{CONTROLS}', ' ', 'g'), chr(10))[u.i] AS l
+      FROM documents, unnest(range(1, len(string_split(coalesce(text, ''), chr(10))) + 1)) AS u(i))"""
+
+
+def rough_pages(documents: DataFrame) -> DataFrame:
+    """(path, body): a page for each document, whose language, source and lines decide which rules it breaks."""
+    text, lang, source = F.coalesce("text", F.lit("")), F.coalesce("lang", F.lit("")), F.coalesce("source", F.lit(""))
+    lines = F.split(F.regexp_replace(text, CONTROLS, " "), "\n", -1)
+
+    def line(x: Column, i: Column) -> Column:
+        flags = F.concat(F.when(x.rlike("[0-9]"), " >>").otherwise(""), F.when(i == 0, " initial=2").otherwise(""))
+        content = F.replace(F.regexp_replace(x, "[*{}|]", ""), F.lit(","), F.lit(" || {x}"))
+        own = F.concat(F.lit("["), F.md5(x), flags, F.lit("] "), content)
+        return F.when(F.contains(x, F.lit("@")), F.concat(F.lit("! "), x)).when(F.contains(x, F.lit("&")), F.concat(F.lit("> "), x)).otherwise(own)
+
+    pair = lambda key, value: F.concat(F.lit(f"{key}: "), value)
+    some = lambda test, *rows: F.when(test, F.array(*rows)).otherwise(F.array().cast("array<string>"))
+    zoned = source != "src7"
+    head = F.array(
+        F.lit("---"), pair("format", F.lit(model.COMPACT_FORMAT)), pair("version", F.when(lang == "fr", "2").otherwise(model.COMPACT_VERSION)),
+        pair("id", F.md5(text)), *[pair(k, F.lit("x")) for k in ("source", "view", "url", "origin")], pair("wikisource", F.lit("false")),
+        pair("sha256", F.when(lang == "en", F.sha2(text, 256)).otherwise(F.md5(text))),
+        pair("lineation", F.when(source == "src2", "open").otherwise("checked")), pair("status", F.when(lang == "es", "odd").otherwise("human_checked")),
+    )
+    second = F.concat(F.lit("## "), F.when(F.contains(text, F.lit("&")), "header").otherwise("column-1"), F.lit(" [column] C"))
+    parts = [
+        head, some(F.length(text) <= 2000, F.lit("scope: all")), some(source == "src5", F.lit("no key")), F.array(F.lit("---"), F.lit("")),
+        some(zoned, F.lit("## header [running_header] H"), F.lit("")), some(lang != "de", F.lit("[h] 1")), some(zoned, F.lit(""), second, F.lit("")),
+        F.transform(lines, line),
+    ]
+    return documents.select(F.col("doc_id").cast("string").alias("path"), F.array_join(F.concat(*parts), "\n").alias("body"))
+
+
+PAGE_RULES = [f"V{i}" for i in range(1, 20)] + ["V28"]
+
+
+@query(f"""
+WITH d AS (SELECT *, coalesce(text, '') AS x FROM documents), l AS ({PAGE_LINES_SQL}), whole AS (SELECT *, NOT list_contains(c, '') AS fine FROM l WHERE own)
+SELECT 'V1' AS rule, count(*) AS n FROM d WHERE nfc_normalize(x) <> x
+UNION ALL SELECT 'V2', 0
+UNION ALL SELECT 'V3', count(*) FROM d WHERE source = 'src5'
+UNION ALL SELECT 'V4', count(*) FROM d WHERE lang = 'fr'
+UNION ALL SELECT 'V5', count(*) FROM d WHERE length(x) > 2000
+UNION ALL SELECT 'V6', count(*) FROM d WHERE lang IS DISTINCT FROM 'en'
+UNION ALL SELECT 'V7', count(*) FROM d WHERE source = 'src2'
+UNION ALL SELECT 'V8', count(*) FROM d WHERE lang = 'es'
+UNION ALL SELECT 'V9', count(*) FROM l WHERE bare
+UNION ALL SELECT 'V10', (SELECT count(*) FROM l WHERE NOT bare AND source = 'src7') + (SELECT count(*) FROM d WHERE source = 'src7' AND lang IS DISTINCT FROM 'de')
+UNION ALL SELECT 'V11', count(*) FROM (SELECT doc_id FROM l WHERE note AND source IS DISTINCT FROM 'src7' GROUP BY 1 HAVING count(*) > 1)
+UNION ALL SELECT 'V12', count(*) FROM (SELECT doc_id FROM l WHERE own GROUP BY doc_id, id HAVING count(*) > 1)
+UNION ALL SELECT 'V13', count(*) FROM d WHERE contains(x, '&') AND source IS DISTINCT FROM 'src7'
+UNION ALL SELECT 'V14', count(*) FROM whole WHERE far AND len(c) > 1
+UNION ALL SELECT 'V15', 0
+UNION ALL SELECT 'V16', count(*) FROM whole WHERE i = 1 AND fine AND (far OR starts_with(c[1], ' '))
+UNION ALL SELECT 'V17', count(*) FROM (SELECT doc_id FROM whole WHERE fine GROUP BY doc_id, id HAVING sum(len(c) - 1) > 1)
+UNION ALL SELECT 'V18', count(*) FROM d WHERE lang = 'de' AND doc_id NOT IN (SELECT doc_id FROM l WHERE own)
+UNION ALL SELECT 'V19', count(*) FROM (SELECT md5(x) FROM d GROUP BY 1 HAVING count(*) > 1)
+UNION ALL SELECT 'V28', count(*) FROM whole WHERE NOT fine""")
+def page_rules(t: Tables) -> DataFrame:
+    """Violations of each rule of the compact text (V1-V19, V28) over all documents as pages."""
+    return V.counts(V.page_violations(rough_pages(t.documents)), PAGE_RULES)
+
+
+@query(f"""
+SELECT doc_id, id AS line_id, CASE WHEN far THEN '>>' ELSE '' END AS flag, CASE WHEN i = 1 THEN '2' ELSE '' END AS initial, len(c) AS cells,
+       CASE WHEN NOT list_contains(c, '') THEN len(c) + CASE WHEN i = 1 AND length(c[1]) > 1 THEN 1 ELSE 0 END ELSE -1 END AS runs,
+       CASE WHEN NOT list_contains(c, '') THEN md5(array_to_string(c, '')) END AS digest,
+       CASE WHEN NOT list_contains(c, '') THEN CASE WHEN far THEN 0 WHEN i = 1 AND length(c[1]) > 1 THEN 2 ELSE 1 END ELSE -1 END AS main
+FROM ({PAGE_LINES_SQL}) WHERE own
+UNION ALL SELECT doc_id, 'h', '', '', 1, 1, md5('1'), 1 FROM documents WHERE lang IS DISTINCT FROM 'de'""")
+def page_lines(t: Tables) -> DataFrame:
+    """The parsed lines of all documents as pages."""
+    lines = P.flat_lines(P.numbered(rough_pages(t.documents)))
+    return lines.select(
+        F.col("path").cast("long").alias("doc_id"), "line_id", "flag", "initial", F.size(T.cells(F.col("content"))).cast("long").alias("cells"),
+        F.coalesce(F.when(F.col("runs").isNotNull(), F.size("runs")), F.lit(-1)).cast("long").alias("runs"), F.md5(C.line_text(F.col("runs"))).alias("digest"),
+        F.coalesce(F.when(F.col("runs").isNotNull(), F.size(P.placed(F.col("runs"))["main"])), F.lit(-1)).alias("main"),
+    )
+
+
+def clean_pages(documents: DataFrame) -> DataFrame:
+    """(path, body): a page without faults for each document."""
+    text = F.regexp_replace(F.regexp_replace(F.coalesce("text", F.lit("")), CONTROLS, " "), "[*{}|]", "")
+    lines = F.transform(F.split(text, "\n", -1), lambda x, i: F.concat(F.lit("[l-"), i.cast("string"), F.lit("] x"), x, F.lit(".")))
+    head = [
+        "---", f"format: {model.COMPACT_FORMAT}", f"version: {model.COMPACT_VERSION}", F.concat(F.lit("id: d"), F.col("doc_id").cast("string")), "source: s", "view: v",
+        "url: u", F.concat(F.lit("sha256: "), F.sha2(text, 256)), "scope: all", "origin: scan", "wikisource: false", "lineation: checked", "status: human_checked",
+        "---", "", "## column-1 [column] C", "",
+    ]
+    whole = F.concat(F.array(*[h if isinstance(h, Column) else F.lit(h) for h in head]), lines)
+    return documents.select(F.col("doc_id").cast("string").alias("path"), F.concat(F.array_join(whole, "\n"), F.lit("\n")).alias("body"))
+
+
+@query(f"""
+SELECT 'd' || doc_id AS id, md5(array_to_string(['---', 'format: {model.COMPACT_FORMAT}', 'version: {model.COMPACT_VERSION}', 'id: d' || doc_id, 'source: s', 'view: v', 'url: u',
+  'sha256: ' || sha256(x), 'scope: all', 'origin: scan', 'wikisource: false', 'lineation: checked', 'status: human_checked', '---', '', '## column-1 [column] C', ''], chr(10)) || chr(10)
+  || array_to_string(list_transform(range(len(w)), lambda i: '[l-' || i || '] x' || w[i + 1] || '.'), chr(10)) || chr(10)) AS digest
+FROM (SELECT doc_id, x, string_split(x, chr(10)) AS w FROM
+      (SELECT doc_id, regexp_replace(regexp_replace(coalesce(text, ''), '{CONTROLS}', ' ', 'g'), '[*{{}}|]', '', 'g') AS x FROM documents))""")
+def page_round_trip(t: Tables) -> DataFrame:
+    """The compact text of all documents, compiled as pages and exported again."""
+    return P.exported(P.compiled(clean_pages(t.documents))).select("id", F.md5("body").alias("digest"))
