@@ -26,6 +26,18 @@ def violations(rows: DataFrame, rule: str, bad: Column, key: Column, detail: Col
     )
 
 
+def several(rows: DataFrame, key: Column, *rules: tuple) -> DataFrame:
+    """``violations`` of several rules (rule, bad[, detail]) in one pass over the rows."""
+    said = [
+        F.when(
+            F.coalesce(bad, F.lit(True)),
+            F.struct(F.lit(rule).alias("rule"), key.cast("string").alias("key"), (detail[0] if detail else F.lit(None)).cast("string").alias("detail")),
+        )
+        for rule, bad, *detail in rules
+    ]
+    return rows.select(F.explode(F.array_compact(F.array(*said))).alias("v")).select("v.*")
+
+
 def duplicates(rows: DataFrame, rule: str, *keys: str) -> DataFrame:
     """Keys on more than one row."""
     found = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
@@ -93,33 +105,37 @@ def page_violations(files: DataFrame) -> DataFrame:
     cells = own.withColumn("cells", T.cells(F.col("content")))
     labels = own.select("path", "line_id", F.explode("runs").alias("r")).where("r.span_id IS NOT NULL").select("path", "line_id", "r.span_id")
     first = F.get("runs", 0)
+    led = (F.col("flag") == ">>") | first["text"].rlike(r"^\s") | (first["text"] == "")
     split_cell = F.exists("cells", lambda c: c["span_id"].isNotNull() & (F.size(T.parse_emphasis(c["text"])) != 1))
     return all_of(
         violations(files, "V1", ~T.is_nfc("body"), path),
         violations(fences, "V2", (F.col("first") != "---") | (F.col("n") < 2), path),
         violations(head, "V3", F.col("key").isNull(), at),
         duplicates(head.where("key IS NOT NULL"), "V3", "path", "key"),
-        violations(meta, "V4", ~(m("format").eqNullSafe(model.COMPACT_FORMAT) & m("version").eqNullSafe(model.COMPACT_VERSION)), path),
-        violations(meta, "V5", F.size(F.array_except(every_key, F.map_keys("meta"))) > 0, path, F.array_join(F.array_except(every_key, F.map_keys("meta")), ",")),
-        violations(meta, "V6", ~C.is_digest(m("sha256")), path),
-        violations(meta, "V7", m("lineation") != "checked", path),
-        violations(meta, "V8", ~m("status").isin(model.STATUSES), path, m("status")),
-        violations(rows, "V9", F.col("kind") == "unknown", at, F.col("line")),
-        violations(rows.where(F.col("kind") != "unknown"), "V10", F.col("zone_n").isNull(), at),
+        several(
+            meta, path,
+            ("V4", ~(m("format").eqNullSafe(model.COMPACT_FORMAT) & m("version").eqNullSafe(model.COMPACT_VERSION))),
+            ("V5", F.size(F.array_except(every_key, F.map_keys("meta"))) > 0, F.array_join(F.array_except(every_key, F.map_keys("meta")), ",")),
+            ("V6", ~C.is_digest(m("sha256"))), ("V7", m("lineation") != "checked"), ("V8", ~m("status").isin(model.STATUSES), m("status")),
+        ),
+        several(
+            rows, at,
+            ("V9", F.col("kind") == "unknown", F.col("line")), ("V10", (F.col("kind") != "unknown") & F.col("zone_n").isNull()),
+        ),
         duplicates(rows.where((F.col("kind") == "note") & F.col("zone_n").isNotNull()), "V11", "path", "zone_n"),
         duplicates(own, "V12", "path", "line_id"),
         duplicates(rows.where(F.col("kind") == "zone").withColumn("id", F.regexp_extract("line", P.ZONE, 1)), "V13", "path", "id"),
-        violations(cells, "V14", (F.col("flag") == ">>") & (F.size("cells") > 1), at),
-        violations(cells, "V15", F.get("cells", 0)["span_id"].isNotNull(), at),
-        violations(cells, "V15", F.coalesce(split_cell, F.lit(False)), at, F.lit("a labelled cell is one run")),
-        violations(
-            own.where((F.col("initial") != "") & F.col("runs").isNotNull()), "V16",
-            (F.col("flag") == ">>") | first["text"].rlike(r"^\s") | (first["text"] == ""), at,
+        several(
+            cells, at,
+            ("V14", (F.col("flag") == ">>") & (F.size("cells") > 1)),
+            ("V15", F.get("cells", 0)["span_id"].isNotNull()),
+            ("V15", F.coalesce(split_cell, F.lit(False)), F.lit("a labelled cell is one run")),
+            ("V16", (F.col("initial") != "") & F.col("runs").isNotNull() & F.coalesce(led, F.lit(True))),
+            ("V28", F.exists("cells", lambda c: ~T.emphasis_is_valid(c["text"]))),
         ),
         duplicates(labels, "V17", "path", "line_id", "span_id"),
         violations(files.select("path").join(own.select("path").distinct(), "path", "left_anti"), "V18", F.lit(True), path),
         duplicates(meta.select(m("id").alias("id"), "path"), "V19", "id"),
-        violations(own, "V28", F.exists(F.transform(T.cells(F.col("content")), lambda c: c["text"]), lambda c: ~T.emphasis_is_valid(c)), at),
     )
 
 
