@@ -899,3 +899,165 @@ FROM (SELECT doc_id, x, string_split(x, chr(10)) AS w FROM
 def page_round_trip(t: Tables) -> DataFrame:
     """The compact text of all documents, compiled as pages and exported again."""
     return P.exported(P.compiled(clean_pages(t.documents))).select("id", F.md5("body").alias("digest"))
+
+
+def found_counts(found: DataFrame) -> DataFrame:
+    """Violations by rule and detail."""
+    return found.groupBy("rule", F.coalesce("detail", F.lit("")).alias("detail")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("""
+WITH r AS (SELECT l_orderkey || ':' || l_linenumber AS key, l_linenumber * 100 AS x, CAST(l_quantity AS INTEGER) * 10 AS y, 300 + CAST(round(l_discount * 100) AS INTEGER) AS w FROM lineitem)
+SELECT 'V37' AS rule, key FROM r WHERE x + 300 > 900 OR y + 50 > 520 OR x - 5 + w > 900 OR y - 5 < 0 OR y + 55 > 520
+UNION ALL SELECT 'V38', key FROM r WHERE w < 305""")
+def geometry_rules(t: Tables) -> DataFrame:
+    """Order lines as rectangles and their context on a page of 900 by 520."""
+    x, y = F.col("l_linenumber") * 100, F.col("l_quantity").cast("int") * 10
+    rect = lambda a, b, w, h: F.struct(a.alias("x"), b.alias("y"), w.alias("w"), F.lit(h).alias("h"))
+    wide = F.lit(300) + F.round(F.col("l_discount") * 100).cast("int")
+    rects = t.lineitem.select(
+        F.concat_ws(":", "l_orderkey", "l_linenumber").alias("line_ref"), rect(x, y, F.lit(300), 50).alias("crop"),
+        rect(x - 5, y - 5, wide, 60).alias("context_crop"), F.lit(900).alias("width"), F.lit(520).alias("height"),
+    )
+    return V.geometry_violations(rects).select("rule", "key")
+
+
+@query("""
+WITH c AS (SELECT p_partkey, p_partkey % 10 AS l, p_size * 20 AS r, CAST(floor(p_retailprice) AS INTEGER) AS b, p_size, p_partkey % 5 AS n FROM part)
+SELECT 'V30' AS rule, CAST(p_partkey AS VARCHAR) AS key FROM c WHERE NOT (l < r AND r <= 600 AND 0 < b AND b <= 1000 AND 0 < p_size AND p_size * 3 <= 100)
+UNION ALL SELECT 'V55', CAST(p_partkey AS VARCHAR) FROM c WHERE NOT (n >= 1 AND n <= b AND (n = 1 OR p_size * 10 < ceil(b / n)))""")
+def tile_rules(t: Tables) -> DataFrame:
+    """Parts as tile settings of images of 600 by 1000."""
+    size = F.col("p_size")
+    box = F.struct((F.col("p_partkey") % 10).alias("l"), F.lit(0).alias("t"), (size * 20).alias("r"), F.floor("p_retailprice").cast("int").alias("b"))
+    configs = t.part.select(
+        F.col("p_partkey").alias("id"), box.alias("box"), F.lit(600).alias("width"), F.lit(1000).alias("height"), F.array(size, size * 3).alias("line_span"),
+        (F.col("p_partkey") % 5).alias("tiles"), (size * 10).alias("overlap"),
+    )
+    return V.tile_violations(configs).select("rule", "key")
+
+
+@query("""
+WITH l AS (SELECT l_orderkey AS issue, CAST(l_partkey AS VARCHAR) AS line, l_tax = 0 AS lost FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders))
+SELECT 'V43' AS rule, CAST(o_orderkey AS VARCHAR) AS key FROM orders
+WHERE o_orderstatus = 'P' OR o_orderpriority = '5-LOW' OR o_orderkey = 0 OR o_orderkey NOT IN (SELECT issue FROM l)
+UNION ALL SELECT 'V44', CAST(issue AS VARCHAR) FROM l WHERE lost
+UNION ALL SELECT 'V44', issue || ':' || line FROM l GROUP BY issue, line HAVING count(*) > 1""")
+def payload_rules(t: Tables) -> DataFrame:
+    """Orders as correction payloads, their lines as changes."""
+    change = F.struct(F.col("l_partkey").cast("string").alias("line"), F.col("l_returnflag").alias("before"), F.when(F.col("l_tax") != 0, "x").alias("after"))
+    changes = t.lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.collect_list(change).alias("changes"))
+    payload = F.struct(
+        F.when(F.col("o_orderstatus") == "P", 1).otherwise(2).alias("schema"), F.concat(F.lit("f"), "o_orderkey").alias("page"),
+        F.when(F.col("o_orderpriority") != "5-LOW", "c").alias("base_commit"), F.lit("v").alias("base_transcription_version"), "changes",
+    )
+    payloads = t.orders.join(changes, "o_orderkey", "left").select(F.col("o_orderkey").alias("issue"), payload.alias("payload"))
+    return V.payload_violations(payloads).select("rule", "key")
+
+
+@query("""
+WITH e AS (SELECT event_type, value, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events)
+SELECT * FROM (
+  SELECT 'V57' AS rule, 'step' AS detail, count(*) AS n FROM e WHERE k < 1
+  UNION ALL SELECT 'V57', 'no change', count(*) FROM e WHERE value < 100
+  UNION ALL SELECT 'V57', 'outcome', count(*) FROM e WHERE event_type NOT IN ('click', 'view')
+  UNION ALL SELECT 'V57', 'empty', count(*) FROM e WHERE event_type = 'signup') WHERE n > 0""")
+def correction_rules(t: Tables) -> DataFrame:
+    """Events as the correction log."""
+    kind = F.col("event_type")
+    log = t.events.select(
+        F.concat(F.lit("e-"), F.col("event_id").cast("string")).alias("event_id"), F.concat(F.lit("f"), F.col("user_id").cast("string")).alias("page"),
+        F.get_json_object("props", "$.k").alias("step"), F.lit("a").alias("before"), F.when(F.col("value") < 100, "a").otherwise("b").alias("after"),
+        F.when(kind == "click", "accepted").when(kind == "view", "rejected").otherwise(kind).alias("outcome"),
+        F.when(kind != "signup", kind).alias("categories"), F.lit("p").alias("provenance"),
+    )
+    return found_counts(V.correction_violations(log))
+
+
+@query("""
+WITH s AS (SELECT s_suppkey, s_nationkey, s_acctbal, row_number() OVER (ORDER BY s_suppkey) AS pos FROM supplier)
+SELECT 'V51' AS rule, CAST(s_suppkey AS VARCHAR) AS key, 'sequence' AS detail FROM s WHERE s_suppkey <> pos
+UNION ALL SELECT 'V51', CAST(s_suppkey AS VARCHAR), 'link' FROM s WHERE s_acctbal < 0
+UNION ALL SELECT 'V51', 'h' || s_nationkey, CAST(count(*) AS VARCHAR) FROM s GROUP BY s_nationkey HAVING count(*) > 1""")
+def headword_rules(t: Tables) -> DataFrame:
+    """Suppliers as headwords, their nations as ids."""
+    ranked = W.global_rank(t.supplier, "s_suppkey", name="pos")
+    link = F.when(F.col("s_acctbal") < 0, "http://other.org/").otherwise("https://example.org/x")
+    rows = ranked.select(F.col("s_suppkey").cast("string").alias("number"), F.concat(F.lit("h"), "s_nationkey").alias("id"), link.alias("link"), "pos")
+    return V.headword_violations(rows, "number", "id", "link", "https://example.org/", "pos")
+
+
+@query("""
+WITH d AS (SELECT o_orderkey, o_orderstatus AS s, o_orderpriority AS p, o_totalprice AS v FROM orders)
+SELECT CAST(o_orderkey AS VARCHAR) AS key, CASE WHEN s = 'P' THEN 'pending or unknown' WHEN s = 'F' THEN 'rejected line changed' ELSE 'no qualified value' END AS detail
+FROM d WHERE s = 'P' OR (s = 'F' AND v > 200000) OR (s = 'O' AND p = '5-LOW')""")
+def decision_rules(t: Tables) -> DataFrame:
+    """Orders as decisions on proposals."""
+    status = F.col("o_orderstatus")
+    decisions = t.orders.select(
+        F.col("o_orderkey").cast("string").alias("line_ref"), F.when(status == "F", "reject").when(status == "O", "qualify").otherwise("pending").alias("decision"),
+        F.lit("a").alias("before"), F.when(F.col("o_orderpriority") != "5-LOW", "q").alias("qualified"),
+        F.when(F.col("o_totalprice") > 200000, "b").otherwise("a").alias("now"),
+    )
+    return R.decision_violations(decisions).select("key", "detail")
+
+
+@query("""
+SELECT rule, key FROM (SELECT 'V33' AS rule, c_name AS key FROM customer WHERE c_acctbal < 0 OR c_mktsegment NOT IN ('BUILDING', 'MACHINERY')
+UNION ALL SELECT 'V48', 'f' || o_custkey FROM (SELECT DISTINCT o_custkey FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal > 5000)))""")
+def state_rules(t: Tables) -> DataFrame:
+    """Customers as columns with a state, their orders as changed paths."""
+    columns = t.customer.select(F.col("c_name").alias("key"), F.col("c_mktsegment").alias("state"), F.when(F.col("c_acctbal") >= 0, "box").alias("geometry"))
+    path = lambda c: F.concat(F.lit("f"), c).alias("path")
+    found = V.path_violations(t.orders.select(path("o_custkey")), t.customer.where("c_acctbal > 5000").select(path("c_custkey")))
+    return V.all_of(V.state_violations(columns, ["BUILDING", "MACHINERY"]), found).select("rule", "key")
+
+
+@query("""
+SELECT rule, detail, count(*) AS n FROM (
+  SELECT 'V39' AS rule, '' AS detail FROM orders WHERE o_orderstatus <> 'F'
+  UNION ALL SELECT 'V40', 'text' FROM orders LEFT JOIN customer ON o_custkey = c_custkey WHERE (left(o_orderpriority, 1) = CAST(c_nationkey % 5 + 1 AS VARCHAR)) IS NOT TRUE
+  UNION ALL SELECT 'V40', 'image' FROM orders LEFT JOIN customer ON o_custkey = c_custkey WHERE (c_custkey IS NOT NULL AND o_totalprice > 100000) IS NOT TRUE) GROUP BY ALL""")
+def external_rules(t: Tables) -> DataFrame:
+    """Orders as external reviews of their customers' pages."""
+    reviews = t.orders.select(
+        F.col("o_custkey").alias("page"), F.when(F.col("o_orderstatus") == "F", "complete").otherwise("partial").alias("response_status"),
+        F.lit("partial").alias("geometry_review_status"), F.left("o_orderpriority", F.lit(1)).alias("text_sha256"), F.lit("s").alias("sha256"),
+        F.when(F.col("o_totalprice") > 100000, 9).otherwise(8).alias("width"), F.lit(5).alias("height"),
+    )
+    current = t.customer.select(
+        F.col("c_custkey").alias("page"), (F.col("c_nationkey") % 5 + 1).cast("string").alias("now_text_sha256"), F.lit("s").alias("now_sha256"),
+        F.lit(9).alias("now_width"), F.lit(5).alias("now_height"),
+    )
+    return found_counts(V.external_review_violations(reviews, current))
+
+
+@query(f"""
+SELECT r.rule, coalesce(n, 0) AS n FROM (VALUES ('V21'), ('V22'), ('V23'), ('V24'), ('V58')) r(rule)
+LEFT JOIN (SELECT 'V58' AS rule, count(*) AS n FROM ({LINES_SQL}) WHERE contains(line, '=')
+           UNION ALL SELECT 'V22', count(*) FROM ({LINES_SQL}) WHERE nfc_normalize(line) <> line) USING (rule)""")
+def run_rules(t: Tables) -> DataFrame:
+    """Rules of compiled lines (V21-V24, V58) over all documents as pages."""
+    return V.counts(V.run_violations(P.registry(P.compiled(clean_pages(t.documents)))), ["V21", "V22", "V23", "V24", "V58"])
+
+
+@query("""
+WITH c AS (SELECT *, lead(turn) OVER (PARTITION BY conv_id ORDER BY turn) AS after FROM conversations)
+SELECT rule, detail, count(*) AS n FROM (
+  SELECT 'V25' AS rule, CAST(count(*) AS VARCHAR) AS detail FROM conversations GROUP BY conv_id HAVING count(*) > 1
+  UNION ALL SELECT 'V26', 'lost' FROM c WHERE after IS DISTINCT FROM turn + 1
+  UNION ALL SELECT 'V26', role FROM c WHERE role <> 'none') GROUP BY ALL""")
+def structure_rules(t: Tables) -> DataFrame:
+    """Turns as sequences that select the turn behind them."""
+    said = t.conversations
+    ref = lambda turn: F.concat_ws(":", F.col("conv_id").cast("string"), turn.cast("string"))
+    none = F.lit(None).cast("string")
+    run = F.struct(
+        F.lit("roman").alias("typeface"), F.col("text").alias("text"), none.alias("placement"), none.alias("layout"), F.lit(None).cast("int").alias("line_span"), none.alias("span_id")
+    )
+    lines = said.select(ref(F.col("turn")).alias("line_ref"), F.array(run).alias("runs"))
+    one = F.struct(ref(F.col("turn") + 1).alias("line"), F.col("role").alias("join"), none.alias("span"), F.lit(None).cast("array<int>").alias("runs"))
+    items = said.select(F.col("conv_id").cast("string").alias("id"), F.lit("sequence").alias("kind"), F.array(one).alias("refs"))
+    found = V.structure_violations(items, lines)
+    lost = (F.col("rule") == "V26") & F.contains("detail", F.lit(":"))
+    return found_counts(found.withColumn("detail", F.when(lost, "lost").otherwise(F.col("detail"))))
