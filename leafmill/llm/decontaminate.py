@@ -11,7 +11,8 @@ Documents are searched whole, in one pass without a shuffle, and a hit is verifi
 containment of word tuples.  No link is lost and none is invented.
 
 The benchmark is sent to the tasks in pieces of at most ``PIECE_BYTES`` of text; a larger
-benchmark takes further passes over the documents.
+benchmark takes further passes over the documents, each written to a table before the next
+piece is sent, so that the driver and the tasks hold one piece at a time.
 
 Defined results: words are maximal runs of other than ASCII white space, A-Z lower-cased;
 an item of fewer words than ``width`` is one shingle of all its words, looked for as such;
@@ -29,10 +30,11 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .scratch import table
+from .scratch import keep, table
 
 WIDTH, THRESHOLD = 5, 0.8
 PIECE_BYTES = 16 << 20
@@ -140,14 +142,23 @@ class Index:
         return out
 
 
-def pieces(benchmark: DataFrame, width: int, threshold: float) -> Iterator[Index]:
-    """Indexes of bounded parts of the benchmark (item_id, text)."""
+def pieces(benchmark: DataFrame, width: int, threshold: float) -> Iterator[tuple[Index, bool]]:
+    """Indexes of bounded parts of the benchmark (item_id, text), and whether there is but one."""
     items = benchmark.select("item_id", "text")
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = -(-total // PIECE_BYTES) or 1
     for i in range(n):
         part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == i) if n > 1 else items
-        yield Index([(r[0], r[1]) for r in part.collect()], width, threshold)
+        yield Index([(r[0], r[1]) for r in part.collect()], width, threshold), n == 1
+
+
+def passed(found: DataFrame, shared: Broadcast, alone: bool) -> DataFrame:
+    """The result of one piece; of several, each is written at once and its index let go."""
+    if alone:
+        return found
+    kept = keep(found, "decontaminate")
+    shared.destroy()
+    return kept
 
 
 def contaminated_pairs(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, threshold: float = THRESHOLD) -> DataFrame:
@@ -157,7 +168,7 @@ def contaminated_pairs(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH
     kinds = {"doc_id": docs.schema["doc_id"].dataType, "item_id": benchmark.schema["item_id"].dataType}
     schema = narrow.drop("text").schema.add("item_id", kinds["item_id"]).add("n_item", "long").add("n_shared", "long")
     out = None
-    for index in pieces(benchmark, width, threshold):
+    for index, alone in pieces(benchmark, width, threshold):
         shared = spark.sparkContext.broadcast(index)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
@@ -176,7 +187,7 @@ def contaminated_pairs(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH
                     }
                 )
 
-        part = narrow.mapInArrow(run, schema)
+        part = passed(narrow.mapInArrow(run, schema), shared, alone)
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -184,7 +195,7 @@ def contaminated_pairs(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH
 def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` without the documents that contain a benchmark item."""
     spark = docs.sparkSession
-    for index in pieces(benchmark, width, threshold):
+    for index, alone in pieces(benchmark, width, threshold):
         shared = spark.sparkContext.broadcast(index)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
@@ -192,7 +203,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, thr
                 clean = [not shared.value.matches(text.as_py()) for text in batch["text"]]
                 yield batch.filter(pa.array(clean, pa.bool_()))
 
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = passed(docs.mapInArrow(run, docs.schema), shared, alone)
     return docs
 
 
@@ -206,10 +217,13 @@ WITH dw AS (
   SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents
 ), bw AS (
   SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM benchmark
+), lens AS (
+  SELECT DISTINCT least(len(ws), 5) AS m FROM bw WHERE len(ws) > 0
 ), ds AS (
-  SELECT DISTINCT doc_id, array_to_string(ws[i:i + 4], ' ') AS s FROM dw, unnest(range(1, len(ws) - 3)) AS u(i)
+  SELECT DISTINCT doc_id, array_to_string(ws[i:i + m - 1], ' ') AS s FROM dw, lens, unnest(range(1, len(ws) - m + 2)) AS u(i)
 ), bs AS (
-  SELECT DISTINCT item_id, array_to_string(ws[i:i + 4], ' ') AS s FROM bw, unnest(range(1, len(ws) - 3)) AS u(i)
+  SELECT DISTINCT item_id, array_to_string(ws[i:i + least(len(ws), 5) - 1], ' ') AS s FROM bw, unnest(range(1, len(ws) - least(len(ws), 5) + 2)) AS u(i)
+  WHERE len(ws) > 0
 ), sizes AS (
   SELECT item_id, count(*) AS n_item FROM bs GROUP BY item_id
 ), shared AS (

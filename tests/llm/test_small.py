@@ -136,7 +136,9 @@ def test_top_k_of_large_components(spark, size):
 # 3 decontamination
 
 
-def test_decontaminate(spark):
+@pytest.mark.parametrize("piece", [1 << 24, 60])
+def test_decontaminate(spark, monkeypatch, piece):
+    monkeypatch.setattr(decontaminate, "PIECE_BYTES", piece)
     items = [(1, words(20)), (2, words(40)), (3, "only three words"), (4, None), (5, ""), (6, words(12))]
     long = words(3000)
     rows = [(1, f"{long} {items[0][1].upper()} {long}", "a"), (2, items[1][1], "a"), (2, items[1][1], "a"), (3, None, "a"), (4, "", "a")]
@@ -160,6 +162,20 @@ def test_decontaminate(spark):
     assert decontaminate.contaminated_pairs(docs(spark, rows), bench.where("false")).count() == 0
 
 
+def test_decontaminate_sql(spark):
+    import duckdb
+    import pandas as pd
+
+    rows = [(1, "a B c d e f g", "a"), (2, "x a b y", "a"), (3, "a b c d e f", "a"), (4, None, "a"), (5, "q", "a")]
+    items = [(1, "a b c d e f g"), (2, "A b"), (3, "q"), (4, None), (5, " ")]
+    found = decontaminate.contaminated_pairs(docs(spark, rows), spark.createDataFrame(items, "item_id long, text string"))
+    con = duckdb.connect()
+    con.register("documents", pd.DataFrame([r[:2] for r in rows], columns=["doc_id", "text"]))
+    con.register("benchmark", pd.DataFrame(items, columns=["item_id", "text"]))
+    expected = con.sql(decontaminate.OP3_SQL).fetchall()
+    assert sorted(map(tuple, found.collect())) == sorted(expected) and {(1, 1), (2, 2), (5, 3)} <= {e[:2] for e in expected}
+
+
 # 4 URL rules
 
 
