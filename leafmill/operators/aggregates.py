@@ -56,8 +56,11 @@ def categories(rows: DataFrame, column: str, separator: str) -> DataFrame:
 
 
 def crosstab(rows: DataFrame, a: str, b: str) -> DataFrame:
-    """Counts by two columns with both totals, null for "all" (A20)."""
-    return rows.cube(a, b).agg(F.count(F.lit(1)).alias("n"))
+    """Counts by two columns with both totals.
+
+    ``totals`` is 2 where ``a`` stands for all, 1 where ``b`` does, 3 for both; a null beside it is a value.
+    """
+    return rows.cube(a, b).agg(F.count(F.lit(1)).alias("n"), F.grouping_id().cast("int").alias("totals"))
 
 
 def correction_stats(log: DataFrame, page: str, issue: str, line: str, applied_at: str, seq: str) -> DataFrame:

@@ -99,7 +99,7 @@ def value_frequency(t: Tables) -> DataFrame:
     return t.conversations.groupBy("role").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("SELECT lang, source, count(*) AS n FROM documents GROUP BY CUBE (lang, source)")
+@query("SELECT lang, source, count(*) AS n, CAST(grouping(lang, source) AS INTEGER) AS totals FROM documents GROUP BY CUBE (lang, source)")
 def crosstab_totals(t: Tables) -> DataFrame:
     return A.crosstab(t.documents, "lang", "source")
 
@@ -668,7 +668,7 @@ def tilde_move(t: Tables) -> DataFrame:
 
 
 @query(r"""
-WITH w AS (SELECT conv_id, turn, string_split(translate(text, '[]{}', '()()'), ' ') AS w FROM conversations),
+WITH w AS (SELECT conv_id, turn, string_split(text, ' ') AS w FROM conversations WHERE NOT regexp_matches(text, '[\[\]{}]')),
 p AS (SELECT conv_id, turn, w, list_contains(list_transform(range(1, len(w) + 1), lambda i: i % 3 <> 1 AND w[i] = ''), true) OR turn % 7 = 3 AS broken,
       list_transform(range(1, len(w) + 1), lambda i: length(array_to_string(w[1:i - 1], ' ')) + CASE WHEN i > 1 THEN 1 ELSE 0 END) AS place FROM w),
 r AS (SELECT *, list_transform(range(1, len(w) + 1), lambda i: concat(place[i], '-', place[i] + length(w[i]))) AS said FROM p)
@@ -677,13 +677,14 @@ SELECT conv_id, turn, broken, CASE WHEN NOT broken THEN array_to_string(w, ' ')
        CASE WHEN NOT broken THEN array_to_string(list_transform(list_filter(range(1, len(w) + 1), lambda i: i % 3 = 0), lambda i: said[i]), ',') END AS italic
 FROM r""")
 def notation_parse(t: Tables) -> DataFrame:
-    """Every turn with two of three words marked, some with a mark that is not closed."""
-    words = F.split(F.translate("text", "[]{}", "()()"), " ", -1)
+    """Every turn as it is marked; those without marks (all the SQL has) get two of three words marked, some with a mark left open."""
+    words = F.split("text", " ", -1)
     marked = F.transform(
         words,
         lambda w, i: F.when(i % 3 == 1, F.concat(F.lit("["), w, F.lit("]"))).when(i % 3 == 2, F.concat(F.lit("{"), w, F.lit("}"))).otherwise(w),
     )
     whole = F.concat(F.array_join(marked, " "), F.when(F.col("turn") % 7 == 3, "[").otherwise(""))
+    whole = F.when(F.col("text").rlike(r"[\[\]{}]"), F.col("text")).otherwise(whole)
     said = lambda ranges: F.array_join(F.transform(ranges, lambda x: F.concat_ws("-", x["s"].cast("string"), x["e"].cast("string"))), ",")
     read = t.conversations.select("conv_id", "turn", T.parse_notation(whole).alias("x"))
     return read.select(
