@@ -1,25 +1,42 @@
-"""Streams: resumable ingest into an append log, the latest record, and corrections applied once."""
+"""Streams: resumable ingest into an append log, its status, the latest record, and corrections applied once.
+
+The log is a folder for each batch of the stream, written over if the batch is run again, so a
+restart neither loses nor repeats records and never reads what the log has.  Records that
+come again in a later batch are known by keyed state.
+"""
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Iterator
+from datetime import UTC, datetime
 
 import pandas as pd
+from pyspark.errors import AnalysisException, StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-from pyspark.sql.utils import AnalysisException
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery, StreamingQueryListener
+from pyspark.sql.types import LongType, StructType
 
 from leafmill.operators.aggregates import latest_per_key
+from leafmill.shared import Document
+
+KEY = ("id", "recorded_at")
+
+
+class Stopped(Exception):
+    """A run was asked to stop, and does so before its next batch."""
 
 
 def existing(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """A log as it is, empty if it is not there yet."""
+    """A log as it is, with the ``batch`` of each record; empty if it is not there yet."""
+    whole = StructType.fromDDL(schema).add("batch", LongType())
     try:
-        return spark.read.schema(schema).json(path)
-    except AnalysisException:
-        return spark.createDataFrame([], schema)
+        return spark.read.schema(whole).option("basePath", path).json(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], whole)
 
 
 def dispositions(items: DataFrame, log: DataFrame, files: DataFrame) -> DataFrame:
@@ -30,50 +47,171 @@ def dispositions(items: DataFrame, log: DataFrame, files: DataFrame) -> DataFram
     return both.withColumn("disposition", what)
 
 
-def ingest(source: DataFrame, log_path: str, checkpoint: str, schema: str) -> StreamingQuery:
-    """Append each new record of a stream to a log, once (R1, R5, K6): a restart continues at its checkpoint.
+class Status(StreamingQueryListener):
+    """Keeps the status document of an ingest: one replacement for each batch.
 
-    A batch that is run again after a failure leaves out what the log already has.
+    Fields: ``state`` (running, interrupted, failed or complete), ``batches`` and ``rows`` of the log,
+    ``last_id``, the greatest id in it, ``interruptions``, and when it changed.  What a batch
+    brought comes from the metrics that it was observed with.  A run that starts counts
+    the log anew, as the one before may have ended between its batch and the document.
     """
 
-    def append(batch: DataFrame, _: int) -> None:
-        have = existing(batch.sparkSession, log_path, schema).select("id", "recorded_at")
-        new = batch.dropDuplicates(["id", "recorded_at"]).join(have, ["id", "recorded_at"], "left_anti")
-        new.write.mode("append").json(log_path)
-
-    return source.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    METRICS = "ingest"
+
+    def __init__(self, spark: SparkSession, path: str, log_path: str, schema: str, key: str = "id"):
+        self.spark, self.document, self.query_id = spark, Document(spark, path), None
+        self.ended, self.stopping = threading.Event(), threading.Event()
+        before = self.document.read() or {"state": None, "interruptions": 0}
+        if before["state"] == "running":  # it died without a word
+            before["interruptions"] += 1
+        log = existing(spark, log_path, schema)
+        batches, rows, last = log.agg(F.count_distinct("batch"), F.count(F.lit(1)), F.max(key)).first()
+        self.now = {"state": "running", "batches": batches, "rows": rows, "last_id": last, "interruptions": before["interruptions"]}
+        self.replace()
+
+    def replace(self, **changes: object) -> None:
+        self.now |= changes
+        self.document.replace(self.now | {"updated_at": datetime.now(UTC).isoformat(timespec="seconds")})
+
+    def follow(self, query: StreamingQuery) -> None:
+        self.query_id = str(query.runId)
+
+    def onQueryStarted(self, event: object) -> None:
+        pass
+
+    def onQueryIdle(self, event: object) -> None:
+        pass
+
+    def onQueryProgress(self, event: object) -> None:
+        row = event.progress.observedMetrics.get(self.METRICS)
+        if self.query_id in (None, str(event.progress.runId)) and row is not None and row["rows"]:
+            last = max((x for x in (self.now["last_id"], row["last_id"]) if x is not None), default=None)
+            self.replace(batches=self.now["batches"] + 1, rows=self.now["rows"] + row["rows"], last_id=last)
+
+    def onQueryTerminated(self, event: object) -> None:
+        if self.query_id not in (None, str(event.runId)):
+            return
+        state = "complete" if event.exception is None else "interrupted" if Stopped.__name__ in event.exception else "failed"
+        self.replace(state=state, interruptions=self.now["interruptions"] + (state != "complete"))
+        self.ended.set()
+
+    def stop(self, query: StreamingQuery) -> dict:
+        """Ends a run between two batches; the next one goes on from there."""
+        self.stopping.set()
+        return self.wait(query)
+
+    def wait(self, query: StreamingQuery, seconds: float = 60) -> dict:
+        """The document after the end of a run; what else than ``stop`` ended it is raised."""
+        try:
+            query.awaitTermination()
+        except StreamingQueryException:
+            if not self.stopping.is_set():
+                raise
+        finally:
+            self.ended.wait(seconds)
+            self.spark.streams.removeListener(self)
+        return self.document.read()
+
+
+def ingest(source: DataFrame, log_path: str, checkpoint: str, schema: str, key: tuple[str, ...] = KEY, status: Status | None = None) -> StreamingQuery:
+    """Append each new record of a stream to a log, once (R1, R5, K6): a restart continues at its checkpoint."""
+    names = StructType.fromDDL(schema).names
+    new = source.dropDuplicates(list(key)).select(*names)
+    new = new.observe(Status.METRICS, F.count(F.lit(1)).alias("rows"), F.max(key[0]).alias("last_id"))
+
+    def append(batch: DataFrame, number: int) -> None:
+        if status is not None and status.stopping.is_set():
+            raise Stopped(f"before batch {number}")
+        batch.write.mode("overwrite").json(f"{log_path}/batch={number}")
+
+    writer = new.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    if status is not None:
+        source.sparkSession.streams.addListener(status)
+    query = writer.start()
+    if status is not None:
+        status.follow(query)
+    return query
 
 
 def latest(spark: SparkSession, log_path: str, schema: str) -> DataFrame:
     """The record written last for each id (R2)."""
-    return latest_per_key(existing(spark, log_path, schema), "id", "recorded_at")
+    return latest_per_key(existing(spark, log_path, schema), "id", "recorded_at").drop("batch")
 
 
-APPLIED = "page_id string, issue_no long, lines array<string>, outcome string"
+APPLIED = "page_id string, issue_no long, seq long, outcome string"
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def applied_once(events: DataFrame) -> DataFrame:
-    """(page_id, issue_no, lines, outcome) of a stream of corrections.
+class AppliedOnce(StatefulProcessor):
+    """Outcomes of the corrections of one page: records wait until none before them can come, and are judged in order.
 
-    The first record of an issue is ``applied``, an equal one ``repeated``, another ``conflict``.
+    State: the records that wait, and the lines of the first record of each issue.
     """
 
-    def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        known = list(state.get[0]) if state.exists else None
-        rows = []
-        for batch in batches:
-            for lines in batch.sort_values("seq")["lines"]:
-                now = sorted(lines)
-                outcome = "applied" if known is None else "repeated" if now == known else "conflict"
-                known = now if known is None else known
-                rows.append((*key, now, outcome))
-        if known is not None:
-            state.update((known,))
-        yield pd.DataFrame(rows, columns=["page_id", "issue_no", "lines", "outcome"])
-
-    return events.groupBy("page_id", "issue_no").applyInPandasWithState(
-        run, APPLIED, "lines array<string>", "append", GroupStateTimeout.NoTimeout
-    )
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.waiting = handle.getListState("waiting", "at long, seq long, issue_no long, lines string")
+        self.first = handle.getMapState("first", "issue_no long", "lines string")
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: object) -> Iterator[pd.DataFrame]:  # noqa: N803
+        for batch in rows:
+            new = [tuple(r) for r in batch[["at", "seq", "issue_no", "lines"]].itertuples(index=False)]
+            self.waiting.appendList(new)
+            self.handle.registerTimer(max(min(x[0] for x in new), timerValues.getCurrentWatermarkInMs()) + 1)
+        return iter(())
+
+    def handleExpiredTimer(self, key: tuple, timerValues: object, expiredTimerInfo: object) -> Iterator[pd.DataFrame]:  # noqa: N803
+        now = timerValues.getCurrentWatermarkInMs()
+        rows = sorted(tuple(x) for x in self.waiting.get())
+        due, later = [x for x in rows if x[0] < now], [x for x in rows if x[0] >= now]
+        if later:
+            self.waiting.put(later)
+            self.handle.registerTimer(later[0][0] + 1)
+        else:
+            self.waiting.clear()
+        known, out = {}, []
+        for _, seq, issue, lines in due:
+            if issue not in known and self.first.containsKey((issue,)):
+                known[issue] = self.first.getValue((issue,))[0]
+            outcome = "applied" if issue not in known else "repeated" if known[issue] == lines else "conflict"
+            if outcome == "applied":
+                known[issue] = lines
+                self.first.updateValue((issue,), (lines,))
+            out.append((key[0], issue, seq, outcome))
+        if out:
+            yield pd.DataFrame(out, columns=["page_id", "issue_no", "seq", "outcome"])
+
+    def close(self) -> None:
+        pass
+
+
+def applied_once(events: DataFrame, recorded_at: str, delay: str) -> DataFrame:
+    """(page_id, issue_no, seq, outcome) of a stream of corrections (page_id, issue_no, lines, seq).
+
+    In the order of ``recorded_at`` and ``seq`` the first record of an issue is ``applied``, one
+    with the same lines ``repeated``, another ``conflict``: whatever the order in which files
+    come, as long as a record comes no more than ``delay`` after later ones.  An outcome is given
+    when the watermark has passed the record; a record later than that is dropped.
+    """
+    lines = F.to_json(F.array_sort("lines"))
+    rows = events.withWatermark(recorded_at, delay).select(
+        F.coalesce(F.col("page_id").cast("string"), F.lit("")).alias("page_id"), F.col("issue_no").cast("long"), F.col("seq").cast("long"),
+        lines.alias("lines"), F.col(recorded_at), F.unix_millis(recorded_at).alias("at"),
+    )
+    return rows.groupBy("page_id").transformWithStateInPandas(AppliedOnce(), APPLIED, "append", "eventTime")
+
+
+def run_once(outcomes: DataFrame, path: str, checkpoint: str) -> None:
+    """Runs a stream of ``applied_once`` over all that is there, into files at ``path``."""
+    conf = outcomes.sparkSession.conf
+    before = conf.get(STATE_STORE)
+    conf.set(STATE_STORE, ROCKS)
+    try:
+        query = outcomes.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
+        query.outputMode("append").trigger(availableNow=True).start().awaitTermination()
+    finally:
+        conf.set(STATE_STORE, before)
 
 
 def run_counters(log: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ import os
 import duckdb
 import pytest
 
-from leafmill.plans import catalog
+from leafmill.plans import flows as catalog  # the catalogue, and what runs streams
 
 DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()

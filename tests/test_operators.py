@@ -1,9 +1,12 @@
 """Golden and property cases of joins, aggregations, ordered operators, geometry, rules, corrections and streams."""
 
 import json
+import os
 import random
 
 import pytest
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from leafmill.functions import content as C
@@ -12,6 +15,7 @@ from leafmill.operators import aggregates as A
 from leafmill.operators import checks as V
 from leafmill.operators import corrections as R
 from leafmill.operators import joins as J
+from leafmill.operators import machines
 from leafmill.operators import ordered as W
 from leafmill.plans import views
 from leafmill.streaming import ingest
@@ -186,13 +190,107 @@ def test_streams(spark, tmp_path):
     items, files = spark.createDataFrame([("1",), ("2",), ("3",)], "id string"), spark.createDataFrame([("1", "y"), ("2", "q")], "id string, sha256 string")
     what = {r.id: r.disposition for r in ingest.dispositions(items, ingest.existing(spark, log, schema), files).collect()}
     assert what == {"1": "skip", "2": "recover", "3": "fetch"}
-    events = tmp_path / "ev"
-    events.mkdir()
-    (events / "a.json").write_text("".join(json.dumps({"page_id": "p", "issue_no": i, "lines": x, "seq": s}) + "\n" for i, x, s in ((1, ["a"], 1), (1, ["a"], 2), (1, ["b"], 3))))
-    stream = spark.readStream.schema("page_id string, issue_no long, lines array<string>, seq long").json(str(events))
-    q = ingest.applied_once(stream).writeStream.format("memory").queryName("once").outputMode("append").trigger(availableNow=True).start()
-    q.awaitTermination(90)
-    assert sorted(r.outcome for r in spark.table("once").collect()) == ["applied", "conflict", "repeated"]
+
+
+RECORD = "id string, recorded_at string, sha256 string"
+
+
+def test_ingest_after_a_crash(spark, tmp_path, monkeypatch):
+    source, log, at = tmp_path / "in", str(tmp_path / "log"), str(tmp_path / "status.json")
+    source.mkdir()
+    for k in range(6):
+        (source / f"{k}.json").write_text("".join(json.dumps({"id": f"{i:03}", "recorded_at": "a", "sha256": "x"}) + "\n" for i in (k, k + 1, 50 + k)))
+
+    def start():
+        status = ingest.Status(spark, at, log, RECORD)
+        stream = spark.readStream.schema(RECORD).option("maxFilesPerTrigger", 1).json(str(source))
+        return status, ingest.ingest(stream, log, str(tmp_path / "c"), RECORD, status=status)
+
+    written = DataFrameWriter.json
+
+    def dies(self, path, *args, **options):  # the log has the batch, the checkpoint does not know
+        written(self, path, *args, **options)
+        if path.endswith("batch=2"):
+            raise RuntimeError("power is off")
+
+    monkeypatch.setattr(DataFrameWriter, "json", dies)
+    status, run = start()
+    with pytest.raises(StreamingQueryException):
+        status.wait(run)
+    assert status.document.read()["state"] == "failed"
+    monkeypatch.setattr(DataFrameWriter, "json", written)
+
+    status, run = start()
+    assert status.now["batches"] == 3 and status.document.read()["state"] == "running"
+    while status.now["batches"] < 4 and not run.awaitTermination(0.02):
+        pass
+    middle = status.stop(run)
+    assert middle["state"] in ("interrupted", "complete")
+
+    status, run = start()
+    end = status.wait(run)
+    rows = [r.id for r in ingest.existing(spark, log, RECORD).collect()]
+    assert sorted(rows) == sorted({f"{i:03}" for k in range(6) for i in (k, k + 1, 50 + k)})
+    again = ingest.Status(spark, at, log, RECORD)
+    assert (end["state"], end["batches"], end["last_id"], end["interruptions"]) == ("complete", 6, "055", 1 + (middle["state"] == "interrupted"))
+    assert (again.now["rows"], again.now["batches"]) == (len(rows), 6)
+    assert not [f for f in os.listdir(tmp_path) if f.endswith(".tmp")]
+
+
+def test_documents_are_replaced_whole(spark, tmp_path):
+    from leafmill.shared import Document
+
+    document = Document(spark, f"file://{tmp_path}/a.json")
+    assert document.read() is None
+    for k in (1, 2):
+        document.replace({"k": k, "name": "\u00e9"})
+        assert document.read() == {"k": k, "name": "\u00e9"}
+    assert [f for f in os.listdir(tmp_path) if not f.startswith(".")] == ["a.json"]
+
+
+def test_corrections_in_any_order(spark, tmp_path):
+    random.seed(3)
+    rows = [(random.choice("pqr"), random.randrange(4), [random.choice("ab"), "z"][:: random.choice((1, -1))], i, f"2024-01-{1 + i // 4:02} 00:00:00") for i in range(80)]
+    schema = "page_id string, issue_no long, lines array<string>, seq long, recorded_at timestamp"
+    place = sorted(range(80), key=lambda i: i + random.randrange(24))
+    (tmp_path / "in").mkdir()
+    names = schema.replace("array<string>", "array").split(", ")
+    for k in range(8):
+        own = [dict(zip((n.split()[0] for n in names), rows[i], strict=True)) for i in place[10 * k : 10 * k + 10]]
+        (tmp_path / "in" / f"{k}.json").write_text("".join(json.dumps(x) + "\n" for x in own))
+        os.utime(tmp_path / "in" / f"{k}.json", (k + 1, k + 1))
+    (tmp_path / "in" / "end.json").write_text('{"page_id": "end", "issue_no": 0, "lines": [], "seq": 99, "recorded_at": "2025-01-01 00:00:00"}\n')
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).json(str(tmp_path / "in"))
+    ingest.run_once(ingest.applied_once(stream, "recorded_at", "8 days"), str(tmp_path / "out"), str(tmp_path / "c"))
+    first, expected = {}, []
+    for page, issue, lines, seq, _ in rows:
+        known = first.setdefault((page, issue), (seq, sorted(lines)))
+        expected.append((page, issue, seq, "applied" if known[0] == seq else "repeated" if known[1] == sorted(lines) else "conflict"))
+    assert sorted(map(tuple, spark.read.parquet(str(tmp_path / "out")).collect())) == sorted(expected)
+    done, conflicts = R.idempotent(spark.createDataFrame([r[:4] for r in rows], "page_id string, issue_no long, lines array<string>, seq long"))
+    assert {(r.page_id, r.issue_no, r.seq) for r in done.collect()} == {x[:3] for x in expected if x[3] == "applied"}
+    assert {tuple(r) for r in conflicts.collect()} == {x[:2] for x in expected if x[3] == "conflict"}
+
+
+@pytest.mark.parametrize("width", [1, 7, 10**9])
+def test_machine_is_a_fold(spark, width):
+    machine = machines.Machine(machines.CORRECTION_STATES, machines.CORRECTION_STEPS)
+    random.seed(width)
+    events = [*machine.maps, None, "other"]
+    rows = [(random.choice(("a", "b", None)), i, random.choice(events)) for i in range(400)]
+    frame = spark.createDataFrame(rows, "k string, i long, e string").repartition(5)
+    found = machines.machine_states(frame, "k", "i", bucket=F.floor(F.col("i") / width), event=F.col("e"), machine=machine)
+    state, expected = {}, []
+    for k, i, e in rows:
+        was = state.get(k, "new")
+        now = machines.CORRECTION_STEPS.get((was, e), was)
+        state[k] = now
+        expected.append((k, i, e, was, now, (was, e) not in machines.CORRECTION_STEPS))
+    assert sorted(map(tuple, found.collect()), key=lambda r: r[1]) == expected
+    assert machines.machine_states(frame.limit(0), "k", "i", bucket=F.col("i"), event=F.col("e"), machine=machine).count() == 0
+    loop = machines.Machine(["on", "off"], {("on", "x"): "on", ("off", "y"): "on", ("on", "y"): "off"})
+    rows = machines.machine_states(frame.where("k = 'a'").withColumn("e", F.lit("x")), "k", "i", bucket=F.col("i"), event=F.col("e"), machine=loop).collect()
+    assert {(r.state, r.refused) for r in rows} == {("on", False)}
 
 
 def test_navigation_window(spark):
