@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import difflib
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -12,72 +10,98 @@ from pyspark.sql import types as D
 
 from leafmill.functions import content as C
 from leafmill.functions import text as T
+from leafmill.functions.matching import matching_blocks
 
 STYLE = ("typeface", "placement", "layout", "line_span", "span_id")
 FIELDS = ("typeface", "text", "placement", "layout", "line_span", "span_id")
 
 
-@F.pandas_udf(D.ArrayType(D.IntegerType()))
-def styles_between(removed: pd.Series, inserted: pd.Series, styles: pd.Series, near: pd.Series) -> pd.Series:
-    """Style numbers of inserted texts, from those of the characters they replace and of the one beside them."""
-
-    def of(old: str | None, new: str, own: np.ndarray, beside: int) -> list[int]:
-        out: list[int] = []
-        i = j = 0
-        for x, y, n in difflib.SequenceMatcher(None, old, new, autojunk=False).get_matching_blocks():
-            gap = own[i:x].tolist()
-            if len(gap) == y - j:
-                out += gap  # letter for letter
-            elif y > j:
-                style = max(dict.fromkeys(gap), key=gap.count) if gap else int(own[i - 1]) if i else beside
-                out += [style] * (y - j)
-            out += own[x : x + n].tolist()
-            i, j = x + n, y + n
-        return out
-
-    return pd.Series([None if a is None else of(a, b, s, k) for a, b, s, k in zip(removed, inserted, styles, near, strict=True)])
+PART = D.StructType().add("own", "integer").add("face", "string").add("text", "string")
+
+
+def kept_styles(old: str, new: str, styles: np.ndarray) -> np.ndarray:
+    """The style number of each letter of ``new``, from those of the letters of ``old``; -1 where there is none to go by."""
+    out = np.full(len(new), -1)
+    i = j = 0
+    for x, y, n in matching_blocks(old, new):
+        gap = styles[i:x]
+        if len(gap) == y - j:
+            out[j:y] = gap  # letter for letter
+        elif y > j:
+            if len(gap):  # the commonest, of equals the first seen
+                values, first, counts = np.unique(gap, return_index=True, return_counts=True)
+                style = values[np.lexsort((first, -counts))[0]]
+            else:
+                style = styles[i - 1] if i else styles[i] if i < len(styles) else -1
+            out[j:y] = style
+        out[y : y + n] = styles[x : x + n]
+        i, j = x + n, y + n
+    return out
+
+
+def new_parts(texts: list[str], faces: list[str], rests: list[str], new: str, roman: list[tuple], italic: list[tuple]) -> list[tuple] | None:
+    """(own, face, text) of the runs of a new text: the run whose style each has (or -1), and the typeface forced upon it."""
+    if any(not 0 <= s < e <= len(new) for s, e in (*roman, *italic)):
+        return None
+    known: dict[tuple, int] = {}
+    first = np.array([known.setdefault(style, i) for i, style in enumerate(zip(faces, rests, strict=True))], int)
+    own = kept_styles("".join(texts), new, np.repeat(first, np.array([len(t) for t in texts], int)))
+    forced = np.zeros(len(new), int)
+    for kind, ranges in ((1, roman), (2, italic)):
+        for s, e in ranges:
+            forced[s:e] = kind
+    forms: dict[tuple, int] = {}
+
+    def form(i: int, kind: int) -> int:
+        face, rest = (faces[i], rests[i]) if i >= 0 else ("roman", "{}")
+        return forms.setdefault(((face, "roman", "italic")[kind], rest), len(forms))
+
+    pairs, which = np.unique(own * 3 + forced, return_inverse=True)
+    looks = np.array([form(p // 3, p % 3) for p in pairs.tolist()], int)[which]
+    starts = np.flatnonzero(np.diff(looks, prepend=-1)).tolist() + [len(new)]
+    return [(int(own[s]), (None, "roman", "italic")[forced[s]], new[s:e]) for s, e in zip(starts, starts[1:], strict=False)]
+
+
+@F.pandas_udf(D.ArrayType(PART))
+def parts_of(
+    texts: pd.Series, faces: pd.Series, rests: pd.Series, new: pd.Series, rs: pd.Series, re: pd.Series, is_: pd.Series, ie: pd.Series
+) -> pd.Series:
+    """``new_parts`` by rows; null where anything is."""
+
+    def one(t, f, r, n, a, b, c, d) -> list[tuple] | None:  # noqa: ANN001
+        if any(x is None for x in (t, n, a, b, c, d)):
+            return None
+        return new_parts([x or "" for x in t], list(f), list(r), n, list(zip(a, b, strict=True)), list(zip(c, d, strict=True)))
+
+    return pd.Series([one(*row) for row in zip(texts, faces, rests, new, rs, re, is_, ie, strict=True)], dtype=object)
 
 
 # its own step, as an expression with a lambda cannot hold it
-styles_between = styles_between.asNondeterministic()
+parts_of = parts_of.asNondeterministic()
 
 
 def rewrite_runs(lines: DataFrame, runs: str, target: str, roman: str, italic: str, into: str) -> DataFrame:
     """``lines`` with the runs of the new text, each character in the style it had; null where a forced range is outside it (F16).
 
-    What stands before and after the change keeps its style.  Between, inserted text takes the
-    commonest style of what it replaces (the first seen of equals), or else that of its
-    neighbour, or else roman; forced ranges (s, e) set the typeface.
+    What the texts have in common keeps its style, and so does what is replaced letter for
+    letter.  Other new text takes the commonest style of what it replaces (the first seen of
+    equals), or else that of its neighbour, or else roman; forced ranges (s, e) set the
+    typeface, italic before roman.  Time is near-linear in the length of the texts and the number of ranges.
     """
-    old, new = F.col(runs), F.col(target)
-    styles = F.flatten(F.transform(old, lambda r, i: F.array_repeat(i, F.length(r["text"]))))
-    steps = lines.withColumn("_change", common_ends(C.line_text(old), new)).withColumn("_styles", styles)
-    head, cut = F.length("_change.prefix"), F.length("_change.removed")
-    near = F.coalesce(F.get("_styles", head - 1), F.get("_styles", head), F.lit(-1))
-    steps = steps.withColumn(
-        "_between", styles_between(F.col("_change.removed"), F.col("_change.inserted"), F.slice("_styles", head + 1, cut), near)
+    old = F.col(runs)
+    of = lambda ranges, f: F.transform(ranges, lambda r: r[f])
+    rest = F.transform(old, lambda r: F.to_json(F.struct(*(r[f].alias(f) for f in STYLE[1:]))))
+    found = parts_of(
+        of(old, "text"), of(old, "typeface"), rest, F.col(target), of(F.col(roman), "s"), of(F.col(roman), "e"), of(F.col(italic), "s"), of(F.col(italic), "e")
     )
-    after = F.slice("_styles", head + cut + 1, F.greatest(F.size("_styles") - head - cut, F.lit(0)))
-    letters = F.concat(F.slice("_styles", F.lit(1), head), F.col("_between"), after)
-
-    known = F.transform(old, lambda r: F.struct(*(r[f].alias(f) for f in STYLE)))
-    inside = lambda ranges, i: F.exists(ranges, lambda r: (r["s"] <= i) & (i < r["e"]))
-    face = lambda i, own: F.when(inside(italic, i), "italic").when(inside(roman, i), "roman").otherwise(F.coalesce(own["typeface"], F.lit("roman")))
-    styled = F.transform(
-        F.transform(letters, lambda k, i: F.struct(i.alias("i"), F.when(k >= 0, F.get(known, k)).alias("own"))),
-        lambda x: F.struct(face(x["i"], x["own"]).alias("typeface"), *(x["own"][f].alias(f) for f in STYLE[1:])),
-    )
-    steps = steps.withColumn("_styled", styled)
-    style = lambda i: F.get("_styled", i)
-    starts = F.filter(F.sequence(F.lit(0), F.size("_styled") - 1), lambda i: (i == 0) | ~style(i - 1).eqNullSafe(style(i)))
-    steps = steps.withColumn("_starts", F.when(F.size("_styled") > 0, starts).otherwise(F.array().cast("array<int>")))
-    ends = F.concat(F.slice("_starts", F.lit(2), F.greatest(F.size("_starts") - 1, F.lit(0))), F.array(F.size("_styled")))
-    bounds = F.arrays_zip(F.col("_starts").alias("a"), ends.alias("b"))
-    text = lambda x: F.substring(new, x["a"] + 1, x["b"] - x["a"])
-    run = lambda x: F.struct(*((text(x) if f == "text" else style(x["a"])[f]).alias(f) for f in FIELDS))
-    out = F.transform(F.filter(bounds, lambda x: x["a"].isNotNull()), run)
-    broken = F.exists(F.concat(roman, italic), lambda r: (r["s"] < 0) | (r["s"] >= r["e"]) | (r["e"] > F.length(new)))
-    return steps.withColumn(into, F.when(~broken, out)).drop("_change", "_styles", "_between", "_styled", "_starts")
+    steps = lines.withColumn("_parts", found)
+
+    def run(p: Column) -> Column:
+        own = F.when(p["own"] >= 0, F.get(old, p["own"]))
+        style = {"typeface": F.coalesce(p["face"], own["typeface"], F.lit("roman")), "text": p["text"]}
+        return F.struct(*((style[f] if f in style else own[f]).alias(f) for f in FIELDS))
+
+    return steps.withColumn(into, F.transform("_parts", run)).drop("_parts")
 
 
 def resolved(changes: DataFrame, after: str = "after") -> DataFrame:
