@@ -9,28 +9,34 @@ pages and so low importance; branches of low importance are removed from each pa
 Every block of every page is judged so: it stays if the importance of its node times the
 node's weight reaches ``LEAST_IMPORTANCE``.  What tags and class names say of a node's role
 only weighs it: ``NEVER`` for what HTML itself sets apart (``nav``, ``footer``, ``form``) and for
-names of matter that is new on each page and yet no article (``ad``, ``comments``), ``DOUBTFUL``
-for names that an article may bear too (``notice``, ``section-header``), whose nodes go only
-if they also recur.  An element that is not shown, or is a control, has no text.
+names of matter that is no article (``ad``, ``comments``), ``DOUBTFUL`` for names that an article
+may bear too (``notice``, ``section-header``), whose nodes go only if they also recur.  A name
+does not decide alone.  A marked article (``article``, ``main``) has the weight of its own names
+only, whatever a wrapper around it is called, but for comments and what HTML sets apart.  Within
+it only names of adverts and comments weigh ``NEVER``, all others are doubtful, and those of
+headings and inline elements say nothing.  And where names would leave nothing of an unmarked
+page, its text stays.  An element that is not shown, or is a control, has no text.
 
 Pages of a host with the same set of blocks are copies and count once, or else a much copied
 article would look like a notice.  The entropies are smoothed by ``PRIOR`` pages with contents
 of their own, so there is no least number of pages: what recurs on all of two pages of a host
-has importance 0.40, on three 0.25, and what was seen on one page has 1.  Blocks that are new
+has importance 0.40, on three 0.25, and what was seen on one page has 1.  The tree of all hosts
+together counts as ``ELSEWHERE`` further pages of a host where that speaks for a node: a host of a
+few near copies of one article has so its branches judged by what they hold on other hosts.  Blocks that are new
 on each page are never of low importance, however alike their presentation.
 
 Shuffled are only hashes: one row for each distinct page, with a hash for each path and distinct
 block, then counted in two steps, so that a host with a third of all pages is pre-aggregated on
 the map side.  The paths to remove are then joined back by host and salt.
 
-Of what is left, the part in a marked article (``article``, ``main``) is taken if it is at
-least as long as the part outside, and else both: a mark of less is a teaser card.  Only where
-the tree would take more than half of the marked text of a page is that text kept whole: then
-the article itself recurs on its host, in versions that are not quite copies.
+Of a page with marked articles what stays of them is taken, and nothing else, however long
+either is; all of them, if the tree would leave nothing.  Marks around links alone are teaser
+cards, and no marks.
 
 Defined results: null or empty HTML gives the empty text; character references are decoded
 as HTML does (also without a closing semicolon); ``br`` is white space; a block is a
-block-level element's run of text, of which inline elements that go leave the rest; a tag
+block-level element's run of text, of which inline elements that go leave the rest; comments end as HTML says
+(also at ``--!>``); a tag
 without its ``>`` ends the markup, what follows is text; unclosed elements end with what
 encloses them; rows are independent, so repeated pages give repeated results; null URLs form
 one host; extra columns are ignored; an empty table gives no rows.
@@ -43,6 +49,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from html import unescape
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -52,6 +59,7 @@ from .scratch import keep, table
 from .url_rules import host_of
 
 PRIOR, LEAST_IMPORTANCE, DECAY = 0.5, 0.3, 0.9
+ELSEWHERE = 8  # pages
 SALTS = 16
 
 # Element names of HTML by their role.
@@ -78,11 +86,15 @@ ROLES = set(
 DOUBTFUL_ROLES = ROLES | set(
     "alert banner disclaimer footer header login menu notice notices notification related reply respond search skip teaser".split()
 )
+COMMENTS = {"comment", "comments", "commentlist", "disqus", "replies"}
+ADVERTS = set("ad ads adbox adslot advert adverts advertisement advertising promo promoted promotion sponsor sponsored sponsors".split())
+HEADINGS = {f"h{i}" for i in range(1, 7)}
 APART_ROLES = set("navigation banner contentinfo complementary search form dialog alert".split())
 MAIN_ROLES = {"main", "article"}
 NEVER, DOUBTFUL = 0.2, 0.6
 TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/<>]*)((?:[^<>"']|"[^"<>]*"|'[^'<>]*')*+)>""")
 STOP = re.compile("[>\"']")
+COMMENT_END = re.compile("--!?>")
 NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
 ATTRIBUTE = re.compile(r"""(?:^|[\s"'/])(class|id|role|hidden|itemprop)(?=[\s=/]|$)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 
@@ -96,22 +108,34 @@ def text_hash(text: str) -> int:
 
 
 class Element:
-    __slots__ = ("tag", "path", "hidden", "main", "weight", "block", "children")
+    __slots__ = ("tag", "path", "hidden", "main", "weight", "firm", "block", "children")
 
-    def __init__(self, tag: str, path: int, hidden: bool, main: bool, weight: float, block: "Element | None"):
-        self.tag, self.path, self.hidden, self.main, self.weight, self.children = tag, path, hidden, main, weight, []
+    def __init__(self, tag: str, path: int, hidden: bool, main: bool, weight: float, firm: bool, block: "Element | None"):
+        self.tag, self.path, self.hidden, self.main, self.weight, self.firm, self.children = tag, path, hidden, main, weight, firm, []
         self.block = block or self  # the nearest block-level element
 
 
+class Block(NamedTuple):
+    """A run of text: the path of its node, whether it is in a marked article, its weight, whether HTML or comments set it apart, whether all is a link."""
+
+    path: int
+    main: bool
+    weight: float
+    firm: bool
+    linked: bool
+    text: str
+
+
 class Page:
-    """Blocks of one page as (path, in the main branch, weight, text), and the children of each path."""
+    """Blocks of one page, and the children of each path."""
 
     def __init__(self, html: str | None):
-        self.blocks: list[tuple[int, bool, float, str]] = []
+        self.blocks: list[Block] = []
         self.styles: list[tuple[int, str]] = []
-        self.stack = [Element("", 0, False, False, 1.0, None)]
+        self.stack = [Element("", 0, False, False, 1.0, False, None)]
         self.open: Counter = Counter()
         self.buffer: list[str] = []
+        self.linked = True
         if html:
             self.read(html)
         while len(self.stack) > 1:
@@ -126,9 +150,12 @@ class Page:
             if m := TAG.match(html, lt):
                 at, closing, tag, attributes = m.end(), m[1], m[2].lower(), m[3]
             elif html.startswith("<!--", lt):
-                at = html.find("-->", lt + 4) + 3
-                if at < 3:
+                last = lt + 5 if html.startswith(">", lt + 4) else lt + 6 if html.startswith("->", lt + 4) else 0
+                if not last:
+                    last = m.end() if (m := COMMENT_END.search(html, lt + 4)) else 0
+                if not last:
                     return
+                at = last
                 continue
             elif html.startswith(("<!", "<?"), lt):
                 at = html.find(">", lt) + 1
@@ -171,15 +198,16 @@ class Page:
     def text(self, raw: str) -> None:
         if not self.stack[-1].hidden:
             self.buffer.append(raw)
+            self.linked = self.linked and (self.open["a"] > 0 or not raw.strip())
 
     def flush(self) -> None:
         if not self.buffer:
             return
         text = " ".join("".join(map(unescape, self.buffer)).split())
-        self.buffer = []
+        linked, self.linked, self.buffer = self.linked, True, []
         if text:
             top = self.stack[-1].block
-            self.blocks.append((top.path, top.main, top.weight, text))
+            self.blocks.append(Block(top.path, top.main, top.weight, top.firm, linked, text))
 
     def begin(self, tag: str, attributes: str) -> None:
         if tag == "br":
@@ -207,27 +235,33 @@ class Page:
         names = sorted({x for k in ("class", "id") for x in found.get(k, "").lower().split()})
         role = found.get("role", "").lower()
         main = top.main or tag in MAIN_ROLES or role in MAIN_ROLES or found.get("itemprop", "").lower() == "articlebody"
-        own = self.weight_of(tag, names, role, top.main)
+        own, firm = self.weight_of(tag, names, role, top.main)
         hidden = top.hidden or tag in HIDDEN or "hidden" in found or (not block and own == NEVER)
         top.children.append(tag)
         name = ".".join([tag, *(x for x in names if not re.search(r"\d", x))])
-        weight = min(top.weight, own) if block else top.weight
+        if not block:
+            own = top.weight
+        elif top.firm or top.main or not main:  # an article that begins here hears nothing from above
+            own = min(top.weight, own)
         path = path_hash(top.path, name) if block else top.path
-        self.stack.append(Element(tag, path, hidden, main, weight, None if block else top.block))
+        self.stack.append(Element(tag, path, hidden, main, own, top.firm or firm, None if block else top.block))
         self.open[tag] += 1
 
     @staticmethod
-    def weight_of(tag: str, names: list[str], role: str, in_main: bool) -> float:
-        """What tag, class names and role say against a node."""
+    def weight_of(tag: str, names: list[str], role: str, in_main: bool) -> tuple[float, bool]:
+        """What tag, class names and role say against a node, and whether nothing in it may speak for it."""
         if tag in APART or role in APART_ROLES or (tag == "header" and not in_main):
-            return NEVER
+            return NEVER, True
+        if in_main and (tag in HEADINGS or tag not in BLOCKS):
+            return 1.0, False
         words = set(names)
         if tag in {"body", "html", "article", "main"}:
             words &= {"comment", "comments"}
         parts = {y for x in words for y in re.split(r"[-_]+", x)} if words else words
-        if words & ROLES or not in_main and (words | parts) & DOUBTFUL_ROLES:
-            return NEVER
-        return DOUBTFUL if (words | parts) & DOUBTFUL_ROLES else 1.0
+        firm = bool(words & COMMENTS)
+        if firm or words & (ADVERTS if in_main else ROLES) or not in_main and (words | parts) & DOUBTFUL_ROLES:
+            return NEVER, firm
+        return DOUBTFUL if (words | parts) & DOUBTFUL_ROLES else 1.0, False
 
     def end(self, tag: str) -> None:
         if self.open[tag]:
@@ -244,22 +278,21 @@ class Page:
 
     def main_text(self, importance: dict[int, float]) -> str:
         """The text by the importance of each path (1 where there is none)."""
-        low = lambda b: importance.get(b[0], 1.0) * b[2] < LEAST_IMPORTANCE
-        length = lambda blocks: sum(len(b[3]) for b in blocks)
-        blocks = [b for b in self.blocks if b[2] >= LEAST_IMPORTANCE]
-        marked = [b for b in blocks if b[1]]
-        believed = 2 * length(b for b in marked if low(b)) > length(marked)
-        kept = [b for b in blocks if not low(b) or (believed and b[1])]
-        inside = [b for b in kept if b[1]]
-        return "\n".join(b[3] for b in (inside if 2 * length(inside) >= length(kept) else kept))
+        fine = [b for b in self.blocks if importance.get(b.path, 1.0) * b.weight >= LEAST_IMPORTANCE]
+        marked = [b for b in self.blocks if b.main and not b.firm]
+        if all(b.linked for b in marked):  # none, or cards
+            kept = fine or [b for b in self.blocks if not b.firm]
+        else:
+            kept = [b for b in fine if b.main] or [b for b in marked if b.weight >= LEAST_IMPORTANCE]
+        return "\n".join(b.text for b in kept)
 
 
 def node_rows(html: str | None) -> tuple[int, list[tuple[int, int, int]]]:
     """A hash of a page's blocks, and its (path, kind, feature), each once: kind 0 the page itself, 1 a style, 2 a block."""
     page = Page(html)
-    rows = {(p, 2, text_hash(t)) for p, _, _, t in page.blocks}
+    rows = {(b.path, 2, text_hash(b.text)) for b in page.blocks}
     rows |= {(p, 1, text_hash(s)) for p, s in page.styles}
-    contents = text_hash(repr(sorted({t for _, _, _, t in page.blocks})))
+    contents = text_hash(repr(sorted({b.text for b in page.blocks})))
     return contents, sorted(rows | {(p, 0, 0) for p, _, _ in rows})
 
 
@@ -284,11 +317,20 @@ def low_paths(pages: DataFrame) -> DataFrame:
     )
     distinct = each.groupBy("host", "contents").agg(F.min("nodes").alias("nodes"))
     rows = distinct.select("host", F.explode("nodes").alias("node")).select("host", "node.*")
+    counts = keep(rows.groupBy("host", "path", "kind", "feature").agg(F.count(F.lit(1)).alias("k")), "site-style-counts")
+    own = importances(counts, "host", "path")
+    everywhere = importances(counts.groupBy("path", "kind", "feature").agg(F.sum("k").alias("k")), "path")
+    known = own.join(everywhere.select("path", F.col("importance").alias("elsewhere")), "path")
+    both = F.greatest("importance", (F.col("m") * F.col("importance") + ELSEWHERE * F.col("elsewhere")) / (F.col("m") + ELSEWHERE))
+    lows = known.withColumn("importance", both.cast("float")).where(F.col("importance") < LEAST_IMPORTANCE / DOUBTFUL)
+    return lows.groupBy("host").agg(F.collect_list(F.struct("path", "importance")).alias("low"))
+
+
+def importances(counts: DataFrame, *node: str) -> DataFrame:
+    """(node, m, importance): the nodes of a style tree that have blocks, with their pages, from (node, kind, feature, k)."""
     k = F.col("k")
     nodes = (
-        rows.groupBy("host", "path", "kind", "feature")
-        .agg(F.count(F.lit(1)).alias("k"))
-        .groupBy("host", "path")
+        counts.groupBy(*node)
         .agg(
             F.max(F.when(F.col("kind") == 0, k)).alias("m"),
             F.count_if(F.col("kind") == 1).alias("styles"),
@@ -303,9 +345,7 @@ def low_paths(pages: DataFrame) -> DataFrame:
     presentation = 1 - F.coalesce(F.col("style_log") / (F.col("style_n") + PRIOR), log_m) / log_m
     content = 1 - F.col("block_log") / (F.col("block_n") + PRIOR) / log_m
     weight = F.pow(F.lit(DECAY), F.col("styles"))
-    importance = F.greatest(content, (1 - weight) * presentation + weight * content)
-    lows = nodes.withColumn("importance", importance.cast("float")).where(F.col("importance") < LEAST_IMPORTANCE / DOUBTFUL)
-    return lows.groupBy("host").agg(F.collect_list(F.struct("path", "importance")).alias("low"))
+    return nodes.select(*node, "m", F.greatest(content, (1 - weight) * presentation + weight * content).alias("importance"))
 
 
 def main_texts(pages: DataFrame) -> DataFrame:

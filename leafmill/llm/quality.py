@@ -277,8 +277,8 @@ def trained(read: DataFrame, labels: DataFrame, key: str, votes: str, x: str) ->
         bad = estimated(unique, np.bincount(at.ravel(), n, len(unique)))
         models.append({p.tobytes(): float(b) for p, b in zip(unique.astype(np.int8), bad, strict=True)})
 
-    sample = rows.where(F.pmod("k", F.lit(1_000_000)) < int(1_000_000 * min(1.0, TRAIN_ROWS / max(1.0, n.sum()))) + 1)
-    # about TRAIN_ROWS documents
+    place = F.pmod("k", F.lit(1 << 62)) / float(1 << 62)
+    sample = rows.where(place < TRAIN_ROWS / max(1.0, n.sum())).orderBy("k").limit(2 * TRAIN_ROWS)  # about TRAIN_ROWS, were it not for repeated rows
     got = with_labels(sample, labels).select("k", "votes", "x", *none).toArrow()
     order = np.argsort(got["k"].to_numpy(), kind="stable")  # the same order however the rows arrive
     own = np.array(got["votes"].to_pylist(), np.int8).reshape(got.num_rows, width)

@@ -21,7 +21,7 @@ Cutoffs travel with the query blocks.  Only local winners (k for a query and gro
 a task, and they are cut to k again before and after the shuffle.
 
 Whole scores are exact: in double precision while ``LISTS`` times the largest possible sum
-stays below 2 ** 53, and beyond that in Python integers.  Scores beyond the range of a long
+stays below 2 ** 53, and beyond that in Python integers (also where 256 times a component is no double).  Scores beyond the range of a long
 are the nearest long, and rank as that.
 
 Defined results: rows whose vector is null, or has a null or non-finite component, take no
@@ -33,6 +33,8 @@ extra columns are ignored; an empty table gives no rows.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -53,11 +55,15 @@ def usable(vector: Column) -> Column:
 
 
 def matrix(vectors: pd.Series, width: int) -> np.ndarray:
-    """Rows of floor(SCALE * component), padded with zeros."""
+    """Rows of floor(SCALE * component), padded with zeros; as Python integers where a double cannot hold one."""
     out = np.zeros((len(vectors), width))
     for row, v in zip(out, vectors, strict=True):
         row[: len(v)] = v
-    return np.floor(out * SCALE)
+    with np.errstate(over="ignore"):
+        scaled = np.floor(out * SCALE)
+    if np.isfinite(scaled).all():
+        return scaled
+    return np.array([[int(c) * SCALE if abs(c) > EXACT else math.floor(c * SCALE) for c in row] for row in out.tolist()], object).reshape(out.shape)
 
 
 def integers(a: np.ndarray) -> np.ndarray:
@@ -67,8 +73,8 @@ def integers(a: np.ndarray) -> np.ndarray:
 
 def lists_of(q: np.ndarray, x: np.ndarray) -> list[np.ndarray]:
     """The exact partial products of all queries and rows, one array for each slice of the dimensions."""
-    bound = np.abs(q).max(initial=0) * np.abs(x).max(initial=0) * max(1, q.shape[1]) * LISTS
-    if not bound < EXACT:
+    huge = object in (q.dtype, x.dtype)
+    if huge or not np.abs(q).max(initial=0) * np.abs(x).max(initial=0) * max(1, q.shape[1]) * LISTS < EXACT:
         q, x = integers(q), integers(x)
     return [q[:, s] @ x[:, s].T for s in slices(q.shape[1])]
 

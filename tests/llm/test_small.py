@@ -6,6 +6,7 @@ import re
 import time
 import zlib
 from collections import Counter
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -119,6 +120,18 @@ def test_top_k(spark):
     assert topk.top_k(frame.where("false"), F.col("vec_id") % 50 == 0).count() == 0
 
 
+def test_top_k_of_all_doubles(spark):
+    rows = [(0, [1e308, -1e308, 0.3]), (1, [1.7e308, 0.0]), (2, [-1e-308, 2.0**-60, 1.0]), (50, [0.5, 0.25]), (3, [2.0**52 + 1, -0.001])]
+    got = topk.top_k(spark.createDataFrame(rows, "vec_id long, vector array<double>"), F.col("vec_id") % 50 == 0).collect()
+    whole = {i: [int(256 * Fraction(x) // 1) for x in v] for i, v in rows}
+    clip = lambda x: min(max(x, -(1 << 63)), (1 << 63) - 1)
+    expected = []
+    for q in (0, 50):
+        scores = sorted((-clip(sum(a * b for a, b in zip(whole[q], v, strict=False))), i) for i, v in whole.items() if i != q)
+        expected += [(q, k + 1, i, -s) for k, (s, i) in enumerate(scores)]
+    assert sorted(map(tuple, got)) == sorted(expected)
+
+
 @pytest.mark.parametrize("size", [2.0**17, 2.0**60])
 def test_top_k_of_large_components(spark, size):
     base = [(i, [size + random.randint(-9, 9) if size < 2**50 else size * random.choice((1, -1, 3)) for _ in range(16)]) for i in range(60)]
@@ -509,6 +522,28 @@ def test_html():
     assert main_text("<article>" + "<p>w</p>" * 5000 + "<script>unclosed") == "\n".join(["w"] * 5000)
 
 
+def test_names_do_not_decide_alone():
+    assert main_text("<div id=social><article><p>whole article</p></article></div>") == "whole article"
+    assert main_text("<article><div class=widget><p>First.</p></div><p>Next.</p></article>") == "First.\nNext."
+    assert main_text("<article><h2 class=navigation>Head</h2><p>a <b class=ads>b</b> c</p></article>") == "Head\na b c"
+    assert main_text("<div class=widget><p>all there is</p></div><nav>menu</nav>") == "all there is"
+    # what names and HTML do set apart
+    assert main_text("<article><p>a</p><div class=ad>buy</div><div class=comments><article><p>reader</p></article></div></article>") == "a"
+    assert main_text("<ol class=commentlist><li><article class=x><p>reader</p></article></li></ol><p>text</p>") == "text"
+    assert main_text("<aside><article><p>side</p></article></aside><div class=ad>buy</div><p>text</p>") == "text"
+
+
+def test_nothing_goes_by_length():
+    for n in (1, 10, 1000):
+        assert main_text(f"<p>opening words</p><article><p>{'w ' * n}</p></article>") == " ".join(["w"] * n)
+        assert main_text(f"<div class=text>{'w ' * n}</div><article><a href=x>see more</a></article>") == " ".join(["w"] * n) + "\nsee more"
+
+
+def test_comments_end_as_html_says():
+    assert main_text("<p>x</p><!-- c --!><p>y</p>") == main_text("<p>x</p><!--><p>y</p>") == main_text("<p>x</p><!---><p>y</p>") == "x\ny"
+    assert main_text("<p>x</p><!-- a -- b - -> c --><p>y</p><!-- open") == "x\ny"
+
+
 def test_markup_is_read_in_linear_time():
     for part in ("<a ", "<a '", "<a \">", "<b>", "<b><p>", "</b>", "<!", "<li><b>", "&amp", "<"):
         start = time.perf_counter()
@@ -522,8 +557,8 @@ def test_style_tree_is_brute_force(spark):
     got = html_text.low_paths(spark.createDataFrame([("h", p) for p in [*pages, pages[0]]], "host string, html string")).first()
     seen = {}
     for page in map(html_text.Page, pages):
-        for path in {b[0] for b in page.blocks}:
-            blocks = {b[3] for b in page.blocks if b[0] == path}
+        for path in {b.path for b in page.blocks}:
+            blocks = {b.text for b in page.blocks if b.path == path}
             styles = {c for p, c in page.styles if p == path}
             seen.setdefault(path, ([], []))
             seen[path][0].append(blocks)
@@ -573,10 +608,11 @@ def test_style_tree_judges_marked_articles(spark):
     box = "<div class='box-x'>Get our letter each week</div>"
     page = lambda i: f"<main><article><h1>head {i}</h1><p>story {i} {words(20)}</p>{box}</article></main><div class=end>All rights</div>"
     rows = [(i, "http://h.example/x", page(i)) for i in range(12)]
-    card = lambda i: f"<div class=text><p>body {i} {words(40)}</p></div><article><p>card {i}</p></article>"
+    card = lambda i: f"<div class=text><p>body {i} {words(40)}</p></div><article><a href=x><h3>card {i}</h3><p>{words(90)}</p></a></article>"
     rows += [(100 + i, "http://cards.example/x", card(i)) for i in range(6)]
-    # near copies of one article, and an article whose only page it is
+    # near copies of one article, judged by what such a branch holds elsewhere, and an article whose only page it is
     rows += [(200 + i, "http://near.example/x", f"<article><p>version {i}</p><div>one and the same long article</div></article>") for i in range(9)]
+    rows += [(400 + i, f"http://h{i % 9}.example/x", f"<article><p>other {i}</p><div>{words(9)} {i}</div></article>") for i in range(60)]
     rows += [(300, "http://one.example/x", "<article><p>alone</p></article><p>no</p>")]
     out = {r.page_id: r.text for r in html_text.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert all(out[i].startswith(f"head {i}\nstory {i} ") and out[i].count("\n") == 1 for i in range(12))
