@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from leafmill.operators import machines as M
-from leafmill.plans.catalog import ORACLES, QUERIES, Tables, query
+from leafmill.plans.catalog import CONTROLS, ORACLES, QUERIES, Tables, clean_pages, query
 from leafmill.shared import fresh
+from leafmill.sources import page_source
 from leafmill.streaming import ingest as I
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -135,3 +136,15 @@ def correction_states(t: Tables) -> DataFrame:
     hour = F.floor(F.unix_seconds(F.col("ts").cast("timestamp")) / 3600)
     known = M.machine_states(t.events, "user_id", "ts", "event_id", bucket=hour, event=correction_event(), machine=machine)
     return known.select("event_id", "state_before", "state", "refused")
+
+
+@query(f"""
+SELECT 'd' || doc_id AS page_id, 'human_checked' AS status, CAST(u.i - 1 AS INTEGER) AS line_pos, 'l-' || (u.i - 1) AS line_id, md5('x' || w[u.i] || '.') AS digest
+FROM (SELECT doc_id, string_split(regexp_replace(regexp_replace(coalesce(text, ''), '{CONTROLS}', ' ', 'g'), '[*{{{{}}}}|]', '', 'g'), chr(10)) AS w FROM documents),
+     unnest(range(1, len(w) + 1)) AS u(i)""".replace("{{", "{").replace("}}", "}"))
+def page_source_lines(t: Tables) -> DataFrame:
+    """All documents written as page files by the data source, and some columns of their lines read back by it."""
+    folder = fresh(t.spark, "pages")
+    page_source.write_pages(clean_pages(t.documents).select(F.concat(F.lit("d"), "path").alias("id"), "body"), folder)
+    lines = page_source.page_lines(t.spark, folder, "page_id", "status", "line_pos", "line_id", "content")
+    return lines.where("status = 'human_checked'").select("page_id", "status", "line_pos", "line_id", F.md5("content").alias("digest"))

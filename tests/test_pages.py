@@ -147,3 +147,45 @@ def test_files(spark, tmp_path):
     body = spark.createDataFrame([(1, 'x\n```json\n{"schema":2}\n```\n'), (2, "none")], "issue int, body string")
     out = {r.issue: r for r in files.fenced_json(body, "body", "schema int").collect()}
     assert out[1].payload.schema == 2 and out[2].error
+
+
+def written_pages(spark, tmp_path, n=12):
+    from leafmill.sources import page_source
+
+    head = "---\nformat: f\nversion: 1\nid: {0}\nview: v{1}\nscope: all\nstatus: {2}\n---\n\n## column-1 [column] C\n\n"
+    body = [(f"p{i}", head.format(f"p{i}", i, "open" if i % 3 else "done") + "".join(f"[l-{k} >] text {i} {k}\n" for k in range(i))) for i in range(1, n + 1)]
+    path = f"file://{tmp_path}/pages"
+    page_source.write_pages(spark.createDataFrame(body, "id string, body string").repartition(3), path)
+    return page_source, path, body
+
+
+def test_page_source(spark, tmp_path):
+    source, path, body = written_pages(spark, tmp_path)
+    lines = source.page_lines(spark, path, bundle="300")
+    assert lines.count() == sum(range(1, 13)) and 3 < lines.rdd.getNumPartitions() < 12
+    row = lines.where("page_id = 'p5' AND line_id = 'l-3'").first()
+    assert (row.view, row.status, row.zone_pos, row.line_pos, row.flag, row.content) == ("v5", "open", 0, 3, ">", "text 5 3")
+    few = source.page_lines(spark, path, "line_id", "page_id")
+    assert few.columns == ["line_id", "page_id"] and "content" not in few._jdf.queryExecution().executedPlan().toString()
+    # a page whose header does not match is not read on: this one has a bad body
+    (tmp_path / "pages" / "bad.txt").write_text("---\nid: bad\nstatus: spoilt\n---\nno line\n")
+    assert source.page_lines(spark, path, "page_id", "status").where("status IN ('done', 'other') AND page_id <> 'p3'").count() == 6 + 9 + 12
+    with pytest.raises(Exception, match="bad.txt:5 is no line"):
+        source.page_lines(spark, path).count()
+
+
+def test_page_source_commits_whole(spark, tmp_path):
+    source, path, body = written_pages(spark, tmp_path)
+    here = tmp_path / "pages"
+    frame = lambda rows: spark.createDataFrame(rows, "id string, body string").repartition(4)
+    with pytest.raises(Exception, match="no file name"):
+        source.write_pages(frame([("q", "x"), ("../q", "x")]), path)
+    with pytest.raises(Exception, match="more than once"):
+        source.write_pages(frame([("q", "x"), ("q", "y")]), path)
+    assert sorted(p.name for p in here.glob("*.txt")) == sorted(f"{i}.txt" for i, _ in body)
+    source.write_pages(frame([("p1", body[0][1]), ("new", body[1][1])]), path)
+    assert sorted(p.name for p in here.glob("*.txt")) == ["new.txt", "p1.txt"] and (here / "_SUCCESS").exists()
+    source.write_pages(frame([("more", body[2][1])]), path, "append")
+    assert len(list(here.glob("*.txt"))) == 3 and source.page_lines(spark, path).count() == 1 + 2 + 3
+    source.write_pages(frame([]), f"file://{tmp_path}/none")
+    assert source.page_lines(spark, f"file://{tmp_path}/none").count() == 0
