@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from leafmill.operators import imaging
 from leafmill.operators import machines as M
+from leafmill.operators.ordered import reflected_weights
 from leafmill.plans.catalog import CONTROLS, ORACLES, QUERIES, Tables, clean_pages, query
 from leafmill.shared import fresh
 from leafmill.sources import page_source
@@ -148,3 +150,45 @@ def page_source_lines(t: Tables) -> DataFrame:
     page_source.write_pages(clean_pages(t.documents).select(F.concat(F.lit("d"), "path").alias("id"), "body"), folder)
     lines = page_source.page_lines(t.spark, folder, "page_id", "status", "line_pos", "line_id", "content")
     return lines.where("status = 'human_checked'").select("page_id", "status", "line_pos", "line_id", F.md5("content").alias("digest"))
+
+
+WIDE, EDGE, RADIUS, LEAST = 32, 3, 6, 9
+WEIGHTS_SQL = ", ".join(f"CAST({w!r} AS DOUBLE)" for w in reflected_weights())
+
+
+def graymap(vector: Column) -> Column:
+    """A picture of a vector as graymap bytes: a row for each component, ``WIDE`` pixels that follow from it."""
+    pixel = lambda v, y, x: (F.floor(F.abs(v.cast("double")) * 256) * (x + 7) + y * 31) % 211
+    row = lambda v, y: F.array_join(F.transform(F.sequence(F.lit(0), F.lit(WIDE - 1)), lambda x: F.lpad(F.hex(pixel(v, y, x)), 2, "0")), "")
+    head = F.concat(F.lit(f"P5 {WIDE} "), F.size(vector).cast("string"), F.lit(" 255\n")).cast("binary")
+    return F.concat(head, F.unhex(F.array_join(F.transform(vector, row), "")))
+
+
+@query(f"""
+WITH p AS (
+  SELECT vec_id, len(embedding) AS n, list_transform(range(len(embedding)), lambda y: CAST(len(list_filter(range({EDGE}, {WIDE - EDGE}), lambda x:
+    (CAST(floor(abs(CAST(embedding[y + 1] AS DOUBLE)) * 256) AS BIGINT) * (x + 7) + y * 31) % 211 < 105)) AS DOUBLE)) AS v FROM embeddings
+), s AS (
+  SELECT vec_id, n, list_transform(range(n), lambda i: round(list_sum(list_transform(range(33), lambda j: [{WEIGHTS_SQL}][j + 1] * v[CAST(
+    CASE WHEN ((i + j - 16) % (2 * n) + 2 * n) % (2 * n) < n THEN ((i + j - 16) % (2 * n) + 2 * n) % (2 * n)
+         ELSE 2 * n - 1 - ((i + j - 16) % (2 * n) + 2 * n) % (2 * n) END AS BIGINT) + 1])), 9)) AS smooth FROM p
+), e AS (
+  SELECT vec_id, n, smooth, u.i, CASE WHEN vec_id % 5 = 0 THEN 6.0::DOUBLE ELSE 6.0::DOUBLE + u.i * 52.0::DOUBLE / (vec_id % 5) END AS expected
+  FROM s, unnest(range(vec_id % 5 + 1)) AS u(i)
+), w AS (
+  SELECT *, CAST(greatest(0, round_even(expected - {RADIUS}, 0)) AS BIGINT) AS a, CAST(least(n, round_even(expected + {RADIUS + 1}, 0)) AS BIGINT) AS b FROM e
+), c AS (
+  SELECT vec_id, i, CAST(round_even(expected, 0) AS BIGINT) AS plain, a + list_position(smooth[a + 1:b], list_max(smooth[a + 1:b])) - 1 AS snapped FROM w
+), g AS (
+  SELECT vec_id, list_reduce(list_prepend([]::BIGINT[], list([snapped, plain] ORDER BY i)),
+    lambda done, x: CAST(list_append(done, CASE WHEN len(done) = 0 OR x[1] > done[-1] + {LEAST} THEN x[1] ELSE x[2] END) AS BIGINT[])) AS centres FROM c GROUP BY vec_id
+)
+SELECT vec_id, array_to_string(centres, ',') AS centres FROM g""")
+def line_centres(t: Tables) -> DataFrame:
+    """Line centres in pictures of all vectors, encoded as bytes and decoded again."""
+    pictures = t.embeddings.select("vec_id", imaging.from_graymap(graymap(F.col("embedding"))).alias("image"))
+    box = F.struct(F.lit(0).alias("l"), F.lit(0).alias("t"), F.lit(WIDE).alias("r"), F.col("image.height").alias("b"))
+    rows = imaging.row_profiles(pictures.withColumn("box", box), "image", "box", margin=EDGE)
+    count = (F.col("vec_id") % 5 + 1).cast("int")
+    centres = imaging.local_centres(F.col("profile"), F.lit(0), F.lit(6), F.lit(58), count, RADIUS, LEAST)
+    return rows.select("vec_id", F.array_join(centres.cast("array<string>"), ",").alias("centres"))

@@ -3,7 +3,10 @@
 import json
 import os
 import random
+import struct
+import zlib
 
+import numpy as np
 import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrameWriter
@@ -14,6 +17,7 @@ from leafmill.functions import geometry as G
 from leafmill.operators import aggregates as A
 from leafmill.operators import checks as V
 from leafmill.operators import corrections as R
+from leafmill.operators import imaging
 from leafmill.operators import joins as J
 from leafmill.operators import machines
 from leafmill.operators import ordered as W
@@ -293,6 +297,55 @@ def test_machine_is_a_fold(spark, width):
     assert {(r.state, r.refused) for r in rows} == {("on", False)}
 
 
+def plain_centres(grey, box, count, first, last, radius=24, least=28):
+    left, top, right, bottom = box
+    off = max(45, (right - left) // 14)
+    dark = (grey[top:bottom, left + off : right - off] < 105).sum(1).astype(float)
+    kernel = np.array(W.reflected_weights())
+    padded = np.pad(dark, len(kernel) // 2, "symmetric")
+    smooth = np.array([round(float((padded[i : i + len(kernel)] * kernel).sum()), 9) for i in range(len(dark))])
+    out = []
+    for value in np.linspace(first, last, count).tolist():
+        start, stop = max(0, round(value - top - radius)), min(len(dark), round(value - top + radius + 1))
+        centre = top + start + int(np.argmax(smooth[start:stop]))
+        out.append(round(value) if out and centre <= out[-1] + least else centre)
+    return out
+
+
+def png(grey, colour):
+    """A PNG file, grey or with three equal channels."""
+    chunk = lambda kind, body: struct.pack(">I", len(body)) + kind + body + struct.pack(">I", zlib.crc32(kind + body))
+    rows = np.repeat(grey[:, :, None], 3, 2).reshape(len(grey), -1) if colour else grey
+    body = b"".join(b"\0" + r.tobytes() for r in rows)
+    head = struct.pack(">IIBBBBB", grey.shape[1], grey.shape[0], 8, 2 if colour else 0, 0, 0, 0)
+    return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", head) + chunk(b"IDAT", zlib.compress(body)) + chunk(b"IEND", b"")
+
+
+def test_line_centres_of_image_files(spark, tmp_path):
+    rng = np.random.default_rng(4)
+    grey = np.full((500, 400), 230, np.uint8)
+    lines = np.cumsum(rng.integers(34, 60, 8)) + 20
+    for y in lines:
+        grey[y - 8 : y + 8] = rng.integers(0, 255, (16, 400))
+    (tmp_path / "a.png").write_bytes(png(grey, False))
+    (tmp_path / "b.png").write_bytes(png(grey, True))
+    (tmp_path / "no.png").write_bytes(b"no image")
+    found = imaging.page_images(spark, f"{tmp_path}/*.png")
+    bodies = spark.createDataFrame([(bytes(f"P5 # x\n400 500\n255\n", "ascii") + grey.tobytes(),), (b"P5 4 4 255\nxx",), (None,)], "content binary")
+    bodies = bodies.select(imaging.from_graymap("content").alias("image"))
+    assert bodies.where("image.data IS NULL").count() == 2
+    whole = found.unionByName(bodies)
+    for boxes in ([20, 30, 380, 480], [0, 0, 400, 500]):
+        box = F.struct(*(F.lit(v).alias(k) for k, v in zip("ltrb", boxes, strict=True)))
+        rows = imaging.row_profiles(whole.withColumn("box", box).withColumn("n", F.lit(len(lines))), "image", "box")
+        centres = imaging.local_centres(F.col("profile"), F.lit(boxes[1]), F.lit(int(lines[0]) + 5), F.lit(int(lines[-1]) - 9), F.col("n"))
+        got = [r.c for r in rows.select(centres.alias("c")).collect()]
+        expected = plain_centres(grey, boxes, len(lines), int(lines[0]) + 5, int(lines[-1]) - 9)
+        assert sorted(map(str, got)) == sorted(map(str, [expected] * 3 + [None] * 2))
+    off = imaging.row_profiles(whole.withColumn("box", F.struct(*(F.lit(v).alias(k) for k, v in zip("ltrb", (390, 600, 410, 700), strict=True)))), "image", "box")
+    assert {str(r.profile) for r in off.collect()} == {"[]", "None"}
+
+
 def test_navigation_window(spark):
     rows = spark.createDataFrame([(1, 0, "a"), (1, 1, "b"), (2, 0, "c")], "leaf int, unit_pos int, unit string")
     assert {(r.unit, r.k, r.n) for r in views.navigation(rows).collect()} == {("a", 1, 2), ("b", 2, 2), ("c", 1, 1)}
