@@ -8,10 +8,12 @@ from pyspark.sql.streaming import StreamingQuery
 
 from leafmill.operators import imaging
 from leafmill.operators import machines as M
+from leafmill.operators import maintained
 from leafmill.operators.ordered import reflected_weights
+from leafmill.plans import outputs
 from leafmill.plans.catalog import CONTROLS, ORACLES, QUERIES, Tables, clean_pages, query
 from leafmill.shared import fresh
-from leafmill.sources import page_source
+from leafmill.sources import archives, files, page_source
 from leafmill.streaming import ingest as I
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -192,3 +194,88 @@ def line_centres(t: Tables) -> DataFrame:
     count = (F.col("vec_id") % 5 + 1).cast("int")
     centres = imaging.local_centres(F.col("profile"), F.lit(0), F.lit(6), F.lit(58), count, RADIUS, LEAST)
     return rows.select("vec_id", F.array_join(centres.cast("array<string>"), ",").alias("centres"))
+
+
+@query("""
+SELECT row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey) - 1 AS place, l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem""")
+def sorted_output(t: Tables) -> DataFrame:
+    """Order lines in files of total order, and the place of each by its file and its row in it."""
+    key = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    folder = fresh(t.spark, "sorted")
+    outputs.write_sorted(t.lineitem.select(*key), folder, *key, files=FILES)
+    return outputs.read_sorted(t.spark, folder).select("place", *key)
+
+
+@query("""
+WITH o AS (SELECT row_number() OVER (ORDER BY o_custkey, o_orderkey) - 1 AS place, o_custkey, o_orderkey FROM orders)
+SELECT place, o_custkey, o_orderkey FROM o WHERE o_custkey BETWEEN 40 AND 90""")
+def sorted_range(t: Tables) -> DataFrame:
+    """Orders of a range of customers, read from the files whose keys meet it."""
+    folder = fresh(t.spark, "sorted")
+    outputs.write_sorted(t.orders.select("o_custkey", "o_orderkey"), folder, "o_custkey", "o_orderkey", files=4 * FILES)
+    return outputs.read_sorted(t.spark, folder, (40,), (90,)).select("place", "o_custkey", "o_orderkey")
+
+
+@query("""
+SELECT printf('a%02d.zip', doc_id % 16) AS archive, 'd' || doc_id || '.txt' AS name, CAST(strlen(coalesce(text, '')) AS BIGINT) AS size, sha256(coalesce(text, '')) AS sha256,
+       CAST(NULL AS VARCHAR) AS error FROM documents""")
+def archive_members(t: Tables) -> DataFrame:
+    """All documents as members of archives, found by the index and checked member by member."""
+    folder = fresh(t.spark, "archives")
+    content = F.coalesce("text", F.lit("")).cast("binary")
+    rows = t.documents.select(F.format_string("a%02d", F.col("doc_id") % 16).alias("archive"), F.concat(F.lit("d"), F.col("doc_id").cast("string"), F.lit(".txt")).alias("name"), content.alias("content"))
+    archives.write_archives(rows, f"{folder}/zip").write.parquet(f"{folder}/written")
+    found = archives.checked(archives.members(t.spark, f"{folder}/zip/*.zip"))
+    return found.select(F.element_at(F.split("path", "/"), -1).alias("archive"), "name", "size", "sha256", "error")
+
+
+@query("""
+SELECT user_id AS page, count(DISTINCT event_type) AS issues_applied, count(*) AS accepted_edits, count(DISTINCT CAST(floor(value) AS BIGINT)) AS distinct_lines,
+       max(event_id) AS last_seq, strftime(arg_max(ts, event_id), '%Y-%m-%d') AS last_applied, 0::BIGINT AS wrong FROM events GROUP BY user_id""")
+def merged_stats(t: Tables) -> DataFrame:
+    """Statistics of half of the events, brought up to date by two quarters and proved against the whole."""
+    day = F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd")
+    log = t.events.select(
+        F.col("user_id").alias("page"), F.col("event_type").alias("issue"), F.floor("value").alias("line"), F.col("event_id").alias("seq"), day.alias("applied_at")
+    )
+    kept = maintained.aggregated(log.where("seq % 2 = 0"))
+    for quarter in (1, 3):
+        kept = maintained.merged(kept, log.where(F.col("seq") % 4 == quarter))
+    wrong = maintained.differences(kept, log).agg(F.count(F.lit(1)))
+    return kept.stats.withColumn("wrong", wrong.scalar())
+
+
+@query("""
+SELECT 'before' AS reader, lang, count(*) AS n, sum(doc_id) AS ids FROM documents WHERE doc_id % 2 = 0 GROUP BY lang
+UNION ALL SELECT 'after', lang, count(*), sum(doc_id) FROM documents GROUP BY lang
+UNION ALL SELECT 'parts', lang, count(*), sum(doc_id) FROM documents WHERE lang IS DISTINCT FROM 'de' OR doc_id % 3 = 0 GROUP BY lang""")
+def published_versions(t: Tables) -> DataFrame:
+    """What readers see who began before and after a version was published, and after one part was replaced (K5, K9)."""
+    docs = t.documents.select("doc_id", "lang")
+    home = outputs.Published(t.spark, fresh(t.spark, "published"))
+    home.publish(docs.where("doc_id % 2 = 0"), "lang")
+    readers = {"before": home.current()}
+    home.publish(docs, "lang")
+    readers["after"] = home.current()
+    home.replace_parts(docs.where("lang = 'de' AND doc_id % 3 = 0"), "lang")
+    readers["parts"] = home.current()
+    seen = [
+        frame.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.sum("doc_id").alias("ids")).select(F.lit(name).alias("reader"), "lang", "n", "ids")
+        for name, frame in readers.items()
+    ]
+    return seen[0].unionByName(seen[1]).unionByName(seen[2])
+
+
+@query("""
+WITH r AS (SELECT event_id, props, event_id % 4 AS file, row_number() OVER (PARTITION BY event_id % 4 ORDER BY event_id) AS line_no FROM events)
+SELECT file, line_no, event_id % 10 = 3 AS damaged, CASE WHEN event_id % 10 <> 3 THEN CAST(json_extract(props, '$.k') AS BIGINT) ELSE -1 END AS k FROM r""")
+def malformed_records(t: Tables) -> DataFrame:
+    """Properties of events as lines of files, every tenth cut short: records with their file and line, and the damaged lines."""
+    folder = fresh(t.spark, "lines")
+    said = F.when(F.col("event_id") % 10 == 3, F.expr("substring(props, 1, length(props) - 1)")).otherwise(F.col("props"))
+    rows = t.events.select((F.col("event_id") % 4).alias("file"), "event_id", said.alias("value"))
+    rows.repartitionByRange(4, "file").sortWithinPartitions("file", "event_id").drop("event_id").write.partitionBy("file").text(folder)
+    records, damaged = files.json_lines(t.spark, f"{folder}/*/*.txt", "k long")
+    file = F.regexp_extract("file", r"/file=(\d+)/", 1).cast("long").alias("file")
+    lost = damaged.select(file, "line_no", F.lit(True).alias("damaged"), F.lit(-1).cast("long").alias("k"))
+    return records.select(file, "line_no", F.lit(False).alias("damaged"), "k").unionByName(lost)

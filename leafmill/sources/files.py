@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import io
 import re
-import zipfile
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,15 +32,41 @@ def side_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(f"pages array<struct<{schema}>>").option("multiLine", True).json(path).select(F.inline("pages"))
 
 
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(file, line_no, value): the lines of text files with their numbers from 1, also where a file is read in several pieces."""
+    at = F.monotonically_increasing_id()  # rows of a piece follow one another
+    raw = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_block"), "value", at.alias("_at"))
+    pieces = raw.groupBy("file", "_block").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_rows"))
+    before = Window.partitionBy("file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = pieces.select("file", "_block", (F.coalesce(F.sum("_rows").over(before), F.lit(0)) + 1 - F.col("_first")).alias("_start"))
+    return raw.join(starts, ["file", "_block"]).select("file", (F.col("_at") + F.col("_start")).alias("line_no"), "value")
+
+
+def json_lines(spark: SparkSession, path: str, schema: str, strict: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(records, damaged): the lines of JSON files as records (S7, S12), and those that are none as (file, line_no, value).
+
+    Records have ``file`` and ``line_no``; blank lines are skipped.  Damaged is what does not
+    parse, or does not fit the schema; if it is ``strict``, reading records fails at such a line and names it.
+    """
+    whole = T.StructType.fromDDL(schema).add("_corrupt", T.StringType())
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
+    lines = numbered_lines(spark, path).where(F.trim("value") != "")
+    read = lines.withColumn("x", F.from_json("value", whole, options)).withColumn("fine", F.col("x").isNotNull() & F.col("x._corrupt").isNull())
+    damaged = read.where(~F.col("fine")).select("file", "line_no", "value")
+    if strict:
+        where = F.concat(F.lit("no record: "), F.col("file"), F.lit(":"), F.col("line_no").cast("string"))
+        read = read.withColumn("fine", F.when(F.col("fine"), True).otherwise(F.raise_error(where).cast("boolean")))
+    return read.where("fine").select("file", "line_no", *(F.col(f"x.{c}").alias(c) for c in whole.names[:-1])), damaged
+
+
 def manifest(spark: SparkSession, path: str, schema: str = model.MANIFEST) -> tuple[DataFrame, DataFrame]:
-    """(records with an id and their order in the file, lines that are no JSON) of a JSONL log.
+    """(records with an id and their order ``at``, lines that are no records) of a JSONL log.
 
-    Order is by file and position in it; ``latest`` (``aggregates.latest_per_key``) makes the last one win.
+    Order is by file and line; ``latest`` (``aggregates.latest_per_key``) makes the last one win.
     """
-    parsed = F.from_json("value", schema, {"mode": "PERMISSIVE"})
-    raw = spark.read.text(path).withColumn("at", F.struct(F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("i")))
-    lines = raw.where(F.trim("value") != "").withColumn("x", parsed).withColumn("ok", F.try_parse_json("value").isNotNull())
-    return lines.where("ok AND x.id IS NOT NULL").select("x.*", "at"), lines.where(~F.col("ok")).select("value", "at")
+    records, damaged = json_lines(spark, path, schema)
+    at = F.struct("file", "line_no").alias("at")
+    return records.where("id IS NOT NULL").withColumn("at", at).drop("file", "line_no"), damaged.select("value", at)
 
 
 def by_leaf(spark: SparkSession, path: str, pattern: str = r"f(\d{4})\.jpg$") -> DataFrame:
@@ -116,16 +140,3 @@ def images(spark: SparkSession, path: str) -> DataFrame:
     """(path, bytes, sha256, size) of image files."""
     files = spark.read.format("binaryFile").load(path)
     return files.select("path", F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"), image_size("content").alias("size"))
-
-
-@F.pandas_udf(T.StructType().add("names", T.ArrayType(T.StringType())).add("damaged", "string"))
-def archive_members(content: pd.Series) -> pd.DataFrame:
-    """Names in ZIP files, and the first member that fails its CRC."""
-    rows = []
-    for data in content:
-        try:
-            with zipfile.ZipFile(io.BytesIO(bytes(data))) as z:
-                rows.append((sorted(z.namelist()), z.testzip()))
-        except zipfile.BadZipFile as e:
-            rows.append(([], str(e)))
-    return pd.DataFrame(rows, columns=["names", "damaged"])
