@@ -93,70 +93,86 @@ def first_violation(found: DataFrame) -> DataFrame:
 
 
 def page_violations(files: DataFrame) -> DataFrame:
-    """Rules of the compact text (V1-V19, V28) over (path, body); keys are path or path:line."""
-    lines = P.numbered(files)
-    head, rows, own = P.header(lines), P.body(lines), P.flat_lines(lines)
-    meta = P.metadata(lines)
-    at = F.concat_ws(":", "path", F.col("n").cast("string"))
-    fences = lines.groupBy("path").agg(F.min_by("line", "n").alias("first"), F.count_if(F.col("line") == "---").alias("n"))
-    m = lambda k: F.try_element_at("meta", F.lit(k))
-    path = F.col("path")
-    every_key = F.array(*[F.lit(k) for k in model.HEADER_KEYS])
-    cells = own.withColumn("cells", T.cells(F.col("content")))
-    labels = own.select("path", "line_id", F.explode("runs").alias("r")).where("r.span_id IS NOT NULL").select("path", "line_id", "r.span_id")
+    """Rules of the compact text (V1-V19, V28) over (path, body); keys are path or path:line.
+
+    One pass for each grain over the lines, which are dealt by page once: files, lines, and what may occur only once in a page.
+    """
+    rows = P.marked(P.numbered(files))
+    at, path, line = F.concat_ws(":", "path", F.col("n").cast("string")), F.col("path"), F.col("line")
+    in_head = (F.col("fences") == 1) & (line != "---")
+    colon = F.locate(": ", line)
+    key, value = line.substr(F.lit(1), colon - 1), line.substr(colon + 2, F.length(line))
+
+    entry = lambda k: F.min(F.when(in_head & (colon > 0) & (key == k), F.struct("n", value.alias("value")))).alias(k)
+    pages = rows.groupBy("path").agg(
+        F.min_by("line", "n").alias("first"), F.max("fences").alias("fences"), F.count_if(F.col("kind") == "line").alias("lines"),
+        F.count_if(in_head & (colon > 0)).alias("entries"), *map(entry, ("format", "version", *model.HEADER_KEYS)),
+    )
+    pages = files.select("path", T.is_nfc("body").alias("composed")).join(pages, "path", "left")
+    m = lambda k: F.col(f"{k}.value")
+    lost = F.array_compact(F.array(*(F.when(F.col(k).isNull(), F.lit(k)) for k in model.HEADER_KEYS)))
+    headed = lambda bad: F.when(F.coalesce(F.col("entries"), F.lit(0)) == 0, False).otherwise(F.coalesce(bad, F.lit(True)))
+    of_pages = several(
+        pages, path,
+        ("V1", ~F.col("composed")), ("V2", F.col("first").isNotNull() & ((F.col("first") != "---") | (F.col("fences") < 2))),
+        ("V4", headed(~(m("format").eqNullSafe(model.COMPACT_FORMAT) & m("version").eqNullSafe(model.COMPACT_VERSION)))),
+        ("V5", headed(F.size(lost) > 0), F.array_join(lost, ",")),
+        ("V6", headed(~C.is_digest(m("sha256")))), ("V7", headed(m("lineation") != "checked")), ("V8", headed(~m("status").isin(model.STATUSES)), m("status")),
+        ("V18", F.coalesce("lines", F.lit(0)) == 0),
+    )
+
+    own = P.read_lines(rows).withColumn("cells", T.cells(F.col("content")))
     first = F.get("runs", 0)
     led = (F.col("flag") == ">>") | first["text"].rlike(r"^\s") | (first["text"] == "")
     split_cell = F.exists("cells", lambda c: c["span_id"].isNotNull() & (F.size(T.parse_emphasis(c["text"])) != 1))
-    return all_of(
-        violations(files, "V1", ~T.is_nfc("body"), path),
-        violations(fences, "V2", (F.col("first") != "---") | (F.col("n") < 2), path),
-        violations(head, "V3", F.col("key").isNull(), at),
-        duplicates(head.where("key IS NOT NULL"), "V3", "path", "key"),
-        several(
-            meta, path,
-            ("V4", ~(m("format").eqNullSafe(model.COMPACT_FORMAT) & m("version").eqNullSafe(model.COMPACT_VERSION))),
-            ("V5", F.size(F.array_except(every_key, F.map_keys("meta"))) > 0, F.array_join(F.array_except(every_key, F.map_keys("meta")), ",")),
-            ("V6", ~C.is_digest(m("sha256"))), ("V7", m("lineation") != "checked"), ("V8", ~m("status").isin(model.STATUSES), m("status")),
-        ),
-        several(
-            rows, at,
-            ("V9", F.col("kind") == "unknown", F.col("line")), ("V10", (F.col("kind") != "unknown") & F.col("zone_n").isNull()),
-        ),
-        duplicates(rows.where((F.col("kind") == "note") & F.col("zone_n").isNotNull()), "V11", "path", "zone_n"),
-        duplicates(own, "V12", "path", "line_id"),
-        duplicates(rows.where(F.col("kind") == "zone").withColumn("id", F.regexp_extract("line", P.ZONE, 1)), "V13", "path", "id"),
-        several(
-            cells, at,
-            ("V14", (F.col("flag") == ">>") & (F.size("cells") > 1)),
-            ("V15", F.get("cells", 0)["span_id"].isNotNull()),
-            ("V15", F.coalesce(split_cell, F.lit(False)), F.lit("a labelled cell is one run")),
-            ("V16", (F.col("initial") != "") & F.col("runs").isNotNull() & F.coalesce(led, F.lit(True))),
-            ("V28", F.exists("cells", lambda c: ~T.emphasis_is_valid(c["text"]))),
-        ),
-        duplicates(labels, "V17", "path", "line_id", "span_id"),
-        violations(files.select("path").join(own.select("path").distinct(), "path", "left_anti"), "V18", F.lit(True), path),
-        duplicates(meta.select(m("id").alias("id"), "path"), "V19", "id"),
+    of_lines = several(
+        own, at,
+        ("V14", (F.col("flag") == ">>") & (F.size("cells") > 1)),
+        ("V15", F.get("cells", 0)["span_id"].isNotNull()),
+        ("V15", F.coalesce(split_cell, F.lit(False)), F.lit("a labelled cell is one run")),
+        ("V16", (F.col("initial") != "") & F.col("runs").isNotNull() & F.coalesce(led, F.lit(True))),
+        ("V28", F.exists("cells", lambda c: ~T.emphasis_is_valid(c["text"]))),
+    )
+    kind = F.col("kind")
+    of_rows = several(
+        rows.where(in_head | kind.isNotNull()), at,
+        ("V3", in_head & (colon == 0)), ("V9", F.coalesce(kind == "unknown", F.lit(False)), line),
+        ("V10", F.coalesce(kind != "unknown", F.lit(False)) & F.col("zone_n").isNull()),
     )
 
+    once = lambda rule, test, *keys: F.when(F.coalesce(test, F.lit(False)), F.struct(F.lit(rule).alias("rule"), F.concat_ws(":", *(k.cast("string") for k in keys)).alias("key")))
+    of_page = F.array_compact(
+        F.array(
+            once("V3", in_head & (colon > 0), path, key), once("V11", (kind == "note") & F.col("zone_n").isNotNull(), path, F.col("zone_n")),
+            once("V12", kind == "line", path, F.regexp_extract("line", P.LINE, 1)), once("V13", kind == "zone", path, F.regexp_extract("line", P.ZONE, 1)),
+        )
+    )
+    labels = own.select("path", "line_id", F.explode("runs").alias("r")).where("r.span_id IS NOT NULL")
+    labels = labels.select("path", F.lit("V17").alias("rule"), F.concat_ws(":", "path", "line_id", "r.span_id").alias("key"))
+    keys = rows.select("path", F.explode(of_page).alias("k")).select("path", "k.rule", "k.key").unionByName(labels)
+    again = keys.groupBy("path", "rule", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("rule", "key", F.col("n").cast("string").alias("detail"))
+    return all_of(of_pages, of_lines, of_rows, again, duplicates(pages.where("entries > 0").select(m("id").alias("id"), "path"), "V19", "id"))
+
 
 def run_violations(lines: DataFrame) -> DataFrame:
-    """Rules of compiled lines (V21-V24, V58) over ``sources.pages.registry``."""
-    runs = lines.select("line_ref", F.posexplode("runs").alias("i", "r"))
-    key, r = F.col("line_ref"), F.col("r")
-    big = F.coalesce(r["layout"] == "large-initial", F.lit(False))
-    placement = F.coalesce(r["placement"], F.lit("normal"))
-    fine = (F.col("i") == 0) & (F.length(r["text"]) == 1) & (F.trim(r["text"]) != "") & (placement == "normal") & (r["line_span"] >= 2)
-    return all_of(
-        violations(lines, "V21", F.coalesce("indent", F.lit(0)) < 0, key),
-        violations(lines, "V22", F.size("runs") < 1, key),
-        violations(
-            runs, "V22",
-            ~(r["typeface"].isin(model.TYPEFACES) & placement.isin(model.PLACEMENTS) & (F.length(r["text"]) > 0) & T.is_nfc(r["text"])), key,
-        ),
-        violations(runs, "V23", F.when(big, ~F.coalesce(fine, F.lit(False))).otherwise(r["layout"].isNotNull() | r["line_span"].isNotNull()), key),
-        duplicates(lines, "V24", "line_ref"),
-        violations(lines, "V58", C.line_text(F.col("runs")).contains("="), key),
+    """Rules of compiled lines (V21-V24, V58) over ``sources.pages.registry``, in one pass over the lines and one over their references."""
+    known = lines.withColumn("_composed", T.are_nfc(F.transform("runs", lambda r: r["text"])))
+
+    def of_run(r: Column, i: Column) -> Column:
+        big = F.coalesce(r["layout"] == "large-initial", F.lit(False))
+        placement = F.coalesce(r["placement"], F.lit("normal"))
+        fine = (i == 0) & (F.length(r["text"]) == 1) & (F.trim(r["text"]) != "") & (placement == "normal") & (r["line_span"] >= 2)
+        typed = r["typeface"].isin(model.TYPEFACES) & placement.isin(model.PLACEMENTS) & (F.length(r["text"]) > 0) & F.get("_composed", i)
+        led = F.when(big, ~F.coalesce(fine, F.lit(False))).otherwise(r["layout"].isNotNull() | r["line_span"].isNotNull())
+        return F.array(F.when(~F.coalesce(typed, F.lit(False)), F.lit("V22")), F.when(led, F.lit("V23")))
+
+    of_line = F.array(
+        F.when(F.coalesce("indent", F.lit(0)) < 0, F.lit("V21")), F.when(F.coalesce(F.size("runs") < 1, F.lit(True)), F.lit("V22")),
+        F.when(F.coalesce(C.line_text(F.col("runs")).contains("="), F.lit(True)), F.lit("V58")),
     )
+    broken = F.array_compact(F.concat(of_line, F.coalesce(F.flatten(F.transform("runs", of_run)), F.array().cast("array<string>"))))
+    found = known.select(F.explode(broken).alias("rule"), F.col("line_ref").alias("key"), F.lit(None).cast("string").alias("detail"))
+    return found.unionByName(duplicates(lines, "V24", "line_ref"))
 
 
 def structure_violations(items: DataFrame, lines: DataFrame) -> DataFrame:

@@ -6,6 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from leafmill.functions import content as C
+from leafmill.functions import text as T
+from leafmill.operators import checks as V
+from leafmill.operators import corrections as R
 from leafmill.operators import imaging
 from leafmill.operators import machines as M
 from leafmill.operators import maintained
@@ -14,6 +18,7 @@ from leafmill.plans import outputs
 from leafmill.plans.catalog import CONTROLS, ORACLES, QUERIES, Tables, clean_pages, query
 from leafmill.shared import fresh
 from leafmill.sources import archives, files, page_source
+from leafmill.sources import pages as P
 from leafmill.streaming import ingest as I
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -279,3 +284,84 @@ def malformed_records(t: Tables) -> DataFrame:
     file = F.regexp_extract("file", r"/file=(\d+)/", 1).cast("long").alias("file")
     lost = damaged.select(file, "line_no", F.lit(True).alias("damaged"), F.lit(-1).cast("long").alias("k"))
     return records.select(file, "line_no", F.lit(False).alias("damaged"), "k").unionByName(lost)
+
+
+CLEAN_LINES_SQL = f"""SELECT doc_id, source, len(string_split(regexp_replace(coalesce(text, ''), '{CONTROLS}', ' ', 'g'), chr(10))) AS n FROM documents"""
+
+
+@query(f"""
+WITH d AS ({CLEAN_LINES_SQL})
+SELECT 'V2' AS rule, count(*) AS n FROM d WHERE doc_id % 7 = 2
+UNION ALL SELECT 'V15', coalesce(sum(n), 0)::BIGINT FROM d WHERE source = 'src3' AND doc_id % 7 <> 2
+UNION ALL SELECT 'V21', coalesce(sum(n), 0)::BIGINT FROM d WHERE doc_id % 11 = 3
+UNION ALL SELECT 'V23', coalesce(sum(n), 0)::BIGINT FROM d WHERE doc_id % 13 = 5
+UNION ALL SELECT 'V24', count(*) FROM d WHERE doc_id % 17 = 7 AND n > 1""")
+def damaged_pages(t: Tables) -> DataFrame:
+    """Rules that pages of documents keep by themselves, over pages damaged in each way."""
+    pages = clean_pages(t.documents.drop("source")).join(t.documents.select(F.col("doc_id").cast("string").alias("path"), "doc_id", "source"), "path")
+    unfenced = F.replace("body", F.lit("\n---\n\n##"), F.lit("\n\n##"))
+    labelled = F.regexp_replace("body", r"(?m)^\[l-(\d+)\] x", r"[l-$1] {m}x")
+    body = F.when(F.col("doc_id") % 7 == 2, unfenced).when(F.col("source") == "src3", labelled).otherwise(F.col("body"))
+    of_text = V.page_violations(pages.select("path", body.alias("body"))).where("rule IN ('V2', 'V15')")
+    lines = P.registry(P.compiled(clean_pages(t.documents))).withColumn("k", F.substring("page_id", 2, 20).cast("long"))
+    other = F.transform("runs", lambda r: r.withField("layout", F.lit("other")))
+    lines = lines.withColumns(
+        {
+            "indent": F.when(F.col("k") % 11 == 3, -1).otherwise(F.col("indent")),
+            "runs": F.when(F.col("k") % 13 == 5, other).otherwise(F.col("runs")),
+            "line_ref": F.when(F.col("k") % 17 == 7, F.col("page_id")).otherwise(F.col("line_ref")),
+        }
+    )
+    of_runs = V.run_violations(lines).where("rule IN ('V21', 'V23', 'V24')")
+    return V.counts(of_text.unionByName(of_runs), ["V2", "V15", "V21", "V23", "V24"])
+
+
+@query("""
+WITH c AS (SELECT conv_id, turn, nfc_normalize(text) AS x FROM conversations)
+SELECT conv_id, turn, CASE turn % 6 WHEN 0 THEN 'applied' WHEN 1 THEN 'held' WHEN 2 THEN 'mismatch' WHEN 3 THEN 'unknown_line' WHEN 4 THEN 'already' ELSE 'invalid' END AS outcome,
+       CASE WHEN turn % 6 = 0 THEN md5(x || '!') WHEN turn % 6 <> 3 THEN md5(x) END AS digest
+FROM c""")
+def change_outcomes(t: Tables) -> DataFrame:
+    """Turns as lines, and a change to each that applies, waits, or cannot be."""
+    said = t.conversations.select("conv_id", "turn", F.concat_ws(":", "conv_id", "turn").alias("line_ref"), T.nfc("text").alias("x"))
+    k, x, none = F.col("turn") % 6, F.col("x"), F.lit(None).cast("string")
+    run = F.struct(F.lit("roman").alias("typeface"), x.alias("text"), none.alias("placement"), none.alias("layout"), F.lit(None).cast("int").alias("line_span"), none.alias("span_id"))
+    lines = said.where("turn % 6 <> 3").select("line_ref", F.array(run).alias("runs"))
+    before = F.when(k == 2, F.concat(F.lit("~"), x)).when(k == 4, "another text").otherwise(x)
+    after = F.when(k == 4, x).when(k == 5, F.concat(x, F.lit(" ]"))).otherwise(F.concat(x, F.lit("!")))
+    changes = said.select("conv_id", "turn", "line_ref", before.alias("before"), after.alias("after"), F.when(k == 1, "why").alias("comment"), F.lit(None).cast("boolean").alias("second_opinion"))
+    return R.applied(lines, changes).select("conv_id", "turn", "outcome", F.md5(C.line_text(F.col("new_runs"))).alias("digest"))
+
+
+@query("SELECT CAST(p_partkey AS VARCHAR) AS id, p_name || ' \"x\", y' AS name, p_brand AS brand, sep FROM part, (VALUES ('tab'), ('comma')) s(sep)")
+def delimited_files(t: Tables) -> DataFrame:
+    """Parts as delimited files, bare with tabs and quoted with commas, read back under the same header."""
+    folder, columns = fresh(t.spark, "delimited"), ["id", "name", "brand"]
+    rows = t.part.select(F.col("p_partkey").cast("string").alias("id"), F.concat("p_name", F.lit(' "x", y')).alias("name"), F.col("p_brand").alias("brand"))
+    out = []
+    for name, sep, quote in (("tab", "\t", ""), ("comma", ",", '"')):
+        rows.write.options(sep=sep, header=True, quote=quote, escape=quote).csv(f"{folder}/{name}")
+        out.append(files.delimited(t.spark, f"{folder}/{name}", columns, sep).withColumn("sep", F.lit(name)))
+    return out[0].unionByName(out[1])
+
+
+@query("""
+SELECT conv_id, turn, CASE turn % 4 WHEN 0 THEN NULL WHEN 1 THEN 'needs exactly one JSON block' WHEN 2 THEN 'needs exactly one JSON block' ELSE 'block is not JSON' END AS error,
+       CASE WHEN turn % 4 = 0 THEN conv_id * 100 + turn ELSE -1 END AS page FROM conversations""")
+def fenced_payloads(t: Tables) -> DataFrame:
+    """Turns that hold a payload in one block, in none, in two, or one that is broken."""
+    block = F.concat(F.lit('\n```json\n{"page": '), (F.col("conv_id") * 100 + F.col("turn")).cast("string"), F.lit("}\n```\n"))
+    broken = F.replace(block, F.lit("}"), F.lit(""))
+    body = F.concat(F.replace("text", F.lit("`"), F.lit("'")), F.element_at(F.array(block, F.lit(""), F.concat(block, block), broken), (F.col("turn") % 4 + 1).cast("int")))
+    found = files.fenced_json(t.conversations.select("conv_id", "turn", body.alias("body")), "body", "page long")
+    return found.select("conv_id", "turn", "error", F.coalesce("payload.page", F.lit(-1)).alias("page"))
+
+
+@query("SELECT 'u' || o_custkey AS id, o_orderkey AS line, o_orderstatus AS state FROM orders")
+def side_records(t: Tables) -> DataFrame:
+    """Orders as one JSON document a customer, each with an array of records, read as rows (S3)."""
+    folder = fresh(t.spark, "side")
+    record = F.struct(F.concat(F.lit("u"), F.col("o_custkey").cast("string")).alias("id"), F.col("o_orderkey").alias("line"), F.col("o_orderstatus").alias("state"))
+    customers = t.orders.groupBy("o_custkey").agg(F.collect_list(record).alias("pages")).select("pages")
+    customers.write.json(folder)
+    return files.side_table(t.spark, folder, "id:string,line:long,state:string", one_a_line=True)

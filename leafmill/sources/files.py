@@ -27,9 +27,9 @@ def corrections(spark: SparkSession, path: str) -> DataFrame:
     return delimited(spark, path, model.CORRECTIONS)
 
 
-def side_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Rows of the ``pages`` array of a JSON document (S3)."""
-    return spark.read.schema(f"pages array<struct<{schema}>>").option("multiLine", True).json(path).select(F.inline("pages"))
+def side_table(spark: SparkSession, path: str, schema: str, one_a_line: bool = False) -> DataFrame:
+    """Rows of the ``pages`` array of JSON documents, one a file or one a line (S3)."""
+    return spark.read.schema(f"pages array<struct<{schema}>>").option("multiLine", not one_a_line).json(path).select(F.inline("pages"))
 
 
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:

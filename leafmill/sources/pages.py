@@ -50,16 +50,20 @@ def metadata(lines: DataFrame) -> DataFrame:
     return entries.groupBy("path").agg(F.map_from_entries(F.collect_list(F.struct("key", "value"))).alias("meta"))
 
 
-def body(lines: DataFrame) -> DataFrame:
-    """Body lines with their kind and the zone heading they stand under."""
+def marked(lines: DataFrame) -> DataFrame:
+    """All lines with ``fences``, the ``---`` up to each, the kind of those in the body (else null), and the zone heading they stand under."""
     w = Window.partitionBy("path").orderBy("n")
-    fences = F.count_if(F.col("line") == "---").over(w)
     kind = (
         F.when(F.col("line").rlike(ZONE), "zone").when(F.col("line").startswith("> "), "note").when(F.col("line").rlike(LINE), "line").otherwise("unknown")
     )
-    part = lines.withColumn("f", fences).where((F.col("f") >= 2) & (F.col("line") != "---") & (F.col("line") != "")).drop("f")
-    zone_n = F.last(F.when(F.col("kind") == "zone", F.col("n")), ignorenulls=True).over(w)
-    return part.withColumn("kind", kind).withColumn("zone_n", zone_n)
+    known = lines.withColumn("fences", F.count_if(F.col("line") == "---").over(w))
+    known = known.withColumn("kind", F.when((F.col("fences") >= 2) & (F.col("line") != "---") & (F.col("line") != ""), kind))
+    return known.withColumn("zone_n", F.last(F.when(F.col("kind") == "zone", F.col("n")), ignorenulls=True).over(w))
+
+
+def body(lines: DataFrame) -> DataFrame:
+    """Body lines with their kind and the zone heading they stand under."""
+    return marked(lines).where("kind IS NOT NULL").drop("fences")
 
 
 def line_runs(content: Column, flag: Column, initial: Column) -> Column:
@@ -88,7 +92,12 @@ def line_runs(content: Column, flag: Column, initial: Column) -> Column:
 
 def flat_lines(lines: DataFrame) -> DataFrame:
     """(path, n, zone_n, line_id, flag, initial, content, indent, runs) of the physical lines."""
-    own = body(lines).where(F.col("kind") == "line")
+    return read_lines(body(lines))
+
+
+def read_lines(rows: DataFrame) -> DataFrame:
+    """``flat_lines`` of rows of ``body`` or ``marked``."""
+    own = rows.where(F.col("kind") == "line")
     part = lambda i: F.regexp_extract("line", LINE, i)
     read = own.select("path", "n", "zone_n", part(1).alias("line_id"), part(2).alias("flag"), part(3).alias("initial"), part(4).alias("content"))
     return read.withColumn("indent", F.when(F.col("flag") == ">", 1)).withColumn(
