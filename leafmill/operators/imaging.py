@@ -1,7 +1,7 @@
 """Pixels of page images, and the centres of their lines.
 
 Images are the struct of Spark's ``image`` source, which decodes JPEG, PNG and BMP files on the
-executors; ``from_graymap`` makes the same of graymap bytes in a column.  Of an image only the
+executors; ``from_graymaps`` makes the same of graymap bytes in a column.  Of an image only the
 profile of each column goes on, the number of dark pixels in each of its rows, counted where
 the image is; smoothing, the search about each expected line and the guard are array
 expressions over it.
@@ -13,7 +13,6 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,19 +34,26 @@ def page_images(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("image").option("dropInvalid", True).load(path)
 
 
-@F.pandas_udf(IMAGE)
-def from_graymap(content: pd.Series) -> pd.DataFrame:
-    """Images of binary graymaps (8 bit); null where the bytes are none, or too few."""
-    rows = []
-    for data in content:
-        m = GRAYMAP.match(bytes(data)) if data is not None else None
+def from_graymaps(rows: DataFrame, content: str, into: str = "image") -> DataFrame:
+    """``rows`` with the images of binary graymaps (8 bit) in place of their bytes; null where the bytes are none, or too few."""
+    names = [c for c in rows.columns if c != content]
+    schema = StructType([rows.schema[c] for c in names]).add(into, IMAGE)
+    kind = pa.struct([("origin", pa.string()), *((f, pa.int32()) for f in ("height", "width", "nChannels", "mode")), ("data", pa.binary())])
+
+    def image(data: bytes | None) -> dict | None:
+        m = GRAYMAP.match(data) if data is not None else None
         width, height, most = map(int, m.groups()) if m else (0, 0, 0)
-        pixels = bytes(data)[m.end() :][: width * height] if m else b""
-        fine = 0 < most < 256 and len(pixels) == width * height > 0
-        rows.append((None, height, width, 1, 0, pixels) if fine else (None,) * 6)
-    return pd.DataFrame(rows, columns=["origin", "height", "width", "nChannels", "mode", "data"]).astype(
-        {c: "Int32" for c in ("height", "width", "nChannels", "mode")}
-    )
+        pixels = data[m.end() : m.end() + width * height] if m else b""
+        if not (0 < most < 256 and len(pixels) == width * height > 0):
+            return None
+        return {"origin": None, "height": height, "width": width, "nChannels": 1, "mode": 0, "data": pixels}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = pa.array([image(x.as_py()) for x in batch[content]], kind)
+            yield pa.RecordBatch.from_arrays([*(batch[c] for c in names), found], names=[*names, into])
+
+    return rows.mapInArrow(run, schema)
 
 
 def greys(data: bytes, height: int, width: int, channels: int) -> np.ndarray:

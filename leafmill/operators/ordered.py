@@ -1,8 +1,9 @@
 """Operators on rows in order.  Every order is total, and every window has a key.
 
 ``global_rank`` numbers rows of a whole table without gathering them in one task: integer
-keys are cut into buckets, the buckets' totals are summed up (they are few), and rows are
-ranked inside their bucket.
+keys are cut into buckets, buckets into buckets of buckets, and so on; totals are summed up
+inside one bucket of each kind, of which no task sees more than ``width`` parts, however
+sparse the keys are, and rows are ranked inside their bucket.
 
 ``rank_within``, ``guarded_rows`` and ``smoothed_rows`` do the same inside a key that may hold
 any share of all rows: ``bucket`` is a whole number that never falls along the order (an hour,
@@ -22,14 +23,27 @@ from pyspark.sql import types as S
 
 
 def global_rank(rows: DataFrame, key: str, ties: list[str] | None = None, width: int = 1 << 16, name: str = "rank") -> DataFrame:
-    """``rows`` with their 1-based rank by an integer key."""
-    bucketed = rows.withColumn("_b", F.floor(F.col(key) / width))
-    before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)  # over buckets, not rows
-    offsets = (
-        bucketed.groupBy("_b").agg(F.count(F.lit(1)).alias("_n")).select("_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    )
+    """``rows`` with their 1-based rank by an integer key; a null key comes first."""
+    shift = width.bit_length() - 1
+    kinds = -(-64 // shift)
+    up = lambda c: F.call_function("shiftright", c, F.lit(shift))
+    own = rows.withColumn("_b", up(F.coalesce(F.col(key).cast("long"), F.lit(-(1 << 63)))))
+    totals = [own.groupBy("_b").agg(F.count(F.lit(1)).alias("_n")).withColumnRenamed("_b", "_b0")]
+    for k in range(1, kinds):  # of the last kind there are two, below zero and not
+        totals.append(totals[-1].groupBy(up(F.col(f"_b{k - 1}")).alias(f"_b{k}")).agg(F.sum("_n").alias("_n")))
+
+    def before(frame: DataFrame, k: int) -> DataFrame:
+        """Rows of the parts before each, inside the next greater bucket."""
+        spec = Window.orderBy(f"_b{k}") if k == kinds - 1 else Window.partitionBy(up(F.col(f"_b{k}"))).orderBy(f"_b{k}")
+        spec = spec.rowsBetween(Window.unboundedPreceding, -1)
+        return frame.select(f"_b{k}", up(F.col(f"_b{k}")).alias(f"_b{k + 1}"), F.coalesce(F.sum("_n").over(spec), F.lit(0)).alias(f"_off{k}"))
+
+    offsets = before(totals[0], 0)
+    for k in range(1, kinds):
+        offsets = offsets.join(before(totals[k], k), f"_b{k}")
+    offsets = offsets.select(F.col("_b0").alias("_b"), sum((F.col(f"_off{k}") for k in range(1, kinds)), F.col("_off0")).alias("_off"))
     inside = F.row_number().over(Window.partitionBy("_b").orderBy(key, *(ties or [])))
-    return bucketed.withColumn("_r", inside).join(offsets, "_b").withColumn(name, F.col("_r") + F.col("_off")).drop("_b", "_r", "_off")
+    return own.withColumn("_r", inside).join(offsets, "_b").withColumn(name, F.col("_r") + F.col("_off")).drop("_b", "_r", "_off")
 
 
 def bucketed(rows: DataFrame, key: str, bucket: Column) -> DataFrame:
@@ -47,6 +61,16 @@ def rank_within(rows: DataFrame, key: str, *order: str, bucket: Column, name: st
     return own.withColumn("_r", inside).join(offsets, ["_k", "_b"]).withColumn(name, F.col("_r") + F.col("_off")).drop("_k", "_b", "_r", "_off")
 
 
+def running_total(rows: DataFrame, key: str, *order: str, bucket: Column, value: Column, name: str = "start") -> DataFrame:
+    """``rows`` with the sum of ``value`` over the rows of their key before each: where a piece begins in the whole."""
+    own = bucketed(rows, key, bucket).withColumn("_v", F.coalesce(value, F.lit(0)).cast("long"))
+    earlier = lambda *by: Window.partitionBy("_k", *by[:-1]).orderBy(*by[-1]).rowsBetween(Window.unboundedPreceding, -1)
+    sums = own.groupBy("_k", "_b").agg(F.sum("_v").alias("_n"))
+    offsets = sums.select("_k", "_b", F.coalesce(F.sum("_n").over(earlier(["_b"])), F.lit(0)).alias("_off"))
+    inside = F.coalesce(F.sum("_v").over(earlier("_b", list(order))), F.lit(0))
+    return own.withColumn("_r", inside).join(offsets, ["_k", "_b"]).withColumn(name, F.col("_r") + F.col("_off")).drop("_k", "_b", "_v", "_r", "_off")
+
+
 def interpolated(pos: Column, n: Column, low: float = 5.8, high: float = 95.8) -> Column:
     """Place of the 1-based ``pos`` of ``n`` between two bounds; the middle for one alone."""
     return F.when(n == 1, 50.0).otherwise(F.lit(low) + (pos - 1) / (n - 1) * (high - low))

@@ -13,7 +13,7 @@ from leafmill.operators import corrections as R
 from leafmill.operators import imaging
 from leafmill.operators import machines as M
 from leafmill.operators import maintained
-from leafmill.operators.ordered import reflected_weights
+from leafmill.operators import ordered as W
 from leafmill.plans import outputs
 from leafmill.plans.catalog import CONTROLS, ORACLES, QUERIES, Tables, clean_pages, query
 from leafmill.shared import fresh
@@ -160,7 +160,7 @@ def page_source_lines(t: Tables) -> DataFrame:
 
 
 WIDE, EDGE, RADIUS, LEAST = 32, 3, 6, 9
-WEIGHTS_SQL = ", ".join(f"CAST({w!r} AS DOUBLE)" for w in reflected_weights())
+WEIGHTS_SQL = ", ".join(f"CAST({w!r} AS DOUBLE)" for w in W.reflected_weights())
 
 
 def graymap(vector: Column) -> Column:
@@ -193,7 +193,7 @@ WITH p AS (
 SELECT vec_id, array_to_string(centres, ',') AS centres FROM g""")
 def line_centres(t: Tables) -> DataFrame:
     """Line centres in pictures of all vectors, encoded as bytes and decoded again."""
-    pictures = t.embeddings.select("vec_id", imaging.from_graymap(graymap(F.col("embedding"))).alias("image"))
+    pictures = imaging.from_graymaps(t.embeddings.select("vec_id", graymap(F.col("embedding")).alias("content")), "content")
     box = F.struct(F.lit(0).alias("l"), F.lit(0).alias("t"), F.lit(WIDE).alias("r"), F.col("image.height").alias("b"))
     rows = imaging.row_profiles(pictures.withColumn("box", box), "image", "box", margin=EDGE)
     count = (F.col("vec_id") % 5 + 1).cast("int")
@@ -365,3 +365,23 @@ def side_records(t: Tables) -> DataFrame:
     customers = t.orders.groupBy("o_custkey").agg(F.collect_list(record).alias("pages")).select("pages")
     customers.write.json(folder)
     return files.side_table(t.spark, folder, "id:string,line:long,state:string", one_a_line=True)
+
+
+@query("""
+SELECT conv_id, turn, coalesce(sum(length(text)) OVER (PARTITION BY conv_id ORDER BY turn, role, text ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start,
+       sum(length(coalesce(text, ''))) OVER (PARTITION BY conv_id ORDER BY turn, role, text ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)::BIGINT AS stop
+FROM conversations""")
+def concat_index(t: Tables) -> DataFrame:
+    """Where each turn begins and ends in the whole text of its conversation."""
+    size = F.length(F.coalesce("text", F.lit("")))
+    known = W.running_total(t.conversations, "conv_id", "turn", "role", "text", bucket=F.floor(F.col("turn") / 64), value=size)
+    return known.select("conv_id", "turn", "start", (F.col("start") + size).alias("stop"))
+
+
+@query("""
+WITH l AS (SELECT l_orderkey * 1000003 - 40000000000 + l_linenumber AS id, l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem)
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, row_number() OVER (ORDER BY id, l_partkey, l_suppkey) AS rank FROM l""")
+def sparse_rank(t: Tables) -> DataFrame:
+    """Order lines ranked by ids that lie far apart, some of them negative."""
+    rows = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", (F.col("l_orderkey") * 1000003 - 40000000000 + F.col("l_linenumber")).alias("id"))
+    return W.global_rank(rows, "id", ["l_partkey", "l_suppkey"]).drop("id")

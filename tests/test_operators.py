@@ -297,6 +297,21 @@ def test_machine_is_a_fold(spark, width):
     assert {(r.state, r.refused) for r in rows} == {("on", False)}
 
 
+def test_ranks_and_offsets(spark):
+    rng = random.Random(9)
+    ids = [None, -(1 << 63), (1 << 63) - 1, 0, -1, *(rng.randrange(-(1 << 60), 1 << 60) for _ in range(300)), *(rng.randrange(40) for _ in range(99))]
+    frame = spark.createDataFrame([(x, i) for i, x in enumerate(ids)], "k long, i int").repartition(6)
+    expected = sorted(range(len(ids)), key=lambda i: (ids[i] is not None, ids[i] or 0, i))
+    for width in (16, 1 << 16):
+        got = sorted((r["rank"], r.i) for r in W.global_rank(frame, "k", ["i"], width=width).collect())
+        assert got == [(n + 1, i) for n, i in enumerate(expected)]
+    rows = [(rng.choice("ab"), i, rng.choice((None, "", "x" * rng.randrange(9)))) for i in range(200)]
+    pieces = spark.createDataFrame(rows, "k string, i int, t string").repartition(5)
+    for width in (3, 1000):
+        found = W.running_total(pieces, "k", "i", bucket=F.floor(F.col("i") / width), value=F.length("t")).collect()
+        assert all(r.start == sum(len(t or "") for k, i, t in rows if k == r.k and i < r.i) for r in found) and len(found) == 200
+
+
 def plain_centres(grey, box, count, first, last, radius=24, least=28):
     left, top, right, bottom = box
     off = max(45, (right - left) // 14)
@@ -332,8 +347,8 @@ def test_line_centres_of_image_files(spark, tmp_path):
     (tmp_path / "no.png").write_bytes(b"no image")
     found = imaging.page_images(spark, f"{tmp_path}/*.png")
     bodies = spark.createDataFrame([(bytes(f"P5 # x\n400 500\n255\n", "ascii") + grey.tobytes(),), (b"P5 4 4 255\nxx",), (None,)], "content binary")
-    bodies = bodies.select(imaging.from_graymap("content").alias("image"))
-    assert bodies.where("image.data IS NULL").count() == 2
+    bodies = imaging.from_graymaps(bodies, "content")
+    assert bodies.where("image IS NULL").count() == 2
     whole = found.unionByName(bodies)
     for boxes in ([20, 30, 380, 480], [0, 0, 400, 500]):
         box = F.struct(*(F.lit(v).alias(k) for k, v in zip("ltrb", boxes, strict=True)))
