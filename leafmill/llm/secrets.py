@@ -2,7 +2,8 @@ r"""Secret scan with an incremental blob ledger, in DataFrame operations only.
 
 Every version of a text is addressed by its SHA-256.  The ledger, a table that each scan
 appends to, holds for each blob the rule versions it was scanned by and the spans each of
-them found; a scan reads only the (blob, rule version) pairs that the ledger lacks, and the
+them found; a scan asks it by the blobs' digests first, and only texts with (blob, rule version)
+pairs that it lacks are dealt out and read, for these pairs alone.  The
 findings of the rule versions asked for are joined back from it to every path that has the
 blob.  A text with thousands of copies is scanned once.
 
@@ -99,21 +100,19 @@ def new_findings(versions: DataFrame, ledger: DataFrame | None = None, rules: li
 
     ``versions`` has blob and text; ``ledger`` is what earlier calls returned.
     """
-    blobs = versions.groupBy("blob").agg(F.first("text").alias("text"))
+    none = F.array().cast("array<string>")
     wanted = F.array(*[F.lit(rule_id(r)) for r in rules])
+    once = lambda rows, *keys: rows.groupBy(*keys).agg(F.first("text").alias("text"))
     if ledger is None:
-        todo = blobs.withColumn("seen", F.array().cast("array<string>"))
-    else:
-        seen = (
-            ledger.select("blob", F.explode("scanned").alias("r"))
-            .groupBy("blob")
-            .agg(F.collect_set("r").alias("seen"))  # at most one entry for each rule version
-        )
-        todo = blobs.join(seen, "blob", "left").withColumn(
-            "seen", F.coalesce("seen", F.array().cast("array<string>"))
-        )
-        todo = todo.where(F.size(F.array_except(wanted, "seen")) > 0)
-    return scan(todo, rules)
+        return scan(once(versions, "blob").withColumn("seen", none), rules)
+    seen = (
+        ledger.select("blob", F.explode("scanned").alias("r"))
+        .groupBy("blob")
+        .agg(F.collect_set("r").alias("seen"))  # at most one entry for each rule version
+    )
+    todo = versions.select("blob").distinct().join(seen, "blob", "left").withColumn("seen", F.coalesce("seen", none))
+    todo = todo.where(F.size(F.array_except(wanted, "seen")) > 0)
+    return scan(once(versions.join(todo, "blob"), "blob", "seen"), rules)
 
 
 def blob_of(text: Column) -> Column:
@@ -130,6 +129,12 @@ def ledger_rows(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
+def appended(texts: DataFrame, ledger: str, rules: list[tuple] = RULES, text: str = "text") -> None:
+    """Scans what the ledger lacks of ``texts`` and appends it."""
+    versions = texts.select(blob_of(column(text)).alias("blob"), F.coalesce(column(text), F.lit("")).alias("text"))
+    new_findings(versions, ledger_rows(texts.sparkSession, ledger), rules).write.mode("append").parquet(ledger)
+
+
 def secret_scan(paths: DataFrame, ledger: str | None = None, rules: list[tuple] = RULES, text: str = "text") -> DataFrame:
     """``paths`` (a text and any other columns) without the text, and with ``_found``, the spans of each row.
 
@@ -141,8 +146,7 @@ def secret_scan(paths: DataFrame, ledger: str | None = None, rules: list[tuple]
     names = own_names(paths, "_found")
     blob = free(paths, "_blob")
     known = paths.select(*(column(c).alias(n) for c, n in names.items()), blob_of(column(text)).alias(blob))
-    versions = known.select(F.col(blob).alias("blob"), F.coalesce(column(names[text]), F.lit("")).alias("text"))
-    new_findings(versions, ledger_rows(spark, place), rules).write.mode("append").parquet(place)
+    appended(paths, place, rules, text)
 
     wanted = {rule_id(r): i for i, r in enumerate(rules)}
     asked = F.filter("found", lambda s: s["rule"].isin(*wanted))
@@ -166,9 +170,14 @@ def written(spans: Column) -> Column:
 
 
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Counts and digest of the base spans of every document, and all its spans."""
+    """Counts and digest of the base spans of every document, and all its spans.
+
+    The ledger grows twice: by the blobs of the lower half of all digests, then by those of all documents that it lacks.
+    """
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = secret_scan(docs)
+    ledger = f"{shared_dir(spark)}/secret-ledger-{uuid.uuid4().hex}"
+    appended(docs.where(blob_of(F.col("text")) < "8"), ledger)
+    found = secret_scan(docs, ledger)
     count = lambda k: F.size(F.filter("_found", lambda s: s["kind"] == k)).cast("long")
     return found.select(
         "doc_id",

@@ -279,6 +279,20 @@ def test_ledger_grows(spark, tmp_path):
     assert {r._found_in for r in secrets.secret_scan(frame).collect()} == {"x"}
 
 
+def test_second_scan_reads_unseen_texts_only(spark, tmp_path, monkeypatch):
+    frame = spark.createDataFrame([(i, f"token = abcdefgh{i % 40}") for i in range(90)], "doc_id long, text string").repartition(4)
+    place, read = str(tmp_path / "ledger"), []
+    own = secrets.scan
+    monkeypatch.setattr(secrets, "scan", lambda blobs, rules: read.append(blobs.count()) or own(blobs, rules))
+    secrets.appended(frame.where("doc_id < 15"), place)
+    found = secrets.secret_scan(frame, place)
+    assert read == [15, 25] and found.count() == 90
+    secrets.appended(frame, place, [*secrets.RULES, ("more", 1, "abc", 0, 0)])
+    assert read[2] == 40
+    pairs = spark.read.parquet(place).select("blob", F.explode("scanned").alias("r"))
+    assert pairs.count() == pairs.distinct().count() == 40 * (len(secrets.RULES) + 1)
+
+
 def test_many_secrets_in_a_text(spark):
     text = " ".join(f"token={i:08d}" for i in range(2000))
     found = secrets.secret_scan(spark.createDataFrame([(text,)], "text string")).first()._found
