@@ -14,14 +14,14 @@ from leafmill.operators import imaging
 from leafmill.operators import machines as M
 from leafmill.operators import maintained
 from leafmill.operators import ordered as W
-from leafmill.plans import outputs
+from leafmill.plans import outputs, records
 from leafmill.plans.catalog import CONTROLS, ORACLES, QUERIES, Tables, clean_pages, query
 from leafmill.shared import fresh
 from leafmill.sources import archives, files, page_source
 from leafmill.sources import pages as P
 from leafmill.streaming import ingest as I
 
-__all__ = ["ORACLES", "QUERIES"]
+__all__ = ["ORACLES", "QUERIES", "records"]
 FILES = 8
 RECORD = "id long, recorded_at string, user_id long, event_type string, value double"
 

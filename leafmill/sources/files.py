@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 import re
+import uuid
+from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from leafmill import model
+from leafmill.sources.page_source import store
 
 
 def delimited(spark: SparkSession, path: str, columns: list[str], sep: str = "\t") -> DataFrame:
@@ -136,6 +140,23 @@ def image_size(content: pd.Series) -> pd.DataFrame:
     )
 
 
+def write_files(rows: DataFrame, folder: str) -> int:
+    """A file in ``folder`` for each row (name, content), written aside by its task and then moved; how many there are."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        where, root = store(folder)
+        where.create_dir(root, recursive=True)
+        for batch in batches:
+            for name, content in zip(batch["name"].to_pylist(), batch["content"].to_pylist(), strict=True):
+                aside = f"{root}/_{uuid.uuid4().hex}"
+                with where.open_output_stream(aside) as file:
+                    file.write(content)
+                where.move(aside, f"{root}/{name}")
+            yield pa.RecordBatch.from_pydict({"n": pa.array([batch.num_rows], pa.int64())})
+
+    return rows.select("name", "content").mapInArrow(run, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+
+
 def images(spark: SparkSession, path: str) -> DataFrame:
     """(path, bytes, sha256, size) of image files."""
     files = spark.read.format("binaryFile").load(path)
