@@ -278,7 +278,9 @@ def trained(read: DataFrame, labels: DataFrame, key: str, votes: str, x: str) ->
         models.append({p.tobytes(): float(b) for p, b in zip(unique.astype(np.int8), bad, strict=True)})
 
     place = F.pmod("k", F.lit(1 << 62)) / float(1 << 62)
-    sample = rows.where(place < TRAIN_ROWS / max(1.0, n.sum())).orderBy("k").limit(2 * TRAIN_ROWS)  # about TRAIN_ROWS, were it not for repeated rows
+    sample = rows.where(place < TRAIN_ROWS / max(1.0, n.sum()))  # about TRAIN_ROWS
+    if sample.count() > 2 * TRAIN_ROWS:  # one row, repeated over and over
+        sample = sample.orderBy("k").limit(2 * TRAIN_ROWS)
     got = with_labels(sample, labels).select("k", "votes", "x", *none).toArrow()
     order = np.argsort(got["k"].to_numpy(), kind="stable")  # the same order however the rows arrive
     own = np.array(got["votes"].to_pylist(), np.int8).reshape(got.num_rows, width)
