@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+FEW = 10_000  # literal rows that may be broadcast
+
 
 def with_defaults(left: DataFrame, right: DataFrame, on: str | list[str], defaults: dict[str, object]) -> DataFrame:
     """Left join; columns of ``right`` in ``defaults`` take that value where there is no match."""
@@ -57,9 +59,9 @@ def with_literals(rows: DataFrame, name: str, values: list) -> DataFrame:
 
 
 def with_rules(rows: DataFrame, rules: list[tuple], columns: list[str], on: str) -> DataFrame:
-    """Join with a literal table of rules (J7): a few rows, broadcast."""
+    """Join with a literal table of rules (J7), broadcast if there are no more than ``FEW``."""
     literal = rows.sparkSession.createDataFrame(rules, columns)
-    return rows.join(F.broadcast(literal), on)
+    return rows.join(F.broadcast(literal) if len(rules) <= FEW else literal, on)
 
 
 def masters_with_pages(masters: DataFrame, pages: DataFrame, reviews: DataFrame, on: str) -> tuple[DataFrame, DataFrame, DataFrame]:

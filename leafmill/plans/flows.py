@@ -39,7 +39,8 @@ def ingest_run(t: Tables, folder: str) -> tuple[I.Status, StreamingQuery]:
     """A run of an ingest of the files of ``folder``, a file at a time."""
     source = t.spark.readStream.schema(RECORD).option("maxFilesPerTrigger", 1).json(f"{folder}/in/*")
     status = I.Status(t.spark, f"{folder}/status.json", f"{folder}/log", RECORD)
-    return status, I.ingest(source, f"{folder}/log", f"{folder}/checkpoint", RECORD, status=status)
+    with I.state_partitions(t.spark, t.events.count()):
+        return status, I.ingest(source, f"{folder}/log", f"{folder}/checkpoint", RECORD, status=status)
 
 
 @query("SELECT event_id AS id, user_id, event_type, value FROM events")
@@ -101,7 +102,7 @@ def corrections_once(t: Tables) -> DataFrame:
         F.col("o_orderkey").alias("seq"), F.col("o_orderdate").cast("timestamp").alias("recorded_at"),
         (day + F.pmod(F.xxhash64("o_orderkey"), F.lit(60))).alias("arrived"),
     )
-    span = rows.agg(F.min("arrived").alias("least"), F.max("arrived").alias("most"), F.max("recorded_at").alias("end")).first()
+    span = rows.agg(F.min("arrived").alias("least"), F.max("arrived").alias("most"), F.max("recorded_at").alias("end"), F.count(F.lit(1)).alias("n")).first()
     width = (span["most"] - span["least"]) // FILES + 1 if span["most"] is not None else 1
     slots = F.floor((F.col("arrived") - F.lit(span["least"])) / width)
     for k in range(FILES):  # a file each, whose times of change say the order in which the stream takes them
@@ -109,7 +110,8 @@ def corrections_once(t: Tables) -> DataFrame:
     end = rows.limit(1).select(F.lit(None).cast("long").alias("page_id"), F.lit(0).alias("issue_no"), F.array(F.lit("")).alias("lines"), F.lit(0).alias("seq"), (F.lit(span["end"]) + F.expr("INTERVAL 200 DAYS")).alias("recorded_at"))
     end.coalesce(1).write.mode("append").json(f"{folder}/in")  # tells the stream that all before has come
     stream = t.spark.readStream.schema("page_id string, issue_no long, lines array<string>, seq long, recorded_at timestamp").option("maxFilesPerTrigger", 2).json(f"{folder}/in")
-    I.run_once(I.applied_once(stream, "recorded_at", "61 days"), f"{folder}/out", f"{folder}/checkpoint")
+    with I.state_partitions(t.spark, span["n"]):
+        I.run_once(I.applied_once(stream, "recorded_at", "61 days"), f"{folder}/out", f"{folder}/checkpoint")
     return t.spark.read.schema(I.APPLIED).parquet(f"{folder}/out").where("page_id <> ''")
 
 

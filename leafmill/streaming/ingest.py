@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import threading
 from collections.abc import Iterator
+from contextlib import contextmanager
 from datetime import UTC, datetime
 
 import pandas as pd
@@ -60,7 +61,7 @@ class Status(StreamingQueryListener):
 
     def __init__(self, spark: SparkSession, path: str, log_path: str, schema: str, key: str = "id"):
         self.spark, self.document, self.query_id = spark, Document(spark, path), None
-        self.ended, self.stopping = threading.Event(), threading.Event()
+        self.ended, self.stopping, self.stopped = threading.Event(), threading.Event(), False
         before = self.document.read() or {"state": None, "interruptions": 0}
         if before["state"] == "running":  # it died without a word
             before["interruptions"] += 1
@@ -91,7 +92,7 @@ class Status(StreamingQueryListener):
     def onQueryTerminated(self, event: object) -> None:
         if self.query_id not in (None, str(event.runId)):
             return
-        state = "complete" if event.exception is None else "interrupted" if Stopped.__name__ in event.exception else "failed"
+        state = "complete" if event.exception is None else "interrupted" if self.stopped else "failed"
         self.replace(state=state, interruptions=self.now["interruptions"] + (state != "complete"))
         self.ended.set()
 
@@ -105,7 +106,7 @@ class Status(StreamingQueryListener):
         try:
             query.awaitTermination()
         except StreamingQueryException:
-            if not self.stopping.is_set():
+            if not self.stopped:
                 raise
         finally:
             self.ended.wait(seconds)
@@ -121,6 +122,7 @@ def ingest(source: DataFrame, log_path: str, checkpoint: str, schema: str, key:
 
     def append(batch: DataFrame, number: int) -> None:
         if status is not None and status.stopping.is_set():
+            status.stopped = True
             raise Stopped(f"before batch {number}")
         batch.write.mode("overwrite").json(f"{log_path}/batch={number}")
 
@@ -138,6 +140,20 @@ def latest(spark: SparkSession, log_path: str, schema: str) -> DataFrame:
     return latest_per_key(existing(spark, log_path, schema), "id", "recorded_at").drop("batch")
 
 
+STATE_ROWS = 1 << 19  # records for which a partition of state is made
+
+
+@contextmanager
+def state_partitions(spark: SparkSession, records: int, least: int = 8) -> Iterator[None]:
+    """Streams that are started within have as many partitions of state as their ``records`` need."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(max(least, -(-records // STATE_ROWS))))
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 APPLIED = "page_id string, issue_no long, seq long, outcome string"
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
