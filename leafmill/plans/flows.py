@@ -111,7 +111,7 @@ def corrections_once(t: Tables) -> DataFrame:
     end.coalesce(1).write.mode("append").json(f"{folder}/in")  # tells the stream that all before has come
     stream = t.spark.readStream.schema("page_id string, issue_no long, lines array<string>, seq long, recorded_at timestamp").option("maxFilesPerTrigger", 2).json(f"{folder}/in")
     with I.state_partitions(t.spark, span["n"]):
-        I.run_once(I.applied_once(stream, "recorded_at", "61 days"), f"{folder}/out", f"{folder}/checkpoint")
+        I.run_once(I.applied_once(stream, "recorded_at", "61 days", max(64, span["n"] >> 14)), f"{folder}/out", f"{folder}/checkpoint")
     return t.spark.read.schema(I.APPLIED).parquet(f"{folder}/out").where("page_id <> ''")
 
 

@@ -160,19 +160,19 @@ ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvide
 
 
 class AppliedOnce(StatefulProcessor):
-    """Outcomes of the corrections of one page: records wait until none before them can come, and are judged in order.
+    """Outcomes of the corrections of a bucket of pages: records wait until none before them can come, and are judged in order.
 
-    State: the records that wait, and the lines of the first record of each issue.
+    State: the records that wait, and the lines of the first record of each page and issue.
     """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", "at long, seq long, issue_no long, lines string")
-        self.first = handle.getMapState("first", "issue_no long", "lines string")
+        self.waiting = handle.getListState("waiting", "at long, seq long, page_id string, issue_no long, lines string")
+        self.first = handle.getMapState("first", "page_id string, issue_no long", "lines string")
 
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: object) -> Iterator[pd.DataFrame]:  # noqa: N803
         for batch in rows:
-            new = [tuple(r) for r in batch[["at", "seq", "issue_no", "lines"]].itertuples(index=False)]
+            new = [tuple(r) for r in batch[["at", "seq", "page_id", "issue_no", "lines"]].itertuples(index=False)]
             self.waiting.appendList(new)
             self.handle.registerTimer(max(min(x[0] for x in new), timerValues.getCurrentWatermarkInMs()) + 1)
         return iter(())
@@ -181,41 +181,45 @@ class AppliedOnce(StatefulProcessor):
         now = timerValues.getCurrentWatermarkInMs()
         rows = sorted(tuple(x) for x in self.waiting.get())
         due, later = [x for x in rows if x[0] < now], [x for x in rows if x[0] >= now]
+        if not due:
+            return
         if later:
             self.waiting.put(later)
             self.handle.registerTimer(later[0][0] + 1)
         else:
             self.waiting.clear()
         known, out = {}, []
-        for _, seq, issue, lines in due:
-            if issue not in known and self.first.containsKey((issue,)):
-                known[issue] = self.first.getValue((issue,))[0]
-            outcome = "applied" if issue not in known else "repeated" if known[issue] == lines else "conflict"
+        for _, seq, page, issue, lines in due:
+            at = (page, issue)
+            if at not in known and self.first.containsKey(at):
+                known[at] = self.first.getValue(at)[0]
+            outcome = "applied" if at not in known else "repeated" if known[at] == lines else "conflict"
             if outcome == "applied":
-                known[issue] = lines
-                self.first.updateValue((issue,), (lines,))
-            out.append((key[0], issue, seq, outcome))
-        if out:
-            yield pd.DataFrame(out, columns=["page_id", "issue_no", "seq", "outcome"])
+                known[at] = lines
+                self.first.updateValue(at, (lines,))
+            out.append((page, issue, seq, outcome))
+        yield pd.DataFrame(out, columns=["page_id", "issue_no", "seq", "outcome"])
 
     def close(self) -> None:
         pass
 
 
-def applied_once(events: DataFrame, recorded_at: str, delay: str) -> DataFrame:
+def applied_once(events: DataFrame, recorded_at: str, delay: str, buckets: int = 64) -> DataFrame:
     """(page_id, issue_no, seq, outcome) of a stream of corrections (page_id, issue_no, lines, seq).
 
     In the order of ``recorded_at`` and ``seq`` the first record of an issue is ``applied``, one
     with the same lines ``repeated``, another ``conflict``: whatever the order in which files
     come, as long as a record comes no more than ``delay`` after later ones.  An outcome is given
-    when the watermark has passed the record; a record later than that is dropped.
+    when the watermark has passed the record; a record later than that is dropped.  Pages are dealt to
+    ``buckets``, whose records of one delay a task holds.
     """
     lines = F.to_json(F.array_sort("lines"))
+    page = F.coalesce(F.col("page_id").cast("string"), F.lit(""))
     rows = events.withWatermark(recorded_at, delay).select(
-        F.coalesce(F.col("page_id").cast("string"), F.lit("")).alias("page_id"), F.col("issue_no").cast("long"), F.col("seq").cast("long"),
+        F.pmod(F.xxhash64(page), F.lit(buckets)).alias("bucket"), page.alias("page_id"), F.col("issue_no").cast("long"), F.col("seq").cast("long"),
         lines.alias("lines"), F.col(recorded_at), F.unix_millis(recorded_at).alias("at"),
     )
-    return rows.groupBy("page_id").transformWithStateInPandas(AppliedOnce(), APPLIED, "append", "eventTime")
+    return rows.groupBy("bucket").transformWithStateInPandas(AppliedOnce(), APPLIED, "append", "eventTime")
 
 
 def run_once(outcomes: DataFrame, path: str, checkpoint: str) -> None:
