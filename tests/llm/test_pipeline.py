@@ -45,7 +45,8 @@ def folder(spark, tmp_path_factory):
     spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{place}/labels.parquet")
     spark.createDataFrame(ITEMS, "item_id long, text string").write.parquet(f"{place}/benchmark.parquet")
     vectors = [(i, [random.uniform(-1, 1) for _ in range(8)]) for i in range(120)]
-    spark.createDataFrame(vectors, "vec_id long, embedding array<float>").write.parquet(f"{place}/embeddings.parquet")
+    labelled = spark.createDataFrame(vectors, "vec_id long, embedding array<float>").withColumn("label", (F.col("vec_id") % 3).cast("int"))
+    labelled.write.parquet(f"{place}/embeddings.parquet")
     pages = [(i, f"http://h{i % 3}.example.org/en/{i}", f"<nav>menu</nav><article><p>story {i} {sentence()}</p></article>") for i in range(20)]
     spark.createDataFrame(pages, "page_id long, url string, html string").write.parquet(f"{place}/pages.parquet")
     return place
@@ -131,3 +132,6 @@ def test_queries_on_a_folder(spark, folder):
     assert out["op6_near_duplicates"].where("kept <> (doc_id = component_id)").count() == 0
     assert out["op8_lm_score"].count() == len(rows()) and out["op2_top_k"].count() == 15
     assert {r.doc_id for r in out["op3_decontaminate"].collect()} == {600, 601}
+    leaves = out["op11_merkle"].collect()
+    assert len(leaves) == len(rows()) and len({r.root for r in leaves}) == 1 and all(r.verified for r in leaves)  # no text has a line end
+    assert out["op12_whitening"].count() == 4 * 120 and out["op13_near_vectors"].where("kept = (vec_id = component_id)").count() == 120
