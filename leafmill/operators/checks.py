@@ -95,7 +95,7 @@ def first_violation(found: DataFrame) -> DataFrame:
 def page_violations(files: DataFrame) -> DataFrame:
     """Rules of the compact text (V1-V19, V28) over (path, body); keys are path or path:line.
 
-    One pass for each grain over the lines, which are dealt by page once: files, lines, and what may occur only once in a page.
+    One pass over the pages and one over their lines, which are dealt by page; what may occur only once in a page is counted there.
     """
     rows = P.marked(P.numbered(files))
     at, path, line = F.concat_ws(":", "path", F.col("n").cast("string")), F.col("path"), F.col("line")
@@ -121,37 +121,36 @@ def page_violations(files: DataFrame) -> DataFrame:
         ("V18", F.coalesce("lines", F.lit(0)) == 0),
     )
 
-    own = P.read_lines(rows).withColumn("cells", T.cells(F.col("content")))
+    part, kind = (lambda i: F.regexp_extract("line", P.LINE, i)), F.col("kind")
+    mine = lambda c: F.when(kind == "line", c)
+    own = rows.where(in_head | kind.isNotNull()).withColumns({"line_id": mine(part(1)), "flag": mine(part(2)), "initial": mine(part(3)), "content": mine(part(4))})
+    own = own.withColumns({"cells": T.cells(F.col("content")), "runs": P.line_runs(F.col("content"), F.col("flag"), F.col("initial"))})
     first = F.get("runs", 0)
     led = (F.col("flag") == ">>") | first["text"].rlike(r"^\s") | (first["text"] == "")
     split_cell = F.exists("cells", lambda c: c["span_id"].isNotNull() & (F.size(T.parse_emphasis(c["text"])) != 1))
-    of_lines = several(
-        own, at,
-        ("V14", (F.col("flag") == ">>") & (F.size("cells") > 1)),
-        ("V15", F.get("cells", 0)["span_id"].isNotNull()),
-        ("V15", F.coalesce(split_cell, F.lit(False)), F.lit("a labelled cell is one run")),
-        ("V16", (F.col("initial") != "") & F.col("runs").isNotNull() & F.coalesce(led, F.lit(True))),
-        ("V28", F.exists("cells", lambda c: ~T.emphasis_is_valid(c["text"]))),
-    )
-    kind = F.col("kind")
-    of_rows = several(
-        rows.where(in_head | kind.isNotNull()), at,
-        ("V3", in_head & (colon == 0)), ("V9", F.coalesce(kind == "unknown", F.lit(False)), line),
-        ("V10", F.coalesce(kind != "unknown", F.lit(False)) & F.col("zone_n").isNull()),
-    )
-
-    once = lambda rule, test, *keys: F.when(F.coalesce(test, F.lit(False)), F.struct(F.lit(rule).alias("rule"), F.concat_ws(":", *(k.cast("string") for k in keys)).alias("key")))
-    of_page = F.array_compact(
+    none = F.lit(None).cast("string")
+    found = lambda rule, key, detail=none, once=False: F.struct(
+        F.lit(rule).alias("rule"), key.cast("string").alias("key"), detail.cast("string").alias("detail"), F.lit(once).alias("once")
+    )
+    bad = lambda rule, test, detail=none: F.when(F.coalesce(test, F.lit(False)), found(rule, at, detail))
+    once = lambda rule, test, *keys: F.when(F.coalesce(test, F.lit(False)), found(rule, F.concat_ws(":", path, *(k.cast("string") for k in keys)), once=True))
+    labels = F.filter(F.coalesce(F.transform("runs", lambda r: r["span_id"]), F.array().cast("array<string>")), lambda x: x.isNotNull())
+    said = F.concat(
         F.array(
-            once("V3", in_head & (colon > 0), path, key), once("V11", (kind == "note") & F.col("zone_n").isNotNull(), path, F.col("zone_n")),
-            once("V12", kind == "line", path, F.regexp_extract("line", P.LINE, 1)), once("V13", kind == "zone", path, F.regexp_extract("line", P.ZONE, 1)),
-        )
+            bad("V3", in_head & (colon == 0)), bad("V9", kind == "unknown", line), bad("V10", (kind != "unknown") & F.col("zone_n").isNull()),
+            bad("V14", mine((F.col("flag") == ">>") & (F.size("cells") > 1))), bad("V15", mine(F.get("cells", 0)["span_id"].isNotNull())),
+            bad("V15", mine(split_cell), F.lit("a labelled cell is one run")),
+            bad("V16", mine((F.col("initial") != "") & F.col("runs").isNotNull() & F.coalesce(led, F.lit(True)))),
+            bad("V28", mine(F.exists("cells", lambda c: ~T.emphasis_is_valid(c["text"])))),
+            once("V3", in_head & (colon > 0), key), once("V11", (kind == "note") & F.col("zone_n").isNotNull(), F.col("zone_n")),
+            once("V12", kind == "line", F.col("line_id")), once("V13", kind == "zone", F.regexp_extract("line", P.ZONE, 1)),
+        ),
+        F.transform(labels, lambda x: found("V17", F.concat_ws(":", "path", "line_id", x), once=True)),
     )
-    labels = own.select("path", "line_id", F.explode("runs").alias("r")).where("r.span_id IS NOT NULL")
-    labels = labels.select("path", F.lit("V17").alias("rule"), F.concat_ws(":", "path", "line_id", "r.span_id").alias("key"))
-    keys = rows.select("path", F.explode(of_page).alias("k")).select("path", "k.rule", "k.key").unionByName(labels)
-    again = keys.groupBy("path", "rule", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("rule", "key", F.col("n").cast("string").alias("detail"))
-    return all_of(of_pages, of_lines, of_rows, again, duplicates(pages.where("entries > 0").select(m("id").alias("id"), "path"), "V19", "id"))
+    each = own.select("path", F.explode(F.array_compact(said)).alias("v")).select("path", "v.*")
+    each = each.groupBy("path", "rule", "key", "detail", "once").agg(F.count(F.lit(1)).alias("n")).where("NOT once OR n > 1")  # keys are of one page, where all of it is
+    of_lines = each.select("rule", "key", F.when(F.col("once"), F.col("n").cast("string")).otherwise(F.col("detail")).alias("detail"))
+    return all_of(of_pages, of_lines, duplicates(pages.where("entries > 0").select(m("id").alias("id"), "path"), "V19", "id"))
 
 
 def run_violations(lines: DataFrame) -> DataFrame:
