@@ -73,8 +73,8 @@ def manifest(spark: SparkSession, path: str, schema: str = model.MANIFEST) -> tu
     return records.where("id IS NOT NULL").withColumn("at", at).drop("file", "line_no"), damaged.select("value", at)
 
 
-def by_leaf(spark: SparkSession, path: str, pattern: str = r"f(\d{4})\.jpg$") -> DataFrame:
-    """(leaf, path, length) of files whose name matches."""
+def by_leaf(spark: SparkSession, path: str, pattern: str = r"f(\d{4,})\.jpg$") -> DataFrame:
+    """(leaf, path, length) of files whose name matches (S11); leaves beyond 9999 have longer names."""
     files = spark.read.format("binaryFile").load(path).select("path", "length")
     leaf = F.regexp_extract("path", pattern, 1)
     return files.where(leaf != "").select(leaf.cast("int").alias("leaf"), "path", "length")
