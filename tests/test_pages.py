@@ -139,7 +139,7 @@ def test_files(spark, tmp_path):
     assert files.by_leaf(spark, str(tmp_path)).first().leaf == 1
     for name in ("f10000.jpg", "f0123456.jpg", "f123.jpg", "f12345.jpeg"):
         (tmp_path / "leaves").mkdir(exist_ok=True)
-        (tmp_path / "leaves" / name).write_bytes(b"")
+        (tmp_path / "leaves" / name).write_bytes(b"x")
     assert sorted(r.leaf for r in files.by_leaf(spark, str(tmp_path / "leaves")).collect()) == [10000, 123456]
     (tmp_path / "t.tsv").write_text("﻿a\tb\n1\t\"x\n", encoding="utf-8")
     assert [tuple(r) for r in files.delimited(spark, str(tmp_path / "t.tsv"), ["a", "b"]).collect()] == [("1", '"x')]
