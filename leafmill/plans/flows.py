@@ -105,11 +105,13 @@ def corrections_once(t: Tables) -> DataFrame:
     span = rows.agg(F.min("arrived").alias("least"), F.max("arrived").alias("most"), F.max("recorded_at").alias("end"), F.count(F.lit(1)).alias("n")).first()
     width = (span["most"] - span["least"]) // FILES + 1 if span["most"] is not None else 1
     slots = F.floor((F.col("arrived") - F.lit(span["least"])) / width)
-    for k in range(FILES):  # a file each, whose times of change say the order in which the stream takes them
-        rows.where(slots == k).drop("arrived").coalesce(1).write.mode("append").json(f"{folder}/in")
+    each = max(1, span["n"] // FILES >> 18)
+    for k in range(FILES):  # files whose times of change say the order in which the stream takes them
+        own = rows.where(slots == k).drop("arrived")
+        (own.coalesce(1) if each == 1 else own.repartition(each, "seq")).write.mode("append").json(f"{folder}/in")
     end = rows.limit(1).select(F.lit(None).cast("long").alias("page_id"), F.lit(0).alias("issue_no"), F.array(F.lit("")).alias("lines"), F.lit(0).alias("seq"), (F.lit(span["end"]) + F.expr("INTERVAL 200 DAYS")).alias("recorded_at"))
     end.coalesce(1).write.mode("append").json(f"{folder}/in")  # tells the stream that all before has come
-    stream = t.spark.readStream.schema("page_id string, issue_no long, lines array<string>, seq long, recorded_at timestamp").option("maxFilesPerTrigger", 2).json(f"{folder}/in")
+    stream = t.spark.readStream.schema("page_id string, issue_no long, lines array<string>, seq long, recorded_at timestamp").option("maxFilesPerTrigger", 2 * each).json(f"{folder}/in")
     with I.state_partitions(t.spark, span["n"]):
         I.run_once(I.applied_once(stream, "recorded_at", "61 days", max(64, span["n"] >> 14)), f"{folder}/out", f"{folder}/checkpoint")
     return t.spark.read.schema(I.APPLIED).parquet(f"{folder}/out").where("page_id <> ''")

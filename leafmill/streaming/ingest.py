@@ -13,6 +13,8 @@ from contextlib import contextmanager
 from datetime import UTC, datetime
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.errors import AnalysisException, StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -156,49 +158,70 @@ def state_partitions(spark: SparkSession, records: int, least: int = 8) -> Itera
 
 APPLIED = "page_id string, issue_no long, seq long, outcome string"
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+WAITING = pa.schema({"at": pa.int64(), "seq": pa.int64(), "page_id": pa.string(), "issue_no": pa.int64(), "lines": pa.string()})
+FIRST = pa.schema([WAITING.field(name) for name in ("page_id", "issue_no", "lines")])
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 class AppliedOnce(StatefulProcessor):
     """Outcomes of the corrections of a bucket of pages: records wait until none before them can come, and are judged in order.
 
-    State: the records that wait, and the lines of the first record of each page and issue.
+    State: the records that wait, and the lines of the first record of each page and issue.  Both are lists of
+    Arrow tables, so a batch of a bucket is a few calls to the store, however many records it has.
     """
 
+    PARTS = 32  # tables of one list before they are made one
+
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", "at long, seq long, page_id string, issue_no long, lines string")
-        self.first = handle.getMapState("first", "page_id string, issue_no long", "lines string")
+        self.waiting = handle.getListState("waiting", "rows binary")
+        self.first = handle.getListState("first", "rows binary")
+
+    @staticmethod
+    def packed(table: pa.Table) -> tuple[bytes]:
+        out = pa.BufferOutputStream()
+        with pa.ipc.new_stream(out, table.schema) as file:
+            file.write_table(table)
+        return (out.getvalue().to_pybytes(),)
+
+    @staticmethod
+    def unpacked(parts: list[tuple], schema: pa.Schema) -> pa.Table:
+        return pa.concat_tables([schema.empty_table(), *(pa.ipc.open_stream(bytes(p[0])).read_all() for p in parts)])
 
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: object) -> Iterator[pd.DataFrame]:  # noqa: N803
-        for batch in rows:
-            new = [tuple(r) for r in batch[["at", "seq", "page_id", "issue_no", "lines"]].itertuples(index=False)]
-            self.waiting.appendList(new)
-            self.handle.registerTimer(max(min(x[0] for x in new), timerValues.getCurrentWatermarkInMs()) + 1)
+        new = [pa.Table.from_pandas(batch[WAITING.names], WAITING, preserve_index=False) for batch in rows]
+        self.waiting.appendList([self.packed(t) for t in new])
+        self.handle.registerTimer(max(min(pc.min(t["at"]).as_py() for t in new), timerValues.getCurrentWatermarkInMs()) + 1)
         return iter(())
 
     def handleExpiredTimer(self, key: tuple, timerValues: object, expiredTimerInfo: object) -> Iterator[pd.DataFrame]:  # noqa: N803
-        now = timerValues.getCurrentWatermarkInMs()
-        rows = sorted(tuple(x) for x in self.waiting.get())
-        due, later = [x for x in rows if x[0] < now], [x for x in rows if x[0] >= now]
-        if not due:
+        rows = self.unpacked(list(self.waiting.get()), WAITING)
+        past = pc.less(rows["at"], timerValues.getCurrentWatermarkInMs())
+        due, later = rows.filter(past), rows.filter(pc.invert(past))
+        if not due.num_rows:
             return
-        if later:
-            self.waiting.put(later)
-            self.handle.registerTimer(later[0][0] + 1)
+        if later.num_rows:
+            self.waiting.put([self.packed(later)])
+            self.handle.registerTimer(pc.min(later["at"]).as_py() + 1)
         else:
             self.waiting.clear()
-        known, out = {}, []
-        for _, seq, page, issue, lines in due:
+        due = due.take(pc.sort_indices(due, [(name, "ascending") for name in WAITING.names], null_placement="at_start"))
+        parts = list(self.first.get())
+        known = {(page, issue): lines for page, issue, lines in zip(*self.unpacked(parts, FIRST).to_pydict().values(), strict=True)}
+        new, outcomes = {}, []
+        for page, issue, lines in zip(*due.select(FIRST.names).to_pydict().values(), strict=True):
             at = (page, issue)
-            if at not in known and self.first.containsKey(at):
-                known[at] = self.first.getValue(at)[0]
-            outcome = "applied" if at not in known else "repeated" if known[at] == lines else "conflict"
-            if outcome == "applied":
-                known[at] = lines
-                self.first.updateValue(at, (lines,))
-            out.append((page, issue, seq, outcome))
-        yield pd.DataFrame(out, columns=["page_id", "issue_no", "seq", "outcome"])
+            if at in known:
+                outcomes.append("repeated" if known[at] == lines else "conflict")
+            else:
+                known[at] = new[at] = lines
+                outcomes.append("applied")
+        table = lambda own: pa.table([[p for p, _ in own], [i for _, i in own], [*own.values()]], FIRST)
+        if len(parts) >= self.PARTS:
+            self.first.put([self.packed(table(known))])
+        elif new:
+            self.first.appendList([self.packed(table(new))])
+        yield due.select(["page_id", "issue_no", "seq"]).append_column("outcome", pa.array(outcomes, pa.string())).to_pandas()
 
     def close(self) -> None:
         pass
@@ -211,7 +234,7 @@ def applied_once(events: DataFrame, recorded_at: str, delay: str, buckets: int =
     with the same lines ``repeated``, another ``conflict``: whatever the order in which files
     come, as long as a record comes no more than ``delay`` after later ones.  An outcome is given
     when the watermark has passed the record; a record later than that is dropped.  Pages are dealt to
-    ``buckets``, whose records of one delay a task holds.
+    ``buckets``; a task holds the waiting records and the first ones of a bucket.
     """
     lines = F.to_json(F.array_sort("lines"))
     page = F.coalesce(F.col("page_id").cast("string"), F.lit(""))

@@ -7,6 +7,7 @@ import struct
 import zlib
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrameWriter
@@ -276,6 +277,50 @@ def test_corrections_in_any_order(spark, tmp_path):
     assert {tuple(r) for r in conflicts.collect()} == {x[:2] for x in expected if x[3] == "conflict"}
 
 
+def test_state_calls_do_not_grow_with_records():
+    calls = []
+
+    class Kept(list):
+        def get(self):
+            calls.append("get")
+            return iter(list(self))
+
+        def appendList(self, rows):  # noqa: N802
+            calls.append("append")
+            self.extend(rows)
+
+        def put(self, rows):
+            calls.append("put")
+            self[:] = rows
+
+    class Now:
+        getListState = lambda self, name, schema: lists.setdefault(name, Kept())
+        registerTimer = lambda self, at: calls.append("timer")
+        getCurrentWatermarkInMs = lambda self: now
+
+    lists, now, got, judge, expected = {}, 0, [], ingest.AppliedOnce(), []
+    judge.init(Now())
+    rng = random.Random(8)
+    for turn in range(40):
+        rows = [(100 * turn + rng.randrange(100), i, rng.choice(("p", "q", "")), rng.choice((*range(60), None)), rng.choice(("a", "b", None))) for i in range(2000)]
+        expected += sorted(rows, key=lambda r: (r[0], r[1]))
+        batch = pd.DataFrame(rows, columns=["at", "seq", "page_id", "issue_no", "lines"])
+        before = len(calls)
+        judge.handleInputRows((1,), iter([batch]), Now())
+        now = 100 * (turn + 1)
+        for out in judge.handleExpiredTimer((1,), Now(), None):
+            got += [(r.page_id, None if r.issue_no != r.issue_no else r.issue_no, r.seq, r.outcome) for r in out.itertuples()]
+        assert len(calls) - before <= 8 and len(lists["first"]) <= 33
+    seen, want = {}, []
+    for _, seq, page, issue, lines in expected:
+        if (page, issue) in seen:
+            want.append((page, issue, seq, "repeated" if seen[page, issue] == lines else "conflict"))
+        else:
+            seen[page, issue] = lines
+            want.append((page, issue, seq, "applied"))
+    assert got == want and not lists["waiting"]
+
+
 @pytest.mark.parametrize("width", [1, 7, 10**9])
 def test_machine_is_a_fold(spark, width):
     machine = machines.Machine(machines.CORRECTION_STATES, machines.CORRECTION_STEPS)
