@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as D
@@ -62,18 +62,26 @@ def new_parts(texts: list[str], faces: list[str], rests: list[str], new: str, ro
     return [(int(own[s]), (None, "roman", "italic")[forced[s]], new[s:e]) for s, e in zip(starts, starts[1:], strict=False)]
 
 
-@F.pandas_udf(D.ArrayType(PART))
+SLICE = 128  # rows that are Python objects at a time
+PARTS = pa.list_(pa.struct({"own": pa.int32(), "face": pa.string(), "text": pa.string()}))
+
+
+@F.arrow_udf(D.ArrayType(PART))
 def parts_of(
-    texts: pd.Series, faces: pd.Series, rests: pd.Series, new: pd.Series, rs: pd.Series, re: pd.Series, is_: pd.Series, ie: pd.Series
-) -> pd.Series:
+    texts: pa.Array, faces: pa.Array, rests: pa.Array, new: pa.Array, rs: pa.Array, re: pa.Array, is_: pa.Array, ie: pa.Array
+) -> pa.Array:
     """``new_parts`` by rows; null where anything is."""
 
     def one(t, f, r, n, a, b, c, d) -> list[tuple] | None:  # noqa: ANN001
         if any(x is None for x in (t, n, a, b, c, d)):
             return None
-        return new_parts([x or "" for x in t], list(f), list(r), n, list(zip(a, b, strict=True)), list(zip(c, d, strict=True)))
+        return new_parts([x or "" for x in t], f, r, n, list(zip(a, b, strict=True)), list(zip(c, d, strict=True)))
+
+    def piece(i: int) -> pa.Array:
+        own = (x.slice(i, SLICE).to_pylist() for x in (texts, faces, rests, new, rs, re, is_, ie))
+        return pa.array([one(*row) for row in zip(*own, strict=True)], PARTS)
 
-    return pd.Series([one(*row) for row in zip(texts, faces, rests, new, rs, re, is_, ie, strict=True)], dtype=object)
+    return pa.concat_arrays([piece(i) for i in range(0, len(texts), SLICE)] or [pa.array([], PARTS)])
 
 
 # its own step, as an expression with a lambda cannot hold it
