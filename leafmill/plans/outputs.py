@@ -21,16 +21,23 @@ from pyspark.sql import functions as F
 from leafmill.shared import Document
 
 DATA, MANIFEST, POINTER = "data", "manifest", "current.json"
+FILE_ROWS = 1 << 20  # rows of a file, about
 
 
 def write_sorted(rows: DataFrame, path: str, *order: str, files: int | None = None) -> None:
-    """``rows`` as files in total order by ``order`` (nulls first), with a manifest (file, rows, first, last, offset)."""
+    """``rows`` as files in total order by ``order`` (nulls first), with a manifest (file, rows, first, last, offset).
+
+    ``files`` of them at least, more where one would have over ``FILE_ROWS``: no task sorts more than that, however many rows there are.
+    """
     spark = rows.sparkSession
-    dealt = rows.repartitionByRange(*([files] if files else []), *order).sortWithinPartitions(*order)
+    files = max(files or 1, -(-rows.count() // FILE_ROWS))
+    dealt = rows.repartitionByRange(files, *order).sortWithinPartitions(*order)
     dealt.write.mode("overwrite").parquet(f"{path}/{DATA}")
-    key = F.struct(*order)
-    written = spark.read.schema(rows.schema).parquet(f"{path}/{DATA}").select(F.col("_metadata.file_name").alias("file"), key.alias("key"))
-    ranges = written.groupBy("file").agg(F.count(F.lit(1)).alias("rows"), F.min("key").alias("first"), F.max("key").alias("last"))
+    at, name = F.col("_metadata.row_index").alias("at"), F.col("_metadata.file_name").alias("file")
+    written = spark.read.schema(rows.schema).parquet(f"{path}/{DATA}").select(name, at, F.struct(*order).alias("key"))
+    sizes = written.groupBy("file").agg(F.count(F.lit(1)).alias("rows"))
+    ends = written.join(F.broadcast(sizes), "file").where((F.col("at") == 0) | (F.col("at") == F.col("rows") - 1))  # two rows a file, whose keys alone are compared
+    ranges = ends.groupBy("file").agg(F.first("rows").alias("rows"), F.min("key").alias("first"), F.max("key").alias("last"))
     before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)  # over files, not rows
     ranges.withColumn("offset", F.coalesce(F.sum("rows").over(before), F.lit(0))).coalesce(1).write.mode("overwrite").parquet(f"{path}/{MANIFEST}")
 

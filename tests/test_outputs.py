@@ -40,6 +40,16 @@ def test_sorted_files(spark, tmp_path):
     assert outputs.read_sorted(spark, path).count() == 900 and outputs.out_of_order(spark, path).count() == 0
 
 
+def test_files_grow_in_number_not_in_size(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(outputs, "FILE_ROWS", 100)
+    frame, path = spark.range(950).select((F.col("id") * 7 % 950).alias("k")), str(tmp_path / "out")
+    outputs.write_sorted(frame, path, "k", files=2)
+    known = outputs.manifest_of(spark, path).orderBy("file").collect()
+    assert len(known) == 10 and max(r.rows for r in known) < 200 and outputs.out_of_order(spark, path).count() == 0
+    assert [(r.first.k, r.last.k) for r in known] == [(r.offset, r.offset + r.rows - 1) for r in known]
+    assert all(r.k == r.place for r in outputs.read_sorted(spark, path).collect())
+
+
 def test_published_versions(spark, tmp_path):
     home = outputs.Published(spark, f"file://{tmp_path}/home")
     with pytest.raises(FileNotFoundError):
