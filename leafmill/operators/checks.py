@@ -92,86 +92,123 @@ def first_violation(found: DataFrame) -> DataFrame:
     return found.groupBy(F.regexp_replace("key", r":\d+$", "").alias("path")).agg(F.min_by(F.struct("rule", "detail"), order).alias("v")).select("path", "v.*")
 
 
-def page_violations(files: DataFrame) -> DataFrame:
-    """Rules of the compact text (V1-V19, V28) over (path, body); keys are path or path:line.
+FOUND = "struct<rule:string,page:string,key:string,detail:string,once:boolean>"
 
-    One pass over the pages and one over their lines, which are dealt by page; what may occur only once in a page is counted there.
+
+def page_violations(files: DataFrame, rules: list[str] | None = None) -> DataFrame:
+    """Rules of the compact text (V1-V19, V28; those of ``rules`` only, if given) over (path, body); keys are path or path:line.
+
+    One pass over the pages: what concerns a page as a whole is judged on the array of its lines, and all else on each line by itself.
+    Only what may occur once in a page, or in all of them, is counted by its key.
     """
-    rows = P.marked(P.numbered(files))
-    at, path, line = F.concat_ws(":", "path", F.col("n").cast("string")), F.col("path"), F.col("line")
-    in_head = (F.col("fences") == 1) & (line != "---")
-    colon = F.locate(": ", line)
-    key, value = line.substr(F.lit(1), colon - 1), line.substr(colon + 2, F.length(line))
-
-    entry = lambda k: F.min(F.when(in_head & (colon > 0) & (key == k), F.struct("n", value.alias("value")))).alias(k)
-    pages = rows.groupBy("path").agg(
-        F.min_by("line", "n").alias("first"), F.max("fences").alias("fences"), F.count_if(F.col("kind") == "line").alias("lines"),
-        F.count_if(in_head & (colon > 0)).alias("entries"), *map(entry, ("format", "version", *model.HEADER_KEYS)),
-    )
-    pages = files.select("path", T.is_nfc("body").alias("composed")).join(pages, "path", "left")
-    m = lambda k: F.col(f"{k}.value")
-    lost = F.array_compact(F.array(*(F.when(F.col(k).isNull(), F.lit(k)) for k in model.HEADER_KEYS)))
-    headed = lambda bad: F.when(F.coalesce(F.col("entries"), F.lit(0)) == 0, False).otherwise(F.coalesce(bad, F.lit(True)))
-    of_pages = several(
-        pages, path,
-        ("V1", ~F.col("composed")), ("V2", F.col("first").isNotNull() & ((F.col("first") != "---") | (F.col("fences") < 2))),
-        ("V4", headed(~(m("format").eqNullSafe(model.COMPACT_FORMAT) & m("version").eqNullSafe(model.COMPACT_VERSION)))),
-        ("V5", headed(F.size(lost) > 0), F.array_join(lost, ",")),
-        ("V6", headed(~C.is_digest(m("sha256")))), ("V7", headed(m("lineation") != "checked")), ("V8", headed(~m("status").isin(model.STATUSES)), m("status")),
-        ("V18", F.coalesce("lines", F.lit(0)) == 0),
-    )
+    asked = lambda *own: [v for rule, v in own if rules is None or rule in rules]
+    path, body, none = F.col("path"), F.col("body"), F.lit(None).cast("string")
 
-    part, kind = (lambda i: F.regexp_extract("line", P.LINE, i)), F.col("kind")
+    def found(rule: str, page: Column, key: Column, detail: Column = none, once: bool = False) -> Column:
+        return F.struct(
+            F.lit(rule).alias("rule"), page.cast("string").alias("page"), key.cast("string").alias("key"), detail.cast("string").alias("detail"), F.lit(once).alias("once")
+        )
+
+    known = files.select("path", "body")
+    if asked(("V1", True)):  # Python sees only the texts that need it
+        plain = T.seems_composed(body)
+        known = known.withColumn("composed", T.is_nfc(F.when(~plain, body))).withColumn("composed", F.coalesce("composed", plain))
+    rows = P.paged(known, *known.columns[2:])
+    m = lambda k: F.col(f"said.{k}")
+    rows = rows.withColumns({
+        "said": F.struct(*(P.said_in_head(k).alias(k) for k in ("format", "version", *model.HEADER_KEYS))),
+        "has_entry": F.exists("head", lambda x: F.contains(x, F.lit(": "))),
+    })
+    lost = F.array_compact(F.array(*(F.when(m(k).isNull(), F.lit(k)) for k in model.HEADER_KEYS)))
+    page = lambda rule, bad, detail=none: (rule, F.when(F.coalesce(bad, F.lit(True)), found(rule, path, path, detail)))
+    headed = lambda rule, bad, detail=none: page(rule, F.when(F.coalesce("has_entry", F.lit(False)), F.coalesce(bad, F.lit(True))).otherwise(False), detail)
+    is_line = lambda x: x.startswith("[") & x.rlike(P.LINE_HEAD)
+    behind = F.when(F.col("closed") > 0, F.slice("lines", F.col("closed") + 1, F.size("lines"))).otherwise(F.array().cast("array<string>"))
+    notes = lambda a, b: F.size(F.filter(F.slice("lines", a + 1, b - a - 1), lambda x: x.startswith("> ")))
+    noted = lambda a, b: F.when(notes(a, b) > 1, found("V11", path, F.concat_ws(":", path, a.cast("string")), notes(a, b)))
+    of_page = asked(
+        ("V1", F.when(~F.coalesce(F.col("composed"), F.lit(False)), found("V1", path, path))) if "composed" in known.columns else ("V1", F.lit(None)),
+        page("V2", F.coalesce(F.get("lines", 0) != "---", F.lit(False)) | (F.col("lines").isNotNull() & (F.col("closed") == 0))),
+        headed("V4", ~(m("format").eqNullSafe(model.COMPACT_FORMAT) & m("version").eqNullSafe(model.COMPACT_VERSION))),
+        headed("V5", F.size(lost) > 0, F.array_join(lost, ",")), headed("V6", ~C.is_digest(m("sha256"))), headed("V7", m("lineation") != "checked"),
+        headed("V8", ~m("status").isin(model.STATUSES), m("status")), page("V18", ~F.exists(behind, is_line)),
+        ("V19", F.when(F.col("has_entry"), found("V19", none, F.coalesce(m("id"), F.lit("")), F.when(m("id").isNull(), "none"), once=True))),
+    )
+    of_zones = asked(("V11", F.zip_with("zones", P.zone_ends(), noted)))
+    rows = rows.withColumn("of_page", F.array_compact(F.concat(F.array(*of_page, F.lit(None).cast(FOUND)), *of_zones)))
+
+    lines = F.posexplode(F.coalesce("lines", F.array(none))).alias("pos", "line")  # a file without a text has one row too
+    rows = rows.select("path", "opened", "closed", F.get("zones", 0).alias("zone"), "of_page", lines).withColumn("n", F.col("pos") + 1)
+    n, line, opened, closed = F.col("n"), F.col("line"), F.col("opened"), F.col("closed")
+    at, colon = F.concat_ws(":", "path", n.cast("string")), F.locate(": ", line)
+    in_head = (opened > 0) & (n > opened) & ((closed == 0) | (n < closed))
+    kind = F.when(line.startswith("## ") & line.rlike(P.ZONE), "zone").when(line.startswith("> "), "note").when(is_line(line), "line").otherwise("unknown")
+    in_body = (closed > 0) & (n > closed) & (line != "---") & (line != "")
+    rows = rows.where(in_head | in_body | ((F.col("pos") == 0) & (F.size("of_page") > 0)))
+    rows = rows.withColumns({"in_head": in_head, "kind": F.when(in_body, kind)})
+
+    in_head, kind, part = F.col("in_head"), F.col("kind"), lambda i: F.regexp_extract("line", P.LINE_HEAD, i)
     mine = lambda c: F.when(kind == "line", c)
-    own = rows.where(in_head | kind.isNotNull()).withColumns({"line_id": mine(part(1)), "flag": mine(part(2)), "initial": mine(part(3)), "content": mine(part(4))})
+    content = F.substring(line, F.locate("] ", line) + 2, F.length(line))
+    own = rows.withColumns({"line_id": mine(part(1)), "flag": mine(part(2)), "initial": mine(part(3)), "content": mine(content)})
     own = own.withColumns({"cells": T.cells(F.col("content")), "runs": P.line_runs(F.col("content"), F.col("flag"), F.col("initial"))})
     first = F.get("runs", 0)
     led = (F.col("flag") == ">>") | first["text"].rlike(r"^\s") | (first["text"] == "")
     split_cell = F.exists("cells", lambda c: c["span_id"].isNotNull() & (F.size(T.parse_emphasis(c["text"])) != 1))
-    none = F.lit(None).cast("string")
-    found = lambda rule, key, detail=none, once=False: F.struct(
-        F.lit(rule).alias("rule"), key.cast("string").alias("key"), detail.cast("string").alias("detail"), F.lit(once).alias("once")
-    )
-    bad = lambda rule, test, detail=none: F.when(F.coalesce(test, F.lit(False)), found(rule, at, detail))
-    once = lambda rule, test, *keys: F.when(F.coalesce(test, F.lit(False)), found(rule, F.concat_ws(":", path, *(k.cast("string") for k in keys)), once=True))
+    bad = lambda rule, test, detail=none: (rule, F.when(F.coalesce(test, F.lit(False)), found(rule, path, at, detail)))
+    once = lambda rule, test, key: (rule, F.when(F.coalesce(test, F.lit(False)), found(rule, path, F.concat_ws(":", path, key), once=True)))
     labels = F.filter(F.coalesce(F.transform("runs", lambda r: r["span_id"]), F.array().cast("array<string>")), lambda x: x.isNotNull())
-    said = F.concat(
-        F.array(
-            bad("V3", in_head & (colon == 0)), bad("V9", kind == "unknown", line), bad("V10", (kind != "unknown") & F.col("zone_n").isNull()),
-            bad("V14", mine((F.col("flag") == ">>") & (F.size("cells") > 1))), bad("V15", mine(F.get("cells", 0)["span_id"].isNotNull())),
-            bad("V15", mine(split_cell), F.lit("a labelled cell is one run")),
-            bad("V16", mine((F.col("initial") != "") & F.col("runs").isNotNull() & F.coalesce(led, F.lit(True)))),
-            bad("V28", mine(F.exists("cells", lambda c: ~T.emphasis_is_valid(c["text"])))),
-            once("V3", in_head & (colon > 0), key), once("V11", (kind == "note") & F.col("zone_n").isNotNull(), F.col("zone_n")),
-            once("V12", kind == "line", F.col("line_id")), once("V13", kind == "zone", F.regexp_extract("line", P.ZONE, 1)),
-        ),
-        F.transform(labels, lambda x: found("V17", F.concat_ws(":", "path", "line_id", x), once=True)),
+    of_line = asked(
+        bad("V3", in_head & (colon == 0)), bad("V9", kind == "unknown", line), bad("V10", (kind != "unknown") & (F.col("zone").isNull() | (n < F.col("zone")))),
+        bad("V14", mine((F.col("flag") == ">>") & (F.size("cells") > 1))), bad("V15", mine(F.get("cells", 0)["span_id"].isNotNull())),
+        bad("V15", mine(split_cell), F.lit("a labelled cell is one run")),
+        bad("V16", mine((F.col("initial") != "") & F.col("runs").isNotNull() & F.coalesce(led, F.lit(True)))),
+        bad("V28", mine(F.exists("cells", lambda c: ~T.emphasis_is_valid(c["text"])))),
+        once("V3", in_head & (colon > 0), line.substr(F.lit(1), colon - 1)), once("V12", kind == "line", F.col("line_id")),
+        once("V13", kind == "zone", F.regexp_extract("line", P.ZONE, 1)),
     )
-    each = own.select("path", F.explode(F.array_compact(said)).alias("v")).select("path", "v.*")
-    each = each.groupBy("path", "rule", "key", "detail", "once").agg(F.count(F.lit(1)).alias("n")).where("NOT once OR n > 1")  # keys are of one page, where all of it is
-    of_lines = each.select("rule", "key", F.when(F.col("once"), F.col("n").cast("string")).otherwise(F.col("detail")).alias("detail"))
-    return all_of(of_pages, of_lines, duplicates(pages.where("entries > 0").select(m("id").alias("id"), "path"), "V19", "id"))
-
-
-def run_violations(lines: DataFrame) -> DataFrame:
-    """Rules of compiled lines (V21-V24, V58) over ``sources.pages.registry``, in one pass over the lines and one over their references."""
-    known = lines.withColumn("_composed", T.are_nfc(F.transform("runs", lambda r: r["text"])))
+    of_labels = asked(("V17", F.transform(labels, lambda x: found("V17", path, F.concat_ws(":", "path", "line_id", x), once=True))))
+    here = F.slice("of_page", F.lit(1), F.when(F.col("pos") == 0, F.size("of_page")).otherwise(0))  # told with the first line
+    said = F.concat(here, F.array(*of_line, F.lit(None).cast(FOUND)), *of_labels)
+    each = own.select(F.explode(F.array_compact(said)).alias("v")).select("v.*")
+    each = each.groupBy("page", "rule", "key", "detail", "once").agg(F.count(F.lit(1)).alias("n")).where("NOT once OR n > 1")
+    return each.select("rule", "key", F.when(F.col("once"), F.col("n").cast("string")).otherwise(F.col("detail")).alias("detail"))
+
+
+def run_violations(lines: DataFrame, rules: list[str] | None = None) -> DataFrame:
+    """Rules of compiled lines (V21-V24, V58; those of ``rules`` only, if given) over ``sources.pages.registry``, in one pass over the lines."""
+    asked = lambda rule: rules is None or rule in rules
+    if asked("V22"):  # Python sees only the lines that need it
+        texts = F.transform("runs", lambda r: r["text"])
+        plain = F.forall(texts, T.seems_composed)
+        lines = lines.withColumns({"_plain": plain, "_composed": T.are_nfc(F.when(plain, None).otherwise(texts))})
 
     def of_run(r: Column, i: Column) -> Column:
         big = F.coalesce(r["layout"] == "large-initial", F.lit(False))
         placement = F.coalesce(r["placement"], F.lit("normal"))
         fine = (i == 0) & (F.length(r["text"]) == 1) & (F.trim(r["text"]) != "") & (placement == "normal") & (r["line_span"] >= 2)
-        typed = r["typeface"].isin(model.TYPEFACES) & placement.isin(model.PLACEMENTS) & (F.length(r["text"]) > 0) & F.get("_composed", i)
         led = F.when(big, ~F.coalesce(fine, F.lit(False))).otherwise(r["layout"].isNotNull() | r["line_span"].isNotNull())
-        return F.array(F.when(~F.coalesce(typed, F.lit(False)), F.lit("V22")), F.when(led, F.lit("V23")))
-
-    of_line = F.array(
-        F.when(F.coalesce("indent", F.lit(0)) < 0, F.lit("V21")), F.when(F.coalesce(F.size("runs") < 1, F.lit(True)), F.lit("V22")),
-        F.when(F.coalesce(C.line_text(F.col("runs")).contains("="), F.lit(True)), F.lit("V58")),
-    )
-    broken = F.array_compact(F.concat(of_line, F.coalesce(F.flatten(F.transform("runs", of_run)), F.array().cast("array<string>"))))
-    found = known.select(F.explode(broken).alias("rule"), F.col("line_ref").alias("key"), F.lit(None).cast("string").alias("detail"))
-    return found.unionByName(duplicates(lines, "V24", "line_ref"))
+        said = [F.when(led, F.lit("V23"))] if asked("V23") else []
+        if asked("V22"):
+            typed = r["typeface"].isin(model.TYPEFACES) & placement.isin(model.PLACEMENTS) & (F.length(r["text"]) > 0)
+            typed = typed & (F.coalesce("_plain", F.lit(False)) | F.get("_composed", i))
+            said.append(F.when(~F.coalesce(typed, F.lit(False)), F.lit("V22")))
+        return F.array(F.lit(None).cast("string"), *said)
+
+    of_line = [
+        F.when(test, F.lit(rule))
+        for rule, test in (
+            ("V21", F.coalesce("indent", F.lit(0)) < 0), ("V22", F.coalesce(F.size("runs") < 1, F.lit(True))),
+            ("V58", F.coalesce(C.line_text(F.col("runs")).contains("="), F.lit(True))), ("V24", F.lit(True)),
+        )
+        if asked(rule)
+    ]
+    said = F.array_compact(F.concat(F.array(F.lit(None).cast("string"), *of_line), F.coalesce(F.flatten(F.transform("runs", of_run)), F.array().cast("array<string>"))))
+    found = lines.select(F.explode(said).alias("rule"), F.col("line_ref").alias("key")).groupBy("rule", "key").agg(F.count(F.lit(1)).alias("n"))
+    once = F.col("rule") == "V24"  # a key that only one line has is no violation; of all else, each is one
+    times = F.when(~once, F.col("n")).otherwise((F.col("n") > 1).cast("long")).cast("int")
+    detail = F.when(once, F.col("n").cast("string"))
+    return found.where(~once | (F.col("n") > 1)).select("rule", "key", F.explode(F.array_repeat(detail, times)).alias("detail"))
 
 
 def structure_violations(items: DataFrame, lines: DataFrame) -> DataFrame:

@@ -802,6 +802,11 @@ FROM (SELECT doc_id, lang, source, u.i AS i, string_split(regexp_replace(coalesc
       FROM documents, unnest(range(1, len(string_split(coalesce(text, ''), chr(10))) + 1)) AS u(i))"""
 
 
+def dealt(documents: DataFrame) -> DataFrame:
+    """The documents dealt evenly, however few row groups hold them: a page is parsed where it is made."""
+    return documents.repartition("doc_id")
+
+
 def rough_pages(documents: DataFrame) -> DataFrame:
     """(path, body): a page for each document, whose language, source and lines decide which rules it breaks."""
     text, lang, source = F.coalesce("text", F.lit("")), F.coalesce("lang", F.lit("")), F.coalesce("source", F.lit(""))
@@ -828,7 +833,7 @@ def rough_pages(documents: DataFrame) -> DataFrame:
         some(zoned, F.lit("## header [running_header] H"), F.lit("")), some(lang != "de", F.lit("[h] 1")), some(zoned, F.lit(""), second, F.lit("")),
         F.transform(lines, line),
     ]
-    return documents.select(F.col("doc_id").cast("string").alias("path"), F.array_join(F.concat(*parts), "\n").alias("body"))
+    return dealt(documents).select(F.col("doc_id").cast("string").alias("path"), F.array_join(F.concat(*parts), "\n").alias("body"))
 
 
 PAGE_RULES = [f"V{i}" for i in range(1, 20)] + ["V28"]
@@ -878,9 +883,10 @@ def page_lines(t: Tables) -> DataFrame:
     )
 
 
-def clean_pages(documents: DataFrame) -> DataFrame:
-    """(path, body): a page without faults for each document."""
-    text = F.regexp_replace(F.regexp_replace(F.coalesce("text", F.lit("")), CONTROLS, " "), "[*{}|]", "")
+def clean_pages(documents: DataFrame, *keep: str) -> DataFrame:
+    """(path, body): a page without faults for each document, with its columns ``keep``."""
+    plain = F.regexp_replace(F.regexp_replace(F.coalesce("text", F.lit("")), CONTROLS, " "), "[*{}|]", "")
+    documents, text = dealt(documents).withColumn("text", plain), F.col("text")
     lines = F.transform(F.split(text, "\n", -1), lambda x, i: F.concat(F.lit("[l-"), i.cast("string"), F.lit("] x"), x, F.lit(".")))
     head = [
         "---", f"format: {model.COMPACT_FORMAT}", f"version: {model.COMPACT_VERSION}", F.concat(F.lit("id: d"), F.col("doc_id").cast("string")), "source: s", "view: v",
@@ -888,7 +894,7 @@ def clean_pages(documents: DataFrame) -> DataFrame:
         "---", "", "## column-1 [column] C", "",
     ]
     whole = F.concat(F.array(*[h if isinstance(h, Column) else F.lit(h) for h in head]), lines)
-    return documents.select(F.col("doc_id").cast("string").alias("path"), F.concat(F.array_join(whole, "\n"), F.lit("\n")).alias("body"))
+    return documents.select(*keep, F.col("doc_id").cast("string").alias("path"), F.concat(F.array_join(whole, "\n"), F.lit("\n")).alias("body"))
 
 
 @query(f"""

@@ -15,6 +15,8 @@ from leafmill.functions import text as T
 ZONE = r"^## ([a-z0-9-]+) \[([a-z0-9_-]+)\] (.+)$"
 LINE = r"^\[([a-z0-9-]+)(?: (>>|>))?(?: initial=([2-9][0-9]*))?\] (.*)$"
 BREAKS = r"\r\n|[\n\r\u000B\u000C\u001C-\u001E\u0085  ]"
+OTHER = "[\r\u000b\u000c\u001c\u001d\u001e\u0085\u2028\u2029]"  # breaks but for \n
+LINE_HEAD = LINE.removesuffix("(.*)$")
 
 
 def compact_files(spark: SparkSession, path: str) -> DataFrame:
@@ -22,12 +24,45 @@ def compact_files(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("body"))
 
 
+def text_lines(body: Column) -> Column:
+    """The lines of a text; a break at its end begins none.  Only a text with other breaks than ``\\n`` is searched for them."""
+    plain = F.when(body.rlike(OTHER), F.regexp_replace(body, BREAKS, "\n")).otherwise(body)
+    return F.split(F.regexp_replace(plain, r"\n\z", ""), "\n", -1)
+
+
 def numbered(files: DataFrame) -> DataFrame:
     """(path, n, line): lines of the files, from 1."""
-    lines = F.split(F.regexp_replace("body", f"(?:{BREAKS})$", ""), BREAKS, -1)
+    lines = text_lines(F.col("body"))
     return files.select("path", F.posexplode(lines).alias("pos", "line")).select("path", (F.col("pos") + 1).alias("n"), "line")
 
 
+def paged(files: DataFrame, *keep: str) -> DataFrame:
+    """A row for each file with ``keep``: its path, ``lines``, the numbers of the first two ``---`` (``opened``, ``closed``; 0 if there is none),
+    ``head``, the lines between them, and ``zones``, the numbers of the zone headings behind them."""
+    rows = files.select("path", *keep, F.explode(F.array(text_lines(F.col("body")))).alias("lines"))  # exploded, so that no step splits again
+    rows = rows.withColumn("opened", F.array_position("lines", "---").cast("int"))
+    second = F.array_position(F.slice("lines", F.col("opened") + 1, F.greatest(F.size("lines") - F.col("opened"), F.lit(0))), "---").cast("int")
+    rows = rows.withColumn("closed", F.when((F.col("opened") > 0) & (second > 0), F.col("opened") + second).otherwise(0))
+    until = F.when(F.col("closed") > 0, F.col("closed") - 1).otherwise(F.size("lines"))
+    none = F.array().cast("array<string>")
+    head = F.when(F.col("opened") > 0, F.slice("lines", F.col("opened") + 1, until - F.col("opened"))).otherwise(none)
+    heading = lambda x, i: F.when((i >= F.col("closed")) & x.startswith("## ") & x.rlike(ZONE), i + 1)
+    zones = F.filter(F.transform("lines", heading), lambda i: i.isNotNull())
+    return rows.withColumns({"head": head, "zones": F.when(F.col("closed") > 0, zones).otherwise(F.array().cast("array<int>"))})
+
+
+def zone_ends() -> Column:
+    """For each of ``zones``, the number of the line behind it."""
+    behind = F.concat(F.slice("zones", F.lit(2), F.greatest(F.size("zones") - 1, F.lit(0))), F.array(F.size("lines") + 1))
+    return F.slice(behind, F.lit(1), F.size("zones"))
+
+
+def said_in_head(key: str) -> Column:
+    """The first value of a key in ``head``."""
+    line = F.get(F.filter("head", lambda x: x.startswith(f"{key}: ")), 0)
+    return F.substring(line, len(key) + 3, 2**31 - 1)
+
+
 def header(lines: DataFrame) -> DataFrame:
     """(path, n, key, value) of the block between the first two ``---``; key null where the form is wrong."""
     w = Window.partitionBy("path").orderBy("n")
@@ -80,14 +115,22 @@ def line_runs(content: Column, flag: Column, initial: Column) -> Column:
             ),
         )
 
-    runs = F.flatten(F.transform(T.cells(content), cell))
-    first = F.try_element_at(runs, F.lit(1))
-    big = first.withField("text", F.substring(first["text"], 1, 1)).withField("layout", F.lit("large-initial"))
-    big = big.withField("line_span", initial.try_cast("int"))
-    rest = first.withField("text", first["text"].substr(F.lit(2), F.length(first["text"])))
-    head = F.when(F.length(first["text"]) > 1, F.array(big, rest)).otherwise(F.array(big))
-    after = F.slice(runs, F.lit(2), F.greatest(F.size(runs) - 1, F.lit(0)))
-    return F.when((initial != "") & (F.size(runs) > 0), F.concat(head, after)).otherwise(runs)
+    def led(runs: Column) -> Column:
+        first = F.try_element_at(runs, F.lit(1))
+        big = first.withField("text", F.substring(first["text"], 1, 1)).withField("layout", F.lit("large-initial"))
+        big = big.withField("line_span", initial.try_cast("int"))
+        rest = first.withField("text", first["text"].substr(F.lit(2), F.length(first["text"])))
+        head = F.when(F.length(first["text"]) > 1, F.array(big, rest)).otherwise(F.array(big))
+        after = F.slice(runs, F.lit(2), F.greatest(F.size(runs) - 1, F.lit(0)))
+        return F.when((initial != "") & (F.size(runs) > 0), F.concat(head, after)).otherwise(runs)
+
+    none = F.lit(None).cast("string")
+    one = F.struct(
+        F.lit("roman").alias("typeface"), content.alias("text"), F.when(flag == ">>", "far-right").alias("placement"), none.alias("layout"),
+        F.lit(None).cast("int").alias("line_span"), none.alias("span_id"),
+    )
+    plain = (initial == "") & (F.length(content) > 0) & ~F.contains(content, F.lit("*")) & T.is_one_cell(content)
+    return F.when(plain, F.array(one)).otherwise(T.bound(F.flatten(F.transform(T.cells(content), cell)), led))
 
 
 def flat_lines(lines: DataFrame) -> DataFrame:
@@ -107,18 +150,25 @@ def read_lines(rows: DataFrame) -> DataFrame:
 
 def compiled(files: DataFrame) -> DataFrame:
     """Pages in the schema of the compiled JSON; compare ``checks.page_violations`` first."""
-    lines = numbered(files)
-    all_ = body(lines)
-    part = lambda i: F.regexp_extract("line", ZONE, i)
-    zones = all_.where(F.col("kind") == "zone").select("path", F.col("n").alias("zone_n"), part(1).alias("id"), part(2).alias("zkind"), part(3).alias("label"))
-    notes = all_.where(F.col("kind") == "note").groupBy("path", "zone_n").agg(F.min_by(F.col("line").substr(F.lit(3), F.length("line")), "n").alias("note"))
-    record = F.struct(F.col("line_id").alias("id"), "indent", "runs")
-    own = flat_lines(lines).groupBy("path", "zone_n").agg(F.transform(F.array_sort(F.collect_list(F.struct("n", record.alias("r")))), lambda x: x["r"]).alias("lines"))
-    zone = F.struct("id", F.col("zkind").alias("kind"), "label", "note", "lines")
-    nested = zones.join(notes, ["path", "zone_n"], "left").join(own, ["path", "zone_n"], "left")
-    nested = nested.groupBy("path").agg(F.transform(F.array_sort(F.collect_list(F.struct("zone_n", zone.alias("z")))), lambda x: x["z"]).alias("zones"))
-    m = lambda k: F.try_element_at("meta", F.lit(k))
-    return metadata(lines).join(nested, "path").select(
+    part = lambda x, i: F.regexp_extract(x, LINE_HEAD, i)
+
+    def record(x: Column) -> Column:
+        content = F.substring(x, F.locate("] ", x) + 2, F.length(x))
+        return F.struct(part(x, 1).alias("id"), F.when(part(x, 2) == ">", 1).alias("indent"), line_runs(content, part(x, 2), part(x, 3)).alias("runs"))
+
+    def zone(at: Column, until: Column) -> Column:
+        head = lambda i: F.regexp_extract(F.get("lines", at - 1), ZONE, i)
+        own = F.slice("lines", at + 1, until - at - 1)
+        note = F.get(F.filter(own, lambda x: x.startswith("> ")), 0)
+        lines = F.transform(F.filter(own, lambda x: x.startswith("[") & x.rlike(LINE_HEAD)), record)
+        some = F.filter(F.array(lines), lambda x: F.size(x) > 0)  # null without lines
+        return F.struct(
+            head(1).alias("id"), head(2).alias("kind"), head(3).alias("label"), F.substring(note, 3, 2**31 - 1).alias("note"), F.get(some, 0).alias("lines")
+        )
+
+    rows = paged(files).where((F.size("zones") > 0) & F.exists("head", lambda x: F.contains(x, F.lit(": "))))
+    m = said_in_head
+    return rows.select(
         "path",
         F.lit(model.PAGE_FORMAT).alias("format"),
         F.lit(model.PAGE_VERSION).alias("format_version"),
@@ -132,7 +182,7 @@ def compiled(files: DataFrame) -> DataFrame:
             m("status").alias("status"),
             m("external-check").alias("external_check_scope"),
         ).alias("review"),
-        "zones",
+        F.explode(F.array(F.zip_with("zones", zone_ends(), zone))).alias("zones"),  # exploded, so that no reader of some fields parses again
     )
 
 

@@ -111,6 +111,44 @@ def test_unique_ids_across_pages(spark):
     assert {r.rule for r in V.page_violations(parsed(spark, PAGE, PAGE)).collect()} == {"V19"}
 
 
+def plan(frame):
+    return frame._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_rules_of_pages_take_one_pass(spark):
+    rows = parsed(spark, *[b for _, b in BROKEN])
+    said = plan(V.page_violations(rows))
+    assert "Window" not in said and "Join" not in said and said.count("LogicalRDD") + said.count("LocalRelation") == 1
+    found = {(r.key, r.rule, r.detail) for r in V.page_violations(rows).collect()}
+    few = V.page_violations(rows, ["V2", "V11", "V15"])  # the rules asked for, and what they said among all
+    assert {tuple(r)[1::-1] + (r.detail,) for r in few.collect()} == {x for x in found if x[1] in ("V2", "V11", "V15")} and "nfc" not in plan(few)
+    assert [tuple(r)[1:] for r in few.where("rule = 'V11'").collect()] == [("p11:20", "2")]
+    dark = spark.createDataFrame([("n", None), ("e", ""), ("m", PAGE.replace("\n", "\r\n") + "\n\u2028")], "path string, body string")
+    assert {(r.key, r.rule) for r in V.page_violations(dark).collect()} == {("n", "V1"), ("n", "V18"), ("e", "V2"), ("e", "V18")}
+    assert [r.n for r in pages.numbered(dark.where("path = 'm'")).orderBy("n").collect()] == list(range(1, len(PAGE.splitlines()) + 3))
+
+
+def test_rules_of_runs_take_one_pass(spark):
+    lines = pages.registry(pages.compiled(parsed(spark, PAGE, PAGE.replace(" g\n", " a\u0303=\n")))).withColumn("indent", F.when(F.col("line_id") == "c1-l003", -1))
+    said = plan(V.run_violations(lines, ["V21", "V23", "V24"]))
+    assert "nfc" not in said and said.count("LogicalRDD") + said.count("LocalRelation") == 1
+    found = sorted((r.rule, r.key.split(":")[1], r.detail) for r in V.run_violations(lines).collect())
+    twice = [("V24", x, "2") for x in ("c1-l001", "c1-l002", "c1-l003", "h-l001")]
+    assert found == [("V21", "c1-l003", None)] * 2 + [("V22", "c1-l001", None)] + twice + [("V58", "c1-l001", None)]
+
+
+def test_pages_are_compiled_where_they_are(spark):
+    odd = "---\nid: q\nid: r\n---\n[x] lost\n> lost\n## a [column] A\n> one\n[x >>] {m}y || \nodd\n[y initial=3]  *i* b\n---\n## b [column] B\n"
+    page = pages.compiled(parsed(spark, odd, "---\nid: q\n---\n", "## a [column] A\n[x] y", None)).collect()
+    assert [(p.path, p.id, [(z.id, z.label, z.note, z.lines and [(x.id, x.indent) for x in z.lines]) for z in p.zones]) for p in page] == [
+        ("p0", "q", [("a", "A", "one", [("x", None), ("y", None)]), ("b", "B", None, None)])
+    ]
+    first, second = (x.runs for x in page[0].zones[0].lines)
+    assert first is None and [(r.typeface, r.text, r.layout) for r in second] == [("italic", " ", "large-initial"), ("italic", "i", None), ("roman", " b", None)]
+    said = plan(pages.compiled(parsed(spark, PAGE)))
+    assert "Window" not in said and "Join" not in said and "Aggregate" not in said
+
+
 def test_selected_text(spark):
     runs = F.from_json(F.lit('[{"text":"a"},{"text":"b","span_id":"m"}]'), "array<struct<text:string,span_id:string>>")
     pick = lambda i, s: spark.range(1).select(pages.selected_text(runs, i, s).alias("x")).first().x
