@@ -302,11 +302,11 @@ UNION ALL SELECT 'V23', coalesce(sum(n), 0)::BIGINT FROM d WHERE doc_id % 13 = 5
 UNION ALL SELECT 'V24', count(*) FROM d WHERE doc_id % 17 = 7 AND n > 1""")
 def damaged_pages(t: Tables) -> DataFrame:
     """Rules that pages of documents keep by themselves, over pages damaged in each way."""
-    pages = clean_pages(t.documents.drop("source")).join(t.documents.select(F.col("doc_id").cast("string").alias("path"), "doc_id", "source"), "path")
+    pages = clean_pages(t.documents, "doc_id", "source")
     unfenced = F.replace("body", F.lit("\n---\n\n##"), F.lit("\n\n##"))
     labelled = F.regexp_replace("body", r"(?m)^\[l-(\d+)\] x", r"[l-$1] {m}x")
     body = F.when(F.col("doc_id") % 7 == 2, unfenced).when(F.col("source") == "src3", labelled).otherwise(F.col("body"))
-    of_text = V.page_violations(pages.select("path", body.alias("body"))).where("rule IN ('V2', 'V15')")
+    of_text = V.page_violations(pages.select("path", body.alias("body")), ["V2", "V15"])
     lines = P.registry(P.compiled(clean_pages(t.documents))).withColumn("k", F.substring("page_id", 2, 20).cast("long"))
     other = F.transform("runs", lambda r: r.withField("layout", F.lit("other")))
     lines = lines.withColumns(
@@ -316,7 +316,7 @@ def damaged_pages(t: Tables) -> DataFrame:
             "line_ref": F.when(F.col("k") % 17 == 7, F.col("page_id")).otherwise(F.col("line_ref")),
         }
     )
-    of_runs = V.run_violations(lines).where("rule IN ('V21', 'V23', 'V24')")
+    of_runs = V.run_violations(lines, ["V21", "V23", "V24"])
     return V.counts(of_text.unionByName(of_runs), ["V2", "V15", "V21", "V23", "V24"])
 
 
