@@ -44,16 +44,28 @@ def duplicates(rows: DataFrame, rule: str, *keys: str) -> DataFrame:
     return found.select(F.lit(rule).alias("rule"), F.concat_ws(":", *[F.col(k).cast("string") for k in keys]).alias("key"), F.col("n").cast("string").alias("detail"))
 
 
+def sides(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
+    """Each key once, with whether ``a`` and ``b`` have it: keys are counted before they are dealt, and none are sorted."""
+    side = lambda rows, first: rows.select(key, F.lit(first).alias("_a"), F.lit(not first).alias("_b"))
+    return side(a, True).unionByName(side(b, False)).groupBy(key).agg(F.bool_or("_a").alias("_a"), F.bool_or("_b").alias("_b"))
+
+
+def lacking(found: DataFrame, rule: str, key: str, *said: tuple[str, str, str | None]) -> DataFrame:
+    """Keys of ``sides`` that one side has and the other has not; a null is equal to none."""
+    null = F.col(key).isNull()
+    each = [F.when(F.col(one) & (~F.col(other) | null), F.struct(F.lit(detail).cast("string").alias("detail"))) for one, other, detail in said]
+    rows = found.select(key, F.explode(F.array_compact(F.array(*each))).alias("v"))
+    return rows.select(F.lit(rule).alias("rule"), F.col(key).cast("string").alias("key"), "v.detail")
+
+
 def unresolved(rows: DataFrame, known: DataFrame, rule: str, key: str) -> DataFrame:
     """Keys without a row in ``known``."""
-    lost = rows.select(key).distinct().join(known.select(key), key, "left_anti")
-    return lost.select(F.lit(rule).alias("rule"), F.col(key).cast("string").alias("key"), F.lit(None).cast("string").alias("detail"))
+    return lacking(sides(rows, known, key), rule, key, ("_a", "_b", None))
 
 
 def unequal_sets(a: DataFrame, b: DataFrame, rule: str, key: str) -> DataFrame:
     """Keys of one side only."""
-    one = unresolved(a, b, rule, key).withColumn("detail", F.lit("not in the second"))
-    return one.unionByName(unresolved(b, a, rule, key).withColumn("detail", F.lit("not in the first")))
+    return lacking(sides(a, b, key), rule, key, ("_a", "_b", "not in the second"), ("_b", "_a", "not in the first"))
 
 
 def gaps(rows: DataFrame, rule: str, key: str) -> DataFrame:

@@ -137,6 +137,14 @@ def test_rules_of_runs_take_one_pass(spark):
     assert found == [("V21", "c1-l003", None)] * 2 + [("V22", "c1-l001", None)] + twice + [("V58", "c1-l001", None)]
 
 
+def test_keys_of_sets_are_counted_before_they_are_dealt(spark):
+    a, b = spark.createDataFrame([(1,), (1,), (2,), (None,)], "k int"), spark.createDataFrame([(2,), (3,), (None,)], "k int")
+    assert sorted(map(tuple, V.unresolved(a, b, "V34", "k").fillna("", ["key"]).collect())) == [("V34", "", None), ("V34", "1", None)]
+    one, other = "not in the second", "not in the first"
+    assert sorted(tuple(r)[1:] for r in V.unequal_sets(a, b, "V20", "k").fillna("", ["key"]).collect()) == [("", other), ("", one), ("1", one), ("3", other)]
+    assert "Join" not in plan(V.unresolved(a, b, "V34", "k")) + plan(V.unequal_sets(a, b, "V20", "k"))
+
+
 def test_pages_are_compiled_where_they_are(spark):
     odd = "---\nid: q\nid: r\n---\n[x] lost\n> lost\n## a [column] A\n> one\n[x >>] {m}y || \nodd\n[y initial=3]  *i* b\n---\n## b [column] B\n"
     page = pages.compiled(parsed(spark, odd, "---\nid: q\n---\n", "## a [column] A\n[x] y", None)).collect()
