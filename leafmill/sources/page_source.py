@@ -5,7 +5,8 @@ bundled to partitions by size, only the columns of the schema that is asked for
 (``.schema("page_id string, line_id string")``), and filters on the fields of a page's header are
 tested before its body is looked at.  Writing takes ``id`` and ``body`` (K2) and makes a file of each page, by a commit
 protocol: tasks write aside, the driver moves what they report into place when all are
-done, and a failed job leaves nothing.  Files are reached through ``pyarrow.fs``, so that executors see the
+done, and a failed job leaves nothing.  A task holds one page and one Arrow batch of a few MB at a time, however
+many or long its pages are.  Files are reached through ``pyarrow.fs``, so that executors see the
 same store as the driver.
 """
 
@@ -14,13 +15,16 @@ from __future__ import annotations
 import posixpath
 import re
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, EqualTo, Filter, In, InputPartition, WriterCommitMessage
-from pyspark.sql.types import Row, StructType
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, EqualTo, Filter, In, InputPartition, WriterCommitMessage
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from leafmill.sources.pages import LINE, ZONE
 
@@ -30,8 +34,10 @@ LINES = (
 )
 HEADER = {"page_id": "id", "view": "view", "scope": "scope", "status": "status"}
 BUNDLE = 32 << 20  # bytes of files in a partition
+BATCH = 1 << 20  # characters of lines, or bytes of pages, in an Arrow batch; one of more is a batch by itself
 SUFFIX = ".txt"
 PUSHDOWN = "spark.sql.python.filterPushdown.enabled"
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def store(path: str) -> tuple[fs.FileSystem, str]:
@@ -41,6 +47,21 @@ def store(path: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
 
 
+def arrow_batches(rows: Iterable[tuple], schema: pa.Schema, most: int = BATCH) -> Iterator[pa.RecordBatch]:
+    """Rows as Arrow batches that are full at ``most`` characters, a field counted as 8 more than it has."""
+    made = lambda: pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held, strict=True), schema, strict=True)], schema=schema)
+    held, size = [], 0
+    for row in rows:
+        own = sum(8 + len(v) if isinstance(v, str) else 8 for v in row)
+        if held and size + own > most:
+            yield made()
+            held, size = [], 0
+        held.append(row)
+        size += own
+    if held:
+        yield made()
+
+
 @dataclass
 class Files(InputPartition):
     paths: tuple[str, ...]
@@ -48,7 +69,7 @@ class Files(InputPartition):
 
 class PageReader(DataSourceReader):
     def __init__(self, schema: StructType, options: dict):
-        self.names, self.path = schema.names, options["path"]
+        self.names, self.path, self.schema = schema.names, options["path"], to_arrow_schema(schema)
         self.size = int(options.get("bundle", BUNDLE))
         self.wanted: dict[str, set] = {}  # values that a header field may have
 
@@ -75,12 +96,14 @@ class PageReader(DataSourceReader):
             room -= size
         return [Files(tuple(b)) for b in bundles] or [Files(())]
 
-    def read(self, partition: Files) -> Iterator[tuple]:
+    def read(self, partition: Files) -> Iterator[pa.RecordBatch]:
         where, _ = store(self.path)
-        for path in partition.paths:
+
+        def text(path: str) -> str:
             with where.open_input_stream(path) as file:
-                text = file.read().decode()
-            yield from self.rows(path, text)
+                return file.read().decode()
+
+        return arrow_batches((row for path in partition.paths for row in self.rows(path, text(path))), self.schema)
 
     def rows(self, path: str, text: str) -> Iterator[tuple]:
         lines = text.splitlines()
@@ -111,43 +134,47 @@ class PageReader(DataSourceReader):
 
 @dataclass
 class Written(WriterCommitMessage):
-    names: tuple[str, ...]
+    folder: str
+    names: tuple[str, ...]  # in the folder
 
 
-class PageWriter(DataSourceWriter):
+class PageWriter(DataSourceArrowWriter):
     def __init__(self, schema: StructType, options: dict, overwrite: bool):
         if not {"id", "body"} <= set(schema.names):
             raise ValueError("pages have the columns id and body")
         self.path, self.overwrite = options["path"], overwrite
         self.aside = f"_aside-{uuid.uuid4().hex}"
 
-    def write(self, iterator: Iterator[Row]) -> WriterCommitMessage:
+    def write(self, iterator: Iterator[pa.RecordBatch]) -> WriterCommitMessage:
         where, root = store(self.path)
         folder = posixpath.join(root, self.aside, uuid.uuid4().hex)  # of this attempt
         where.create_dir(folder, recursive=True)
         names = []
-        for row in iterator:
-            if not re.fullmatch(r"[A-Za-z0-9][A-Za-z0-9._-]*", row["id"] or ""):
-                raise ValueError(f"page id {row['id']!r} is no file name")
-            names.append(posixpath.join(folder, row["id"] + SUFFIX))
-            with where.open_output_stream(names[-1]) as file:
-                file.write(row["body"].encode())
-        return Written(tuple(names))
+        for batch in iterator:
+            for key, body in zip(batch["id"], batch["body"], strict=True):
+                if not re.fullmatch(r"[A-Za-z0-9][A-Za-z0-9._-]*", name := key.as_py() or ""):
+                    raise ValueError(f"page id {key.as_py()!r} is no file name")
+                if not body.is_valid:
+                    raise ValueError(f"page {name} has no body")
+                names.append(name + SUFFIX)
+                with where.open_output_stream(posixpath.join(folder, names[-1])) as file:
+                    file.write(body.as_buffer())  # the bytes of the batch, not a copy
+        return Written(folder, tuple(names))
 
     def commit(self, messages: list[WriterCommitMessage | None]) -> None:
         where, root = store(self.path)
-        new = [name for m in messages if m is not None for name in m.names]
-        targets = [posixpath.join(root, posixpath.basename(name)) for name in new]
-        if len(set(targets)) < len(targets):
+        written = [m for m in messages if m is not None]
+        new = {name for m in written for name in m.names}
+        if len(new) < sum(len(m.names) for m in written):
             self.abort(messages)
             raise ValueError("a page id occurs more than once")
         if self.overwrite:
-            kept = set(targets)
             for x in where.get_file_info(fs.FileSelector(root)):
-                if x.is_file and x.path.endswith(SUFFIX) and x.path not in kept:
+                if x.is_file and x.path.endswith(SUFFIX) and x.base_name not in new:
                     where.delete_file(x.path)
-        for name, target in zip(new, targets, strict=True):
-            where.move(name, target)
+        for m in written:
+            for name in m.names:
+                where.move(posixpath.join(m.folder, name), posixpath.join(root, name))
         where.delete_dir(posixpath.join(root, self.aside))
         with where.open_output_stream(posixpath.join(root, "_SUCCESS")):
             pass
@@ -188,7 +215,19 @@ def page_lines(spark: SparkSession, path: str, *columns: str, **options: str) ->
     return spark.read.format("leafpages").schema(schema).options(**options).load(path)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, most: int = BATCH) -> Iterator[None]:
+    """Spark hands Arrow batches to Python that are full at ``most`` bytes; its default is 10,000 rows or 64 MB."""
+    before = spark.conf.get(BATCH_BYTES)
+    spark.conf.set(BATCH_BYTES, str(most))
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH_BYTES, before)
+
+
 def write_pages(pages: DataFrame, path: str, mode: str = "overwrite") -> None:
     """A file for each row of ``pages`` (id, body)."""
     register(pages.sparkSession)
-    pages.select("id", "body").write.format("leafpages").mode(mode).save(path)
+    with small_batches(pages.sparkSession):
+        pages.select("id", "body").write.format("leafpages").mode(mode).save(path)
